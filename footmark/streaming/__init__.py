@@ -1,0 +1,6 @@
+"""Streaming.
+
+The workload this package rebuilds is batch only: it has no unbounded
+sources, watermarks or state. Nothing is implemented here on purpose; the
+conform and conflate jobs in :mod:`footmark.plans` are batch Spark jobs.
+"""
