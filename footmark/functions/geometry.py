@@ -226,6 +226,30 @@ def st_intersection(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, type=pa.binary())
 
 
+@arrow_udf(BINARY)
+def st_collect(parts: pa.Array) -> pa.Array:
+    """Combine an array of polygons into one MultiPolygon (points into a MultiPoint).
+
+    Null elements are skipped; a null or empty array gives null.
+    """
+    out = []
+    for items in parts.to_pylist():
+        items = [b for b in (items or []) if b is not None]
+        if not items:
+            out.append(None)
+            continue
+        g = W.decode(pa.array(items, pa.binary()))
+        if g.valid.all() and (g.gtype == W.POINT).all():
+            out.append(W.wkb_multipoint([tuple(p) for p in g.xy]))
+            continue
+        polys = []
+        for p in K.polygons_of(g):
+            if p:
+                polys.extend(p)
+        out.append(W.wkb_multipolygon(polys) if polys else None)
+    return pa.array(out, type=pa.binary())
+
+
 # --------------------------------------------------------------------------- helpers
 
 

@@ -236,7 +236,13 @@ def merge_footprints_and_addresses(footprints: DataFrame, addresses: DataFrame,
                          lsfx="_right", rsfx="_left", levels=levels)
     fp_key = [f"{k}_left" for k in keys] + ["provider_left", "id_left"]
     nearest = pairs.groupBy(*fp_key).agg(F.min("metric").alias("__min"))
-    pairs = pairs.join(nearest, fp_key, "inner").filter(F.col("metric") == F.col("__min"))
+    nearest = nearest.select(*[F.col(c).alias(f"__n_{c}") for c in fp_key], "__min")
+    cond = None
+    for c in fp_key:
+        e = F.col(c).eqNullSafe(F.col(f"__n_{c}"))
+        cond = e if cond is None else cond & e
+    pairs = pairs.join(nearest, cond, "inner").filter(F.col("metric") == F.col("__min")) \
+        .drop(*[f"__n_{c}" for c in fp_key])
     matched = pairs.select(
         F.col("id_right").alias("id"),
         F.col("provider_right").alias("provider"),

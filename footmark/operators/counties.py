@@ -130,42 +130,56 @@ def states(counties: DataFrame) -> DataFrame:
 
 
 def _union_coverage(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Union of polygons that form a coverage: drop edges shared by two members."""
+    """Union of polygons forming a coverage: shared edges cancel.
+
+    Shells are oriented counter-clockwise and holes clockwise, so an edge
+    shared by two members appears once in each direction and both copies
+    drop out. The remaining directed edges are chained into rings; the area
+    of the result is exact even where members touch only at a corner.
+    """
     g = W.decode(list(pdf["geometry"]))
     polys = K.polygons_of(g)
-    edges: dict = {}
+    count: dict = {}
     for parts in polys:
-        if not parts:
-            continue
-        for rings in parts:
-            for ring in rings:
-                for a, b in zip(map(tuple, ring[:-1]), map(tuple, ring[1:])):
-                    key = (min(a, b), max(a, b))
-                    edges[key] = edges.get(key, 0) + 1
-    outline = [k for k, v in edges.items() if v == 1]
-    # chain outline edges into rings
-    adj: dict = {}
-    for a, b in outline:
-        adj.setdefault(a, []).append(b)
-        adj.setdefault(b, []).append(a)
+        for rings in parts or []:
+            for ri, ring in enumerate(rings):
+                pts = [tuple(p) for p in ring]
+                a = sum(x0 * y1 - x1 * y0 for (x0, y0), (x1, y1) in zip(pts[:-1], pts[1:]))
+                if (a < 0) == (ri == 0):
+                    pts = pts[::-1]
+                for e in zip(pts[:-1], pts[1:]):
+                    if e[0] == e[1]:
+                        continue
+                    rev = (e[1], e[0])
+                    if count.get(rev, 0) > 0:
+                        count[rev] -= 1
+                    else:
+                        count[e] = count.get(e, 0) + 1
+    nxt: dict = {}
+    for (a, b), c in count.items():
+        for _ in range(c):
+            nxt.setdefault(a, []).append(b)
     rings = []
-    used = set()
-    for a, b in outline:
-        if (a, b) in used:
-            continue
-        ring = [a]
-        prev, cur = a, b
-        used.add((a, b))
-        while cur != a and len(ring) <= len(outline) + 1:
-            ring.append(cur)
-            nxt = [n for n in adj[cur] if n != prev and (min(cur, n), max(cur, n)) not in used]
-            if not nxt:
+    while nxt:
+        start = next(iter(nxt))
+        ring = [start]
+        cur = start
+        while True:
+            outs = nxt.get(cur)
+            if not outs:
+                break
+            b = outs.pop()
+            if not outs:
+                del nxt[cur]
+            ring.append(b)
+            cur = b
+            if cur == start:
                 break
-            used.add((min(cur, nxt[0]), max(cur, nxt[0])))
-            prev, cur = cur, nxt[0]
-        rings.append(ring + [a])
-    # collinear runs of the outline are kept as is (no vertex dissolving)
-    if len(rings) == 1:
+        if len(ring) >= 4 and ring[0] == ring[-1]:
+            rings.append(ring)
+    if not rings:
+        geom = None
+    elif len(rings) == 1:
         geom = W.wkb_polygon(rings)
     else:
         geom = W.wkb_multipolygon([[r] for r in rings])

@@ -192,7 +192,7 @@ def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
     county = F.lpad((k * 4 + 1).cast("string"), 3, "0")
     return (n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.concat(state, county).alias("fips"),
-                    F.initcap(F.lower(F.col("n_name"))).alias("county_name"),
-                    F.initcap(F.lower(F.col("r_name"))).alias("state_name"),
+                    F.col("n_name").alias("county_name"),
+                    F.col("r_name").alias("state_name"),
                     F.upper(F.substring(F.col("r_name"), 1, 2)).alias("state_abbr"),
                     st_box(xmin, ymin, xmin + size, ymin + size).alias("geometry")))
