@@ -265,8 +265,16 @@ def merge_footprints_and_addresses(footprints: DataFrame, addresses: DataFrame,
 
 
 def finish_entities(allrows: DataFrame, keys: list[str], collapse_null_address: bool = False) -> DataFrame:
-    """Steps 5-6 of :func:`merge_footprints_and_addresses` (dedupe, self reference, plus code)."""
-    payload = ["classification", "height", "levels", "foreign", "geometry"]
+    """Steps 5-6 of :func:`merge_footprints_and_addresses` (dedupe, self reference, plus code).
+
+    Ties are broken by (provider, id, classification, height, levels,
+    foreign, x, y), nulls first; the point coordinates rather than the WKB
+    bytes, so the order is numeric.
+    """
+    xy = st_centroid_xy(F.col("geometry"))
+    allrows = allrows.withColumn("__xy", xy) \
+        .withColumn("x", F.col("__xy.x")).withColumn("y", F.col("__xy.y")).drop("__xy")
+    payload = ["classification", "height", "levels", "foreign", "x", "y", "geometry"]
     first = F.min(F.struct("provider", "id", *payload)).alias("r")
     addr = allrows.filter(F.col("address").isNotNull())
     nulls = allrows.filter(F.col("address").isNull())
@@ -277,14 +285,11 @@ def finish_entities(allrows: DataFrame, keys: list[str], collapse_null_address:
     # One row per (provider, id)
     rows = rows.groupBy(*keys, "provider", "id").agg(
         F.min(F.struct("address", *payload)).alias("r")).select(*keys, "provider", "id", "r.*")
-    xy = st_centroid_xy(F.col("geometry"))
-    rows = rows.withColumn("__xy", xy)
-    lonlat = albers_inverse(F.col("__xy.x"), F.col("__xy.y"))
+    lon, lat = albers_inverse(F.col("x"), F.col("y"))
     return rows.select(
-        plus_code(lonlat[1], lonlat[0]).alias("id"),
+        plus_code(lat, lon).alias("id"),
         "classification", "address", "height", "levels",
         F.concat(F.col("foreign"), F.array(reference(F.col("provider"), F.col("id")))).alias("foreign"),
-        "geometry",
-        F.col("__xy.x").alias("x"), F.col("__xy.y").alias("y"),
+        "geometry", "x", "y",
         *keys,
     )
