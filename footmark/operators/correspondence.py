@@ -25,6 +25,7 @@ from .spatial_join import candidate_pairs, dwithin_join, suffixed
 
 ATTRS = ("classification", "address", "height", "levels")
 BASE_COLS = ("id", "provider", "classification", "address", "height", "levels", "foreign", "geometry")
+BBOX = ("xmin", "ymin", "xmax", "ymax")
 
 Materialize = Callable[[DataFrame], DataFrame]
 
@@ -60,7 +61,10 @@ def _keys(left: DataFrame, right: DataFrame) -> list[str]:
 
 
 def _base(df: DataFrame, keys: list[str]) -> DataFrame:
-    return with_foreign(df).select(*BASE_COLS, *keys)
+    """Base columns + the geometry's box (computed only if the layer lacks it) + keys."""
+    if not all(c in df.columns for c in BBOX):
+        df = with_bbox(df)
+    return with_foreign(df).select(*BASE_COLS, *BBOX, *keys)
 
 
 def reference(provider: Column, key: Column) -> Column:
@@ -79,7 +83,8 @@ def anti_join(origin: DataFrame, matched: DataFrame, origin_keys: list[str], mat
     for i, a in enumerate(keys + origin_keys):
         c = F.col(a) == F.col(f"__m{i}")
         cond = c if cond is None else cond & c
-    return with_foreign(origin.join(m, cond, "left_anti")).select(*BASE_COLS, *keys)
+    cols = [*BASE_COLS, *[c for c in BBOX if c in origin.columns], *keys]
+    return with_foreign(origin.join(m, cond, "left_anti")).select(*cols)
 
 
 def overlap_metric(pairs: DataFrame, threshold: float = 0.3, column: str = "corresponds") -> DataFrame:
@@ -119,8 +124,8 @@ def correspondence_pairs(left: DataFrame, right: DataFrame, *, use_distance: boo
         pairs = dwithin_join(L, R, distance=t, keys=tuple(keys), cell=cell, levels=levels)
         return distance_metric(pairs, t).filter("corresponds")
     t = 0.3 if threshold is None else threshold
-    Lb = suffixed(with_bbox(L), "_left")
-    Rb = suffixed(with_bbox(R), "_right")
+    Lb = suffixed(L, "_left")
+    Rb = suffixed(R, "_right")
     pairs = candidate_pairs(Lb, Rb, keys=tuple(keys), cell=cell, levels=levels)
     return overlap_metric(pairs, t).filter("corresponds")
 
@@ -157,6 +162,7 @@ def spatial_correspondence(left: DataFrame, right: DataFrame, *, use_distance: b
             *coalesced,
             F.concat(F.col("foreign_left"), F.col("foreign_right"), new_ref).alias("foreign"),
             F.col("geometry_left").alias("geometry"),
+            *[F.col(f"{c}_left").alias(c) for c in BBOX],
             *[F.col(f"{k}_left").alias(k) for k in keys],
             F.col("id_right").alias("__rid"),
             F.col("provider_right").alias("__rprov"),
@@ -176,6 +182,7 @@ def spatial_correspondence(left: DataFrame, right: DataFrame, *, use_distance: b
             F.concat(F.col(b + "foreign_left"), F.col(b + "foreign_right"),
                      F.transform("refs", lambda r: reference(r["p"], r["k"]))).alias("foreign"),
             F.col(b + "geometry_left").alias("geometry"),
+            *[F.col(f"{b}{c}_left").alias(c) for c in BBOX],
             *[F.col(f"{b}{k}_left").alias(k) for k in keys],
             F.col(b + "id_right").alias("__rid"),
             F.col(b + "provider_right").alias("__rprov"),
@@ -187,10 +194,11 @@ def spatial_correspondence(left: DataFrame, right: DataFrame, *, use_distance: b
     else:
         raise ValueError(f"unknown multi mode {multi!r}")
     matched = materialize(matched)
-    left_missing = anti_join(left, matched, ["provider", "id"], ["provider", "id"], keys)
+    L, R = _base(left, keys), _base(right, keys)
+    left_missing = anti_join(L, matched, ["provider", "id"], ["provider", "id"], keys)
     right_src = matched if multi == "pairs" else materialize(matched_right)
-    right_missing = anti_join(right, right_src, ["provider", "id"], ["__rprov", "__rid"], keys)
-    out = matched.select(*BASE_COLS, *keys)
+    right_missing = anti_join(R, right_src, ["provider", "id"], ["__rprov", "__rid"], keys)
+    out = matched.select(*BASE_COLS, *BBOX, *keys)
     return out.unionByName(left_missing).unionByName(right_missing)
 
 
@@ -256,8 +264,8 @@ def merge_footprints_and_addresses(footprints: DataFrame, addresses: DataFrame,
         F.col("provider_left").alias("__fprov"),
     )
     matched = materialize(matched)
-    fp_missing = anti_join(footprints, matched, ["provider", "id"], ["__fprov", "__fid"], keys)
-    ad_missing = anti_join(addresses, matched, ["provider", "id"], ["provider", "id"], keys)
+    fp_missing = anti_join(Fp, matched, ["provider", "id"], ["__fprov", "__fid"], keys).drop(*BBOX)
+    ad_missing = anti_join(Ad, matched, ["provider", "id"], ["provider", "id"], keys).drop(*BBOX)
     allrows = matched.select(*BASE_COLS, *keys).unionByName(fp_missing).unionByName(ad_missing)
     allrows = allrows.withColumn("address", normalize_address(F.col("address"))) \
         .withColumn("geometry", st_centroid(F.col("geometry")))

@@ -24,32 +24,50 @@ COUNTY_GRID = 10_000.0
 MAX_BROADCAST_COUNTY_CELLS = 2_000_000
 
 
-def _county_cells(counties: DataFrame, grid: float) -> DataFrame:
-    c = with_bbox(counties.select("fips", F.col("geometry").alias("county_geometry")), "county_geometry",
-                  prefix="c_")
-    g = F.lit(grid)
-    return c.withColumn("__cx", F.explode(F.sequence(F.floor(F.col("c_xmin") / g), F.floor(F.col("c_xmax") / g)))) \
-        .withColumn("__cy", F.explode(F.sequence(F.floor(F.col("c_ymin") / g), F.floor(F.col("c_ymax") / g))))
+class CountyIndex:
+    """Counties cut into cells of a coarse grid, materialised once per job.
+
+    ``cells`` holds one row per (county, grid cell) with the county box and
+    geometry. Its row count is checked once: at or under
+    :data:`MAX_BROADCAST_COUNTY_CELLS` the cells are broadcast to the feature
+    side (no shuffle of the features); above it the join shuffles.
+    """
+
+    def __init__(self, counties: DataFrame, grid: float = COUNTY_GRID):
+        self.grid = grid
+        c = with_bbox(counties.select("fips", F.col("geometry").alias("county_geometry")),
+                      "county_geometry", prefix="c_")
+        g = F.lit(grid)
+        cells = c.withColumn("__cx", F.explode(F.sequence(F.floor(F.col("c_xmin") / g),
+                                                          F.floor(F.col("c_xmax") / g)))) \
+            .withColumn("__cy", F.explode(F.sequence(F.floor(F.col("c_ymin") / g),
+                                                     F.floor(F.col("c_ymax") / g))))
+        self.cells = cells.checkpoint(eager=True)
+        self.n_cells = self.cells.count()
+        self.broadcastable = self.n_cells <= MAX_BROADCAST_COUNTY_CELLS
+
+    def side(self) -> DataFrame:
+        return F.broadcast(self.cells) if self.broadcastable else self.cells
 
 
-def _maybe_broadcast(cells: DataFrame) -> DataFrame:
-    n = cells.count()
-    return F.broadcast(cells) if n <= MAX_BROADCAST_COUNTY_CELLS else cells
+def county_index(counties, grid: float = COUNTY_GRID) -> CountyIndex:
+    return counties if isinstance(counties, CountyIndex) else CountyIndex(counties, grid)
 
 
-def county_pairs(features: DataFrame, counties: DataFrame, *, geometry: str = "geometry",
+def county_pairs(features: DataFrame, counties, *, geometry: str = "geometry",
                  grid: float = COUNTY_GRID) -> DataFrame:
     """(feature, county) pairs whose boxes overlap; one row per pair.
 
+    ``counties`` is a county DataFrame or a prepared :class:`CountyIndex`.
     Adds ``fips`` and ``county_geometry``. Pairs spanning several grid cells
     are reported once (reference-point rule).
     """
-    cells = _maybe_broadcast(_county_cells(counties, grid))
+    idx = county_index(counties, grid)
+    g = F.lit(idx.grid)
     f = with_bbox(features, geometry, prefix="f_")
-    g = F.lit(grid)
     f = f.withColumn("__fx", F.explode(F.sequence(F.floor(F.col("f_xmin") / g), F.floor(F.col("f_xmax") / g)))) \
         .withColumn("__fy", F.explode(F.sequence(F.floor(F.col("f_ymin") / g), F.floor(F.col("f_ymax") / g))))
-    j = f.join(cells, (F.col("__fx") == F.col("__cx")) & (F.col("__fy") == F.col("__cy")))
+    j = f.join(idx.side(), (F.col("__fx") == F.col("__cx")) & (F.col("__fy") == F.col("__cy")))
     refx = F.greatest(F.col("f_xmin"), F.col("c_xmin"))
     refy = F.greatest(F.col("f_ymin"), F.col("c_ymin"))
     j = j.filter((F.col("f_xmin") <= F.col("c_xmax")) & (F.col("c_xmin") <= F.col("f_xmax")) &
@@ -59,7 +77,7 @@ def county_pairs(features: DataFrame, counties: DataFrame, *, geometry: str = "g
                   "c_xmin", "c_ymin", "c_xmax", "c_ymax")
 
 
-def mask_by_county(features: DataFrame, counties: DataFrame, *, geometry: str = "geometry",
+def mask_by_county(features: DataFrame, counties, *, geometry: str = "geometry",
                    grid: float = COUNTY_GRID) -> DataFrame:
     """Keep features that intersect a county polygon, tagged with its ``fips``.
 
@@ -70,7 +88,7 @@ def mask_by_county(features: DataFrame, counties: DataFrame, *, geometry: str =
     return p.filter(st_intersects(F.col(geometry), F.col("county_geometry"))).drop("county_geometry")
 
 
-def county_of(features: DataFrame, counties: DataFrame, *, geometry: str = "geometry",
+def county_of(features: DataFrame, counties, *, geometry: str = "geometry",
               grid: float = COUNTY_GRID, key: str = "id") -> DataFrame:
     """The county holding each feature's centroid (left join; null outside).
 

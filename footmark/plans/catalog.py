@@ -20,7 +20,7 @@ from ..functions.projection import albers_inverse
 from ..functions.text import normalize_address, normalize_str, parse_height, parse_levels
 from ..operators.correspondence import (checkpoint, correspondence_pairs, anti_join,
                                         merge_footprints_and_addresses, spatial_correspondence)
-from ..operators.counties import county_of, lookup_county, mask_by_county, states
+from ..operators.counties import county_index, county_of, lookup_county, mask_by_county, states
 from ..operators.spatial_join import dwithin_join, intersects_join
 from ..providers import get_provider
 from ..session import configure
@@ -253,7 +253,7 @@ def _raw_all(spark, sf) -> dict[str, DataFrame]:
 
 def s2_county_mask(spark, sf):
     _start(spark)
-    counties = fx.counties(spark, sf)
+    counties = county_index(fx.counties(spark, sf))
     parts = []
     for p, df in _raw_all(spark, sf).items():
         m = mask_by_county(df.select(F.col("fixture_key").alias("key"), "geometry"), counties)
@@ -268,8 +268,9 @@ def j9_county_lookup(spark, sf):
     _start(spark)
     o = fx.raw_openstreetmap(spark, sf).select(F.col("fixture_key").alias("key"), "geometry")
     n = fx.raw_nad(spark, sf).select(F.col("fixture_key").alias("key"), "geometry")
-    a = county_of(o, fx.counties(spark, sf), key="key").select(F.lit("openstreetmap").alias("provider"), "key", "fips")
-    b = county_of(n, fx.counties(spark, sf), key="key").select(F.lit("nad").alias("provider"), "key", "fips")
+    idx = county_index(fx.counties(spark, sf))
+    a = county_of(o, idx, key="key").select(F.lit("openstreetmap").alias("provider"), "key", "fips")
+    b = county_of(n, idx, key="key").select(F.lit("nad").alias("provider"), "key", "fips")
     return a.unionByName(b)
 
 
@@ -288,7 +289,7 @@ def a4_state_bounds(spark, sf):
     st = states(c)
     # footprints per state (masked by county), so the report follows the data
     o = fx.raw_openstreetmap(spark, sf).select(F.col("fixture_key").alias("key"), "geometry")
-    per_state = mask_by_county(o, c).groupBy(F.substring("fips", 1, 2).alias("state_fips")) \
+    per_state = mask_by_county(o, county_index(c)).groupBy(F.substring("fips", 1, 2).alias("state_fips")) \
         .agg(F.countDistinct("key").cast("bigint").alias("n_footprints"))
     return st.join(per_state, "state_fips", "left").select(
         "state_fips", "state_name", "state_abbr", "xmin", "ymin", "xmax", "ymax",

@@ -12,27 +12,37 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.counties import mask_by_county
+from ..functions.geometry import with_bbox
+from ..operators.counties import county_index, mask_by_county
 from ..providers import get_provider
 from ..providers.conform import to_conform
 from ..sources.io import existing_partitions, write_conformed
 
 
-def conform_layer(raw: DataFrame, provider: str, counties: DataFrame | None = None,
-                  fips: Iterable[str] | None = None) -> DataFrame:
-    """One provider: mask by county (when counties are given), conform, cast; adds ``provider``."""
+def conform_layer(raw: DataFrame, provider: str, counties=None) -> DataFrame:
+    """One provider: mask by county (when counties are given), conform, cast; adds ``provider``.
+
+    ``counties`` is a county DataFrame or a prepared ``CountyIndex``.
+    """
     df = raw
     if counties is not None:
-        cs = counties if fips is None else counties.filter(F.col("fips").isin(list(fips)))
-        df = mask_by_county(df, cs)
+        df = mask_by_county(df, counties)
     out = to_conform(df.transform(get_provider(provider).conform))
-    return out.withColumn("provider", F.lit(provider))
+    # the box is computed once here and carried by every later join
+    return with_bbox(out.withColumn("provider", F.lit(provider)))
 
 
 def conform_all(raw_layers: dict[str, DataFrame], counties: DataFrame | None = None,
                 fips: Iterable[str] | None = None) -> DataFrame:
-    """All providers stacked: CONFORM columns + fips + provider."""
-    parts = [conform_layer(df, name, counties, fips) for name, df in raw_layers.items()]
+    """All providers stacked: CONFORM columns + fips + provider + xmin/ymin/xmax/ymax.
+
+    The county index is built once and shared by every provider's mask.
+    """
+    idx = None
+    if counties is not None:
+        cs = counties if fips is None else counties.filter(F.col("fips").isin(list(fips)))
+        idx = county_index(cs)
+    parts = [conform_layer(df, name, idx) for name, df in raw_layers.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -49,5 +59,5 @@ def conform_job(spark: SparkSession, read_raw: Callable[[str], DataFrame], provi
     done = existing_partitions(spark, f"{output}/conform")
     if done is not None:
         df = df.join(done, ["fips", "provider"], "left_anti")
-    write_conformed(df, f"{output}/conform")
+    write_conformed(df.drop("xmin", "ymin", "xmax", "ymax"), f"{output}/conform")
     return df

@@ -55,8 +55,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread a derived layer over the cluster's cores.
+
+    Each driver table is a single small file (one scan task), while a real
+    provider layer arrives as many files; without this the geometry
+    constructors and the first UDF stages would run in one task.
+    """
+    spark = df.sparkSession
+    return df.repartition(spark.sparkContext.defaultParallelism)
+
+
 def _slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    p = _spread(read_table(spark, sf_dir, "part").select("p_partkey", "p_size"))
     k = F.col("p_partkey")
     return p.select(
         k.alias("k"),
@@ -123,7 +134,7 @@ def raw_usa_structures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_nad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NAD raw layer: one point per customer."""
     c = F.col("c_custkey")
-    cu = read_table(spark, sf_dir, "customer").select("c_custkey")
+    cu = _spread(read_table(spark, sf_dir, "customer").select("c_custkey"))
     x = (F.lit(X0) + (c % 100) * PITCH + c % 13).cast("double")
     y = (F.lit(Y0) + F.floor(c / 100) * PITCH - (c % 8) * 2).cast("double")
     uuid = F.when(c % 10 == 0, F.lit(NULL_UUID)).when(c % 10 == 5, F.lit(None).cast("string")) \
@@ -141,7 +152,7 @@ def raw_nad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_openaddresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """OpenAddresses raw layer: orders with o_orderkey % 4 = 0; two rows per point."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey").filter(F.col("o_orderkey") % 4 == 0)
+    o = _spread(read_table(spark, sf_dir, "orders").select("o_orderkey").filter(F.col("o_orderkey") % 4 == 0))
     ok = F.col("o_orderkey")
     b = F.floor(ok / 8)
     x = (F.lit(X0) + (b % 100) * PITCH + b % 13 + (b % 6) * 3).cast("double")
