@@ -250,6 +250,37 @@ def st_collect(parts: pa.Array) -> pa.Array:
     return pa.array(out, type=pa.binary())
 
 
+@arrow_udf(BINARY)
+def st_transform_to_5070(g: pa.Array) -> pa.Array:
+    """Reproject WKB from geographic degrees (EPSG:4326, x = lon) to EPSG:5070 metres."""
+    from .projection import albers_forward_np
+    d = W.decode(g)
+    x, y = albers_forward_np(d.xy[:, 0], d.xy[:, 1]) if len(d.xy) else (d.xy[:, 0], d.xy[:, 1])
+    return pa.array(W.encode_geoms(d, np.c_[x, y]), type=pa.binary())
+
+
+@arrow_udf(BINARY)
+def st_transform_to_4326(g: pa.Array) -> pa.Array:
+    """P3 inverse: EPSG:5070 metres to geographic degrees (x = lon, y = lat)."""
+    from .projection import albers_inverse_np
+    d = W.decode(g)
+    x, y = albers_inverse_np(d.xy[:, 0], d.xy[:, 1]) if len(d.xy) else (d.xy[:, 0], d.xy[:, 1])
+    return pa.array(W.encode_geoms(d, np.c_[x, y]), type=pa.binary())
+
+
+@arrow_udf(BINARY)
+def st_from_geojson(text: pa.Array) -> pa.Array:
+    """WKB from GeoJSON geometry text (one small JSON parse per value)."""
+    import json
+    out = []
+    for t in text.to_pylist():
+        try:
+            out.append(W.from_geojson(json.loads(t)) if t else None)
+        except (ValueError, TypeError, KeyError, IndexError):
+            out.append(None)
+    return pa.array(out, type=pa.binary())
+
+
 # --------------------------------------------------------------------------- helpers
 
 

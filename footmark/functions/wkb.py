@@ -396,3 +396,66 @@ def wkb_linestring(coords) -> bytes:
 
 
 EMPTY_COLLECTION = struct.pack("<BII", 1, COLLECTION, 0)
+
+
+def encode_geoms(g: Geoms, xy: np.ndarray | None = None) -> list:
+    """Re-encode every geometry of ``g`` (optionally with new coordinates ``xy``).
+
+    Keeps the top-level type: Point, LineString, Polygon, Multi* and
+    GeometryCollection (members flattened to points, lines and polygons).
+    """
+    xy = g.xy if xy is None else xy
+    gro = g.geom_ring_off()
+    out: list = []
+    for i in range(g.n):
+        if not g.valid[i]:
+            out.append(EMPTY_COLLECTION if g.empty[i] else None)
+            continue
+        rs = range(gro[i], gro[i + 1])
+        rings = [(xy[g.ring_off[r]:g.ring_off[r + 1]], int(g.ring_kind[r]), int(g.ring_poly[r])) for r in rs]
+        t = int(g.gtype[i])
+        polys: dict = {}
+        for a, kind, pid in rings:
+            if kind in (K_SHELL, K_HOLE):
+                polys.setdefault(pid, []).append(a)
+        if t == POINT:
+            out.append(wkb_point(*rings[0][0][0]))
+        elif t == LINESTRING:
+            out.append(wkb_linestring(rings[0][0]))
+        elif t == POLYGON:
+            out.append(wkb_polygon(next(iter(polys.values()))))
+        elif t == MULTIPOINT:
+            out.append(wkb_multipoint([tuple(a[0]) for a, _, _ in rings]))
+        elif t == MULTIPOLYGON:
+            out.append(wkb_multipolygon(list(polys.values())))
+        elif t == MULTILINESTRING:
+            out.append(struct.pack("<BII", 1, MULTILINESTRING, len(rings)) +
+                       b"".join(wkb_linestring(a) for a, _, _ in rings))
+        else:
+            parts = [wkb_point(*a[0]) for a, k, _ in rings if k == K_POINT]
+            parts += [wkb_linestring(a) for a, k, _ in rings if k == K_LINE]
+            parts += [wkb_polygon(p) for p in polys.values()]
+            out.append(struct.pack("<BII", 1, COLLECTION, len(parts)) + b"".join(parts))
+    return out
+
+
+def from_geojson(obj) -> bytes | None:
+    """WKB from a parsed GeoJSON geometry dict (Point, LineString, Polygon, Multi*)."""
+    if not obj:
+        return None
+    t = obj.get("type")
+    c = obj.get("coordinates")
+    if t == "Point":
+        return wkb_point(float(c[0]), float(c[1]))
+    if t == "LineString":
+        return wkb_linestring([p[:2] for p in c])
+    if t == "Polygon":
+        return wkb_polygon([[p[:2] for p in ring] for ring in c])
+    if t == "MultiPoint":
+        return wkb_multipoint([(p[0], p[1]) for p in c])
+    if t == "MultiPolygon":
+        return wkb_multipolygon([[[p[:2] for p in ring] for ring in poly] for poly in c])
+    if t == "MultiLineString":
+        return struct.pack("<BII", 1, MULTILINESTRING, len(c)) + b"".join(
+            wkb_linestring([p[:2] for p in line]) for line in c)
+    return None

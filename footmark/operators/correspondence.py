@@ -76,15 +76,21 @@ def anti_join(origin: DataFrame, matched: DataFrame, origin_keys: list[str], mat
               keys: list[str]) -> DataFrame:
     """Rows of ``origin`` with no match, shaped to the base columns.
 
-    Rows with a null key never match and are kept.
+    Rows with a null key never match and are kept; they bypass the join, so a
+    layer where many rows lack an id does not pile them into one shuffle
+    partition.
     """
     m = matched.select(*[F.col(a).alias(f"__m{i}") for i, a in enumerate(keys + matched_keys)])
     cond = None
+    any_null = None
     for i, a in enumerate(keys + origin_keys):
         c = F.col(a) == F.col(f"__m{i}")
         cond = c if cond is None else cond & c
+        n = F.col(a).isNull()
+        any_null = n if any_null is None else any_null | n
     cols = [*BASE_COLS, *[c for c in BBOX if c in origin.columns], *keys]
-    return with_foreign(origin.join(m, cond, "left_anti")).select(*cols)
+    kept = origin.filter(~any_null).join(m, cond, "left_anti").unionByName(origin.filter(any_null))
+    return with_foreign(kept).select(*cols)
 
 
 def overlap_metric(pairs: DataFrame, threshold: float = 0.3, column: str = "corresponds") -> DataFrame:

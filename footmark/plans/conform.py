@@ -12,19 +12,25 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import with_bbox
+from ..functions.geometry import st_transform_to_5070, with_bbox
 from ..operators.counties import county_index, mask_by_county
 from ..providers import get_provider
 from ..providers.conform import to_conform
 from ..sources.io import existing_partitions, write_conformed
 
 
-def conform_layer(raw: DataFrame, provider: str, counties=None) -> DataFrame:
+def conform_layer(raw: DataFrame, provider: str, counties=None, source_epsg: int = 5070) -> DataFrame:
     """One provider: mask by county (when counties are given), conform, cast; adds ``provider``.
 
-    ``counties`` is a county DataFrame or a prepared ``CountyIndex``.
+    ``counties`` is a county DataFrame or a prepared ``CountyIndex``. Raw layers
+    are taken to be in EPSG:5070 already (as the source pipeline assumes);
+    ``source_epsg=4326`` projects the geometry on read (Q26); other codes raise.
     """
     df = raw
+    if source_epsg == 4326:
+        df = df.withColumn("geometry", st_transform_to_5070(F.col("geometry")))
+    elif source_epsg != 5070:
+        raise ValueError(f"unsupported source EPSG {source_epsg}")
     if counties is not None:
         df = mask_by_county(df, counties)
     out = to_conform(df.transform(get_provider(provider).conform))

@@ -34,8 +34,11 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def write_conformed(df: DataFrame, path: str) -> None:
-    """Zstd parquet partitioned by fips and provider (appends new partitions)."""
-    (df.repartition("fips", "provider")
+    """Zstd parquet partitioned by fips and provider (appends new partitions).
+
+    ``rebalance`` keeps files per partition few but splits skewed ones.
+    """
+    (df.hint("rebalance", "fips", "provider")
        .write.mode("append").option("compression", "zstd")
        .partitionBy("fips", "provider").parquet(path))
 
@@ -99,8 +102,12 @@ def footprints_table(footprints: DataFrame) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, sort_cols: list | None = None) -> None:
-    """Write one output table partitioned by fips (zstd), sorted within files."""
-    w = df.repartition("fips")
+    """Write one output table partitioned by fips (zstd), sorted within files.
+
+    The ``rebalance`` hint clusters rows by fips (few files per county) while
+    adaptive execution splits a county too large for one task.
+    """
+    w = df.hint("rebalance", "fips")
     if sort_cols:
         w = w.sortWithinPartitions(*sort_cols)
     w.write.mode("overwrite").option("compression", "zstd").partitionBy("fips").parquet(path)

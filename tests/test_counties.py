@@ -54,3 +54,29 @@ def test_state_bounds_and_union(spark, counties):
     assert r["state_fips"] == "06" and r["n_counties"] == 3
     assert (r["xmin"], r["ymin"], r["xmax"], r["ymax"]) == (-2180000, 1520000, -2140000, 2030000)
     assert r["union_area"] == pytest.approx(r["area"])
+
+
+def test_read_counties_geojson(spark, tmp_path):
+    import gzip
+    import json
+
+    from footmark.functions.geometry import st_bbox
+    from footmark.functions.projection import albers_inverse_np
+    import numpy as np
+    lon, lat = albers_inverse_np(np.array([-2180000.0, -2172000.0]), np.array([2010000.0, 2030000.0]))
+    ring = [[lon[0], lat[0]], [lon[1], lat[0]], [lon[1], lat[1]], [lon[0], lat[1]], [lon[0], lat[0]]]
+    feat = {"type": "Feature", "properties": {"fips": "06067", "name": "Sacramento", "state": "California",
+                                              "abbr": "CA"},
+            "geometry": {"type": "Polygon", "coordinates": [ring]}}
+    p = tmp_path / "fips.geojson.gz"
+    with gzip.open(p, "wt") as f:
+        f.write(json.dumps(feat) + "\n")
+    from footmark.sources.counties import read_counties
+    df = read_counties(spark, str(p))
+    from footmark.functions.geometry import st_centroid_xy, st_points
+    r = df.select("fips", "county_name",
+                  st_centroid_xy(F.element_at(st_points("geometry"), 1)).alias("p")).collect()[0]
+    assert r["fips"] == "06067" and r["county_name"] == "Sacramento"
+    # the first corner comes back to the metres it was made from (sub-millimetre)
+    assert r["p"]["x"] == pytest.approx(-2180000.0, abs=1e-3)
+    assert r["p"]["y"] == pytest.approx(2010000.0, abs=1e-3)

@@ -17,3 +17,23 @@ def test_small_queries_run(spark):
     qs = E.queries()
     for name in ("j1_intersects_join", "c4_conform_openstreetmap", "t6_normalize_address"):
         assert qs[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_jobs_write_partitioned_outputs(spark, tmp_path):
+    from footmark.plans.catalog import conformed
+    from footmark.plans.conflate import conflate
+    from footmark.sources.io import read_conformed, write_conformed, write_outputs, existing_partitions
+    conf = conformed(spark, "/root/testdata/sf0.001")
+    out = str(tmp_path)
+    write_conformed(conf.drop("xmin", "ymin", "xmax", "ymax"), f"{out}/conform")
+    back = read_conformed(spark, f"{out}/conform")
+    assert back.count() == conf.count()
+    assert {r[0] for r in back.select("fips").distinct().collect()} == \
+        {r[0] for r in conf.select("fips").distinct().collect()}
+    assert all(len(r[0]) == 5 for r in back.select("fips").distinct().collect())   # leading zeros kept
+    done = existing_partitions(spark, f"{out}/conform")
+    assert done.count() == conf.select("fips", "provider").distinct().count()
+    ent, xref, fp = conflate(back)
+    write_outputs(ent, xref, fp, out)
+    assert spark.read.parquet(f"{out}/conflate/entities").count() == ent.count()
+    assert spark.read.parquet(f"{out}/conflate/crossref").count() == xref.count()
