@@ -160,13 +160,18 @@ def st_polygons(g: pa.Array) -> pa.Array:
 # --------------------------------------------------------------------------- binary
 
 
-@arrow_udf(DOUBLE)
-def st_distance(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Planar minimum distance, 0 when the shapes intersect; null if either is null."""
+def _distance(a: pa.Array, b: pa.Array) -> pa.Array:
     d, _ = K.distance_and_intersects(W.decode(a), W.decode(b))
     return _f64(d)
 
 
+# Planar minimum distance, 0 when the shapes intersect; null if either is null.
+st_distance = arrow_udf(_distance, DOUBLE)
+# The same function for operator internals: evaluated exactly once per row even
+# when a filter on its result is pushed down (see :data:`st_envelope`).
+st_distance_once = arrow_udf(_distance, DOUBLE).asNondeterministic()
+
+
 @arrow_udf(BOOLEAN)
 def st_intersects(a: pa.Array, b: pa.Array) -> pa.Array:
     """Exact intersects (boundary contact counts); null if either is null."""
@@ -189,13 +194,7 @@ OVERLAP_TYPE = T.StructType([
 ])
 
 
-@arrow_udf(OVERLAP_TYPE)
-def st_overlap(a: pa.Array, b: pa.Array) -> pa.Array:
-    """J1 refine + J4 inputs in one decode of both sides.
-
-    struct(intersects, area_intersection, area_left, area_right); null when
-    either side is null.
-    """
+def _overlap(a: pa.Array, b: pa.Array) -> pa.Array:
     da, db = W.decode(a), W.decode(b)
     _, hit = K.distance_and_intersects(da, db)
     ok = da.valid & db.valid
@@ -204,6 +203,12 @@ def st_overlap(a: pa.Array, b: pa.Array) -> pa.Array:
                                                       "area_right"], mask=pa.array(~ok))
 
 
+# J1 refine + J4 inputs in one decode of both sides: struct(intersects,
+# area_intersection, area_left, area_right); null when either side is null.
+# Evaluated once per candidate pair (non-deterministic flag, see st_envelope).
+st_overlap = arrow_udf(_overlap, OVERLAP_TYPE).asNondeterministic()
+
+
 @arrow_udf(BINARY)
 def st_intersection(a: pa.Array, b: pa.Array) -> pa.Array:
     """Pairwise intersection as WKB.

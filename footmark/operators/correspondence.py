@@ -80,7 +80,9 @@ def anti_join(origin: DataFrame, matched: DataFrame, origin_keys: list[str], mat
     layer where many rows lack an id does not pile them into one shuffle
     partition.
     """
-    m = matched.select(*[F.col(a).alias(f"__m{i}") for i, a in enumerate(keys + matched_keys)])
+    # distinct keys: map-side partial aggregation, so a row matched by very many
+    # pairs does not become a hot key; the join reuses this exchange
+    m = matched.select(*[F.col(a).alias(f"__m{i}") for i, a in enumerate(keys + matched_keys)]).distinct()
     cond = None
     any_null = None
     for i, a in enumerate(keys + origin_keys):

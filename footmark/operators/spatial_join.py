@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import st_distance, st_intersects, with_bbox
+from ..functions.geometry import st_distance_once, st_intersects, with_bbox
 
 DEFAULT_CELL = 50.0
 MAX_LEVEL = 40
@@ -68,6 +68,21 @@ def _max_level(df: DataFrame, lvl_col: str) -> int:
     return int(v) if v is not None else 0
 
 
+def level_for_extent(extent: float | None, cell: float = DEFAULT_CELL, grow: float = 0.0) -> int:
+    """Grid level of a box whose larger side is ``extent`` (grown by ``grow`` on each side)."""
+    import math
+    if extent is None:
+        return 0
+    ext = max(extent + 2 * grow, cell)
+    return max(0, min(MAX_LEVEL, math.ceil(math.log2(ext / cell))))
+
+
+def max_extents(df: DataFrame, by: str = "provider") -> dict:
+    """Largest box side per ``by`` value in one aggregate (a row per provider)."""
+    ext = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
+    return {r[0]: r[1] for r in df.groupBy(by).agg(F.max(ext)).collect()}
+
+
 def candidate_pairs(left: DataFrame, right: DataFrame, *, lsfx: str = "_left", rsfx: str = "_right",
                     keys: tuple[str, ...] = (), grow: float = 0.0, cell: float = DEFAULT_CELL,
                     levels: tuple[int, int] | None = None) -> DataFrame:
@@ -152,5 +167,5 @@ def dwithin_join(left: DataFrame, right: DataFrame, distance: float = 10.0, *,
     L = suffixed(ensure_bbox(left, geometry), lsfx)
     R = suffixed(ensure_bbox(right, geometry), rsfx)
     c = candidate_pairs(L, R, lsfx=lsfx, rsfx=rsfx, keys=keys, grow=distance, cell=cell, levels=levels)
-    c = c.withColumn(metric, st_distance(F.col(f"{geometry}{lsfx}"), F.col(f"{geometry}{rsfx}")))
+    c = c.withColumn(metric, st_distance_once(F.col(f"{geometry}{lsfx}"), F.col(f"{geometry}{rsfx}")))
     return c.filter(F.col(metric) < F.lit(float(distance)))

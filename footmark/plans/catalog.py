@@ -360,8 +360,9 @@ def j7_address_correspondence(spark, sf):
 
 def j7_footprint_fold(spark, sf):
     _start(spark)
+    from ..operators.spatial_join import max_extents
     conf = checkpoint(conformed(spark, sf))
-    return _corr_out(conflate_footprints(conf))
+    return _corr_out(conflate_footprints(conf, extents=max_extents(conf)))
 
 
 def _entities_out(df: DataFrame) -> DataFrame:
@@ -372,10 +373,14 @@ def _entities_out(df: DataFrame) -> DataFrame:
 
 def j8_merge(spark, sf):
     _start(spark)
+    from ..operators.spatial_join import max_extents
+    from .conflate import ADDRESS_ORDER, FOOTPRINT_ORDER, _levels
     conf = checkpoint(conformed(spark, sf))
-    fp = checkpoint(conflate_footprints(conf))
-    ad = conflate_addresses(conf)
-    return _entities_out(merge_footprints_and_addresses(fp, ad))
+    ext = max_extents(conf)
+    fp = checkpoint(conflate_footprints(conf, extents=ext))
+    ad = conflate_addresses(conf, extents=ext)
+    lv = _levels(ext, ADDRESS_ORDER, FOOTPRINT_ORDER, 50.0, grow=10.0)
+    return _entities_out(merge_footprints_and_addresses(fp, ad, levels=lv))
 
 
 def c8_conflate_entities(spark, sf):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.correspondence import (Materialize, checkpoint, fold_correspondence,
                                         merge_footprints_and_addresses, spatial_correspondence)
+from ..operators.spatial_join import DEFAULT_CELL, level_for_extent, max_extents
 from ..sources.io import crossref_table, entities_table, footprints_table
 
 FOOTPRINT_ORDER = ("openstreetmap", "microsoft", "usa_structures")
@@ -29,31 +30,61 @@ def layer(conformed: DataFrame, provider: str) -> DataFrame:
     return conformed.filter(F.col("provider") == provider)
 
 
+def _ext(extents: dict | None, providers) -> float | None:
+    if extents is None:
+        return None
+    vals = [extents.get(p) for p in providers if extents.get(p) is not None]
+    return max(vals) if vals else 0.0
+
+
+def _levels(extents, left_providers, right_providers, cell, grow=0.0):
+    """Top grid levels (left, right) from per-provider box extents; None = read from data."""
+    if extents is None:
+        return None
+    return (level_for_extent(_ext(extents, left_providers), cell, grow),
+            level_for_extent(_ext(extents, right_providers), cell))
+
+
 def conflate_footprints(conformed: DataFrame, order=FOOTPRINT_ORDER,
-                        materialize: Materialize = checkpoint, **kw) -> DataFrame:
-    layers = [layer(conformed, p) for p in order]
-    return fold_correspondence(layers, materialize=materialize, **kw)
+                        materialize: Materialize = checkpoint, extents: dict | None = None,
+                        cell: float = DEFAULT_CELL, **kw) -> DataFrame:
+    """J7 fold over the footprint layers: ((osm ← microsoft) ← usa_structures)."""
+    acc = layer(conformed, order[0])
+    for i, p in enumerate(order[1:], start=1):
+        lv = _levels(extents, order[:i], [p], cell)
+        acc = spatial_correspondence(acc, layer(conformed, p), materialize=materialize, cell=cell,
+                                     levels=lv, **kw)
+    return acc
 
 
 def conflate_addresses(conformed: DataFrame, order=ADDRESS_ORDER,
-                       materialize: Materialize = checkpoint, **kw) -> DataFrame:
-    layers = [layer(conformed, p) for p in order]
-    acc = layers[0]
-    for nxt in layers[1:]:
-        acc = spatial_correspondence(acc, nxt, use_distance=True, materialize=materialize, **kw)
+                       materialize: Materialize = checkpoint, extents: dict | None = None,
+                       cell: float = DEFAULT_CELL, threshold: float = 10.0, **kw) -> DataFrame:
+    """J7 by distance over the address layers: nad ← openaddresses."""
+    acc = layer(conformed, order[0])
+    for i, p in enumerate(order[1:], start=1):
+        lv = _levels(extents, order[:i], [p], cell, grow=threshold)
+        acc = spatial_correspondence(acc, layer(conformed, p), use_distance=True, threshold=threshold,
+                                     materialize=materialize, cell=cell, levels=lv, **kw)
     return acc
 
 
 def conflate(conformed: DataFrame, footprint_order=FOOTPRINT_ORDER, address_order=ADDRESS_ORDER,
-             materialize: Materialize = checkpoint, collapse_null_address: bool = False, **kw):
+             materialize: Materialize = checkpoint, collapse_null_address: bool = False,
+             cell: float = DEFAULT_CELL, **kw):
     """Returns (entities, crossref, footprints) DataFrames.
 
-    ``conformed`` is the stacked conformed layers (CONFORM + fips + provider).
+    ``conformed`` is the stacked conformed layers (CONFORM + fips + provider,
+    plus the box columns when present). The largest box side per provider is
+    read once (one small aggregate) and fixes the grid levels of every join.
     Footprints are materialised once: they feed both the merge and the
     footprints table.
     """
-    footprints = materialize(conflate_footprints(conformed, footprint_order, materialize, **kw))
-    addresses = conflate_addresses(conformed, address_order, materialize, **kw)
+    extents = max_extents(conformed) if "xmax" in conformed.columns else None
+    footprints = materialize(conflate_footprints(conformed, footprint_order, materialize, extents, cell, **kw))
+    addresses = conflate_addresses(conformed, address_order, materialize, extents, cell, **kw)
+    lv = _levels(extents, address_order, footprint_order, cell, grow=10.0)
     merged = materialize(merge_footprints_and_addresses(
-        footprints, addresses, collapse_null_address=collapse_null_address, materialize=materialize, **kw))
+        footprints, addresses, collapse_null_address=collapse_null_address, materialize=materialize,
+        cell=cell, levels=lv, **kw))
     return entities_table(merged), crossref_table(merged), footprints_table(footprints)

@@ -14,6 +14,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # size-driven coalescing (advisory 64 MB per partition) rather than keeping
+    # the default parallelism for tiny stages
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Keep fips/provider partition values as strings ("06083" stays "06083").
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
