@@ -286,6 +286,22 @@ def st_from_geojson(text: pa.Array) -> pa.Array:
     return pa.array(out, type=pa.binary())
 
 
+def _box_relation(g: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
+    d = W.decode(g)
+    vals = [np.asarray(v.to_numpy(zero_copy_only=False), np.float64) for v in (x0, y0, x1, y1)]
+    b = W.decode(W.encode_boxes(*vals))
+    _, hit = K.distance_and_intersects(d, b)
+    inter = K.intersection_area(d, b)
+    cell = (vals[2] - vals[0]) * (vals[3] - vals[1])
+    rel = np.where(~hit, 0, np.where(inter >= cell, 1, 2)).astype(np.int32)
+    return pa.array(rel, mask=~d.valid)
+
+
+# Relation of a geometry to an axis-aligned box: 0 = disjoint, 1 = the box lies
+# inside the geometry, 2 = the boundary crosses the box. Used to index counties.
+st_box_relation = arrow_udf(_box_relation, T.IntegerType())
+
+
 # --------------------------------------------------------------------------- helpers
 
 

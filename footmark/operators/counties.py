@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.geometry import st_centroid, st_intersects, with_bbox
+from pyspark.sql import Column
+
+from ..functions.geometry import st_box_relation, st_centroid, st_intersects, with_bbox
 from ..functions import kernels as K
 from ..functions import wkb as W
 
@@ -25,24 +27,37 @@ MAX_BROADCAST_COUNTY_CELLS = 2_000_000
 
 
 class CountyIndex:
-    """Counties cut into cells of a coarse grid, materialised once per job.
-
-    ``cells`` holds one row per (county, grid cell) with the county box and
-    geometry. Its row count is checked once: at or under
-    :data:`MAX_BROADCAST_COUNTY_CELLS` the cells are broadcast to the feature
-    side (no shuffle of the features); above it the join shuffles.
+    """Counties cut into cells of a grid, materialised once per job.
+
+    ``cells`` holds one row per (county, grid cell) with the county box, the
+    cell's relation to the county (inside / outside / boundary) and the county
+    geometry. A feature whose box lies in one cell that is wholly inside (or
+    wholly outside) its county is decided by JVM comparisons; only features
+    near a county line reach the exact test.
+
+    The grid defaults to a quarter of the median county extent (clamped to
+    500 m .. 20 km), so most cells of a county are interior. The cell count is
+    checked once: at or under :data:`MAX_BROADCAST_COUNTY_CELLS` the cells are
+    broadcast to the features (no shuffle of the features); above it the join
+    shuffles.
     """
 
-    def __init__(self, counties: DataFrame, grid: float = COUNTY_GRID):
-        self.grid = grid
+    def __init__(self, counties: DataFrame, grid: float | None = None):
         c = with_bbox(counties.select("fips", F.col("geometry").alias("county_geometry")),
                       "county_geometry", prefix="c_")
+        if grid is None:
+            ext = F.greatest(F.col("c_xmax") - F.col("c_xmin"), F.col("c_ymax") - F.col("c_ymin"))
+            med = c.agg(F.percentile_approx(ext, 0.5)).first()[0]
+            grid = float(min(max((med or COUNTY_GRID * 4) / 4.0, 500.0), 20_000.0))
+        self.grid = grid
         g = F.lit(grid)
         cells = c.withColumn("__cx", F.explode(F.sequence(F.floor(F.col("c_xmin") / g),
                                                           F.floor(F.col("c_xmax") / g)))) \
             .withColumn("__cy", F.explode(F.sequence(F.floor(F.col("c_ymin") / g),
                                                      F.floor(F.col("c_ymax") / g))))
-        self.cells = cells.checkpoint(eager=True)
+        rel = st_box_relation(F.col("county_geometry"), F.col("__cx") * g, F.col("__cy") * g,
+                              (F.col("__cx") + 1) * g, (F.col("__cy") + 1) * g)
+        self.cells = cells.withColumn("c_rel", rel).checkpoint(eager=True)
         self.n_cells = self.cells.count()
         self.broadcastable = self.n_cells <= MAX_BROADCAST_COUNTY_CELLS
 
@@ -50,17 +65,18 @@ class CountyIndex:
         return F.broadcast(self.cells) if self.broadcastable else self.cells
 
 
-def county_index(counties, grid: float = COUNTY_GRID) -> CountyIndex:
+def county_index(counties, grid: float | None = None) -> CountyIndex:
     return counties if isinstance(counties, CountyIndex) else CountyIndex(counties, grid)
 
 
 def county_pairs(features: DataFrame, counties, *, geometry: str = "geometry",
-                 grid: float = COUNTY_GRID) -> DataFrame:
-    """(feature, county) pairs whose boxes overlap; one row per pair.
+                 grid: float | None = None, keep_bbox: bool = False) -> DataFrame:
+    """(feature, county) candidate pairs whose boxes overlap; one row per pair.
 
     ``counties`` is a county DataFrame or a prepared :class:`CountyIndex`.
-    Adds ``fips`` and ``county_geometry``. Pairs spanning several grid cells
-    are reported once (reference-point rule).
+    Adds ``fips``, ``county_geometry`` and ``__decided`` (true / false when the
+    cell relation settles the pair, null when the exact test is needed).
+    Pairs spanning several grid cells are reported once (reference-point rule).
     """
     idx = county_index(counties, grid)
     g = F.lit(idx.grid)
@@ -73,23 +89,41 @@ def county_pairs(features: DataFrame, counties, *, geometry: str = "geometry",
     j = j.filter((F.col("f_xmin") <= F.col("c_xmax")) & (F.col("c_xmin") <= F.col("f_xmax")) &
                  (F.col("f_ymin") <= F.col("c_ymax")) & (F.col("c_ymin") <= F.col("f_ymax")) &
                  (F.floor(refx / g) == F.col("__cx")) & (F.floor(refy / g) == F.col("__cy")))
+    # a feature box within this one cell: an interior cell decides true, an outside cell false
+    one_cell = (F.floor(F.col("f_xmin") / g) == F.floor(F.col("f_xmax") / g)) & \
+        (F.floor(F.col("f_ymin") / g) == F.floor(F.col("f_ymax") / g))
+    decided = F.when(one_cell & (F.col("c_rel") == 1), F.lit(True)) \
+        .when(one_cell & (F.col("c_rel") == 0), F.lit(False))
+    j = j.withColumn("__decided", decided)
+    if keep_bbox:
+        j = j.withColumnsRenamed({f"f_{c}": c for c in ("xmin", "ymin", "xmax", "ymax")})
     return j.drop("__fx", "__fy", "__cx", "__cy", "f_xmin", "f_ymin", "f_xmax", "f_ymax",
-                  "c_xmin", "c_ymin", "c_xmax", "c_ymax")
+                  "c_xmin", "c_ymin", "c_xmax", "c_ymax", "c_rel")
+
+
+def _exact(p: DataFrame, geometry: str) -> Column:
+    """Decided pairs by flag; the rest by the exact test (county geometry shipped only for them)."""
+    need = F.col("__decided").isNull()
+    test = st_intersects(F.when(need, F.col(geometry)), F.when(need, F.col("county_geometry")))
+    return F.coalesce(F.col("__decided"), test)
 
 
 def mask_by_county(features: DataFrame, counties, *, geometry: str = "geometry",
-                   grid: float = COUNTY_GRID) -> DataFrame:
+                   grid: float | None = None, keep_bbox: bool = False) -> DataFrame:
     """Keep features that intersect a county polygon, tagged with its ``fips``.
 
     A feature on a county line lands in both counties, as with one mask per
-    county. Features outside every county are dropped.
+    county. Features outside every county are dropped. ``keep_bbox`` keeps the
+    feature box (``xmin, ymin, xmax, ymax``) computed for the lookup.
     """
-    p = county_pairs(features, counties, geometry=geometry, grid=grid)
-    return p.filter(st_intersects(F.col(geometry), F.col("county_geometry"))).drop("county_geometry")
+    keep_bbox = keep_bbox and not any(c in features.columns for c in ("xmin", "ymin", "xmax", "ymax"))
+    p = county_pairs(features, counties, geometry=geometry, grid=grid, keep_bbox=keep_bbox)
+    return p.withColumn("__hit", _exact(p, geometry)).filter("__hit") \
+        .drop("county_geometry", "__decided", "__hit")
 
 
 def county_of(features: DataFrame, counties, *, geometry: str = "geometry",
-              grid: float = COUNTY_GRID, key: str = "id") -> DataFrame:
+              grid: float | None = None, key: str = "id") -> DataFrame:
     """The county holding each feature's centroid (left join; null outside).
 
     On a shared border several counties hold the point; the smallest fips is
@@ -98,7 +132,7 @@ def county_of(features: DataFrame, counties, *, geometry: str = "geometry",
     """
     pts = features.select(key, st_centroid(F.col(geometry)).alias("__pt"))
     p = county_pairs(pts, counties, geometry="__pt", grid=grid)
-    hit = p.filter(st_intersects(F.col("__pt"), F.col("county_geometry"))) \
+    hit = p.withColumn("__hit", _exact(p, "__pt")).filter("__hit") \
         .groupBy(key).agg(F.min("fips").alias("fips"))
     return features.join(hit, key, "left")
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import st_transform_to_5070, with_bbox
 from ..operators.counties import county_index, mask_by_county
+from ..operators.spatial_join import ensure_bbox
 from ..providers import get_provider
 from ..providers.conform import to_conform
 from ..sources.io import existing_partitions, write_conformed
@@ -32,10 +33,10 @@ def conform_layer(raw: DataFrame, provider: str, counties=None, source_epsg: int
     elif source_epsg != 5070:
         raise ValueError(f"unsupported source EPSG {source_epsg}")
     if counties is not None:
-        df = mask_by_county(df, counties)
+        df = mask_by_county(df, counties, keep_bbox=True)
     out = to_conform(df.transform(get_provider(provider).conform))
-    # the box is computed once here and carried by every later join
-    return with_bbox(out.withColumn("provider", F.lit(provider)))
+    # the box (from the county lookup, or computed here) is carried by every later join
+    return ensure_bbox(out.withColumn("provider", F.lit(provider)))
 
 
 def conform_all(raw_layers: dict[str, DataFrame], counties: DataFrame | None = None,

@@ -38,6 +38,11 @@ def geometry_hash(geometry: Column) -> Column:
 
 
 def _extra(df: DataFrame) -> list[str]:
+    """Pass-through columns: ``fips`` and, for geometry-preserving conforms, the box."""
+    return [c for c in ("fips", "xmin", "ymin", "xmax", "ymax") if c in df.columns]
+
+
+def _keys(df: DataFrame) -> list[str]:
     return [c for c in ("fips",) if c in df.columns]
 
 
@@ -107,8 +112,8 @@ def conform_openaddresses(df: DataFrame, mode: str = "per_address") -> DataFrame
     Built from aggregations (no windows), so a point holding a large share of
     all rows is reduced map-side before any shuffle.
     """
-    keys = _extra(df)
-    base = df.drop("id", "region", "fixture_key").distinct()
+    keys = _keys(df)   # the geometry is re-made below, so no box passes through
+    base = df.drop("id", "region", "fixture_key", "xmin", "ymin", "xmax", "ymax").distinct()
     c = st_centroid_xy(F.col("geometry"))
     base = base.select("*", c["x"].alias("X"), c["y"].alias("Y")) \
         .withColumn("address", normalize_str(concat_str("number", "street"))) \
