@@ -88,3 +88,20 @@ def conflate(conformed: DataFrame, footprint_order=FOOTPRINT_ORDER, address_orde
         footprints, addresses, collapse_null_address=collapse_null_address, materialize=materialize,
         cell=cell, levels=lv, **kw))
     return entities_table(merged), crossref_table(merged), footprints_table(footprints)
+
+
+def conflate_job(spark, input_dir: str, output: str, fips=None, **kw):
+    """C8 end to end: scan ``input_dir/conform`` (S6), conflate, write the three tables.
+
+    ``fips`` optionally restricts the run to some counties (partition pruning
+    on the scan). Returns (entities, crossref, footprints).
+    """
+    from ..functions.geometry import with_bbox
+    from ..sources.io import read_conformed, write_outputs
+    conf = read_conformed(spark, f"{input_dir}/conform")
+    if fips is not None:
+        conf = conf.filter(F.col("fips").isin(list(fips)))
+    conf = checkpoint(with_bbox(conf))
+    ent, xref, fp = conflate(conf, **kw)
+    write_outputs(ent, xref, fp, output)
+    return ent, xref, fp

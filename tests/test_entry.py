@@ -20,6 +20,7 @@ def test_small_queries_run(spark):
 
 
 def test_jobs_write_partitioned_outputs(spark, tmp_path):
+    from pyspark.sql import functions as F
     from footmark.plans.catalog import conformed
     from footmark.plans.conflate import conflate
     from footmark.sources.io import read_conformed, write_conformed, write_outputs, existing_partitions
@@ -33,7 +34,12 @@ def test_jobs_write_partitioned_outputs(spark, tmp_path):
     assert all(len(r[0]) == 5 for r in back.select("fips").distinct().collect())   # leading zeros kept
     done = existing_partitions(spark, f"{out}/conform")
     assert done.count() == conf.select("fips", "provider").distinct().count()
-    ent, xref, fp = conflate(back)
-    write_outputs(ent, xref, fp, out)
+    from footmark.plans.conflate import conflate_job
+    ent, xref, fp = conflate_job(spark, out, out)
     assert spark.read.parquet(f"{out}/conflate/entities").count() == ent.count()
     assert spark.read.parquet(f"{out}/conflate/crossref").count() == xref.count()
+    assert spark.read.parquet(f"{out}/conflate/footprints").count() == fp.count()
+    # crossref references only conformed rows (closed over the inputs)
+    x = spark.read.parquet(f"{out}/conflate/crossref")
+    keys = back.select("provider", F.col("id").alias("provider_id")).distinct()
+    assert x.filter(F.col("provider_id").isNotNull()).join(keys, ["provider", "provider_id"], "left_anti").count() == 0

@@ -77,3 +77,14 @@ def test_keys_restrict_pairs(spark):
     B = spark.createDataFrame([("b", "02", g), ("c", "01", g)], "id string, fips string, geometry binary")
     got = intersects_join(A, B, keys=("fips",)).select("id_right").collect()
     assert [r[0] for r in got] == ["c"]
+
+
+def test_hot_cell_keeps_every_pair(spark):
+    # a third of one side sits on a single point: every pair is a real match and must be kept
+    hot = [(f"h{i}", W.wkb_point(10.0, 10.0)) for i in range(300)]
+    cold = [(f"c{i}", W.wkb_point(1000.0 + 37 * i, 500.0)) for i in range(600)]
+    A = spark.createDataFrame(hot + cold, "id string, geometry binary")
+    B = spark.createDataFrame([("b0", W.wkb_point(12.0, 10.0)), ("b1", W.wkb_point(10.0, 19.0)),
+                               ("b2", W.wkb_point(10.0, 21.0))], "id string, geometry binary")
+    got = dwithin_join(A, B, 10.0).groupBy("id_right").count().orderBy("id_right").collect()
+    assert [(r[0], r[1]) for r in got] == [("b0", 300), ("b1", 300)]
