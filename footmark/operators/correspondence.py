@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import st_centroid, st_centroid_xy, st_overlap, with_bbox
+from ..functions.geometry import st_centroid_xy, st_overlap, st_point, with_bbox
 from ..functions.plus_codes import plus_code
 from ..functions.projection import albers_inverse
 from ..functions.text import normalize_address
@@ -275,8 +275,11 @@ def merge_footprints_and_addresses(footprints: DataFrame, addresses: DataFrame,
     fp_missing = anti_join(Fp, matched, ["provider", "id"], ["__fprov", "__fid"], keys).drop(*BBOX)
     ad_missing = anti_join(Ad, matched, ["provider", "id"], ["provider", "id"], keys).drop(*BBOX)
     allrows = matched.select(*BASE_COLS, *keys).unionByName(fp_missing).unionByName(ad_missing)
+    # one decode: centroid coordinates, then the point is encoded from them
     allrows = allrows.withColumn("address", normalize_address(F.col("address"))) \
-        .withColumn("geometry", st_centroid(F.col("geometry")))
+        .withColumn("__xy", st_centroid_xy(F.col("geometry"))) \
+        .withColumn("x", F.col("__xy.x")).withColumn("y", F.col("__xy.y")) \
+        .withColumn("geometry", st_point(F.col("x"), F.col("y"))).drop("__xy")
     return finish_entities(allrows, keys, collapse_null_address)
 
 
@@ -287,9 +290,9 @@ def finish_entities(allrows: DataFrame, keys: list[str], collapse_null_address:
     foreign, x, y), nulls first; the point coordinates rather than the WKB
     bytes, so the order is numeric.
     """
-    xy = st_centroid_xy(F.col("geometry"))
-    allrows = allrows.withColumn("__xy", xy) \
-        .withColumn("x", F.col("__xy.x")).withColumn("y", F.col("__xy.y")).drop("__xy")
+    if "x" not in allrows.columns:
+        allrows = allrows.withColumn("__xy", st_centroid_xy(F.col("geometry"))) \
+            .withColumn("x", F.col("__xy.x")).withColumn("y", F.col("__xy.y")).drop("__xy")
     payload = ["classification", "height", "levels", "foreign", "x", "y", "geometry"]
     first = F.min(F.struct("provider", "id", *payload)).alias("r")
     addr = allrows.filter(F.col("address").isNotNull())
