@@ -52,7 +52,7 @@ def conform_all(raw_layers: dict[str, DataFrame], counties: DataFrame | None = N
     parts = [conform_layer(df, name, idx) for name, df in raw_layers.items()]
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(p, allowMissingColumns=True)   # U2
     return out
 
 
