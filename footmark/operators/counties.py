@@ -24,22 +24,24 @@ from ..functions import wkb as W
 
 COUNTY_GRID = 10_000.0
 MAX_BROADCAST_COUNTY_CELLS = 2_000_000
+MAX_BROADCAST_GEOMETRY_BYTES = 256 * 1024 * 1024
 
 
 class CountyIndex:
-    """Counties cut into cells of a grid, materialised once per job.
+    """Counties prepared for lookups, materialised once per job.
 
-    ``cells`` holds one row per (county, grid cell) with the county box, the
-    cell's relation to the county (inside / outside / boundary) and the county
-    geometry. A feature whose box lies in one cell that is wholly inside (or
-    wholly outside) its county is decided by JVM comparisons; only features
-    near a county line reach the exact test.
+    ``cells``: one row per (county, grid cell) with the county box and the
+    cell's relation to the county (0 outside, 1 inside, 2 boundary) - no
+    geometry, so its size is rows x a few dozen bytes. ``shapes``: one row per
+    county with its polygon. A feature whose box lies in one interior (or
+    exterior) cell is decided by JVM comparisons; only the remaining pairs
+    get the county polygon attached (a broadcast left join on fips with the
+    "undecided" flag in the condition) and go to the exact test.
 
     The grid defaults to a quarter of the median county extent (clamped to
-    500 m .. 20 km), so most cells of a county are interior. The cell count is
-    checked once: at or under :data:`MAX_BROADCAST_COUNTY_CELLS` the cells are
-    broadcast to the features (no shuffle of the features); above it the join
-    shuffles.
+    500 m .. 20 km). Both sides are broadcast only after their size is
+    checked once (cell rows, polygon bytes); above the bounds the joins
+    shuffle.
     """
 
     def __init__(self, counties: DataFrame, grid: float | None = None):
@@ -51,19 +53,26 @@ class CountyIndex:
             grid = float(min(max((med or COUNTY_GRID * 4) / 4.0, 500.0), 20_000.0))
         self.grid = grid
         g = F.lit(grid)
+        shapes = c.select(F.col("fips").alias("__sfips"), "county_geometry").checkpoint(eager=True)
         cells = c.withColumn("__cx", F.explode(F.sequence(F.floor(F.col("c_xmin") / g),
                                                           F.floor(F.col("c_xmax") / g)))) \
             .withColumn("__cy", F.explode(F.sequence(F.floor(F.col("c_ymin") / g),
                                                      F.floor(F.col("c_ymax") / g))))
         rel = st_box_relation(F.col("county_geometry"), F.col("__cx") * g, F.col("__cy") * g,
                               (F.col("__cx") + 1) * g, (F.col("__cy") + 1) * g)
-        self.cells = cells.withColumn("c_rel", rel).checkpoint(eager=True)
+        self.cells = cells.withColumn("c_rel", rel).drop("county_geometry").checkpoint(eager=True)
+        self.shapes = shapes
         self.n_cells = self.cells.count()
+        self.geometry_bytes = shapes.agg(F.sum(F.length("county_geometry"))).first()[0] or 0
         self.broadcastable = self.n_cells <= MAX_BROADCAST_COUNTY_CELLS
+        self.shapes_broadcastable = self.geometry_bytes <= MAX_BROADCAST_GEOMETRY_BYTES
 
     def side(self) -> DataFrame:
         return F.broadcast(self.cells) if self.broadcastable else self.cells
 
+    def shape_side(self) -> DataFrame:
+        return F.broadcast(self.shapes) if self.shapes_broadcastable else self.shapes
+
 
 def county_index(counties, grid: float | None = None) -> CountyIndex:
     return counties if isinstance(counties, CountyIndex) else CountyIndex(counties, grid)
@@ -74,9 +83,10 @@ def county_pairs(features: DataFrame, counties, *, geometry: str = "geometry",
     """(feature, county) candidate pairs whose boxes overlap; one row per pair.
 
     ``counties`` is a county DataFrame or a prepared :class:`CountyIndex`.
-    Adds ``fips``, ``county_geometry`` and ``__decided`` (true / false when the
-    cell relation settles the pair, null when the exact test is needed).
-    Pairs spanning several grid cells are reported once (reference-point rule).
+    Adds ``fips``, ``__decided`` (true / false when the cell relation settles
+    the pair, null when the exact test is needed) and ``county_geometry``
+    (set only on undecided rows). Pairs spanning several grid cells are
+    reported once (reference-point rule).
     """
     idx = county_index(counties, grid)
     g = F.lit(idx.grid)
@@ -95,16 +105,18 @@ def county_pairs(features: DataFrame, counties, *, geometry: str = "geometry",
     decided = F.when(one_cell & (F.col("c_rel") == 1), F.lit(True)) \
         .when(one_cell & (F.col("c_rel") == 0), F.lit(False))
     j = j.withColumn("__decided", decided)
+    # the polygon only for undecided pairs (map-side join, condition includes the flag)
+    j = j.join(idx.shape_side(), (F.col("fips") == F.col("__sfips")) & F.col("__decided").isNull(), "left")
     if keep_bbox:
         j = j.withColumnsRenamed({f"f_{c}": c for c in ("xmin", "ymin", "xmax", "ymax")})
     return j.drop("__fx", "__fy", "__cx", "__cy", "f_xmin", "f_ymin", "f_xmax", "f_ymax",
-                  "c_xmin", "c_ymin", "c_xmax", "c_ymax", "c_rel")
+                  "c_xmin", "c_ymin", "c_xmax", "c_ymax", "c_rel", "__sfips")
 
 
 def _exact(p: DataFrame, geometry: str) -> Column:
-    """Decided pairs by flag; the rest by the exact test (county geometry shipped only for them)."""
+    """Decided pairs by flag; the rest by the exact test (county geometry attached only to them)."""
     need = F.col("__decided").isNull()
-    test = st_intersects(F.when(need, F.col(geometry)), F.when(need, F.col("county_geometry")))
+    test = st_intersects(F.when(need, F.col(geometry)), F.col("county_geometry"))
     return F.coalesce(F.col("__decided"), test)
 
 
