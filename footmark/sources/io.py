@@ -15,11 +15,18 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet",
              schema: T.StructType | None = None, geometry: str = "geometry") -> DataFrame:
     """Read a raw provider layer with geometry as WKB binary.
 
-    parquet: the geometry column must already be WKB. csv: the geometry column
-    holds hex WKB and is decoded with ``unhex``. An explicit ``schema`` skips
-    inference.
+    parquet: the geometry column must already be WKB. csv / json: the geometry
+    column holds hex WKB and is decoded with ``unhex``. geojson: one GeoJSON
+    feature per line (gzip is read natively); properties become columns and
+    the geometry is encoded to WKB. An explicit ``schema`` skips inference.
     """
     r = spark.read
+    if fmt == "geojson":
+        from ..functions.geometry import st_from_geojson
+        df = r.option("primitivesAsString", "true").json(path)
+        props = [F.col(f"properties.{f.name}").alias(f.name)
+                 for f in df.schema["properties"].dataType.fields] if "properties" in df.columns else []
+        return df.select(*props, st_from_geojson(F.to_json(F.col("geometry"))).alias(geometry))
     if schema is not None:
         r = r.schema(schema)
     if fmt == "parquet":
