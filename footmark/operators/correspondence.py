@@ -250,6 +250,9 @@ def merge_footprints_and_addresses(footprints: DataFrame, addresses: DataFrame,
     # address is the probe (grown by the threshold); columns: *_right = address, *_left = footprint
     pairs = dwithin_join(Ad, Fp, distance=threshold, keys=tuple(keys), cell=cell,
                          lsfx="_right", rsfx="_left", levels=levels)
+    # the pairs feed both the per-footprint minimum and the join back: materialise
+    # them once so the spatial join and the distance UDF run a single time
+    pairs = materialize(pairs.drop(*[f"{c}{s}" for c in BBOX for s in ("_left", "_right")]))
     fp_key = [f"{k}_left" for k in keys] + ["provider_left", "id_left"]
     nearest = pairs.groupBy(*fp_key).agg(F.min("metric").alias("__min"))
     nearest = nearest.select(*[F.col(c).alias(f"__n_{c}") for c in fp_key], "__min")

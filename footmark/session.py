@@ -48,8 +48,11 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(k, v)
         except Exception:  # static conf on a running session; leave it
             pass
-    ensure_checkpoint_dir(spark)
-    ship_package(spark)
+    try:
+        ensure_checkpoint_dir(spark)
+        ship_package(spark)
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
+        pass
     return spark
 
 
