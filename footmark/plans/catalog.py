@@ -306,6 +306,32 @@ def conformed(spark, sf) -> DataFrame:
     return conform_all(_raw_all(spark, sf), fx.counties(spark, sf))
 
 
+# Checkpointed intermediates shared by the queries of one session (keyed by
+# application and data directory): the conformed layers and one conflation.
+_MEMO: dict = {}
+
+
+def clear_cache() -> None:
+    _MEMO.clear()
+
+
+def _memo(spark, sf, name, build):
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
+def conformed_checkpoint(spark, sf) -> DataFrame:
+    return _memo(spark, sf, "conformed", lambda: checkpoint(conformed(spark, sf)))
+
+
+def conflated(spark, sf):
+    """(entities, crossref, footprints) of one conflation, shared by c8 / s8 / s9."""
+    # lineage of each starts at checkpoints taken inside ``conflate``
+    return _memo(spark, sf, "conflated", lambda: conflate(conformed_checkpoint(spark, sf)))
+
+
 def _rows_out(df: DataFrame) -> DataFrame:
     c = st_centroid_xy("geometry")
     return df.select("fips", "provider", F.col("id").cast("string").alias("id"), "classification", "address",
@@ -315,12 +341,13 @@ def _rows_out(df: DataFrame) -> DataFrame:
 
 def c7_conform_pipeline(spark, sf):
     _start(spark)
-    return _rows_out(conformed(spark, sf))
+    return _rows_out(conformed_checkpoint(spark, sf))
 
 
 def a1_provider_counts(spark, sf):
     _start(spark)
-    return provider_counts(conformed(spark, sf)).select("fips", "provider", F.col("n").cast("bigint").alias("n"))
+    return provider_counts(conformed_checkpoint(spark, sf)).select(
+        "fips", "provider", F.col("n").cast("bigint").alias("n"))
 
 
 def _layer(conf: DataFrame, p: str) -> DataFrame:
@@ -329,7 +356,7 @@ def _layer(conf: DataFrame, p: str) -> DataFrame:
 
 def j6_anti_join(spark, sf):
     _start(spark)
-    conf = checkpoint(conformed(spark, sf))
+    conf = conformed_checkpoint(spark, sf)
     osm, ms = _layer(conf, "openstreetmap"), _layer(conf, "microsoft")
     pairs = correspondence_pairs(osm, ms).select(F.col("fips_left").alias("fips"),
                                                  F.col("provider_left").alias("provider"),
@@ -347,13 +374,13 @@ def _corr_out(df: DataFrame) -> DataFrame:
 
 def j7_spatial_correspondence(spark, sf):
     _start(spark)
-    conf = checkpoint(conformed(spark, sf))
+    conf = conformed_checkpoint(spark, sf)
     return _corr_out(spatial_correspondence(_layer(conf, "openstreetmap"), _layer(conf, "microsoft")))
 
 
 def j7_address_correspondence(spark, sf):
     _start(spark)
-    conf = checkpoint(conformed(spark, sf))
+    conf = conformed_checkpoint(spark, sf)
     return _corr_out(spatial_correspondence(_layer(conf, "nad"), _layer(conf, "openaddresses"),
                                             use_distance=True))
 
@@ -361,7 +388,7 @@ def j7_address_correspondence(spark, sf):
 def j7_footprint_fold(spark, sf):
     _start(spark)
     from ..operators.spatial_join import max_extents
-    conf = checkpoint(conformed(spark, sf))
+    conf = conformed_checkpoint(spark, sf)
     return _corr_out(conflate_footprints(conf, extents=max_extents(conf)))
 
 
@@ -375,7 +402,7 @@ def j8_merge(spark, sf):
     _start(spark)
     from ..operators.spatial_join import max_extents
     from .conflate import ADDRESS_ORDER, FOOTPRINT_ORDER, _levels
-    conf = checkpoint(conformed(spark, sf))
+    conf = conformed_checkpoint(spark, sf)
     ext = max_extents(conf)
     fp = checkpoint(conflate_footprints(conf, extents=ext))
     ad = conflate_addresses(conf, extents=ext)
@@ -385,20 +412,20 @@ def j8_merge(spark, sf):
 
 def c8_conflate_entities(spark, sf):
     _start(spark)
-    ent, _, _ = conflate(checkpoint(conformed(spark, sf)))
+    ent, _, _ = conflated(spark, sf)
     return ent.select("fips", "id", "classification", "address", F.col("height").cast("double").alias("height"),
                       F.col("levels").cast("int").alias("levels"), "x", "y")
 
 
 def s8_crossref(spark, sf):
     _start(spark)
-    _, xref, _ = conflate(checkpoint(conformed(spark, sf)))
+    _, xref, _ = conflated(spark, sf)
     return xref.select("fips", "entity_id", "provider", "provider_id")
 
 
 def s9_footprints(spark, sf):
     _start(spark)
-    _, _, fp = conflate(checkpoint(conformed(spark, sf)))
+    _, _, fp = conflated(spark, sf)
     c = st_centroid_xy("geometry")
     return fp.select("fips", "provider", F.col("id").cast("string").alias("id"), c["x"].alias("x"), c["y"].alias("y"))
 
