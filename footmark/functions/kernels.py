@@ -77,7 +77,7 @@ def area(g: Geoms) -> np.ndarray:
     """
     ra = np.abs(ring_signed_areas(g))
     sign = np.where(g.ring_kind == K_SHELL, 1.0, np.where(g.ring_kind == K_HOLE, -1.0, 0.0))
-    out = np.bincount(g.ring_geom, weights=ra * sign, minlength=g.n)
+    out = np.bincount(g.ring_geom, weights=ra * sign, minlength=g.n).astype(np.float64)
     out[~g.valid] = np.nan
     out[g.empty] = 0.0
     return out

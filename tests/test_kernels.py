@@ -132,3 +132,12 @@ def test_encode_round_trip():
     np.testing.assert_allclose(K.area(g), [6, 10])
     pts = W.encode_points(np.array([1.0, np.nan]), np.array([2.0, 3.0]))
     assert pts.null_count == 1
+
+
+def test_batches_without_rings():
+    g = dec(None, W.EMPTY_COLLECTION, struct.pack("<BII", 1, 3, 0))
+    a = K.area(g)
+    assert np.isnan(a[0]) and a[1] == 0 and a[2] == 0
+    cx, cy = K.centroid(g)
+    assert np.isnan(cx).all()
+    assert np.isnan(K.bbox(g)[0]).all()
