@@ -210,11 +210,17 @@ def spatial_correspondence(left: DataFrame, right: DataFrame, *, use_distance: b
     return out.unionByName(left_missing).unionByName(right_missing)
 
 
-def fold_correspondence(layers: list[DataFrame], **kw) -> DataFrame:
-    """Fold J7 over an ordered list of layers: ((l0 ← l1) ← l2) ← ..."""
+def fold_correspondence(layers: list[DataFrame], materialize: Materialize = checkpoint, **kw) -> DataFrame:
+    """Fold J7 over an ordered list of layers: ((l0 ← l1) ← l2) ← ...
+
+    Each intermediate result is materialised: the next step reads it twice,
+    so without the cut the plan (and the work) would double per step.
+    """
     acc = layers[0]
-    for nxt in layers[1:]:
-        acc = spatial_correspondence(acc, nxt, **kw)
+    for i, nxt in enumerate(layers[1:]):
+        if i > 0:
+            acc = materialize(acc)
+        acc = spatial_correspondence(acc, nxt, materialize=materialize, **kw)
     return acc
 
 

@@ -405,7 +405,7 @@ def j8_merge(spark, sf):
     conf = conformed_checkpoint(spark, sf)
     ext = max_extents(conf)
     fp = checkpoint(conflate_footprints(conf, extents=ext))
-    ad = conflate_addresses(conf, extents=ext)
+    ad = checkpoint(conflate_addresses(conf, extents=ext))
     lv = _levels(ext, ADDRESS_ORDER, FOOTPRINT_ORDER, 50.0, grow=10.0)
     return _entities_out(merge_footprints_and_addresses(fp, ad, levels=lv))
 

@@ -51,6 +51,8 @@ def conflate_footprints(conformed: DataFrame, order=FOOTPRINT_ORDER,
     """J7 fold over the footprint layers: ((osm ← microsoft) ← usa_structures)."""
     acc = layer(conformed, order[0])
     for i, p in enumerate(order[1:], start=1):
+        if i > 1:
+            acc = materialize(acc)   # the next step reads it twice (pairs and anti join)
         lv = _levels(extents, order[:i], [p], cell)
         acc = spatial_correspondence(acc, layer(conformed, p), materialize=materialize, cell=cell,
                                      levels=lv, **kw)
@@ -63,6 +65,8 @@ def conflate_addresses(conformed: DataFrame, order=ADDRESS_ORDER,
     """J7 by distance over the address layers: nad ← openaddresses."""
     acc = layer(conformed, order[0])
     for i, p in enumerate(order[1:], start=1):
+        if i > 1:
+            acc = materialize(acc)
         lv = _levels(extents, order[:i], [p], cell, grow=threshold)
         acc = spatial_correspondence(acc, layer(conformed, p), use_distance=True, threshold=threshold,
                                      materialize=materialize, cell=cell, levels=lv, **kw)
@@ -82,7 +86,8 @@ def conflate(conformed: DataFrame, footprint_order=FOOTPRINT_ORDER, address_orde
     """
     extents = max_extents(conformed) if "xmax" in conformed.columns else None
     footprints = materialize(conflate_footprints(conformed, footprint_order, materialize, extents, cell, **kw))
-    addresses = conflate_addresses(conformed, address_order, materialize, extents, cell, **kw)
+    # the merge reads the addresses twice (pairs and anti join)
+    addresses = materialize(conflate_addresses(conformed, address_order, materialize, extents, cell, **kw))
     lv = _levels(extents, address_order, footprint_order, cell, grow=10.0)
     merged = materialize(merge_footprints_and_addresses(
         footprints, addresses, collapse_null_address=collapse_null_address, materialize=materialize,
