@@ -434,6 +434,137 @@ def _slab_overlap(ea, eb, want_pieces: bool = False):
     return total, pieces
 
 
+def _local_product(counts_a: np.ndarray, counts_b: np.ndarray):
+    """For groups g with counts_a[g] x counts_b[g] combinations: (group, ia_local, ib_local)."""
+    tot = counts_a * counts_b
+    T = int(tot.sum())
+    if T == 0:
+        z = np.zeros(0, np.int64)
+        return z, z, z
+    grp = np.repeat(np.arange(len(tot)), tot)
+    w = np.arange(T) - np.repeat(np.cumsum(tot) - tot, tot)
+    cb = counts_b[grp]
+    return grp, w // cb, w % cb
+
+
+def _slab_overlap_vec(A, B, pairs: np.ndarray) -> np.ndarray:
+    """Vectorised slab overlap: intersection area for every pair index in ``pairs``.
+
+    ``A`` / ``B`` are (x1, y1, x2, y2, geom_off) polygon-edge tables; pair i
+    intersects geometry i of A with geometry i of B. Same rule as
+    :func:`_slab_overlap`, evaluated for all pairs at once with sort-based
+    grouping (no per-pair Python loop).
+    """
+    out = np.zeros(len(pairs), np.float64)
+    ax1, ay1, ax2, ay2, aoff = A
+    bx1, by1, bx2, by2, boff = B
+    # a side without polygon edges (point, line) has no area to share
+    has = ((aoff[1:][pairs] - aoff[:-1][pairs]) > 0) & ((boff[1:][pairs] - boff[:-1][pairs]) > 0)
+    if not has.all():
+        if has.any():
+            out[has] = _slab_overlap_vec(A, B, pairs[has])
+        return out
+    if len(pairs) == 0:
+        return out
+    na = aoff[1:][pairs] - aoff[:-1][pairs]
+    nb = boff[1:][pairs] - boff[:-1][pairs]
+    P = len(pairs)
+    # edges of each pair, A then B, with labels
+    ea_pair = np.repeat(np.arange(P), na)
+    ea_idx = np.repeat(aoff[:-1][pairs], na) + (np.arange(int(na.sum())) - np.repeat(np.cumsum(na) - na, na))
+    eb_pair = np.repeat(np.arange(P), nb)
+    eb_idx = np.repeat(boff[:-1][pairs], nb) + (np.arange(int(nb.sum())) - np.repeat(np.cumsum(nb) - nb, nb))
+    EX1 = np.concatenate([ax1[ea_idx], bx1[eb_idx]])
+    EY1 = np.concatenate([ay1[ea_idx], by1[eb_idx]])
+    EX2 = np.concatenate([ax2[ea_idx], bx2[eb_idx]])
+    EY2 = np.concatenate([ay2[ea_idx], by2[eb_idx]])
+    EP = np.concatenate([ea_pair, eb_pair])
+    EL = np.concatenate([np.zeros(len(ea_pair), np.int8), np.ones(len(eb_pair), np.int8)])
+    o = np.argsort(EP, kind="stable")
+    EX1, EY1, EX2, EY2, EP, EL = EX1[o], EY1[o], EX2[o], EY2[o], EP[o], EL[o]
+    ne = na + nb
+    eoff = np.concatenate([[0], np.cumsum(ne)])
+    # local origin per pair (its first edge's start): keeps the products small
+    rx, ry = EX1[eoff[:-1]][EP], EY1[eoff[:-1]][EP]
+    EX1, EX2, EY1, EY2 = EX1 - rx, EX2 - rx, EY1 - ry, EY2 - ry
+    # y-range overlap per pair
+    ymin_e, ymax_e = np.minimum(EY1, EY2), np.maximum(EY1, EY2)
+    isA = EL == 0
+    lo = np.maximum(_group_reduce(ymin_e, EP, isA, P, np.minimum, np.inf),
+                    _group_reduce(ymin_e, EP, ~isA, P, np.minimum, np.inf))
+    hi = np.minimum(_group_reduce(ymax_e, EP, isA, P, np.maximum, -np.inf),
+                    _group_reduce(ymax_e, EP, ~isA, P, np.maximum, -np.inf))
+    # break points: vertex ys and proper crossings between A and B edges of the pair
+    ys_p = [EP, EP]
+    ys_v = [EY1, EY2]
+    g, i, j = _local_product(na, nb)
+    if len(g):
+        # positions of the A- and B-edges inside the per-pair sorted edge table
+        pa_ = eoff[:-1][g] + i            # A edges come first within each pair (stable sort)
+        pb_ = eoff[:-1][g] + na[g] + j
+        X1, Y1, X2, Y2 = EX1[pa_], EY1[pa_], EX2[pa_], EY2[pa_]
+        U1, V1, U2, V2 = EX1[pb_], EY1[pb_], EX2[pb_], EY2[pb_]
+        den = (X2 - X1) * (V2 - V1) - (Y2 - Y1) * (U2 - U1)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            t = ((U1 - X1) * (V2 - V1) - (V1 - Y1) * (U2 - U1)) / den
+            u = ((U1 - X1) * (Y2 - Y1) - (V1 - Y1) * (X2 - X1)) / den
+        c = (den != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
+        ys_p.append(g[c])
+        ys_v.append(Y1[c] + t[c] * (Y2[c] - Y1[c]))
+    yp = np.concatenate(ys_p)
+    yv = np.concatenate(ys_v)
+    keep = (yv >= lo[yp]) & (yv <= hi[yp])
+    yp, yv = yp[keep], yv[keep]
+    o = np.lexsort((yv, yp))
+    yp, yv = yp[o], yv[o]
+    first = np.r_[True, (yp[1:] != yp[:-1]) | (yv[1:] != yv[:-1])]
+    yp, yv = yp[first], yv[first]
+    # slabs between consecutive break points of the same pair
+    same = yp[1:] == yp[:-1]
+    sp = yp[:-1][same]
+    yb, yt = yv[:-1][same], yv[1:][same]
+    if len(sp) == 0:
+        return out
+    ym = (yb + yt) / 2.0
+    h = yt - yb
+    ns = np.bincount(sp, minlength=P)
+    soff = np.concatenate([[0], np.cumsum(ns)])
+    # every (slab, edge) of the same pair; keep the edges spanning the slab
+    g2, si, ei = _local_product(ns, ne)
+    if len(g2) == 0:
+        return out
+    s_id = soff[:-1][g2] + si
+    e_id = eoff[:-1][g2] + ei
+    y = ym[s_id]
+    spans = (ymin_e[e_id] < y) & (ymax_e[e_id] > y)
+    s_id, e_id, y = s_id[spans], e_id[spans], y[spans]
+    x = EX1[e_id] + (y - EY1[e_id]) * (EX2[e_id] - EX1[e_id]) / (EY2[e_id] - EY1[e_id])
+    lab = EL[e_id]
+    o = np.lexsort((x, s_id))
+    s_id, x, lab = s_id[o], x[o], lab[o]
+    # parity of A and B crossings to the left of each gap, per slab
+    start = np.r_[True, s_id[1:] != s_id[:-1]]
+    grp_start = np.maximum.accumulate(np.where(start, np.arange(len(s_id)), 0))
+    ca = np.cumsum(lab == 0)
+    cb = np.cumsum(lab == 1)
+    ca0 = (ca - (lab == 0))[grp_start]
+    cb0 = (cb - (lab == 1))[grp_start]
+    ina = ((ca - ca0) % 2 == 1)
+    inb = ((cb - cb0) % 2 == 1)
+    gap = s_id[1:] == s_id[:-1]
+    both = gap & ina[:-1] & inb[:-1]
+    width = np.where(both, x[1:] - x[:-1], 0.0)
+    per_slab = np.bincount(s_id[:-1], weights=width, minlength=len(sp))
+    return np.bincount(sp, weights=per_slab * h, minlength=P)[:P]
+
+
+def _group_reduce(v, grp, mask, n, ufunc, fill):
+    out = np.full(n, fill)
+    if mask.any():
+        ufunc.at(out, grp[mask], v[mask])
+    return out
+
+
 def _edges_by_geom(g: Geoms):
     x1, y1, x2, y2, _, off = _area_edges(g)
     return x1, y1, x2, y2, off
@@ -464,11 +595,15 @@ def intersection_area(a: Geoms, b: Geoms) -> np.ndarray:
     if len(rest):
         A = _edges_by_geom(a)
         B = _edges_by_geom(b)
-        for i in rest:
-            sa = slice(A[4][i], A[4][i + 1])
-            sb = slice(B[4][i], B[4][i + 1])
-            out[i], _ = _slab_overlap((A[0][sa], A[1][sa], A[2][sa], A[3][sa]),
-                                      (B[0][sb], B[1][sb], B[2][sb], B[3][sb]))
+        # bounded memory: pairs in chunks by their edge-product size
+        cost = ((A[4][1:] - A[4][:-1]) + (B[4][1:] - B[4][:-1]))[rest] ** 2
+        start = 0
+        while start < len(rest):
+            c = np.cumsum(cost[start:])
+            stop = start + max(1, int(np.searchsorted(c, 4_000_000, side="right")))
+            idx = rest[start:stop]
+            out[idx] = _slab_overlap_vec(A, B, idx)
+            start = stop
     return out
 
 

@@ -141,3 +141,27 @@ def test_batches_without_rings():
     cx, cy = K.centroid(g)
     assert np.isnan(cx).all()
     assert np.isnan(K.bbox(g)[0]).all()
+
+
+def test_vectorised_overlap_matches_per_pair():
+    rng = np.random.default_rng(11)
+    la, lb = [], []
+    for _ in range(300):
+        k = rng.integers(3, 9)
+        ang = np.sort(rng.uniform(0, 2 * np.pi, k))
+        r = rng.uniform(2, 8, k)
+        c = rng.uniform(0, 10, 2)
+        p1 = np.c_[c[0] + r * np.cos(ang), c[1] + r * np.sin(ang)]
+        th = rng.uniform(0, np.pi)
+        rect = np.array([[-3, -2], [3, -2], [3, 2], [-3, 2]]) @ np.array([[np.cos(th), np.sin(th)],
+                                                                          [-np.sin(th), np.cos(th)]])
+        la.append(W.wkb_polygon([p1]))
+        lb.append(W.wkb_polygon([rect + c + rng.uniform(-3, 3, 2)]))
+    a, b = dec(*la), dec(*lb)
+    got = K.intersection_area(a, b)
+    A, B = K._edges_by_geom(a), K._edges_by_geom(b)
+    for i in range(len(la)):
+        sa, sb = slice(A[4][i], A[4][i + 1]), slice(B[4][i], B[4][i + 1])
+        want, _ = K._slab_overlap((A[0][sa], A[1][sa], A[2][sa], A[3][sa]),
+                                  (B[0][sb], B[1][sb], B[2][sb], B[3][sb]))
+        assert got[i] == pytest.approx(want, abs=1e-9)
