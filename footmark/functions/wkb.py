@@ -12,9 +12,10 @@ Decoding rules
 * a missing, truncated, unparsable or unsupported value becomes null, and so
   does an empty geometry (no coordinates, or a NaN point).
 
-The common shapes of this workload (little-endian points and single-ring
-polygons) are decoded with vectorised numpy gathers over the Arrow buffers;
-anything else goes through a small per-value parser.
+The common shapes of this workload (little-endian points and polygons with
+closed rings) are decoded with vectorised numpy gathers over the Arrow
+buffers; anything else (multi-part, big-endian, Z/M, open rings, bad values)
+goes through a small per-value parser.
 """
 
 from __future__ import annotations
@@ -187,11 +188,13 @@ def decode(arr) -> Geoms:
         b = data[at[:, None] + np.arange(4)]
         return b.astype(np.uint32) @ np.array([1, 256, 65536, 16777216], dtype=np.uint32)
 
-    # fast-path candidates: little-endian 2D point (21 bytes) and 2D polygon, 1 ring
+    # fast-path candidates: little-endian 2D points (21 bytes) and 2D polygons with any
+    # number of closed rings; rings are walked ring by ring, vectorised across values
     cand = notnull & (length >= 9)
     idx = np.nonzero(cand)[0]
     fast_pt = np.zeros(n, bool)
     fast_pg = np.zeros(n, bool)
+    pg_rings = None
     if len(idx):
         le = data[start[idx]] == 1
         code = np.zeros(len(idx), np.uint32)
@@ -201,12 +204,39 @@ def decode(arr) -> Geoms:
         is_pg = le & (code == POLYGON) & (length[idx] >= 13)
         pg_idx = idx[is_pg]
         if len(pg_idx):
-            nr = u32(start[pg_idx] + 5)
-            one = nr == 1
-            pg_idx = pg_idx[one]
-            k = u32(start[pg_idx] + 9).astype(np.int64)
-            ok = (k >= 4) & (length[pg_idx] == 13 + 16 * k)
-            fast_pg[pg_idx[ok]] = True
+            end = start[pg_idx] + length[pg_idx]
+            nr = u32(start[pg_idx] + 5).astype(np.int64)
+            alive = (nr >= 1) & (nr <= 4096)
+            pos = start[pg_idx] + 9
+            r_geom, r_num, r_first, r_k = [], [], [], []
+            for r in range(int(nr[alive].max()) if alive.any() else 0):
+                act = alive & (nr > r)
+                if not act.any():
+                    break
+                act &= pos + 4 <= end
+                a = np.nonzero(act)[0]
+                k = u32(pos[a]).astype(np.int64)
+                good = (k >= 4) & (pos[a] + 4 + 16 * k <= end[a])
+                alive[a[~good]] = False
+                alive[np.nonzero(alive & (nr > r) & ~act)[0]] = False
+                a, k = a[good], k[good]
+                r_geom.append(a)
+                r_num.append(np.full(len(a), r))
+                r_first.append(pos[a] + 4)
+                r_k.append(k)
+                pos[a] = pos[a] + 4 + 16 * k
+            alive &= pos == end
+            if r_geom:
+                rg, rn = np.concatenate(r_geom), np.concatenate(r_num)
+                rf, rk = np.concatenate(r_first), np.concatenate(r_k)
+                # closed rings only (the per-value parser closes open ones)
+                f0 = data[rf[:, None] + np.arange(16)]
+                f1 = data[(rf + 16 * (rk - 1))[:, None] + np.arange(16)]
+                closed = (f0 == f1).all(axis=1)
+                alive[rg[~closed]] = False
+                keep = alive[rg]
+                pg_rings = (pg_idx[rg[keep]], rn[keep], rf[keep], rk[keep])
+                fast_pg[pg_idx[alive]] = True
 
     slow = notnull & ~fast_pt & ~fast_pg
 
@@ -226,19 +256,20 @@ def decode(arr) -> Geoms:
         valid[pt_idx] = True
         gtype[pt_idx] = POINT
 
-    # single-ring polygons
-    pg_idx = np.nonzero(fast_pg)[0]
+    # polygons (rings in ring-number order; assembly below sorts them by value)
+    pg_idx = np.zeros(0, np.int64)
     pg_xy = np.zeros((0, 2))
     pg_len = np.zeros(0, np.int64)
-    if len(pg_idx):
-        k = ((length[pg_idx] - 13) // 16).astype(np.int64)
+    pg_kind = np.zeros(0, np.int8)
+    if pg_rings is not None and len(pg_rings[0]):
+        pg_idx, rn, rf, k = pg_rings
         tot = int(k.sum())
-        rep = np.repeat(np.arange(len(pg_idx)), k)
         within = np.arange(tot) - np.repeat(np.cumsum(k) - k, k)
-        byte0 = start[pg_idx][rep] + 13 + within * 16
+        byte0 = np.repeat(rf, k) + within * 16
         raw = data[byte0[:, None] + np.arange(16)]
         pg_xy = raw.copy().view("<f8").reshape(-1, 2)
         pg_len = k
+        pg_kind = np.where(rn == 0, K_SHELL, K_HOLE).astype(np.int8)
         valid[pg_idx] = True
         gtype[pg_idx] = POLYGON
 
@@ -273,7 +304,7 @@ def decode(arr) -> Geoms:
     if len(pg_idx):
         order_geom.append(pg_idx)
         order_xy.append(pg_xy)
-        order_kind.append(np.full(len(pg_idx), K_SHELL, np.int8))
+        order_kind.append(pg_kind)
         order_localpoly.append(np.zeros(len(pg_idx), np.int64))
         order_len.append(pg_len)
     if slow_rings:
