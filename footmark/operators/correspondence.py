@@ -31,13 +31,22 @@ Materialize = Callable[[DataFrame], DataFrame]
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+    """Cut lineage with a parquet table written under ``spark.checkpoint.dir``.
 
     A correspondence result is read three times (matched rows plus two anti
     joins); without the cut each fold step would recompute the spatial join
-    and the plan would double per step.
+    and the plan would double per step. A written table costs one job (an
+    eager RDD checkpoint computes the rows twice: count, then write), lives
+    in the cluster's shared checkpoint folder (it survives lost executors)
+    and reads back with column pruning.
     """
-    return df.checkpoint(eager=True)
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/footmark-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def no_materialize(df: DataFrame) -> DataFrame:

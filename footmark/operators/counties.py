@@ -53,14 +53,15 @@ class CountyIndex:
             grid = float(min(max((med or COUNTY_GRID * 4) / 4.0, 500.0), 20_000.0))
         self.grid = grid
         g = F.lit(grid)
-        shapes = c.select(F.col("fips").alias("__sfips"), "county_geometry").checkpoint(eager=True)
+        from .correspondence import checkpoint
+        shapes = checkpoint(c.select(F.col("fips").alias("__sfips"), "county_geometry"))
         cells = c.withColumn("__cx", F.explode(F.sequence(F.floor(F.col("c_xmin") / g),
                                                           F.floor(F.col("c_xmax") / g)))) \
             .withColumn("__cy", F.explode(F.sequence(F.floor(F.col("c_ymin") / g),
                                                      F.floor(F.col("c_ymax") / g))))
         rel = st_box_relation(F.col("county_geometry"), F.col("__cx") * g, F.col("__cy") * g,
                               (F.col("__cx") + 1) * g, (F.col("__cy") + 1) * g)
-        self.cells = cells.withColumn("c_rel", rel).drop("county_geometry").checkpoint(eager=True)
+        self.cells = checkpoint(cells.withColumn("c_rel", rel).drop("county_geometry"))
         self.shapes = shapes
         self.n_cells = self.cells.count()
         self.geometry_bytes = shapes.agg(F.sum(F.length("county_geometry"))).first()[0] or 0
