@@ -10,11 +10,9 @@ the join is a normal shuffle join.
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pyspark.sql import Column
 

@@ -25,7 +25,6 @@ from ..operators.spatial_join import dwithin_join, intersects_join
 from ..providers import get_provider
 from ..session import configure
 from ..sources import fixtures as fx
-from ..sources.io import crossref_table, footprints_table, provider_rank
 from .conflate import conflate, conflate_addresses, conflate_footprints, provider_counts
 from .conform import conform_all
 

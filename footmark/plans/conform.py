@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import st_transform_to_5070, with_bbox
+from ..functions.geometry import st_transform_to_5070
 from ..operators.counties import county_index, mask_by_county
 from ..operators.spatial_join import ensure_bbox
 from ..providers import get_provider
