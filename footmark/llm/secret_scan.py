@@ -78,9 +78,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger
     paths = cut(src.select("doc_id", blob, F.xxhash64("doc_id").alias("at")), "paths")
     seen = spark.read.schema(LEDGER_SCHEMA).parquet(ledger).filter(F.col("rules") == rules).select("blob")
     todo = cut(paths.groupBy("blob").agg(F.min("at").alias("at")).join(seen, "blob", "left_anti"), "unseen")
-    # One text of each unseen blob. Rows with equal id and text are equal, hence the aggregation.
-    unseen = src.select(blob, F.xxhash64("doc_id").alias("at"), "text").join(todo, ["blob", "at"], "left_semi") \
-        .groupBy("blob").agg(F.first("text").alias("text"))
+    # One text of each unseen blob: repeated rows are dropped where the join has put them, so that
+    # texts move once.
+    unseen = src.select(blob, F.xxhash64("doc_id").alias("at"), "text").join(todo.hint("merge"), ["blob", "at"], "left_semi") \
+        .groupBy("blob", "at").agg(F.first("text").alias("text")).select("blob", "text")
     unseen.mapInArrow(_scan_batches, f"blob string, spans array<{_SPAN}>") \
         .select("blob", F.lit(rules).alias("rules"), "spans").write.mode("append").parquet(ledger)
     known = spark.read.schema(LEDGER_SCHEMA).parquet(ledger).filter(F.col("rules") == rules) \
