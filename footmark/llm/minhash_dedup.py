@@ -8,11 +8,14 @@ confirmed on the full shingle sets.
 Plan:
   1. one pass over the texts: set size, a 128-bit hash of the set and the band keys;
   2. equal sets collapse to one representative (partial aggregation absorbs hot copy groups);
-  3. band keys -> the smallest member of each bucket is its leader; every member is checked
-     against the leader (linear in the bucket, never all pairs), links give components;
-  4. only buckets that still hold several components give further pairs: members of different
-     components that were not checked yet. So every candidate pair is either checked or already
-     connected, without a cap;
+  3. in each bucket the member whose buckets are the largest in sum is the leader (of a group of
+     near copies the one most like the others); every member is checked against the leader (linear
+     in the bucket, never all pairs), and the links give components;
+  4. buckets that still hold several components give further pairs of members of different
+     components that were not checked yet. A shingle is rare if at most RARE of these members have
+     it. A pair either shares a rare shingle (at most RARE members each, so few such pairs), or its
+     intersection has at most the smaller number of common shingles, which leaves few pairs. Both
+     kinds are checked; the rest is proven not to link, and there is no cap;
   5. components go back to all documents by the set hash.
 """
 
@@ -33,6 +36,8 @@ from footmark.llm.components import components
 PERMUTATIONS = 50
 #: A pair exactly at the threshold may be missed by all bands with at most this probability.
 MISS = 1e-5
+#: A shingle is rare if at most so many of the members in question have it (any value gives the same links).
+RARE = 32
 
 
 def band_rows(similarity: float, permutations: int = PERMUTATIONS, miss: float = MISS) -> int:
@@ -108,16 +113,18 @@ def _set_batches(batches, k: int):
     for batch in batches:
         texts, ids = texts_of(batch.column(1)), batch.column(0)
         for lo, hi in chunks(texts):
-            sets = [s.tobytes() for s in shingle_sets(texts[lo:hi], k)]
-            yield pa.record_batch([ids.slice(lo, hi - lo), pa.array(sets, pa.binary())], names=["id", "shingles"])
+            sets = [s.view(np.int64) for s in shingle_sets(texts[lo:hi], k)]
+            yield pa.record_batch([ids.slice(lo, hi - lo), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"])
 
 
 def _verify_batches(batches, percent: int):
     for batch in batches:
         a, b, x, y = batch.columns
         keep = []
-        for left, right in zip(x.to_pylist(), y.to_pylist()):
-            s, t = np.frombuffer(left, dtype=np.uint64), np.frombuffer(right, dtype=np.uint64)
+        xs, ys = (c.flatten().to_numpy().view(np.uint64) for c in (x, y))
+        xo, yo = (np.concatenate([[0], np.cumsum(c.value_lengths().to_numpy())]) for c in (x, y))
+        for i in range(batch.num_rows):
+            s, t = xs[xo[i]:xo[i + 1]], ys[yo[i]:yo[i + 1]]
             if len(s) > len(t):
                 s, t = t, s
             if 100 * len(s) < percent * len(t) or not len(s):
@@ -159,12 +166,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = cut(sig.filter("n > 0 and doc_id is not null").groupBy("h1", "h2")
                .agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("bands").alias("bands")), "sets")
     keyed = reps.select("rep", "n", F.explode("bands").alias("key"))
-    leaders = cut(keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("size"))
-                  .filter("size > 1"), "leaders")
-    members = cut(keyed.join(leaders, "key").select("key", "rep", "n", "leader", "size"), "members")
-    needed = members.select(F.col("rep").alias("doc_id")).distinct()
+    shared = cut(keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "shared")
+    members = cut(keyed.join(shared, "key").select("key", "rep", "n", "size"), "members")
+    weight = cut(members.groupBy("rep").agg(F.sum("size").alias("weight")), "weights")
+    # the hint: which plan moves the texts shall not depend on the size of the input
+    needed = weight.select(F.col("rep").alias("doc_id")).hint("shuffle_hash")
     sets = cut(src.join(needed, "doc_id", "left_semi")
-               .mapInArrow(partial(_set_batches, k=shingle), "id long, shingles binary"), "shingles")
+               .mapInArrow(partial(_set_batches, k=shingle), "id long, shingles array<long>"), "shingles")
+    members = cut(members.join(weight, "rep"), "members")
+    leaders = cut(members.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "rep"))["rep"].alias("leader")), "leaders")
+    members = cut(members.join(leaders, "key"), "members")
     first = members.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     links = cut(_verify(first, sets, percent), "links")
     comp = cut(components(links), "components")
@@ -174,11 +185,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    .select("key", "rep", "n", "leader", F.coalesce("component", "rep").alias("component")), "labelled")
     mixed = cut(labelled.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
                 .filter("c0 < c1").select("key"), "mixed")
-    rest = cut(labelled.join(mixed, "key").filter("rep <> leader"), "rest")
-    x = rest.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    y = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    second = x.join(y, (x["key"] == y["key"]) & (F.col("ca") < F.col("cb"))
-                    & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))) \
+    rest = cut(labelled.join(mixed, "key").filter("rep <> leader").select("key", "rep", "n", "component"), "rest")
+    nodes = cut(rest.select(F.col("rep").alias("id"), "n", "component").distinct(), "nodes")
+    held = cut(sets.join(nodes, "id").select("id", "n", "component", F.explode("shingles").alias("s")), "held")
+    few = held.groupBy("s").agg(F.count("*").alias("c")).filter(F.col("c") <= RARE)
+    rare = cut(held.join(cut(few, "few"), "s").select("s", "c", "id", "n", "component"), "rare")
+    common = nodes.join(rare.groupBy("id").agg(F.count("*").alias("rare")), "id", "left") \
+        .select("id", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("common"))
+    # what a member shares with no more than RARE others can't suffice: it needs percent % of its own size
+    common = cut(common.join(nodes, "id").filter(100 * F.col("common") >= percent * F.col("n")).select("id", "common"), "common")
+    rest = rest.join(common, F.col("rep") == F.col("id")) \
+        .join(reps.select(F.col("rep").alias("id2"), "bands"), F.col("rep") == F.col("id2")) \
+        .select("key", "rep", "n", "component", "common", F.slice("bands", 1, F.array_position("bands", F.col("key")) - 1).alias("before"))
+    x = rest.select("key", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("common").alias("sa"),
+                    F.col("before").alias("ba"))
+    y = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("common").alias("sb"),
+                    F.col("before").alias("bb"))
+    alike = (F.col("ca") < F.col("cb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    by_common = x.join(y, (x["key"] == y["key"]) & alike
+                       & ((100 + percent) * F.least("sa", "sb") >= percent * (F.col("na") + F.col("nb")))
+                       & ~F.arrays_overlap("ba", "bb"))  # a pair counts in the first band that it shares
+    rare = rare.filter("c > 1")
+    x = rare.select("s", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    y = rare.select("s", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    by_rare = x.join(y, (x["s"] == y["s"]) & alike)
+    second = by_common.select("a", "b").union(by_rare.select("a", "b")) \
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = cut(_verify(second, sets, percent), "links")
     if not more.isEmpty():
