@@ -17,7 +17,7 @@ from footmark.llm.common import CHUNK_CHARS, chunks, codepoints, hash_runs
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Pieces that a worker remembers (about 30 bytes each); then it starts anew.
-CACHE_PIECES = 1 << 20
+CACHE_PIECES = 1 << 21
 
 
 def default_tokenizer() -> str:
@@ -74,6 +74,12 @@ def piece_starts(cp: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def _merge(a: tuple, b: tuple) -> tuple:
+    both = [np.concatenate(x) for x in zip(a, b)]
+    order = np.argsort(both[0])
+    return tuple(x[order] for x in both)
+
+
 class Encoder:
     """Encodes lists of texts; see :func:`encoder`."""
 
@@ -86,24 +92,43 @@ class Encoder:
         self.tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         size = self.tok.get_vocab_size(with_added_tokens=True)
         self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
+        self.id_bytes = np.zeros(size, dtype=np.int64)  # the byte alphabet has one character a byte
+        for token, i in self.tok.get_vocab(with_added_tokens=False).items():
+            self.id_bytes[i] = len(token)
         self._clear()
 
     def _clear(self):
-        self.known = np.zeros(0, dtype=np.uint64)                   # sorted hashes
-        self.first, self.count = (np.zeros(0, dtype=np.int64) for _ in range(2))
-        self.pool = np.zeros(0, dtype=self.dtype)
-
-    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        e = self.tok.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        # two sorted tables of (hash, first id, number of ids); the small one takes what is new
+        self.tables = [tuple(np.zeros(0, dtype=t) for t in (np.uint64, np.int64, np.int64)) for _ in range(2)]
+        self.pool = np.zeros(1 << 16, dtype=self.dtype)
+        self.used = 0
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Encodes new pieces; (first id, number of ids) of each."""
+        e = self.tok.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0]  # without offsets
         ids = np.array(e.ids, dtype=self.dtype)
-        n = np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(pieces))
-        first = np.cumsum(n) - n + len(self.pool)
-        known = np.concatenate([self.known, hashes])
-        order = np.argsort(known, kind="stable")
-        self.known = known[order]
-        self.first = np.concatenate([self.first, first])[order]
-        self.count = np.concatenate([self.count, n])[order]
-        self.pool = np.concatenate([self.pool, ids])
+        # where a piece's ids end: where their bytes reach the piece's bytes
+        ends = np.searchsorted(np.cumsum(self.id_bytes[ids]), np.cumsum([len(p.encode("utf-8")) for p in pieces])) + 1
+        n = np.diff(ends, prepend=0)
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool) + len(ids), dtype=self.dtype)])
+        self.pool[self.used:self.used + len(ids)] = ids
+        first = np.cumsum(n) - n + self.used
+        self.tables[1] = _merge(self.tables[1], (hashes, first, n))
+        self.used += len(ids)
+        if len(self.tables[1][0]) > 50_000 + len(self.tables[0][0]) // 8:
+            self.tables = [_merge(*self.tables), tuple(x[:0] for x in self.tables[1])]
+        return first, n
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first id, number of ids) of each piece; 0 ids: not met yet (each piece has an id)."""
+        first, count = (np.zeros(len(hashes), dtype=np.int64) for _ in range(2))
+        for known, at, n in self.tables:
+            if len(known):
+                slot = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = np.flatnonzero(known[slot] == hashes)
+                first[hit], count[hit] = at[slot[hit]], n[slot[hit]]
+        return first, count
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's ids start, with the end)."""
@@ -112,17 +137,14 @@ class Encoder:
         if not len(at):
             return np.zeros(0, dtype=self.dtype), np.zeros(len(texts) + 1, dtype=np.int64)
         hashes, where, inverse = np.unique(hash_runs(cp, at), return_index=True, return_inverse=True)
-        if len(self.known) + len(hashes) > CACHE_PIECES:
+        if sum(len(t[0]) for t in self.tables) + len(hashes) > CACHE_PIECES:
             self._clear()
-        slot = np.searchsorted(self.known, hashes)
-        new = np.ones(len(hashes), dtype=bool)
-        inside = slot < len(self.known)
-        new[inside] = self.known[slot[inside]] != hashes[inside]
+        first, count = self._find(hashes)
+        new = count == 0
         if new.any():
             ends = np.append(at[1:], len(cp))
-            self._learn(hashes[new], [joined[s:e] for s, e in zip(at[where[new]].tolist(), ends[where[new]].tolist())])
-            slot = np.searchsorted(self.known, hashes)
-        first, count = self.first[slot][inverse], self.count[slot][inverse]
+            first[new], count[new] = self._learn(hashes[new], [joined[s:e] for s, e in zip(at[where[new]].tolist(), ends[where[new]].tolist())])
+        first, count = first[inverse], count[inverse]
         ends = np.cumsum(count)
         take = np.repeat(first - (ends - count), count) + np.arange(int(ends[-1]))
         starts = np.concatenate([[0], ends])[np.searchsorted(at, off)]

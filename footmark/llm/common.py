@@ -83,6 +83,15 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _points() -> np.ndarray:
+    """A random-looking 64-bit number for each code point."""
+    global _POINTS
+    if _POINTS is None:
+        _POINTS = mix(np.arange(0x110000, dtype=np.uint64), 21)
+    return _POINTS
+
+
+_POINTS = None
 _POWERS = np.ones(1, dtype=np.uint64)
 
 
@@ -100,10 +109,11 @@ def hash_runs(cp: np.ndarray, starts: np.ndarray) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
     lens = np.diff(np.append(starts, len(cp)))
-    pos = np.arange(len(cp), dtype=np.int64) - np.repeat(starts, lens)
-    v = (cp.astype(np.uint64) + np.uint64(0x51ED270B)) * np.uint64(0xD6E8FEB86659FD93)
-    v ^= v >> np.uint64(29)
-    v *= _powers(int(lens.max()))[pos]
+    pos = np.ones(len(cp), dtype=np.int32)  # position in the run, by running sums that restart
+    pos[0] = 0
+    pos[starts[1:]] = 1 - lens[:-1]
+    v = _points()[cp]
+    v *= _powers(int(lens.max()))[np.cumsum(pos, out=pos)]
     return mix(np.add.reduceat(v, starts) + lens.astype(np.uint64))
 
 

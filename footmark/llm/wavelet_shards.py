@@ -112,12 +112,13 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids, from the last plane up (each plane undoes one stable split)."""
-        value = np.zeros(self.n, dtype=np.uint32)
+        kind = np.uint16 if self.width <= 16 else np.uint32
+        value = np.zeros(self.n, dtype=kind)
         for level in range(self.width - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             up = np.empty_like(value)
             up[np.flatnonzero(~bit)] = value[:self.zeros[level]]
-            up[np.flatnonzero(bit)] = value[self.zeros[level]:] | np.uint32(1 << (self.width - 1 - level))
+            up[np.flatnonzero(bit)] = value[self.zeros[level]:] | kind(1 << (self.width - 1 - level))
             value = up
         return value
 
@@ -184,7 +185,7 @@ def _digest_batches(batches):
     for batch in batches:
         for i in range(batch.num_rows):
             part, _, base, n, width, zeros, planes, ranks, doc_ids, lengths = (c[i].as_py() for c in batch.columns)
-            ids = WaveletMatrix(n, width, zeros, planes, ranks).decode()
+            ids = WaveletMatrix(n, width, zeros, planes, ranks).decode().astype(np.uint32)
             lengths = np.array(lengths, dtype=np.int64)
             ends = np.cumsum(lengths)
             crc = [zlib.crc32(ids[e - k:e]) for e, k in zip(ends, lengths)]
