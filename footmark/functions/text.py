@@ -116,8 +116,8 @@ def parse_levels(levels, classification) -> Column:
     v = (F.when(lv.isin("0", "Default"), F.lit(None).cast("int"))
          .when(lv.isin("Bi-Level", "Split"), F.lit(2))
          .when(lv.contains(",") & (cls == "school"), F.lit(None).cast("int"))
-         .when(lv.contains(".5"), to_int(F.regexp_replace(lv, r"(?s)\.5.*", "")) + 1)
-         .when(lv.rlike("1/2"), to_int(strip_ws(F.regexp_replace(lv, "1/2", ""))) + 1)
+         .when(lv.contains(".5"), F.try_add(to_int(F.regexp_replace(lv, r"(?s)\.5.*", "")), F.lit(1)))
+         .when(lv.rlike("1/2"), F.try_add(to_int(strip_ws(F.regexp_replace(lv, "1/2", ""))), F.lit(1)))
          .when(lv.contains(","), F.size(F.split(lv, ",")).cast("int"))
          .when(lv.contains(";"), F.array_max(F.transform(F.split(lv, ";"), lambda x: to_int(x))))
          .when(lv.contains("-"), F.array_max(F.transform(F.split(lv, "-"), lambda x: to_int(x))))

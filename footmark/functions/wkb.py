@@ -347,7 +347,7 @@ def decode(arr) -> Geoms:
     ring_poly = np.full(len(ring_geom), -1, np.int64)
     is_poly = local_poly >= 0
     if is_poly.any():
-        key = ring_geom[is_poly] * (1 << 20) + local_poly[is_poly]
+        key = ring_geom[is_poly] * (int(local_poly.max()) + 1) + local_poly[is_poly]
         _, inv = np.unique(key, return_inverse=True)
         ring_poly[is_poly] = inv
     return Geoms(n, valid, gtype, xy, ring_off, ring_geom, ring_kind, ring_poly, empty)

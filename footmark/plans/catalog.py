@@ -23,6 +23,7 @@ from ..operators.correspondence import (checkpoint, correspondence_pairs, anti_j
 from ..operators.counties import county_index, county_of, lookup_county, mask_by_county, states
 from ..operators.spatial_join import dwithin_join, intersects_join
 from ..providers import get_provider
+from ..providers.conform import to_conform
 from ..session import configure
 from ..sources import fixtures as fx
 from .conflate import conflate, conflate_addresses, conflate_footprints, provider_counts
@@ -180,6 +181,7 @@ def p3_reproject(spark, sf):
 
 
 def _conform_out(df: DataFrame, key: str | None = None) -> DataFrame:
+    df = to_conform(df)
     c = st_centroid_xy("geometry")
     return df.select(F.col("id").cast("string").alias("id"), "classification", "address",
                      F.col("height").cast("double").alias("height"), F.col("levels").cast("int").alias("levels"),
@@ -198,7 +200,7 @@ def c2_conform_nad(spark, sf):
 
 def c3_conform_openaddresses(spark, sf):
     _start(spark)
-    return _conform_out(fx.raw_openaddresses(spark, sf).transform(get_provider("openaddresses").conform))
+    return _conform_out(fx.raw_openaddresses(spark, sf).drop("fixture_key").transform(get_provider("openaddresses").conform))
 
 
 def c4_conform_openstreetmap(spark, sf):
@@ -250,6 +252,11 @@ def _raw_all(spark, sf) -> dict[str, DataFrame]:
     return {p: fx.raw_layer(spark, sf, p) for p in fx.RAW_LAYERS}
 
 
+def _raw_clean(spark, sf) -> dict[str, DataFrame]:
+    """The raw layers without the key that only the queries on raw rows use."""
+    return {p: df.drop("fixture_key") for p, df in _raw_all(spark, sf).items()}
+
+
 def s2_county_mask(spark, sf):
     _start(spark)
     counties = county_index(fx.counties(spark, sf))
@@ -302,7 +309,7 @@ def a4_state_bounds(spark, sf):
 
 def conformed(spark, sf) -> DataFrame:
     """All raw layers masked by county and conformed (C7's DataFrame)."""
-    return conform_all(_raw_all(spark, sf), fx.counties(spark, sf))
+    return conform_all(_raw_clean(spark, sf), fx.counties(spark, sf))
 
 
 # Checkpointed intermediates shared by the queries of one session (keyed by

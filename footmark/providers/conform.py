@@ -47,7 +47,14 @@ def _keys(df: DataFrame) -> list[str]:
 
 
 def to_conform(df: DataFrame) -> DataFrame:
-    """Strict cast to the CONFORM schema (plus ``fips`` when present)."""
+    """Strict cast to the CONFORM schema (plus ``fips`` when present).
+
+    A row without an id gets one made from its geometry and address, so that
+    every later step (minimum per footprint, one row per id, anti joins) can
+    tell it from other rows without an id.
+    """
+    made = F.sha2(F.concat(F.regexp_replace(F.base64("geometry"), r"[\r\n]", ""), F.coalesce("address", F.lit(""))), 256)
+    df = df.withColumn("id", F.coalesce(F.col("id").cast("string"), made))
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CONFORM.fields],
                      *_extra(df))
 
@@ -105,7 +112,7 @@ def conform_openaddresses(df: DataFrame, mode: str = "per_address") -> DataFrame
     mode="per_address" (default): rows are counted per (X, Y, number,
     street); a row alone in its group is kept with its hash as id; groups of
     several rows collapse to one row per point (X, Y), the one with the
-    smallest hash, whose hash becomes the id.
+    smallest hash (rows without one last), whose hash becomes the id.
     mode="per_point": the literal reading of the source rule (Q8): one row
     per point.
 
@@ -113,17 +120,17 @@ def conform_openaddresses(df: DataFrame, mode: str = "per_address") -> DataFrame
     all rows is reduced map-side before any shuffle.
     """
     keys = _keys(df)   # the geometry is re-made below, so no box passes through
-    base = df.drop("id", "region", "fixture_key", "xmin", "ymin", "xmax", "ymax").distinct()
+    base = df.drop("id", "region", "xmin", "ymin", "xmax", "ymax").distinct()
     c = st_centroid_xy(F.col("geometry"))
     base = base.select("*", c["x"].alias("X"), c["y"].alias("Y")) \
         .withColumn("address", normalize_str(concat_str("number", "street"))) \
         .filter(F.col("address").isNotNull() & (F.col("address") != "0"))
-    row = F.struct(F.col("hash"), F.col("address"), F.col("geometry"))
+    row = F.struct(F.col("hash").isNull(), F.col("hash"), F.col("address"), F.col("geometry"))  # rows without a hash last
     if mode == "per_point":
         one = base.groupBy(*keys, "X", "Y").agg(F.min(row).alias("row"))
     elif mode == "per_address":
         g = base.groupBy(*keys, "X", "Y", "number", "street").agg(
-            F.count("hash").alias("cnt"), F.min(row).alias("row"))
+            F.count(F.lit(1)).alias("cnt"), F.min(row).alias("row"))
         singles = g.filter(F.col("cnt") == 1).select(*keys, "row")
         multis = g.filter(F.col("cnt") > 1).groupBy(*keys, "X", "Y").agg(F.min("row").alias("row")) \
             .select(*keys, "row")

@@ -13,6 +13,8 @@ them and needs no driver-side data.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from ..functions.geometry import st_box, st_point
 X0 = -2174000
 Y0 = 2020000
 PITCH = 40
+MOVE = 20
 
 # ---------------------------------------------------------------------------
 # Parser inputs that hit every branch of the height and levels
@@ -67,9 +70,14 @@ def _slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _moved(slots: DataFrame, away: Column) -> DataFrame:
+    """Boxes without a counterpart: moved up by half the pitch, not left out."""
+    return slots.withColumn("gy", F.col("gy") + F.when(away, F.lit(MOVE)).otherwise(F.lit(0)))
+
+
 def raw_openstreetmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """OpenStreetMap raw layer: parts with k % 5 != 0, box (gx, gy, gx+w, gy+h)."""
-    s = _slots(spark, sf_dir).filter(F.col("k") % 5 != 0)
+    """OpenStreetMap raw layer: every part, box (gx, gy, gx+w, gy+h), moved up where k % 5 = 0."""
+    s = _moved(_slots(spark, sf_dir), F.col("k") % 5 == 0)
     k = F.col("k")
     num = F.when(k % 6 != 0, (k % 50 + 1).cast("string"))
     return s.select(
@@ -91,8 +99,8 @@ def raw_openstreetmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_microsoft(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Microsoft raw layer: parts with k % 3 != 0, box shifted by dx = (k % 7) * 2."""
-    s = _slots(spark, sf_dir).filter(F.col("k") % 3 != 0)
+    """Microsoft raw layer: every part, box shifted by dx = (k % 7) * 2, moved up where k % 3 = 0."""
+    s = _moved(_slots(spark, sf_dir), F.col("k") % 3 == 0)
     k = F.col("k")
     dx = (k % 7 * 2).cast("double")
     return s.select(
@@ -104,8 +112,8 @@ def raw_microsoft(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_usa_structures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """USA Structures raw layer: parts with k % 2 = 0, box shifted by (-3, (k % 4) * 3)."""
-    s = _slots(spark, sf_dir).filter(F.col("k") % 2 == 0)
+    """USA Structures raw layer: every part, box shifted by (-3, (k % 4) * 3), moved up where k is odd."""
+    s = _moved(_slots(spark, sf_dir), F.col("k") % 2 != 0)
     k = F.col("k")
     dy = (k % 4 * 3).cast("double")
     addr = F.when(k % 3 != 0, F.concat_ws(" ", (k % 50 + 1).cast("string"), pick(STREETS, k)))
@@ -140,8 +148,8 @@ def raw_nad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_openaddresses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """OpenAddresses raw layer: orders with o_orderkey % 4 = 0; two rows per point."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey").filter(F.col("o_orderkey") % 4 == 0)
+    """OpenAddresses raw layer: every order; up to eight rows per point, some without a hash."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
     ok = F.col("o_orderkey")
     b = F.floor(ok / 8)
     x = (F.lit(X0) + (b % 100) * PITCH + b % 13 + (b % 6) * 3).cast("double")
@@ -150,7 +158,7 @@ def raw_openaddresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.concat(F.lit("oa-"), ok.cast("string")).alias("id"),
         F.lit("CA").alias("region"),
-        ok.cast("string").alias("hash"),
+        F.when(ok % 56 != 9, ok.cast("string")).alias("hash"),
         number.alias("number"),
         F.when(b % 50 != 0, pick(STREETS, b)).alias("street"),
         F.when(b % 4 == 1, F.lit("Apt 1")).alias("unit"),
@@ -172,12 +180,22 @@ def raw_layer(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
     return RAW_LAYERS[provider](spark, sf_dir)
 
 
+def county_height(spark: SparkSession, sf_dir: str) -> float:
+    """Height of a county from the largest keys (three one-row aggregates over one column each)."""
+    top = 0
+    for table, key, per in (("part", "p_partkey", 1), ("customer", "c_custkey", 1), ("orders", "o_orderkey", 8)):
+        top = max(top, (read_table(spark, sf_dir, table).agg(F.max(key)).first()[0] or 0) // per)
+    return max(2000.0, 1000.0 * math.ceil((Y0 + (top // 100 + 2) * PITCH - 2018000) / 6000))
+
+
 def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Synthetic county layer, one rectangle per ``nation`` row.
 
-    Nations 0..23 tile a 4 x 6 grid of 2 km squares around the slots (split
-    lines at x = -2174000 and -2172000 run through the data); nation 24 is a
-    20 km square far to the south with nothing in it. fips = state (region + 1,
+    Nations 0..23 tile a 4 x 6 grid around the slots (split lines at
+    x = -2174000 and -2172000 run through the data): 2 km wide, and as high as
+    it takes for the six rows to cover the layers, which grow to the north with
+    the tables (2 km at least, in whole km). Nation 24 is a 20 km square far to
+    the south with nothing in it. fips = state (region + 1,
     two digits) ++ county (4 * nationkey + 1, three digits), so codes keep
     leading zeros ("01001").
     """
@@ -186,8 +204,10 @@ def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("n_nationkey")
     far = k >= 24
     xmin = F.when(far, F.lit(-2160000.0)).otherwise(F.lit(-2176000.0) + (k % 4) * 2000.0)
-    ymin = F.when(far, F.lit(1520000.0)).otherwise(F.lit(2018000.0) + F.floor(k / 4) * 2000.0)
+    high = county_height(spark, sf_dir)
+    ymin = F.when(far, F.lit(1520000.0)).otherwise(F.lit(2018000.0) + F.floor(k / 4) * high)
     size = F.when(far, F.lit(20000.0)).otherwise(F.lit(2000.0))
+    high = F.when(far, F.lit(20000.0)).otherwise(F.lit(high))
     state = F.lpad((F.col("n_regionkey") + 1).cast("string"), 2, "0")
     county = F.lpad((k * 4 + 1).cast("string"), 3, "0")
     return (n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -195,4 +215,4 @@ def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("county_name"),
                     F.col("r_name").alias("state_name"),
                     F.upper(F.substring(F.col("r_name"), 1, 2)).alias("state_abbr"),
-                    st_box(xmin, ymin, xmin + size, ymin + size).alias("geometry")))
+                    st_box(xmin, ymin, xmin + size, ymin + high).alias("geometry")))

@@ -102,6 +102,11 @@ def wkb_point_hash(x, y) -> str:
     return f"sha256(base64(from_hex('0101000000' || {f64le(x)} || {f64le(y)})))"
 
 
+def made_point_id(x, y, address) -> str:
+    """Id of an address point that has none: from the point and the address."""
+    return f"sha256(base64(from_hex('0101000000' || {f64le(x)} || {f64le(y)})) || coalesce({address}, ''))"
+
+
 def albers_inverse_sql(x: str, y: str) -> tuple[str, str]:
     dy = f"({P.RHO0!r} - {y})"
     rho = f"sqrt({x} * {x} + {dy} * {dy})"
@@ -153,6 +158,8 @@ def base_ctes() -> str:
 slots AS (SELECT p_partkey AS k, (-2174000 + (p_partkey % 100) * 40)::DOUBLE AS gx,
   (2020000 + (p_partkey // 100) * 40)::DOUBLE AS gy, (10 + p_size % 10)::DOUBLE AS w,
   (8 + p_partkey % 5)::DOUBLE AS h FROM part),
+top AS (SELECT greatest(2000.0, 1000.0 * ceil((2020000 + (max(k) // 100 + 2) * 40 - 2018000) / 6000.0)) AS high FROM (
+  SELECT max(p_partkey) AS k FROM part UNION ALL SELECT max(c_custkey) FROM customer UNION ALL SELECT max(o_orderkey) // 8 FROM orders)),
 osm_raw AS (SELECT k, CASE WHEN k % 7 <> 0 THEN 'osm-' || k::VARCHAR END AS osm_id,
   'way-' || k::VARCHAR AS osm_way_id, {B}[k % 9 + 1] AS building, {A}[k % 4 + 1] AS amenity,
   {L}[k % 2 + 1] AS leisure, {N}[k % 4 + 1] AS name,
@@ -160,14 +167,16 @@ osm_raw AS (SELECT k, CASE WHEN k % 7 <> 0 THEN 'osm-' || k::VARCHAR END AS osm_
   {S}[k % 8 + 1] AS addr_street, {U}[k % 4 + 1] AS addr_unit, {LV}[k % 21 + 1] AS building_levels,
   {H}[k % 13 + 1] AS height,
   CASE WHEN k % 11 = 3 THEN 'UniversityPly' WHEN k % 11 = 4 THEN 'Other' END AS dataset,
-  gx AS bx0, gy AS by0, gx + w AS bx1, gy + h AS by1 FROM slots WHERE k % 5 <> 0),
-ms_raw AS (SELECT k, (k % 9 - 2)::DOUBLE AS height, gx + (k % 7) * 2 AS bx0, gy AS by0,
-  gx + (k % 7) * 2 + w AS bx1, gy + h AS by1 FROM slots WHERE k % 3 <> 0),
+  gx AS bx0, gy + m AS by0, gx + w AS bx1, gy + m + h AS by1
+  FROM (SELECT *, CASE WHEN k % 5 = 0 THEN 20 ELSE 0 END AS m FROM slots)),
+ms_raw AS (SELECT k, (k % 9 - 2)::DOUBLE AS height, gx + (k % 7) * 2 AS bx0, gy + m AS by0,
+  gx + (k % 7) * 2 + w AS bx1, gy + m + h AS by1
+  FROM (SELECT *, CASE WHEN k % 3 = 0 THEN 20 ELSE 0 END AS m FROM slots)),
 usa_raw AS (SELECT k, 'usa-' || k::VARCHAR AS UUID, {OC}[k % 5 + 1] AS OCC_CLS,
   CASE WHEN k % 3 <> 0 THEN concat_ws(' ', (k % 50 + 1)::VARCHAR, {S}[k % 8 + 1]) END AS PROP_ADDR,
   CASE WHEN k % 6 <> 0 THEN ((k % 12) * 1.5)::DOUBLE END AS HEIGHT,
-  gx - 3 AS bx0, gy + (k % 4) * 3 AS by0, gx - 3 + w AS bx1, gy + (k % 4) * 3 + h AS by1
-  FROM slots WHERE k % 2 = 0),
+  gx - 3 AS bx0, gy + m + (k % 4) * 3 AS by0, gx - 3 + w AS bx1, gy + m + (k % 4) * 3 + h AS by1
+  FROM (SELECT *, CASE WHEN k % 2 <> 0 THEN 20 ELSE 0 END AS m FROM slots)),
 nad_pts AS (SELECT c_custkey AS k,
   CASE WHEN c_custkey % 10 = 0 THEN {q(FX.NULL_UUID)} WHEN c_custkey % 10 = 5 THEN NULL
        ELSE 'nad-' || c_custkey::VARCHAR END AS UUID,
@@ -177,21 +186,22 @@ nad_pts AS (SELECT c_custkey AS k,
   (-2174000 + (c_custkey % 100) * 40 + c_custkey % 13)::DOUBLE AS x,
   (2020000 + (c_custkey // 100) * 40 - (c_custkey % 8) * 2)::DOUBLE AS y FROM customer),
 nad_raw AS (SELECT *, x AS bx0, y AS by0, x AS bx1, y AS by1 FROM nad_pts),
-oa_pts AS (SELECT o_orderkey AS k, o_orderkey::VARCHAR AS hash,
+oa_pts AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 56 <> 9 THEN o_orderkey::VARCHAR END AS hash,
   (CASE WHEN o_orderkey % 24 = 4 THEN b + 1 ELSE b END)::VARCHAR AS number,
   CASE WHEN b % 50 <> 0 THEN {S}[b % 8 + 1] END AS street,
   CASE WHEN b % 4 = 1 THEN 'Apt 1' END AS unit,
   (-2174000 + (b % 100) * 40 + b % 13 + (b % 6) * 3)::DOUBLE AS x,
   (2020000 + (b // 100) * 40 - (b % 8) * 2)::DOUBLE AS y
-  FROM (SELECT o_orderkey, o_orderkey // 8 AS b FROM orders WHERE o_orderkey % 4 = 0) o),
+  FROM (SELECT o_orderkey, o_orderkey // 8 AS b FROM orders) o),
 oa_raw AS (SELECT *, x AS bx0, y AS by0, x AS bx1, y AS by1 FROM oa_pts),
 counties AS (SELECT lpad((n_regionkey + 1)::VARCHAR, 2, '0') || lpad((n_nationkey * 4 + 1)::VARCHAR, 3, '0') AS fips,
   n_name AS county_name, r_name AS state_name, upper(substr(r_name, 1, 2)) AS state_abbr,
   (CASE WHEN n_nationkey >= 24 THEN -2160000.0 ELSE -2176000.0 + (n_nationkey % 4) * 2000.0 END)::DOUBLE AS cx0,
-  (CASE WHEN n_nationkey >= 24 THEN 1520000.0 ELSE 2018000.0 + (n_nationkey // 4) * 2000.0 END)::DOUBLE AS cy0,
-  (CASE WHEN n_nationkey >= 24 THEN 20000.0 ELSE 2000.0 END)::DOUBLE AS csize
-  FROM nation JOIN region ON n_regionkey = r_regionkey),
-cty AS (SELECT *, cx0 + csize AS cx1, cy0 + csize AS cy1 FROM counties)"""
+  (CASE WHEN n_nationkey >= 24 THEN 1520000.0 ELSE 2018000.0 + (n_nationkey // 4) * high END)::DOUBLE AS cy0,
+  (CASE WHEN n_nationkey >= 24 THEN 20000.0 ELSE 2000.0 END)::DOUBLE AS csize,
+  (CASE WHEN n_nationkey >= 24 THEN 20000.0 ELSE high END)::DOUBLE AS chigh
+  FROM nation JOIN region ON n_regionkey = r_regionkey, top),
+cty AS (SELECT *, cx0 + csize AS cx1, cy0 + chigh AS cy1 FROM counties)"""
 
 
 # conformed layers; "{m}" is the masked source (raw rows with fips) or the raw rows
@@ -206,6 +216,7 @@ def conform_ctes(masked: bool) -> str:
                 f"AND r.by0 <= c.cy1 AND c.cy0 <= r.by1)")
 
     oa_addr = norm("concat_ws(' ', number, street)")
+    nad_addr = norm("concat_ws(' ', AddNo_Full, StNam_Full, SubAddress)")
     return f"""
 osm_c0 AS (SELECT {f}k, coalesce(osm_id, osm_way_id) AS id,
   nullif(coalesce(building, amenity, leisure), 'yes') AS classification,
@@ -224,20 +235,19 @@ usa_conf AS (SELECT {f}'usa_structures' AS provider, UUID AS id,
   nullif({norm('OCC_CLS')}, '') AS classification, {norm('PROP_ADDR')} AS address,
   HEIGHT::DOUBLE AS height, NULL::INTEGER AS levels, bx0, by0, bx1, by1 FROM {src('usa_raw')} s),
 nad_conf AS (SELECT {f}'nad' AS provider,
-  CASE WHEN UUID = {q(FX.NULL_UUID)} THEN {wkb_point_hash('x', 'y')} ELSE UUID END AS id,
+  CASE WHEN UUID = {q(FX.NULL_UUID)} THEN {wkb_point_hash('x', 'y')} ELSE coalesce(UUID, {made_point_id('x', 'y', nad_addr)}) END AS id,
   CASE WHEN Addr_Type IN ('Unknown', 'Other') THEN NULL ELSE Addr_Type END AS classification,
-  {norm("concat_ws(' ', AddNo_Full, StNam_Full, SubAddress)")} AS address,
+  {nad_addr} AS address,
   NULL::DOUBLE AS height, NULL::INTEGER AS levels, bx0, by0, bx1, by1 FROM {src('nad_raw')} s),
 oa_b AS (SELECT DISTINCT {f}hash, number, street, unit, x, y FROM {src('oa_raw')} s),
 oa_a AS (SELECT *, {oa_addr} AS address FROM oa_b),
 oa_f AS (SELECT * FROM oa_a WHERE address IS NOT NULL AND address <> '0'),
-oa_g AS (SELECT {fk}x, y, number, street, count(hash) AS cnt, min(hash) AS mhash,
-  arg_min(address, hash) AS maddr FROM oa_f GROUP BY ALL),
-oa_one AS (SELECT {fk}mhash AS id, maddr AS address, x, y FROM oa_g WHERE cnt = 1
-  UNION ALL SELECT {fk}min(mhash) AS id, arg_min(maddr, mhash) AS address, x, y FROM oa_g WHERE cnt > 1
-  GROUP BY ALL),
-oa_conf AS (SELECT {f}'openaddresses' AS provider, id, NULL::VARCHAR AS classification, address,
-  NULL::DOUBLE AS height, NULL::INTEGER AS levels, x AS bx0, y AS by0, x AS bx1, y AS by1 FROM oa_one),
+oa_g AS (SELECT {fk}x, y, number, street, count(*) AS cnt, min({{'h': coalesce(hash, '~'), 'a': address}}) AS r FROM oa_f GROUP BY ALL),
+oa_one AS (SELECT {fk}r, x, y FROM oa_g WHERE cnt = 1
+  UNION ALL SELECT {fk}min(r) AS r, x, y FROM oa_g WHERE cnt > 1 GROUP BY ALL),
+oa_id AS (SELECT *, r.a AS address, nullif(r.h, '~') AS id FROM oa_one),
+oa_conf AS (SELECT {f}'openaddresses' AS provider, coalesce(id, {made_point_id('x', 'y', 'address')}) AS id, NULL::VARCHAR AS classification, address,
+  NULL::DOUBLE AS height, NULL::INTEGER AS levels, x AS bx0, y AS by0, x AS bx1, y AS by1 FROM oa_id),
 all_conf AS (SELECT * FROM osm_conf UNION ALL SELECT * FROM ms_conf UNION ALL SELECT * FROM usa_conf
   UNION ALL SELECT * FROM nad_conf UNION ALL SELECT * FROM oa_conf)"""
 
@@ -431,7 +441,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT s.state_fips, s.state_name, s.state_abbr, s.xmin, s.ymin, s.xmax, s.ymax, s.area, s.n_counties, "
         "s.area AS union_area, coalesce(f.n, 0)::BIGINT AS n_footprints FROM (SELECT substr(fips, 1, 2) AS state_fips, "
         "min(state_name) AS state_name, min(state_abbr) AS state_abbr, min(cx0) AS xmin, min(cy0) AS ymin, "
-        "max(cx1) AS xmax, max(cy1) AS ymax, sum(csize * csize)::DOUBLE AS area, count(*)::BIGINT AS n_counties "
+        "max(cx1) AS xmax, max(cy1) AS ymax, sum(csize * chigh)::DOUBLE AS area, count(*)::BIGINT AS n_counties "
         "FROM cty GROUP BY 1) s LEFT JOIN (SELECT substr(c.fips, 1, 2) AS state_fips, count(DISTINCT r.k) AS n "
         "FROM osm_raw r JOIN cty c ON r.bx0 <= c.cx1 AND c.cx0 <= r.bx1 AND r.by0 <= c.cy1 AND c.cy0 <= r.by1 "
         "GROUP BY 1) f ON s.state_fips = f.state_fips")
