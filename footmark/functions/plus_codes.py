@@ -50,25 +50,3 @@ def plus_code(lat: Column, lon: Column, length: int = 13) -> Column:
         pairs.append(_digit(F.floor(lon_p / F.lit(div)) % 20))
     code = F.concat(*pairs[:8], F.lit("+"), *pairs[8:], *grid_digits)
     return F.when(lat.isNotNull() & lon.isNotNull(), code)
-
-
-def plus_code_py(lat: float, lon: float, length: int = 13) -> str:
-    """Plain-Python twin of :func:`plus_code` (tests)."""
-    import math
-    grid = length - 10
-    lat = min(max(lat, -90.0), 90.0)
-    lat_v = min(math.floor((lat + 90) * LAT_CELLS_PER_DEGREE), 180 * LAT_CELLS_PER_DEGREE - 1)
-    lon_v = math.floor(((lon + 180) % 360) * LON_CELLS_PER_DEGREE)
-    lat_v //= 5 ** (MAX_GRID_DIGITS - grid)
-    lon_v //= 4 ** (MAX_GRID_DIGITS - grid)
-    g = ""
-    for _ in range(grid):
-        g = ALPHABET[(lat_v % 5) * 4 + lon_v % 4] + g
-        lat_v //= 5
-        lon_v //= 4
-    p = ""
-    for _ in range(5):
-        p = ALPHABET[lat_v % 20] + ALPHABET[lon_v % 20] + p
-        lat_v //= 20
-        lon_v //= 20
-    return p[:8] + "+" + p[8:] + g

@@ -75,23 +75,31 @@ def conflate_addresses(conformed: DataFrame, order=ADDRESS_ORDER,
 
 def conflate(conformed: DataFrame, footprint_order=FOOTPRINT_ORDER, address_order=ADDRESS_ORDER,
              materialize: Materialize = checkpoint, collapse_null_address: bool = False,
-             cell: float = DEFAULT_CELL, **kw):
+             cell: float = DEFAULT_CELL, multi: str | None = None, overlap: float | None = None,
+             address_distance: float = 10.0, merge_distance: float = 10.0):
     """Returns (entities, crossref, footprints) DataFrames.
 
+    ``overlap``: share of the smaller area above which footprints match; ``address_distance`` and
+    ``merge_distance``: metres below which addresses match each other and a footprint; ``multi``:
+    how several matches of one row are treated (see :func:`spatial_correspondence`).
+
     ``conformed`` is the stacked conformed layers (CONFORM + fips + provider,
     plus the box columns when present). The largest box side per provider is
     read once (one small aggregate) and fixes the grid levels of every join.
     Footprints are materialised once: they feed both the merge and the
     footprints table.
     """
+    same = {} if multi is None else {"multi": multi}
     extents = max_extents(conformed) if "xmax" in conformed.columns else None
-    footprints = materialize(conflate_footprints(conformed, footprint_order, materialize, extents, cell, **kw))
+    footprints = materialize(conflate_footprints(conformed, footprint_order, materialize, extents, cell, **same,
+                                                 **({} if overlap is None else {"threshold": overlap})))
     # the merge reads the addresses twice (pairs and anti join)
-    addresses = materialize(conflate_addresses(conformed, address_order, materialize, extents, cell, **kw))
-    lv = _levels(extents, address_order, footprint_order, cell, grow=10.0)
+    addresses = materialize(conflate_addresses(conformed, address_order, materialize, extents, cell,
+                                               threshold=address_distance, **same))
+    lv = _levels(extents, address_order, footprint_order, cell, grow=merge_distance)
     merged = materialize(merge_footprints_and_addresses(
         footprints, addresses, collapse_null_address=collapse_null_address, materialize=materialize,
-        cell=cell, levels=lv, **kw))
+        cell=cell, levels=lv, threshold=merge_distance))
     return entities_table(merged), crossref_table(merged), footprints_table(footprints)
 
 
@@ -104,9 +112,10 @@ def conflate_job(spark, input_dir: str, output: str, fips=None, **kw):
     from ..functions.geometry import with_bbox
     from ..sources.io import read_conformed, write_outputs
     conf = read_conformed(spark, f"{input_dir}/conform")
+    fips = None if fips is None else list(fips)
     if fips is not None:
-        conf = conf.filter(F.col("fips").isin(list(fips)))
+        conf = conf.filter(F.col("fips").isin(fips))
     conf = checkpoint(with_bbox(conf))
     ent, xref, fp = conflate(conf, **kw)
-    write_outputs(ent, xref, fp, output)
+    write_outputs(ent, xref, fp, output, fips)
     return ent, xref, fp

@@ -17,7 +17,8 @@ from ..operators.counties import county_index, mask_by_county
 from ..operators.spatial_join import ensure_bbox
 from ..providers import get_provider
 from ..providers.conform import to_conform
-from ..sources.io import existing_partitions, write_conformed
+from ..operators.correspondence import checkpoint
+from ..sources.io import existing_partitions, read_conformed, write_conformed
 
 
 def conform_layer(raw: DataFrame, provider: str, counties=None, source_epsg: int = 5070) -> DataFrame:
@@ -60,11 +61,27 @@ def conform_job(spark: SparkSession, read_raw: Callable[[str], DataFrame], provi
                 counties: DataFrame, output: str, fips: Iterable[str] | None = None) -> DataFrame:
     """Conform ``providers`` for the requested counties and write ``output/conform``.
 
-    Partitions (fips, provider) already present are left alone (S5).
+    Partitions (fips, provider) already present are left alone, and no work is done for them (S5):
+    each provider is masked only by the counties that it still lacks.
     """
-    df = conform_all({p: read_raw(p) for p in providers}, counties, fips)
-    done = existing_partitions(spark, f"{output}/conform")
-    if done is not None:
-        df = df.join(done, ["fips", "provider"], "left_anti")
-    write_conformed(df.drop("xmin", "ymin", "xmax", "ymax"), f"{output}/conform")
+    path = f"{output}/conform"
+    done = existing_partitions(spark, path)
+    if done is None:
+        df = conform_all({p: read_raw(p) for p in providers}, counties, fips)
+    else:
+        cs = counties if fips is None else counties.filter(F.col("fips").isin(list(fips)))
+        done = {tuple(r) for r in done.collect()}            # a row a county and provider
+        codes = [r[0] for r in cs.select("fips").collect()]  # the county reference layer
+        parts = []
+        for p in providers:
+            todo = [f for f in codes if (f, p) not in done]
+            if todo:
+                parts.append(conform_all({p: read_raw(p)}, cs, todo))
+        if not parts:
+            return read_conformed(spark, path).limit(0)
+        df = parts[0]
+        for part in parts[1:]:
+            df = df.unionByName(part, allowMissingColumns=True)
+    df = checkpoint(df)  # written below and returned: one computation
+    write_conformed(df.drop("xmin", "ymin", "xmax", "ymax"), path)
     return df

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
+from pyspark import SparkConf
+from pyspark.errors import AnalysisException, PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import SparkSession
 
 # Settings the library relies on. ANSI mode stays on (Spark 4 default); the
@@ -20,17 +23,25 @@ REQUIRED_CONF = {
     # Keep fips/provider partition values as strings ("06083" stays "06083").
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows with large polygons: bound the bytes of a batch, not only its rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "footmark") -> SparkSession:
-    """Build (or reuse) a session with the settings the library expects."""
-    master = master or os.environ.get("FOOTMARK_MASTER", "local[8]")
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Build (or reuse) a session with the settings the library expects.
+
+    A master or driver memory that spark-submit or the environment has set is left alone; without
+    any, the session is local.
+    """
+    given = SparkConf()
+    master = master or os.environ.get("FOOTMARK_MASTER") or given.get("spark.master", None)
+    builder = SparkSession.builder.master(master or "local[*]").appName(app_name)
     builder = builder.config("spark.ui.enabled", "false")
     builder = builder.config("spark.sql.session.timeZone", "UTC")
-    builder = builder.config("spark.driver.memory", os.environ.get("FOOTMARK_DRIVER_MEMORY", "16g"))
+    if (master or "local").startswith("local[") and not given.contains("spark.driver.memory"):
+        builder = builder.config("spark.driver.memory", os.environ.get("FOOTMARK_DRIVER_MEMORY", "16g"))
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in REQUIRED_CONF.items():
@@ -46,13 +57,14 @@ def configure(spark: SparkSession) -> SparkSession:
     for k, v in REQUIRED_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a running session; leave it
+        except AnalysisException:  # static conf on a running session; leave it
             pass
     try:
-        ensure_checkpoint_dir(spark)
-        ship_package(spark)
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext (Spark Connect)
-        pass
+        spark.sparkContext
+    except (PySparkAttributeError, PySparkNotImplementedError):  # Spark Connect
+        return spark
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -86,19 +98,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) is a scratch folder created.
+    as is. Only a local session (tests) that has none gets a scratch folder;
+    on a cluster executors could not share it, so there it is an error.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        try:
-            d = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:
-            d = None
+        d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = sc.getCheckpointDir()
     if not d:
-        # only for local runs and tests: the cluster names a shared folder
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="footmark-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.geometry import st_from_geojson, st_transform_to_5070
+from ..functions.geometry import st_transform_to_5070
+from .io import read_geojson
 
 
 def read_counties(spark: SparkSession, path: str, *, fips: str = "fips", name: str = "name",
@@ -20,17 +22,17 @@ def read_counties(spark: SparkSession, path: str, *, fips: str = "fips", name: s
     Geometry in degrees (``epsg=4326``) is projected to EPSG:5070; ``epsg=5070``
     keeps it. The fips code is read as text and zero-padded to 5 characters.
     """
-    raw = spark.read.option("primitivesAsString", "true").json(path)
-    props = "properties." if "properties" in raw.columns else ""
-    geom = st_from_geojson(F.to_json(F.col("geometry")))
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in dict.fromkeys((fips, name, state, abbr))])
+    raw = read_geojson(spark, path, fields)
+    geom = F.col("geometry")
     if epsg == 4326:
         geom = st_transform_to_5070(geom)
     elif epsg != 5070:
         raise ValueError(f"unsupported EPSG {epsg}")
     return raw.select(
-        F.lpad(F.col(f"{props}{fips}").cast("string"), 5, "0").alias("fips"),
-        F.col(f"{props}{name}").cast("string").alias("county_name"),
-        F.col(f"{props}{state}").cast("string").alias("state_name"),
-        F.col(f"{props}{abbr}").cast("string").alias("state_abbr"),
+        F.lpad(F.col(f"{fips}").cast("string"), 5, "0").alias("fips"),
+        F.col(f"{name}").cast("string").alias("county_name"),
+        F.col(f"{state}").cast("string").alias("state_name"),
+        F.col(f"{abbr}").cast("string").alias("state_abbr"),
         geom.alias("geometry"),
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,11 +20,7 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet",
     """
     r = spark.read
     if fmt == "geojson":
-        from ..functions.geometry import st_from_geojson
-        df = r.option("primitivesAsString", "true").json(path)
-        props = [F.col(f"properties.{f.name}").alias(f.name)
-                 for f in df.schema["properties"].dataType.fields] if "properties" in df.columns else []
-        return df.select(*props, st_from_geojson(F.to_json(F.col("geometry"))).alias(geometry))
+        return read_geojson(spark, path, schema, geometry)
     if schema is not None:
         r = r.schema(schema)
     if fmt == "parquet":
@@ -40,6 +34,28 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet",
     raise ValueError(f"unsupported format {fmt!r}")
 
 
+def read_geojson(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 geometry: str = "geometry") -> DataFrame:
+    """GeoJSON features, one a line, of any mix of geometry types.
+
+    The geometry is parsed from its own text, so that types with different nesting do not have to
+    share one inferred schema. ``schema`` gives the properties and their types (a field named as
+    the geometry column is skipped) and saves the pass that infers their names; without it all
+    properties are strings.
+    """
+    from ..functions.geometry import st_from_geojson
+    text = spark.read.text(path).filter(F.trim("value") != "")
+    if schema is None:
+        seen = spark.read.option("primitivesAsString", "true").json(path).schema
+        fields = [T.StructField(f.name, T.StringType()) for f in seen["properties"].dataType.fields] \
+            if "properties" in seen.names else []
+    else:
+        fields = [f for f in schema.fields if f.name != geometry]
+    props = F.from_json(F.get_json_object("value", "$.properties"), T.StructType(fields)) if fields else F.lit(None)
+    rows = text.select(props.alias("p"), F.get_json_object("value", "$.geometry").alias("g"))
+    return rows.select(*[F.col("p").getField(f.name).alias(f.name) for f in fields], st_from_geojson("g").alias(geometry))
+
+
 def write_conformed(df: DataFrame, path: str) -> None:
     """Zstd parquet partitioned by fips and provider (appends new partitions).
 
@@ -52,18 +68,19 @@ def write_conformed(df: DataFrame, path: str) -> None:
 
 def existing_partitions(spark: SparkSession, path: str) -> DataFrame | None:
     """The (fips, provider) partitions already written under ``path``."""
-    try:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(jpath):
-            return None
-    except Exception:
-        if not os.path.exists(path):
-            return None
-    try:
-        return read_conformed(spark, path).select("fips", "provider").distinct()
-    except Exception:
+    if not path_exists(spark, path):
         return None
+    return read_conformed(spark, path).select("fips", "provider").distinct()
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _hadoop(spark, path)
+    return fs.exists(jpath)
 
 
 def read_conformed(spark: SparkSession, path: str) -> DataFrame:
@@ -108,21 +125,35 @@ def footprints_table(footprints: DataFrame) -> DataFrame:
         .select("provider", "id", "geometry", *keys)
 
 
-def write_partitioned(df: DataFrame, path: str, sort_cols: list | None = None) -> None:
+def write_partitioned(df: DataFrame, path: str, sort_cols: list | None = None, fips=None) -> None:
     """Write one output table partitioned by fips (zstd), sorted within files.
 
+    Without ``fips`` the whole table is replaced. With it only these counties are: the others stay,
+    and of these the ones that have no rows any more are removed.
+
     The ``rebalance`` hint clusters rows by fips (few files per county) while
     adaptive execution splits a county too large for one task.
     """
     w = df.hint("rebalance", "fips")
     if sort_cols:
         w = w.sortWithinPartitions(*sort_cols)
-    w.write.mode("overwrite").option("compression", "zstd").partitionBy("fips").parquet(path)
-
-
-def write_outputs(entities: DataFrame, crossref: DataFrame, footprints: DataFrame, output: str) -> None:
-    """The three conflate tables under ``output/conflate``."""
-    write_partitioned(entities, f"{output}/conflate/entities")
+    out = w.write.mode("overwrite").option("compression", "zstd").partitionBy("fips")
+    if fips is None:
+        out.parquet(path)
+        return
+    spark = df.sparkSession
+    now = {r[0] for r in df.select("fips").distinct().collect()}  # at most the requested counties
+    out.option("partitionOverwriteMode", "dynamic").parquet(path)
+    for f in sorted(set(fips) - now):
+        fs, gone = _hadoop(spark, f"{path}/fips={f}")
+        fs.delete(gone, True)
+
+
+def write_outputs(entities: DataFrame, crossref: DataFrame, footprints: DataFrame, output: str,
+                  fips=None) -> None:
+    """The three conflate tables under ``output/conflate``; ``fips``: replace only these counties."""
+    fips = None if fips is None else list(fips)
+    write_partitioned(entities, f"{output}/conflate/entities", fips=fips)
     write_partitioned(crossref.withColumn("__r", provider_rank()), f"{output}/conflate/crossref",
-                      [F.asc_nulls_last("entity_id"), F.asc_nulls_last("__r")])
-    write_partitioned(footprints, f"{output}/conflate/footprints")
+                      [F.asc_nulls_last("entity_id"), F.asc_nulls_last("__r")], fips=fips)
+    write_partitioned(footprints, f"{output}/conflate/footprints", fips=fips)
