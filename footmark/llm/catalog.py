@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footmark.llm import (embedding_dedup, language_id, minhash_dedup, mixing, packing, quality_rff, secret_scan, topk_bitsliced,
-                          wavelet_shards)
+                          toxicity_chain, wavelet_shards)
 from footmark.llm.common import held_out_col
 
 
@@ -35,6 +35,12 @@ def op4_language_id(spark, sf_dir):
         .select(F.col("key").alias("doc_id"), held_out_col("key").alias("held_out"), "lang_pred", "score")
 
 
+def op5_toxicity(spark, sf_dir):
+    # the labels have one toxicity column; low quality is the chain's first link
+    chain = {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    return toxicity_chain.score_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), held_out_col(), chain)
+
+
 def op6_embedding_near_dedup(spark, sf_dir):
     return embedding_dedup.near_vectors(_read(spark, sf_dir, "embeddings"))
 
@@ -56,7 +62,7 @@ def op10_secret_scan(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_curve_packing, op4_language_id, op6_embedding_near_dedup,
+    f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_curve_packing, op4_language_id, op5_toxicity, op6_embedding_near_dedup,
                             op7_wavelet_tokens, op8_source_mixing, op9_quality, op10_secret_scan)
 }
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from footmark.llm import (bpe, embedding_dedup, language_id, minhash_dedup, mixing, packing, quality_rff, secret_scan, topk_bitsliced,
-                          wavelet_shards)
+                          toxicity_chain, wavelet_shards)
 from footmark.llm.common import held_out_col
 from footmark.llm.components import components
 
@@ -340,6 +340,38 @@ def test_quality(spark, docs):
     assert {r["score"] for r in quality_rff.score_quality(table, labels.limit(0), held_out_col()).collect()} == {0.5}
 
 
+def test_toxicity(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(500):
+        w = words(rng, EN, 50).split()
+        if i % 4 == 1:
+            w[rng.randrange(50)] = rng.choice(["Vile$$", "nasty!", "FOUL,"])
+        rows.append((i, " ".join(w), "clash"))
+    rows += [(900, None, ""), (901, "", ""), (902, "clean " * 30000, ""), (None, "vile", ""), (900, None, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, p_toxic string")
+    labels = spark.createDataFrame([(i, i % 2, int(i % 4 == 1)) for i in range(500)] + [(900, 1, None), (5, 1, 1)],
+                                   "doc_id long, quality int, toxic int")
+    chain = {"odd": F.col("quality") == 1, "toxic": F.col("toxic") == 1}
+    got = toxicity_chain.score_toxicity(table, labels, held_out_col(), chain).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] == r["p_toxic"] <= 1 and 0 <= r["p_odd"] <= 1 for r in got)
+    held = [r for r in got if r["held_out"] and r["doc_id"] is not None and r["doc_id"] < 500]
+    assert held and sum(r["predicted"] == int(r["doc_id"] % 4 == 1) for r in held) >= 0.97 * len(held)
+    assert {r["predicted"] for r in got if r["doc_id"] in (900, 901, 902)} == {0}
+    none = toxicity_chain.score_toxicity(table, labels.limit(0), held_out_col(), chain).collect()
+    assert {r["score"] for r in none} == {0.5}
+    assert toxicity_chain.score_toxicity(table.limit(0), labels, held_out_col(), chain).count() == 0
+
+
+def test_chain_uses_earlier_links():
+    rng = np.random.default_rng(0)
+    first = rng.random(600) < 0.4
+    sets = [np.unique(np.concatenate([rng.integers(100, 140, 8), [1] if f else [2]])).astype(np.int64) for f in first]
+    y = np.stack([first, first], axis=1).astype(int)
+    (w0, c0), (w1, c1) = toxicity_chain.fit_chain(sets, y, rng.integers(0, 3, 600))
+    assert 1 in w0 and len(c1) == len(w1) + 2 and c1[len(w1)] > 0  # the first link's odds count for the second
+
+
 def test_isotonic():
     fit = quality_rff.isotonic(np.array([0, 4, 4, 0, 4]), np.array([0, 2, 1, 0, 4]))
     assert (np.diff(fit) >= 0).all() and fit[1] == fit[2] == fit[0] and fit[4] > fit[2]
