@@ -228,23 +228,21 @@ def _seg_intersects(ax1, ay1, ax2, ay2, bx1, by1, bx2, by2):
     return (o1 * o2 <= 0) & (o3 * o4 <= 0) & box
 
 
-def _pair_product(ca: np.ndarray, cb: np.ndarray, max_rows: int = 2_000_000):
-    """Yield (pair_idx, ia_local, ib_local) chunks enumerating ca[i] x cb[i] per pair."""
-    tot = ca * cb
-    n = len(ca)
-    start = 0
-    while start < n:
-        c = np.cumsum(tot[start:])
-        stop = start + max(1, int(np.searchsorted(c, max_rows, side="right")))
-        stop = min(stop, n)
-        t = tot[start:stop]
-        T = int(t.sum())
-        if T:
-            p = np.repeat(np.arange(start, stop), t)
-            w = np.arange(T) - np.repeat(np.cumsum(t) - t, t)
-            cbp = cb[p]
-            yield p, w // cbp, w % cbp
-        start = stop
+def _pair_product(ca: np.ndarray, cb: np.ndarray, max_rows: int = 500_000):
+    """Yield (pair_idx, ia_local, ib_local) chunks enumerating ca[i] x cb[i] per pair.
+
+    A chunk holds at most ``max_rows`` combinations: a larger pair is cut by ranges of its product.
+    """
+    tot = (ca * cb).astype(np.int64)
+    end = np.cumsum(tot)
+    begin = end - tot
+    total = int(end[-1]) if len(end) else 0
+    for at in range(0, total, max_rows):
+        w = np.arange(at, min(at + max_rows, total))
+        p = np.searchsorted(end, w, side="right")
+        w -= begin[p]
+        cbp = cb[p]
+        yield p, w // cbp, w % cbp
 
 
 def _area_edges(g: Geoms):
@@ -285,7 +283,9 @@ def _contains_any(pa_: Geoms, pb: Geoms, ia: np.ndarray, ib: np.ndarray) -> np.n
     ex1, ey1, ex2, ey2, _, eoff = _area_edges(pb)
     nr = foff[1:][ia] - foff[:-1][ia]
     ne = eoff[1:][ib] - eoff[:-1][ib]
-    # enumerate (pair, ring) then (pair-ring, edge)
+    # crossings per (pair, ring), summed over the chunks: a large pair spans several
+    base = np.cumsum(nr) - nr
+    cnt = np.zeros(int(nr.sum()), np.int64)
     for p, rloc, eloc in _pair_product(nr, ne):
         r = foff[:-1][ia[p]] + rloc
         e = eoff[:-1][ib[p]] + eloc
@@ -296,12 +296,8 @@ def _contains_any(pa_: Geoms, pb: Geoms, ia: np.ndarray, ib: np.ndarray) -> np.n
         with np.errstate(invalid="ignore", divide="ignore"):
             xi = x1 + (py - y1) * (x2 - x1) / np.where(y2 != y1, y2 - y1, 1.0)
         hit = spans & (px < xi)
-        # parity per (pair, ring)
-        key = p * (int(nr.max()) + 1) + rloc
-        cnt = np.bincount(key, weights=hit.astype(float), minlength=int(key.max()) + 1 if len(key) else 0)
-        odd = (cnt % 2) == 1
-        pr = np.nonzero(odd)[0] // (int(nr.max()) + 1)
-        out[pr] = True
+        np.add.at(cnt, (base[p] + rloc)[hit], 1)
+    out[np.repeat(np.arange(m), nr)[cnt % 2 == 1]] = True
     return out
 
 
@@ -335,10 +331,19 @@ def distance_and_intersects(a: Geoms, b: Geoms):
     bx1, by1, bx2, by2, _, boff = _segments(b)
     ca = np.where(ok, aoff[1:] - aoff[:-1], 0)
     cb = np.where(ok, boff[1:] - boff[:-1], 0)
+    axl, axh, ayl, ayh = np.minimum(ax1, ax2), np.maximum(ax1, ax2), np.minimum(ay1, ay2), np.maximum(ay1, ay2)
+    bxl, bxh, byl, byh = np.minimum(bx1, bx2), np.maximum(bx1, bx2), np.minimum(by1, by2), np.maximum(by1, by2)
     best = np.full(n, np.inf)
     for p, ia, ib in _pair_product(ca, cb):
         i = aoff[:-1][p] + ia
         j = boff[:-1][p] + ib
+        # segments whose boxes are farther apart than the best so far can't improve it
+        gx = np.maximum(0.0, np.maximum(axl[i] - bxh[j], bxl[j] - axh[i]))
+        gy = np.maximum(0.0, np.maximum(ayl[i] - byh[j], byl[j] - ayh[i]))
+        near = (best[p] > 0) & (gx * gx + gy * gy <= best[p] * (1 + 1e-9))
+        if not near.any():
+            continue
+        p, i, j = p[near], i[near], j[near]
         hit = _seg_intersects(ax1[i], ay1[i], ax2[i], ay2[i], bx1[j], by1[j], bx2[j], by2[j])
         d2 = np.minimum(
             np.minimum(_pt_seg_dist2(ax1[i], ay1[i], bx1[j], by1[j], bx2[j], by2[j]),
@@ -360,100 +365,25 @@ def distance_and_intersects(a: Geoms, b: Geoms):
 # --------------------------------------------------------------------------- overlay
 
 
-def _slab_overlap(ea, eb, want_pieces: bool = False):
-    """Area of the intersection of two polygonal edge sets (one pair).
+#: (slab, edge) rows held at a time
+MAX_SPANS = 500_000
 
-    ``ea`` / ``eb``: (x1, y1, x2, y2) arrays of polygon-ring edges. The plane is
-    cut into horizontal slabs at every vertex y and every edge crossing y; in a
-    slab no edges cross, so the even-odd spans are trapezoids whose area is
-    height x width at mid-height. Returns (area, trapezoids or None).
-    """
-    ax1, ay1, ax2, ay2 = ea
-    bx1, by1, bx2, by2 = eb
-    if len(ax1) == 0 or len(bx1) == 0:
-        return 0.0, []
-    lo = max(min(ay1.min(), ay2.min()), min(by1.min(), by2.min()))
-    hi = min(max(ay1.max(), ay2.max()), max(by1.max(), by2.max()))
-    if not hi > lo:
-        return 0.0, []
-    ys = [ay1, ay2, by1, by2]
-    # proper crossings between a- and b-edges
-    I, J = np.meshgrid(np.arange(len(ax1)), np.arange(len(bx1)), indexing="ij")
-    I, J = I.ravel(), J.ravel()
-    X1, Y1, X2, Y2 = ax1[I], ay1[I], ax2[I], ay2[I]
-    U1, V1, U2, V2 = bx1[J], by1[J], bx2[J], by2[J]
-    den = (X2 - X1) * (V2 - V1) - (Y2 - Y1) * (U2 - U1)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        t = ((U1 - X1) * (V2 - V1) - (V1 - Y1) * (U2 - U1)) / den
-        s = ((U1 - X1) * (Y2 - Y1) - (V1 - Y1) * (X2 - X1)) / den
-    c = (den != 0) & (t > 0) & (t < 1) & (s > 0) & (s < 1)
-    if c.any():
-        ys.append(Y1[c] + t[c] * (Y2[c] - Y1[c]))
-    y = np.unique(np.concatenate(ys))
-    y = y[(y >= lo) & (y <= hi)]
-    if len(y) < 2:
-        return 0.0, []
-    yb, yt = y[:-1], y[1:]
-    ym = (yb + yt) / 2.0
-    h = yt - yb
 
-    def xs_at(x1, y1, x2, y2, yy):
-        spans = (np.minimum(y1, y2)[None, :] < yy[:, None]) & (np.maximum(y1, y2)[None, :] > yy[:, None])
-        with np.errstate(invalid="ignore", divide="ignore"):
-            x = x1[None, :] + (yy[:, None] - y1[None, :]) * ((x2 - x1) / np.where(y2 != y1, y2 - y1, 1.0))[None, :]
-        return np.where(spans, x, np.inf), spans
-
-    XA, SA = xs_at(ax1, ay1, ax2, ay2, ym)
-    XB, SB = xs_at(bx1, by1, bx2, by2, ym)
-    X = np.concatenate([XA, XB], axis=1)
-    lab = np.concatenate([np.zeros(XA.shape[1], np.int8), np.ones(XB.shape[1], np.int8)])
-    order = np.argsort(X, axis=1, kind="stable")
-    Xs = np.take_along_axis(X, order, axis=1)
-    L = lab[order]
-    fin = np.isfinite(Xs)
-    cA = np.cumsum((L == 0) & fin, axis=1)
-    cB = np.cumsum((L == 1) & fin, axis=1)
-    inside = ((cA[:, :-1] % 2) == 1) & ((cB[:, :-1] % 2) == 1) & fin[:, 1:]
-    with np.errstate(invalid="ignore"):
-        width = np.where(inside, Xs[:, 1:] - Xs[:, :-1], 0.0)
-    total = float((width.sum(axis=1) * h).sum())
-    pieces = []
-    if want_pieces and inside.any():
-        # edge ids along the sorted order to evaluate x at the slab bottom/top
-        allx1 = np.concatenate([ax1, bx1])
-        ally1 = np.concatenate([ay1, by1])
-        allx2 = np.concatenate([ax2, bx2])
-        ally2 = np.concatenate([ay2, by2])
-        for k, j in zip(*np.nonzero(inside)):
-            e0, e1 = order[k, j], order[k, j + 1]
-
-            def xat(e, yy):
-                return allx1[e] + (yy - ally1[e]) * (allx2[e] - allx1[e]) / (ally2[e] - ally1[e])
-            pieces.append([(xat(e0, yb[k]), yb[k]), (xat(e1, yb[k]), yb[k]),
-                           (xat(e1, yt[k]), yt[k]), (xat(e0, yt[k]), yt[k])])
-    return total, pieces
-
-
-def _local_product(counts_a: np.ndarray, counts_b: np.ndarray):
-    """For groups g with counts_a[g] x counts_b[g] combinations: (group, ia_local, ib_local)."""
-    tot = counts_a * counts_b
-    T = int(tot.sum())
-    if T == 0:
-        z = np.zeros(0, np.int64)
-        return z, z, z
-    grp = np.repeat(np.arange(len(tot)), tot)
-    w = np.arange(T) - np.repeat(np.cumsum(tot) - tot, tot)
-    cb = counts_b[grp]
-    return grp, w // cb, w % cb
-
-
-def _slab_overlap_vec(A, B, pairs: np.ndarray) -> np.ndarray:
-    """Vectorised slab overlap: intersection area for every pair index in ``pairs``.
+def _no_pieces():
+    return np.zeros(0, np.int64), np.zeros((0, 5, 2))
+
+
+def _slab_overlap(A, B, pairs: np.ndarray, want_pieces: bool = False):
+    """Slab overlap: (intersection area, pieces) for every pair index in ``pairs``.
 
     ``A`` / ``B`` are (x1, y1, x2, y2, geom_off) polygon-edge tables; pair i
-    intersects geometry i of A with geometry i of B. Same rule as
-    :func:`_slab_overlap`, evaluated for all pairs at once with sort-based
-    grouping (no per-pair Python loop).
+    intersects geometry i of A with geometry i of B. The plane is cut into
+    horizontal slabs at every vertex y and every edge crossing y; in a slab no
+    edges cross, so the even-odd spans are trapezoids whose area is height x
+    width at mid-height. All pairs are evaluated at once with sort-based
+    grouping (no per-pair Python loop); a slab only sees the edges that span it.
+
+    pieces: (position in ``pairs``, closed trapezoid rings) when wanted, else empty.
     """
     out = np.zeros(len(pairs), np.float64)
     ax1, ay1, ax2, ay2, aoff = A
@@ -461,11 +391,13 @@ def _slab_overlap_vec(A, B, pairs: np.ndarray) -> np.ndarray:
     # a side without polygon edges (point, line) has no area to share
     has = ((aoff[1:][pairs] - aoff[:-1][pairs]) > 0) & ((boff[1:][pairs] - boff[:-1][pairs]) > 0)
     if not has.all():
+        pieces = _no_pieces()
         if has.any():
-            out[has] = _slab_overlap_vec(A, B, pairs[has])
-        return out
+            out[has], (owner, rings) = _slab_overlap(A, B, pairs[has], want_pieces)
+            pieces = np.nonzero(has)[0][owner], rings
+        return out, pieces
     if len(pairs) == 0:
-        return out
+        return out, _no_pieces()
     na = aoff[1:][pairs] - aoff[:-1][pairs]
     nb = boff[1:][pairs] - boff[:-1][pairs]
     P = len(pairs)
@@ -497,11 +429,17 @@ def _slab_overlap_vec(A, B, pairs: np.ndarray) -> np.ndarray:
     # break points: vertex ys and proper crossings between A and B edges of the pair
     ys_p = [EP, EP]
     ys_v = [EY1, EY2]
-    g, i, j = _local_product(na, nb)
-    if len(g):
-        # positions of the A- and B-edges inside the per-pair sorted edge table
-        pa_ = eoff[:-1][g] + i            # A edges come first within each pair (stable sort)
-        pb_ = eoff[:-1][g] + na[g] + j
+    # (only edges that reach the common y-range can cross there)
+    reach = (ymax_e > lo[EP]) & (ymin_e < hi[EP])
+    ra, rb = np.nonzero(reach & isA)[0], np.nonzero(reach & ~isA)[0]
+    ka, kb = np.bincount(EP[ra], minlength=P), np.bincount(EP[rb], minlength=P)
+    oa, ob = np.cumsum(ka) - ka, np.cumsum(kb) - kb
+    for g, i, j in _pair_product(ka, kb):
+        pa_, pb_ = ra[oa[g] + i], rb[ob[g] + j]
+        near = (np.minimum(EX1[pa_], EX2[pa_]) <= np.maximum(EX1[pb_], EX2[pb_])) & \
+            (np.minimum(EX1[pb_], EX2[pb_]) <= np.maximum(EX1[pa_], EX2[pa_])) & \
+            (ymin_e[pa_] <= ymax_e[pb_]) & (ymin_e[pb_] <= ymax_e[pa_])
+        g, pa_, pb_ = g[near], pa_[near], pb_[near]
         X1, Y1, X2, Y2 = EX1[pa_], EY1[pa_], EX2[pa_], EY2[pa_]
         U1, V1, U2, V2 = EX1[pb_], EY1[pb_], EX2[pb_], EY2[pb_]
         den = (X2 - X1) * (V2 - V1) - (Y2 - Y1) * (U2 - U1)
@@ -515,6 +453,8 @@ def _slab_overlap_vec(A, B, pairs: np.ndarray) -> np.ndarray:
     yv = np.concatenate(ys_v)
     keep = (yv >= lo[yp]) & (yv <= hi[yp])
     yp, yv = yp[keep], yv[keep]
+    if len(yp) == 0:
+        return out, _no_pieces()
     o = np.lexsort((yv, yp))
     yp, yv = yp[o], yv[o]
     first = np.r_[True, (yp[1:] != yp[:-1]) | (yv[1:] != yv[:-1])]
@@ -524,38 +464,59 @@ def _slab_overlap_vec(A, B, pairs: np.ndarray) -> np.ndarray:
     sp = yp[:-1][same]
     yb, yt = yv[:-1][same], yv[1:][same]
     if len(sp) == 0:
-        return out
+        return out, _no_pieces()
     ym = (yb + yt) / 2.0
     h = yt - yb
-    ns = np.bincount(sp, minlength=P)
-    soff = np.concatenate([[0], np.cumsum(ns)])
-    # every (slab, edge) of the same pair; keep the edges spanning the slab
-    g2, si, ei = _local_product(ns, ne)
-    if len(g2) == 0:
-        return out
-    s_id = soff[:-1][g2] + si
-    e_id = eoff[:-1][g2] + ei
-    y = ym[s_id]
-    spans = (ymin_e[e_id] < y) & (ymax_e[e_id] > y)
-    s_id, e_id, y = s_id[spans], e_id[spans], y[spans]
-    x = EX1[e_id] + (y - EY1[e_id]) * (EX2[e_id] - EX1[e_id]) / (EY2[e_id] - EY1[e_id])
-    lab = EL[e_id]
-    o = np.lexsort((x, s_id))
-    s_id, x, lab = s_id[o], x[o], lab[o]
-    # parity of A and B crossings to the left of each gap, per slab
-    start = np.r_[True, s_id[1:] != s_id[:-1]]
-    grp_start = np.maximum.accumulate(np.where(start, np.arange(len(s_id)), 0))
-    ca = np.cumsum(lab == 0)
-    cb = np.cumsum(lab == 1)
-    ca0 = (ca - (lab == 0))[grp_start]
-    cb0 = (cb - (lab == 1))[grp_start]
-    ina = ((ca - ca0) % 2 == 1)
-    inb = ((cb - cb0) % 2 == 1)
-    gap = s_id[1:] == s_id[:-1]
-    both = gap & ina[:-1] & inb[:-1]
-    width = np.where(both, x[1:] - x[:-1], 0.0)
-    per_slab = np.bincount(s_id[:-1], weights=width, minlength=len(sp))
-    return np.bincount(sp, weights=per_slab * h, minlength=P)[:P]
+    # the slabs that each edge spans: a range, since its ends (cut to lo..hi) are break points
+    e_lo, e_hi = np.maximum(ymin_e, lo[EP]), np.minimum(ymax_e, hi[EP])
+    levels = np.unique(yv)
+    key = yp * len(levels) + np.searchsorted(levels, yv)
+    slab_of = np.cumsum(np.r_[same, False]) - np.r_[same, False]  # break point -> slab that starts there
+    edge = np.nonzero(e_hi > e_lo)[0]
+    first_pt = np.searchsorted(key, EP[edge] * len(levels) + np.searchsorted(levels, e_lo[edge]))
+    last_pt = np.searchsorted(key, EP[edge] * len(levels) + np.searchsorted(levels, e_hi[edge]))
+    from_slab = slab_of[first_pt]
+    to_slab = from_slab + (last_pt - first_pt)
+    # blocks of slabs with a bounded number of spans
+    depth = np.cumsum(np.bincount(from_slab, minlength=len(sp) + 1) - np.bincount(to_slab, minlength=len(sp) + 1))
+    block = np.cumsum(depth[:-1]) // MAX_SPANS
+    cuts = np.r_[0, np.flatnonzero(np.diff(block)) + 1, len(sp)]
+    owner, rings = [], []
+    for u, v in zip(cuts[:-1], cuts[1:]):
+        here = np.nonzero((from_slab < v) & (to_slab > u))[0]
+        f, n_sp = np.maximum(from_slab[here], u), np.minimum(to_slab[here], v) - np.maximum(from_slab[here], u)
+        e_id = np.repeat(edge[here], n_sp)
+        s_id = np.repeat(f, n_sp) + (np.arange(len(e_id)) - np.repeat(np.cumsum(n_sp) - n_sp, n_sp))
+        y = ym[s_id]
+        spans = (ymin_e[e_id] < y) & (ymax_e[e_id] > y)  # rounding of the middle of a thin slab
+        s_id, e_id, y = s_id[spans], e_id[spans], y[spans]
+        if len(s_id) == 0:
+            continue
+        x = EX1[e_id] + (y - EY1[e_id]) * (EX2[e_id] - EX1[e_id]) / (EY2[e_id] - EY1[e_id])
+        lab = EL[e_id]
+        o = np.lexsort((x, s_id))
+        s_id, x, lab, e_id = s_id[o], x[o], lab[o], e_id[o]
+        # parity of A and B crossings to the left of each gap, per slab
+        start = np.r_[True, s_id[1:] != s_id[:-1]]
+        grp_start = np.maximum.accumulate(np.where(start, np.arange(len(s_id)), 0))
+        ca = np.cumsum(lab == 0)
+        cb = np.cumsum(lab == 1)
+        ina = (ca - (ca - (lab == 0))[grp_start]) % 2 == 1
+        inb = (cb - (cb - (lab == 1))[grp_start]) % 2 == 1
+        k = np.nonzero(~start[1:] & ina[:-1] & inb[:-1])[0]
+        out += np.bincount(sp[s_id[k]], weights=(x[k + 1] - x[k]) * h[s_id[k]], minlength=P)
+        if want_pieces:
+            bot, top = yb[s_id[k]], yt[s_id[k]]
+
+            def corner(e, at):
+                px = EX1[e] + (at - EY1[e]) * (EX2[e] - EX1[e]) / (EY2[e] - EY1[e])
+                return np.stack([px + rx[e], at + ry[e]], axis=1)
+
+            e0, e1 = e_id[k], e_id[k + 1]
+            first = corner(e0, bot)
+            owner.append(sp[s_id[k]])
+            rings.append(np.stack([first, corner(e1, bot), corner(e1, top), corner(e0, top), first], axis=1))
+    return out, ((np.concatenate(owner), np.concatenate(rings)) if rings else _no_pieces())
 
 
 def _group_reduce(v, grp, mask, n, ufunc, fill):
@@ -591,22 +552,21 @@ def intersection_area(a: Geoms, b: Geoms) -> np.ndarray:
         w = np.maximum(0.0, np.minimum(axmax, bxmax) - np.maximum(axmin, bxmin))
         h = np.maximum(0.0, np.minimum(aymax, bymax) - np.maximum(aymin, bymin))
         out[both] = (w * h)[both]
-    rest = np.nonzero(ok & ~both)[0]
-    if len(rest):
-        A = _edges_by_geom(a)
-        B = _edges_by_geom(b)
-        # bounded memory: pairs in chunks by their edge-product size
-        cost = ((A[4][1:] - A[4][:-1]) + (B[4][1:] - B[4][:-1]))[rest] ** 2
-        start = 0
-        while start < len(rest):
-            c = np.cumsum(cost[start:])
-            stop = start + max(1, int(np.searchsorted(c, 4_000_000, side="right")))
-            idx = rest[start:stop]
-            out[idx] = _slab_overlap_vec(A, B, idx)
-            start = stop
+    for idx, area, _ in _overlaps(a, b, np.nonzero(ok & ~both)[0]):
+        out[idx] = area
     return out
 
 
+def _overlaps(a: Geoms, b: Geoms, rest: np.ndarray, want_pieces: bool = False):
+    """Yield (pair indices, areas, pieces) of ``rest`` in chunks by their number of edges."""
+    if len(rest) == 0:
+        return
+    A, B = _edges_by_geom(a), _edges_by_geom(b)
+    chunk = np.cumsum(((A[4][1:] - A[4][:-1]) + (B[4][1:] - B[4][:-1]))[rest]) // 200_000
+    for idx in np.split(rest, np.flatnonzero(np.diff(chunk)) + 1):
+        yield idx, *_slab_overlap(A, B, idx, want_pieces)
+
+
 def intersection_parts(a: Geoms, b: Geoms):
     """Pairwise intersection as a list of polygons (each a list of rings) or None.
 
@@ -620,23 +580,16 @@ def intersection_parts(a: Geoms, b: Geoms):
     ra, rb = is_rectangle(a), is_rectangle(b)
     axmin, aymin, axmax, aymax = bbox(a)
     bxmin, bymin, bxmax, bymax = bbox(b)
-    A = _edges_by_geom(a)
-    B = _edges_by_geom(b)
-    for i in range(n):
-        if not ok[i]:
-            if (a.empty[i] or a.valid[i]) and (b.empty[i] or b.valid[i]):
-                res[i] = []
-            continue
-        if ra[i] and rb[i]:
-            x0, x1 = max(axmin[i], bxmin[i]), min(axmax[i], bxmax[i])
-            y0, y1 = max(aymin[i], bymin[i]), min(aymax[i], bymax[i])
-            res[i] = [[[(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]]] if (x1 > x0 and y1 > y0) else []
-            continue
-        sa = slice(A[4][i], A[4][i + 1])
-        sb = slice(B[4][i], B[4][i + 1])
-        _, pieces = _slab_overlap((A[0][sa], A[1][sa], A[2][sa], A[3][sa]),
-                                  (B[0][sb], B[1][sb], B[2][sb], B[3][sb]), want_pieces=True)
-        res[i] = [[p + [p[0]]] for p in pieces]
+    for i in np.nonzero((a.empty | a.valid) & (b.empty | b.valid))[0]:
+        res[i] = []
+    both = ok & ra & rb
+    x0, x1 = np.maximum(axmin, bxmin), np.minimum(axmax, bxmax)
+    y0, y1 = np.maximum(aymin, bymin), np.minimum(aymax, bymax)
+    for i in np.nonzero(both & (x1 > x0) & (y1 > y0))[0]:
+        res[i] = [[[(x0[i], y0[i]), (x1[i], y0[i]), (x1[i], y1[i]), (x0[i], y1[i]), (x0[i], y0[i])]]]
+    for idx, _, (owner, rings) in _overlaps(a, b, np.nonzero(ok & ~both)[0], want_pieces=True):
+        for i, ring in zip(idx[owner], rings):
+            res[i].append([ring])
     return res
 
 

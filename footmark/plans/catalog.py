@@ -26,7 +26,7 @@ from ..providers import get_provider
 from ..providers.conform import to_conform
 from ..session import configure
 from ..sources import fixtures as fx
-from .conflate import conflate, conflate_addresses, conflate_footprints, provider_counts
+from .conflate import conflate, conflate_addresses, conflate_footprints, grid_levels, provider_counts
 from .conform import conform_all
 
 
@@ -393,9 +393,8 @@ def j7_address_correspondence(spark, sf):
 
 def j7_footprint_fold(spark, sf):
     _start(spark)
-    from ..operators.spatial_join import max_extents
     conf = conformed_checkpoint(spark, sf)
-    return _corr_out(conflate_footprints(conf, extents=max_extents(conf)))
+    return _corr_out(conflate_footprints(conf, occupied=grid_levels(conf)))
 
 
 def _entities_out(df: DataFrame) -> DataFrame:
@@ -406,13 +405,12 @@ def _entities_out(df: DataFrame) -> DataFrame:
 
 def j8_merge(spark, sf):
     _start(spark)
-    from ..operators.spatial_join import max_extents
     from .conflate import ADDRESS_ORDER, FOOTPRINT_ORDER, _levels
     conf = conformed_checkpoint(spark, sf)
-    ext = max_extents(conf)
-    fp = checkpoint(conflate_footprints(conf, extents=ext))
-    ad = checkpoint(conflate_addresses(conf, extents=ext))
-    lv = _levels(ext, ADDRESS_ORDER, FOOTPRINT_ORDER, 50.0, grow=10.0)
+    occ = grid_levels(conf)
+    fp = checkpoint(conflate_footprints(conf, occupied=occ))
+    ad = checkpoint(conflate_addresses(conf, occupied=occ))
+    lv = _levels(occ, ADDRESS_ORDER, FOOTPRINT_ORDER, 10.0)
     return _entities_out(merge_footprints_and_addresses(fp, ad, levels=lv))
 
 

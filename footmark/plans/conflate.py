@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.correspondence import (Materialize, checkpoint, fold_correspondence,
                                         merge_footprints_and_addresses, spatial_correspondence)
-from ..operators.spatial_join import DEFAULT_CELL, level_for_extent, max_extents
+from ..operators.spatial_join import DEFAULT_CELL, occupied_levels
 from ..sources.io import crossref_table, entities_table, footprints_table
 
 FOOTPRINT_ORDER = ("openstreetmap", "microsoft", "usa_structures")
@@ -30,44 +30,45 @@ def layer(conformed: DataFrame, provider: str) -> DataFrame:
     return conformed.filter(F.col("provider") == provider)
 
 
-def _ext(extents: dict | None, providers) -> float | None:
-    if extents is None:
-        return None
-    vals = [extents.get(p) for p in providers if extents.get(p) is not None]
-    return max(vals) if vals else 0.0
+def grid_levels(conformed: DataFrame, grows=(0.0, 10.0), cell: float = DEFAULT_CELL) -> dict | None:
+    """Occupied grid levels per provider and growth of its boxes, for every join of a conflation."""
+    return occupied_levels(conformed, tuple(dict.fromkeys(grows)), cell=cell) if "xmax" in conformed.columns else None
 
 
-def _levels(extents, left_providers, right_providers, cell, grow=0.0):
-    """Top grid levels (left, right) from per-provider box extents; None = read from data."""
-    if extents is None:
+def _levels(occupied: dict | None, left_providers, right_providers, grow: float = 0.0):
+    """Levels of (left, right) from :func:`grid_levels`; None = read from the data."""
+    if occupied is None:
         return None
-    return (level_for_extent(_ext(extents, left_providers), cell, grow),
-            level_for_extent(_ext(extents, right_providers), cell))
+
+    def of(providers, g):
+        return frozenset().union(*[occupied[g].get(p, frozenset()) for p in providers])
+
+    return of(left_providers, grow), of(right_providers, 0.0)
 
 
 def conflate_footprints(conformed: DataFrame, order=FOOTPRINT_ORDER,
-                        materialize: Materialize = checkpoint, extents: dict | None = None,
+                        materialize: Materialize = checkpoint, occupied: dict | None = None,
                         cell: float = DEFAULT_CELL, **kw) -> DataFrame:
     """J7 fold over the footprint layers: ((osm ← microsoft) ← usa_structures)."""
     acc = layer(conformed, order[0])
     for i, p in enumerate(order[1:], start=1):
         if i > 1:
             acc = materialize(acc)   # the next step reads it twice (pairs and anti join)
-        lv = _levels(extents, order[:i], [p], cell)
+        lv = _levels(occupied, order[:i], [p])
         acc = spatial_correspondence(acc, layer(conformed, p), materialize=materialize, cell=cell,
                                      levels=lv, **kw)
     return acc
 
 
 def conflate_addresses(conformed: DataFrame, order=ADDRESS_ORDER,
-                       materialize: Materialize = checkpoint, extents: dict | None = None,
+                       materialize: Materialize = checkpoint, occupied: dict | None = None,
                        cell: float = DEFAULT_CELL, threshold: float = 10.0, **kw) -> DataFrame:
     """J7 by distance over the address layers: nad ← openaddresses."""
     acc = layer(conformed, order[0])
     for i, p in enumerate(order[1:], start=1):
         if i > 1:
             acc = materialize(acc)
-        lv = _levels(extents, order[:i], [p], cell, grow=threshold)
+        lv = _levels(occupied, order[:i], [p], threshold)
         acc = spatial_correspondence(acc, layer(conformed, p), use_distance=True, threshold=threshold,
                                      materialize=materialize, cell=cell, levels=lv, **kw)
     return acc
@@ -84,19 +85,19 @@ def conflate(conformed: DataFrame, footprint_order=FOOTPRINT_ORDER, address_orde
     how several matches of one row are treated (see :func:`spatial_correspondence`).
 
     ``conformed`` is the stacked conformed layers (CONFORM + fips + provider,
-    plus the box columns when present). The largest box side per provider is
-    read once (one small aggregate) and fixes the grid levels of every join.
+    plus the box columns when present). The grid levels that occur per provider are
+    read once (one small aggregate) and serve every join.
     Footprints are materialised once: they feed both the merge and the
     footprints table.
     """
     same = {} if multi is None else {"multi": multi}
-    extents = max_extents(conformed) if "xmax" in conformed.columns else None
-    footprints = materialize(conflate_footprints(conformed, footprint_order, materialize, extents, cell, **same,
+    occupied = grid_levels(conformed, (0.0, float(address_distance), float(merge_distance)), cell)
+    footprints = materialize(conflate_footprints(conformed, footprint_order, materialize, occupied, cell, **same,
                                                  **({} if overlap is None else {"threshold": overlap})))
     # the merge reads the addresses twice (pairs and anti join)
-    addresses = materialize(conflate_addresses(conformed, address_order, materialize, extents, cell,
+    addresses = materialize(conflate_addresses(conformed, address_order, materialize, occupied, cell,
                                                threshold=address_distance, **same))
-    lv = _levels(extents, address_order, footprint_order, cell, grow=merge_distance)
+    lv = _levels(occupied, address_order, footprint_order, merge_distance)
     merged = materialize(merge_footprints_and_addresses(
         footprints, addresses, collapse_null_address=collapse_null_address, materialize=materialize,
         cell=cell, levels=lv, threshold=merge_distance))

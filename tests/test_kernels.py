@@ -159,12 +159,29 @@ def test_vectorised_overlap_matches_per_pair():
         lb.append(W.wkb_polygon([rect + c + rng.uniform(-3, 3, 2)]))
     a, b = dec(*la), dec(*lb)
     got = K.intersection_area(a, b)
-    A, B = K._edges_by_geom(a), K._edges_by_geom(b)
-    for i in range(len(la)):
-        sa, sb = slice(A[4][i], A[4][i + 1]), slice(B[4][i], B[4][i + 1])
-        want, _ = K._slab_overlap((A[0][sa], A[1][sa], A[2][sa], A[3][sa]),
-                                  (B[0][sb], B[1][sb], B[2][sb], B[3][sb]))
-        assert got[i] == pytest.approx(want, abs=1e-9)
+    for i in range(len(la)):  # alone, and as the sum of its pieces
+        assert got[i] == pytest.approx(K.intersection_area(dec(la[i]), dec(lb[i]))[0], abs=1e-9)
+    pieces = K.intersection_parts(a, b)
+    for i, ps in enumerate(pieces):
+        total = sum(K.area(dec(W.wkb_polygon(p)))[0] for p in ps)
+        assert got[i] == pytest.approx(total, abs=1e-9)
+
+
+def test_large_pairs_are_cut_into_blocks(monkeypatch):
+    # a regular polygon of 3,000 corners against a square through its centre: a quarter of it
+    t = np.linspace(0, 2 * np.pi, 3000, endpoint=False)
+    disc = W.wkb_polygon([100 * np.c_[np.cos(t), np.sin(t)]])
+    square = W.wkb_polygon([[(0, 0), (0.1, 150), (150, 150), (150, 0.1)]])
+    a, b = dec(disc, square), dec(square, disc)
+    whole = K.intersection_area(a, b)
+    near = K.distance_and_intersects(a, b)
+    monkeypatch.setattr(K, "MAX_SPANS", 100)
+    product = K._pair_product
+    monkeypatch.setattr(K, "_pair_product", lambda x, y: product(x, y, 97))
+    small = K.intersection_area(a, b)
+    assert small == pytest.approx(whole, rel=1e-12)
+    assert whole[0] == pytest.approx(np.pi * 2500, rel=2e-3)
+    assert all(np.array_equal(p, q) for p, q in zip(near, K.distance_and_intersects(a, b)))
 
 
 def test_fast_decode_matches_per_value_parser():

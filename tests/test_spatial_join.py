@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from footmark.functions import wkb as W
-from footmark.operators.spatial_join import dwithin_join, intersects_join
+from footmark.functions.geometry import with_bbox
+from footmark.operators.spatial_join import (_cells, _grown, _level, _levels_of, dwithin_join, intersects_join,
+                                             salts, suffixed)
 
 
 def layer(spark, rng, n, big=0, prefix="a"):
@@ -88,3 +90,26 @@ def test_hot_cell_keeps_every_pair(spark):
                                ("b2", W.wkb_point(10.0, 21.0))], "id string, geometry binary")
     got = dwithin_join(A, B, 10.0).groupBy("id_right").count().orderBy("id_right").collect()
     assert [(r[0], r[1]) for r in got] == [("b0", 300), ("b1", 300)]
+
+
+def test_outlier_costs_one_salted_row_each(spark):
+    # one shape of 1,000 km above 4,000 small ones: an up row each on its level only, spread over slots
+    rng = np.random.default_rng(5)
+    pts = [(f"p{i}", W.wkb_point(*rng.uniform(0, 20_000, 2))) for i in range(4000)]
+    huge = W.wkb_polygon([[(-5e5, -5e5), (5e5, -5e5), (5e5, 5e5), (-5e5, 5e5)]])
+    A = spark.createDataFrame(pts, "id string, geometry binary")
+    B = spark.createDataFrame([("huge", huge)] + [(f"b{i}", g) for i, (_, g) in enumerate(pts[:50])],
+                              "id string, geometry binary")
+    got = intersects_join(A, B).groupBy("id_right").count().collect()
+    n = {r[0]: r[1] for r in got}
+    assert n.pop("huge") == 4000 and set(n.values()) == {1} and len(n) == 50
+
+    L = suffixed(with_bbox(A), "_left").withColumn("__lhome", _level(*_grown("_left", 0.0), 50.0))
+    R = suffixed(with_bbox(B), "_right").withColumn("__rhome", _level(*_grown("_right", 0.0), 50.0))
+    llv, rlv = _levels_of(L, R)
+    assert llv == {0} and len(rlv) == 2
+    rows = L.select(F.explode(_cells(_grown("_left", 0.0), F.col("__lhome"), llv, rlv, 1, 50.0)).alias("c"))
+    per_key = [r["count"] for r in rows.groupBy("c").count().collect()]
+    assert sum(per_key) == 2 * 4000
+    # the outlier's corner cells hold all points; no slot holds more than about its share
+    assert max(per_key) <= 2 * 4000 / salts(max(rlv), 0)
