@@ -88,15 +88,12 @@ class _Bad(Exception):
 
 def _parse_one(buf: bytes, rings: list, gi: int, poly_counter: list) -> int:
     """Parse one WKB value into ``rings`` (list of (xy, kind, poly)). Returns type."""
-    pos = 0
-
-    def geom(pos, depth):
-        if depth > 8 or pos + 5 > len(buf):
-            raise _Bad()
-        order = buf[pos]
-        if order not in (0, 1):
+    pos, first, pending = 0, None, 1
+    while pending:  # a collection only adds its members: no recursion, any nesting
+        pending -= 1
+        if pos + 5 > len(buf) or buf[pos] not in (0, 1):
             raise _Bad()
-        e = "<" if order == 1 else ">"
+        e = "<" if buf[pos] == 1 else ">"
         (code,) = struct.unpack_from(e + "I", buf, pos + 1)
         pos += 5
         has_z = bool(code & 0x80000000)
@@ -106,15 +103,12 @@ def _parse_one(buf: bytes, rings: list, gi: int, poly_counter: list) -> int:
         code &= 0x0FFFFFFF
         base = code % 1000
         dim_kind = code // 1000
-        if dim_kind == 1:
-            has_z = True
-        elif dim_kind == 2:
-            has_m = True
-        elif dim_kind == 3:
-            has_z = has_m = True
-        elif dim_kind != 0:
+        if dim_kind > 3:
             raise _Bad()
+        has_z |= dim_kind in (1, 3)
+        has_m |= dim_kind in (2, 3)
         nd = 2 + has_z + has_m
+        first = base if first is None else first
 
         def coords(pos, k):
             end = pos + 8 * nd * k
@@ -153,14 +147,65 @@ def _parse_one(buf: bytes, rings: list, gi: int, poly_counter: list) -> int:
                 rings.append((a, K_SHELL if r == 0 else K_HOLE, pid))
         elif base in (MULTIPOINT, MULTILINESTRING, MULTIPOLYGON, COLLECTION):
             k, pos = count(pos)
-            for _ in range(k):
-                _, pos = geom(pos, depth + 1)
+            pending += k
         else:
             raise _Bad()
-        return base, pos
+    return first
+
 
-    base, _ = geom(pos, 0)
-    return base
+def _walk_polygons(data: np.ndarray, start: np.ndarray, end: np.ndarray, multi: np.ndarray, u32):
+    """Rings of plain (multi)polygons: (value, part, ring number, first byte, points, decoded values).
+
+    All values advance by one ring a step; those that are done or not plain (other byte order or
+    dimensions, empty parts, open or short rings, truncated) leave the walk. The latter are left to
+    the per-value parser. Rings come in the order of their number within the value.
+    """
+    m = len(start)
+    alive = np.ones(m, bool)
+    pos = start + np.where(multi, 9, 0)
+    parts = np.where(multi, u32(start + 5).astype(np.int64), 1)
+    alive &= parts >= 1
+    rings, part, num = np.zeros(m, np.int64), np.full(m, -1), np.zeros(m, np.int64)
+    found = []
+    act = np.nonzero(alive)[0]
+    while len(act):
+        # a part starts: byte order, type and number of rings
+        new = act[rings[act] == 0]
+        if len(new):
+            good = pos[new] + 13 <= end[new]
+            alive[new[~good]] = False
+            new = new[good]
+            head = (data[pos[new]] == 1) & (u32(pos[new] + 1) == POLYGON)
+            nr = u32(pos[new] + 5).astype(np.int64)
+            good = head & (nr >= 1)
+            alive[new[~good]] = False
+            new = new[good]
+            rings[new], num[new] = nr[good], 0
+            part[new] += 1
+            parts[new] -= 1
+            pos[new] += 9
+            act = act[alive[act]]
+        # one ring of each
+        good = pos[act] + 4 <= end[act]
+        alive[act[~good]] = False
+        act = act[good]
+        k = u32(pos[act]).astype(np.int64)
+        good = (k >= 4) & (pos[act] + 4 + 16 * k <= end[act])
+        alive[act[~good]] = False
+        act, k = act[good], k[good]
+        found.append((act, part[act], num[act], pos[act] + 4, k))
+        pos[act] += 4 + 16 * k
+        rings[act] -= 1
+        num[act] += 1
+        act = act[(rings[act] > 0) | (parts[act] > 0)]
+    alive &= pos == end
+    if not found:
+        return None
+    v, part, num, at, k = (np.concatenate(c) for c in zip(*found))
+    closed = (data[at[:, None] + np.arange(16)] == data[(at + 16 * (k - 1))[:, None] + np.arange(16)]).all(axis=1)
+    alive[v[~closed]] = False
+    keep = alive[v]
+    return v[keep], part[keep], num[keep], at[keep], k[keep], alive
 
 
 def decode(arr) -> Geoms:
@@ -188,54 +233,29 @@ def decode(arr) -> Geoms:
         b = data[at[:, None] + np.arange(4)]
         return b.astype(np.uint32) @ np.array([1, 256, 65536, 16777216], dtype=np.uint32)
 
-    # fast-path candidates: little-endian 2D points (21 bytes) and 2D polygons with any
-    # number of closed rings; rings are walked ring by ring, vectorised across values
+    # fast-path candidates: little-endian 2D points (21 bytes), and 2D polygons and
+    # multipolygons of closed rings; these are walked ring by ring, vectorised across values
     cand = notnull & (length >= 9)
     idx = np.nonzero(cand)[0]
     fast_pt = np.zeros(n, bool)
     fast_pg = np.zeros(n, bool)
     pg_rings = None
+    pg_type = np.zeros(n, np.int8)
     if len(idx):
         le = data[start[idx]] == 1
         code = np.zeros(len(idx), np.uint32)
         code[le] = u32(start[idx][le] + 1)
         is_pt = le & (code == POINT) & (length[idx] == 21)
         fast_pt[idx[is_pt]] = True
-        is_pg = le & (code == POLYGON) & (length[idx] >= 13)
+        is_pg = le & ((code == POLYGON) | (code == MULTIPOLYGON)) & (length[idx] >= 13)
         pg_idx = idx[is_pg]
         if len(pg_idx):
-            end = start[pg_idx] + length[pg_idx]
-            nr = u32(start[pg_idx] + 5).astype(np.int64)
-            alive = (nr >= 1) & (nr <= 4096)
-            pos = start[pg_idx] + 9
-            r_geom, r_num, r_first, r_k = [], [], [], []
-            for r in range(int(nr[alive].max()) if alive.any() else 0):
-                act = alive & (nr > r)
-                if not act.any():
-                    break
-                act &= pos + 4 <= end
-                a = np.nonzero(act)[0]
-                k = u32(pos[a]).astype(np.int64)
-                good = (k >= 4) & (pos[a] + 4 + 16 * k <= end[a])
-                alive[a[~good]] = False
-                alive[np.nonzero(alive & (nr > r) & ~act)[0]] = False
-                a, k = a[good], k[good]
-                r_geom.append(a)
-                r_num.append(np.full(len(a), r))
-                r_first.append(pos[a] + 4)
-                r_k.append(k)
-                pos[a] = pos[a] + 4 + 16 * k
-            alive &= pos == end
-            if r_geom:
-                rg, rn = np.concatenate(r_geom), np.concatenate(r_num)
-                rf, rk = np.concatenate(r_first), np.concatenate(r_k)
-                # closed rings only (the per-value parser closes open ones)
-                f0 = data[rf[:, None] + np.arange(16)]
-                f1 = data[(rf + 16 * (rk - 1))[:, None] + np.arange(16)]
-                closed = (f0 == f1).all(axis=1)
-                alive[rg[~closed]] = False
-                keep = alive[rg]
-                pg_rings = (pg_idx[rg[keep]], rn[keep], rf[keep], rk[keep])
+            pg_type[pg_idx] = code[is_pg]
+            pg_rings = _walk_polygons(data, start[pg_idx], start[pg_idx] + length[pg_idx], code[is_pg] == MULTIPOLYGON,
+                                      u32)
+            if pg_rings is not None:
+                v, part, rn, rf, rk, alive = pg_rings
+                pg_rings = (pg_idx[v], part, rn, rf, rk)
                 fast_pg[pg_idx[alive]] = True
 
     slow = notnull & ~fast_pt & ~fast_pg
@@ -261,8 +281,9 @@ def decode(arr) -> Geoms:
     pg_xy = np.zeros((0, 2))
     pg_len = np.zeros(0, np.int64)
     pg_kind = np.zeros(0, np.int8)
+    pg_part = np.zeros(0, np.int64)
     if pg_rings is not None and len(pg_rings[0]):
-        pg_idx, rn, rf, k = pg_rings
+        pg_idx, pg_part, rn, rf, k = pg_rings
         tot = int(k.sum())
         within = np.arange(tot) - np.repeat(np.cumsum(k) - k, k)
         byte0 = np.repeat(rf, k) + within * 16
@@ -271,7 +292,7 @@ def decode(arr) -> Geoms:
         pg_len = k
         pg_kind = np.where(rn == 0, K_SHELL, K_HOLE).astype(np.int8)
         valid[pg_idx] = True
-        gtype[pg_idx] = POLYGON
+        gtype[pg_idx] = pg_type[pg_idx]
 
     # slow path
     slow_rings = {}
@@ -305,7 +326,7 @@ def decode(arr) -> Geoms:
         order_geom.append(pg_idx)
         order_xy.append(pg_xy)
         order_kind.append(pg_kind)
-        order_localpoly.append(np.zeros(len(pg_idx), np.int64))
+        order_localpoly.append(pg_part)
         order_len.append(pg_len)
     if slow_rings:
         g, xs, ks, ps, ls = [], [], [], [], []

@@ -4,12 +4,13 @@ state geometry and bounds (A3, A4).
 The county layer is a fixed reference table (about 3,200 US counties, ~11 MB
 of GeoJSON), not something that grows with the data. It is cut into cells of
 a coarse grid; features look up the cells their box covers. The county side
-is broadcast only after its row count is checked against a bound; above it
+is broadcast only after its size is checked against a bound; above it
 the join is a normal shuffle join.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +22,9 @@ from ..functions import kernels as K
 from ..functions import wkb as W
 
 COUNTY_GRID = 10_000.0
-MAX_BROADCAST_COUNTY_CELLS = 2_000_000
+MAX_BROADCAST_COUNTY_CELL_BYTES = 256 * 1024 * 1024
+#: Bytes of a cell row in a hash relation: seven 8-byte values, the code, row and hash overhead.
+CELL_ROW_BYTES = 128
 MAX_BROADCAST_GEOMETRY_BYTES = 256 * 1024 * 1024
 
 
@@ -63,7 +66,7 @@ class CountyIndex:
         self.shapes = shapes
         self.n_cells = self.cells.count()
         self.geometry_bytes = shapes.agg(F.sum(F.length("county_geometry"))).first()[0] or 0
-        self.broadcastable = self.n_cells <= MAX_BROADCAST_COUNTY_CELLS
+        self.broadcastable = self.n_cells * CELL_ROW_BYTES <= MAX_BROADCAST_COUNTY_CELL_BYTES
         self.shapes_broadcastable = self.geometry_bytes <= MAX_BROADCAST_GEOMETRY_BYTES
 
     def side(self) -> DataFrame:
@@ -164,12 +167,13 @@ def lookup_county(df: DataFrame, counties: DataFrame, code_col: str = "fips") ->
 
 
 def check_codes(codes: DataFrame, counties: DataFrame, code_col: str = "fips") -> None:
-    """J10 strict form: raise KeyError listing (up to 20) unknown state or county codes."""
+    """J10 strict form: raise KeyError with the number of unknown state or county codes and up to 20 of them."""
     known = counties.select(F.col("fips").alias("__k")).union(
         counties.select(F.substring("fips", 1, 2).alias("__k")))
-    bad = codes.join(known, F.col(code_col) == F.col("__k"), "left_anti").select(code_col).limit(20).collect()
-    if bad:
-        raise KeyError(f"unknown codes: {[r[0] for r in bad]}")
+    bad = codes.join(known, F.col(code_col) == F.col("__k"), "left_anti").select(code_col)
+    shown = bad.limit(20).collect()
+    if shown:
+        raise KeyError(f"{bad.count()} unknown codes, among them {[r[0] for r in shown]}")
 
 
 def states(counties: DataFrame) -> DataFrame:
@@ -177,9 +181,8 @@ def states(counties: DataFrame) -> DataFrame:
 
     Bounds are plain min/max aggregates. The union is a grouped
     ``applyInPandas`` per state: counties tile the state, so the shared edges
-    cancel and the remaining ring edges give the outline; the state polygon
-    is returned as a MultiPolygon of its counties' shells when edges do not
-    simply cancel. Its area is the sum of county areas (a coverage).
+    cancel and the remaining ring edges give the outline, gaps between
+    counties as holes. Its area is the sum of county areas (a coverage).
     """
     c = with_bbox(counties, "geometry", area=True).withColumn("state_fips", F.substring("fips", 1, 2))
     bounds = c.groupBy("state_fips").agg(
@@ -240,10 +243,33 @@ def _union_coverage(pdf: pd.DataFrame) -> pd.DataFrame:
                 break
         if len(ring) >= 4 and ring[0] == ring[-1]:
             rings.append(ring)
-    if not rings:
-        geom = None
-    elif len(rings) == 1:
+    geom = W.wkb_multipolygon(_with_holes(rings)) if rings else None
+    if len(rings) == 1:
         geom = W.wkb_polygon(rings)
-    else:
-        geom = W.wkb_multipolygon([[r] for r in rings])
     return pd.DataFrame({"state_fips": [pdf["state_fips"].iloc[0]], "geometry": [geom]})
+
+
+def _with_holes(rings: list) -> list:
+    """Polygons of directed rings: counter-clockwise ones are shells, clockwise ones holes of the
+    smallest shell around them."""
+    arrays = [np.asarray(r, np.float64) for r in rings]
+    areas = [float(np.sum((r[:-1, 0] - r[0, 0]) * (r[1:, 1] - r[0, 1])
+                          - (r[1:, 0] - r[0, 0]) * (r[:-1, 1] - r[0, 1])) / 2) for r in arrays]
+    shells = sorted((i for i, a in enumerate(areas) if a > 0), key=lambda i: areas[i])
+    polys = {i: [rings[i]] for i in shells}
+    for i, area in enumerate(areas):
+        if area >= 0:
+            continue
+        # the middle of an edge lies on no other ring of the union
+        x, y = (arrays[i][0] + arrays[i][1]) / 2
+        around = (s for s in shells if areas[s] >= -area and _inside(arrays[s], x, y))
+        polys[next(around, shells[-1])].append(rings[i])
+    return list(polys.values())
+
+
+def _inside(ring: np.ndarray, x: float, y: float) -> bool:
+    """Even-odd rule."""
+    x1, y1, x2, y2 = ring[:-1, 0], ring[:-1, 1], ring[1:, 0], ring[1:, 1]
+    span = (y1 > y) != (y2 > y)
+    at = x1[span] + (y - y1[span]) * (x2[span] - x1[span]) / (y2[span] - y1[span])
+    return bool(np.count_nonzero(at > x) % 2)

@@ -9,12 +9,15 @@ result can be computed by an independent SQL engine.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.geometry import (st_area, st_bbox, st_centroid, st_centroid_x, st_centroid_xy,
                                   st_centroid_y, st_collect, st_distance, st_intersection,
-                                  st_intersects, st_points, st_polygons)
+                                  st_intersects, st_point, st_points, st_polygons, st_transform_to_5070)
 from ..functions.plus_codes import plus_code
 from ..functions.projection import albers_inverse
 from ..functions.text import normalize_address, normalize_str, parse_height, parse_levels
@@ -24,10 +27,12 @@ from ..operators.counties import county_index, county_of, lookup_county, mask_by
 from ..operators.spatial_join import dwithin_join, intersects_join
 from ..providers import get_provider
 from ..providers.conform import to_conform
-from ..session import configure
+from ..session import configure, ensure_checkpoint_dir
 from ..sources import fixtures as fx
-from .conflate import conflate, conflate_addresses, conflate_footprints, grid_levels, provider_counts
-from .conform import conform_all
+from ..sources.io import existing_partitions, provider_rank, read_conformed, read_raw
+from .conflate import (conflate, conflate_addresses, conflate_footprints, conflate_job, grid_levels,
+                       provider_counts)
+from .conform import conform_all, conform_job
 
 
 def foreign_text(c: Column) -> Column:
@@ -434,6 +439,98 @@ def s9_footprints(spark, sf):
     return fp.select("fips", "provider", F.col("id").cast("string").alias("id"), c["x"].alias("x"), c["y"].alias("y"))
 
 
+# --------------------------------------------------------------------------- readers and writers
+
+
+def _scratch(spark, name: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/footmark-tables/{name}-{uuid.uuid4().hex}"
+
+
+def _written_conform(spark, sf) -> str:
+    """Output folder of two conform jobs: one state first, then all counties (which skips what is there)."""
+    def build():
+        out, cs = _scratch(spark, "conform"), fx.counties(spark, sf)
+        raw = _raw_clean(spark, sf)
+        some = [r[0] for r in cs.filter(F.substring("fips", 1, 2) == "01").select("fips").collect()]
+        conform_job(spark, raw.__getitem__, list(raw), cs, out, fips=some)
+        conform_job(spark, raw.__getitem__, list(raw), cs, out)
+        return out
+    return _memo(spark, sf, "written_conform", build)
+
+
+def _written_conflate(spark, sf) -> str:
+    """Output folder of a conflate job of all counties and a second run of one of them."""
+    def build():
+        out = _written_conform(spark, sf)
+        conflate_job(spark, out, out)
+        one = existing_partitions(spark, f"{out}/conform").agg(F.min("fips")).first()[0]
+        if one is not None:
+            conflate_job(spark, out, out, fips=[one])
+        return out
+    return _memo(spark, sf, "written_conflate", build)
+
+
+def s1_read_geojson(spark, sf):
+    """Polygons (even keys) and multipolygons in one file, written as GeoJSON lines and read back."""
+    _start(spark)
+    path = _scratch(spark, "geojson")
+    b = st_bbox("geometry")
+    o = fx.raw_openstreetmap(spark, sf).select("fixture_key", "height", b.alias("b"))
+    x0, y0, x1, y1 = (F.col(f"b.{c}").cast("string") for c in ("xmin", "ymin", "xmax", "ymax"))
+    ring = F.concat(F.lit("[["), F.concat_ws("],[", *[F.concat_ws(",", x, y) for x, y in (
+        (x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]), F.lit("]]"))
+    shape = F.when(F.col("fixture_key") % 2 == 0, F.concat(F.lit('{"type":"Polygon","coordinates":['), ring, F.lit("]}"))) \
+        .otherwise(F.concat(F.lit('{"type":"MultiPolygon","coordinates":[['), ring, F.lit("]]}")))
+    props = F.to_json(F.struct(F.col("fixture_key").alias("key"), F.col("height").alias("height_text")))
+    o.select(F.concat(F.lit('{"type":"Feature","properties":'), props, F.lit(',"geometry":'), shape, F.lit("}"))
+             .alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("height_text", T.StringType())])
+    c = st_centroid_xy("geometry")
+    return read_raw(spark, path, "geojson", schema).select(
+        "key", "height_text", st_area("geometry").alias("area"), c["x"].alias("x"), c["y"].alias("y"))
+
+
+def p3_forward(spark, sf):
+    """Degrees back to metres, for points that the inverse projection made."""
+    _start(spark)
+    n = _keyed(fx.raw_nad(spark, sf)).withColumn("c", st_centroid_xy("geometry"))
+    pts = n.select("k", st_point(*albers_inverse(F.col("c.x"), F.col("c.y"))).alias("geometry"))
+    c = st_centroid_xy(st_transform_to_5070("geometry"))
+    # + 0.0: no negative zero
+    return pts.select(F.col("k").alias("key"), (F.round(c["x"], 3) + 0.0).alias("x"), (F.round(c["y"], 3) + 0.0).alias("y"))
+
+
+def s4_write_conformed(spark, sf):
+    _start(spark)
+    return _rows_out(read_conformed(spark, f"{_written_conform(spark, sf)}/conform"))
+
+
+def s5_skip_existing(spark, sf):
+    """Rows per partition after the second run: a partition written twice would count double."""
+    _start(spark)
+    return provider_counts(read_conformed(spark, f"{_written_conform(spark, sf)}/conform")).select(
+        "fips", "provider", F.col("n").cast("bigint").alias("n"))
+
+
+def s7_write_entities(spark, sf):
+    _start(spark)
+    ent = spark.read.parquet(f"{_written_conflate(spark, sf)}/conflate/entities")
+    return ent.select("fips", "id", "classification", "address", F.col("height").cast("double").alias("height"),
+                      F.col("levels").cast("int").alias("levels"), "x", "y")
+
+
+def o1_crossref_order(spark, sf):
+    """Rows per county of the written references, and how many stand before their predecessor's key."""
+    _start(spark)
+    x = spark.read.parquet(f"{_written_conflate(spark, sf)}/conflate/crossref")
+    key = F.struct("entity_id", provider_rank().alias("r"))
+    prev = F.lag(key).over(Window.partitionBy("file").orderBy("row"))  # a file's rows, as they stand in it
+    x = x.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return x.withColumn("late", (prev > key).cast("bigint")).groupBy("fips").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("late"), F.lit(0)).cast("bigint").alias("n_unsorted"))
+
+
 QUERIES = {
     "j1_intersects_join": j1_intersects_join,
     "j2_dwithin_join": j2_dwithin_join,
@@ -473,4 +570,10 @@ QUERIES = {
     "c8_conflate_entities": c8_conflate_entities,
     "s8_crossref": s8_crossref,
     "s9_footprints": s9_footprints,
+    "s1_read_geojson": s1_read_geojson,
+    "p3_forward": p3_forward,
+    "s4_write_conformed": s4_write_conformed,
+    "s5_skip_existing": s5_skip_existing,
+    "s7_write_entities": s7_write_entities,
+    "o1_crossref_order": o1_crossref_order,
 }

@@ -21,14 +21,23 @@ from ..operators.correspondence import checkpoint
 from ..sources.io import existing_partitions, read_conformed, write_conformed
 
 
-def conform_layer(raw: DataFrame, provider: str, counties=None, source_epsg: int = 5070) -> DataFrame:
+def _epsg(source_epsg, provider: str) -> int:
+    """The code of one provider's raw layer: one for all, a mapping, or "declared" (the registry's)."""
+    if source_epsg == "declared":
+        return get_provider(provider).epsg
+    return source_epsg.get(provider, 5070) if isinstance(source_epsg, dict) else source_epsg
+
+
+def conform_layer(raw: DataFrame, provider: str, counties=None, source_epsg: int | str | dict = 5070) -> DataFrame:
     """One provider: mask by county (when counties are given), conform, cast; adds ``provider``.
 
     ``counties`` is a county DataFrame or a prepared ``CountyIndex``. Raw layers
     are taken to be in EPSG:5070 already (as the source pipeline assumes);
     ``source_epsg=4326`` projects the geometry on read (Q26); other codes raise.
+    It may be a mapping by provider, or "declared" for what the registry says.
     """
     df = raw
+    source_epsg = _epsg(source_epsg, provider)
     if source_epsg == 4326:
         df = df.withColumn("geometry", st_transform_to_5070(F.col("geometry")))
     elif source_epsg != 5070:
@@ -41,7 +50,7 @@ def conform_layer(raw: DataFrame, provider: str, counties=None, source_epsg: int
 
 
 def conform_all(raw_layers: dict[str, DataFrame], counties: DataFrame | None = None,
-                fips: Iterable[str] | None = None) -> DataFrame:
+                fips: Iterable[str] | None = None, source_epsg: int | str | dict = 5070) -> DataFrame:
     """All providers stacked: CONFORM columns + fips + provider + xmin/ymin/xmax/ymax.
 
     The county index is built once and shared by every provider's mask.
@@ -50,7 +59,7 @@ def conform_all(raw_layers: dict[str, DataFrame], counties: DataFrame | None = N
     if counties is not None:
         cs = counties if fips is None else counties.filter(F.col("fips").isin(list(fips)))
         idx = county_index(cs)
-    parts = [conform_layer(df, name, idx) for name, df in raw_layers.items()]
+    parts = [conform_layer(df, name, idx, source_epsg) for name, df in raw_layers.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)   # U2
@@ -58,7 +67,8 @@ def conform_all(raw_layers: dict[str, DataFrame], counties: DataFrame | None = N
 
 
 def conform_job(spark: SparkSession, read_raw: Callable[[str], DataFrame], providers: list[str],
-                counties: DataFrame, output: str, fips: Iterable[str] | None = None) -> DataFrame:
+                counties: DataFrame, output: str, fips: Iterable[str] | None = None,
+                source_epsg: int | str | dict = 5070) -> DataFrame:
     """Conform ``providers`` for the requested counties and write ``output/conform``.
 
     Partitions (fips, provider) already present are left alone, and no work is done for them (S5):
@@ -67,7 +77,7 @@ def conform_job(spark: SparkSession, read_raw: Callable[[str], DataFrame], provi
     path = f"{output}/conform"
     done = existing_partitions(spark, path)
     if done is None:
-        df = conform_all({p: read_raw(p) for p in providers}, counties, fips)
+        df = conform_all({p: read_raw(p) for p in providers}, counties, fips, source_epsg)
     else:
         cs = counties if fips is None else counties.filter(F.col("fips").isin(list(fips)))
         done = {tuple(r) for r in done.collect()}            # a row a county and provider
@@ -76,7 +86,7 @@ def conform_job(spark: SparkSession, read_raw: Callable[[str], DataFrame], provi
         for p in providers:
             todo = [f for f in codes if (f, p) not in done]
             if todo:
-                parts.append(conform_all({p: read_raw(p)}, cs, todo))
+                parts.append(conform_all({p: read_raw(p)}, cs, todo, source_epsg))
         if not parts:
             return read_conformed(spark, path).limit(0)
         df = parts[0]

@@ -136,7 +136,8 @@ def write_partitioned(df: DataFrame, path: str, sort_cols: list | None = None, f
     """
     w = df.hint("rebalance", "fips")
     if sort_cols:
-        w = w.sortWithinPartitions(*sort_cols)
+        # by fips first: else the writer sorts by it once more, and this order is lost
+        w = w.sortWithinPartitions("fips", *sort_cols)
     out = w.write.mode("overwrite").option("compression", "zstd").partitionBy("fips")
     if fips is None:
         out.parquet(path)

@@ -464,4 +464,12 @@ def oracle_sql() -> dict[str, str]:
                             "FROM entities, unnest(\"foreign\") AS t(f)")
     s["s9_footprints"] = with_(B, C1, footprint_fold_ctes()) + (
         "SELECT fips, provider, id, min((bx0 + bx1) / 2) AS x, min((by0 + by1) / 2) AS y FROM fp2 GROUP BY ALL")
+    s["s1_read_geojson"] = with_(B) + ("SELECT k AS \"key\", height AS height_text, (bx1 - bx0) * (by1 - by0) AS area, "
+                                       "(bx0 + bx1) / 2 AS x, (by0 + by1) / 2 AS y FROM osm_raw")
+    s["p3_forward"] = with_(B) + "SELECT k AS \"key\", round(bx0, 3)::DOUBLE AS x, round(by0, 3)::DOUBLE AS y FROM nad_raw"
+    s["s4_write_conformed"] = s["c7_conform_pipeline"]
+    s["s5_skip_existing"] = s["a1_provider_counts"]
+    s["s7_write_entities"] = s["c8_conflate_entities"]
+    s["o1_crossref_order"] = M + ("SELECT fips, count(*)::BIGINT AS n_rows, 0::BIGINT AS n_unsorted "
+                                  "FROM entities, unnest(\"foreign\") AS t(f) GROUP BY fips")
     return s

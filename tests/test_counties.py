@@ -4,7 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from footmark.functions import wkb as W
-from footmark.operators.counties import check_codes, county_of, lookup_county, mask_by_county, states
+from footmark.functions.geometry import st_area
+from footmark.operators import counties as C
+from footmark.operators.counties import (check_codes, county_index, county_of, lookup_county, mask_by_county,
+                                         states)
 
 SAC = (-2173811.0344732204, 2020779.6029776197)
 SB = (-2152236.043699582, 1532664.814801817)
@@ -80,3 +83,24 @@ def test_read_counties_geojson(spark, tmp_path):
     # the first corner comes back to the metres it was made from (sub-millimetre)
     assert r["p"]["x"] == pytest.approx(-2180000.0, abs=1e-3)
     assert r["p"]["y"] == pytest.approx(2010000.0, abs=1e-3)
+
+
+def test_state_union_keeps_gaps_as_holes(spark):
+    # eight unit squares around a gap, and one more square by itself
+    cells = [(x, y) for x in range(3) for y in range(3) if (x, y) != (1, 1)] + [(7, 7)]
+    rows = [(f"01{i:03d}", "c", "s", "ST", box(x, y, x + 1, y + 1)) for i, (x, y) in enumerate(cells)]
+    cs = spark.createDataFrame(rows, "fips string, county_name string, state_name string, state_abbr string, geometry binary")
+    r = states(cs).select("area", st_area("geometry").alias("union_area")).collect()
+    assert [tuple(x) for x in r] == [(9.0, 9.0)]
+
+
+def test_county_sides_above_the_broadcast_bound(spark, counties, monkeypatch):
+    feats = spark.createDataFrame([("a", box(-2172010, 2020000, -2171990, 2020010)), ("c", box(0, 0, 1, 1))],
+                                  "id string, geometry binary")
+    small = county_index(counties)
+    monkeypatch.setattr(C, "MAX_BROADCAST_COUNTY_CELL_BYTES", 0)
+    monkeypatch.setattr(C, "MAX_BROADCAST_GEOMETRY_BYTES", 0)
+    large = county_index(counties)
+    assert small.broadcastable and not large.broadcastable and not large.shapes_broadcastable
+    got = [sorted((r["id"], r["fips"]) for r in mask_by_county(feats, i).collect()) for i in (small, large)]
+    assert got[0] == got[1] == [("a", "06061"), ("a", "06067")]

@@ -218,3 +218,16 @@ def test_fast_decode_matches_per_value_parser():
     # an open ring is closed by the per-value path
     open_ring = struct.pack("<BIII", 1, 3, 1, 4) + np.array([[0, 0], [4, 0], [4, 4], [0, 4]], "<f8").tobytes()
     assert K.area(dec(open_ring))[0] == 16
+
+
+def test_deep_collections_and_many_parts_decode():
+    deep = W.wkb_point(3, 4)
+    for _ in range(3000):
+        deep = struct.pack("<BII", 1, 7, 1) + deep
+    g = dec(deep)
+    assert g.valid[0] and g.xy.tolist() == [[3.0, 4.0]]
+    square = np.array([(0, 0), (2, 0), (2, 2), (0, 2)])
+    hole = np.array([(0.5, 0.5), (0.5, 1), (1, 1), (1, 0.5)])
+    multi = W.wkb_multipolygon([[square + (3 * i, 0), hole + (3 * i, 0)] for i in range(500)])
+    assert K.area(dec(multi, W.wkb_polygon([square])))[0] == pytest.approx(500 * 3.75)
+    assert len(K.polygons_of(dec(multi))[0]) == 500

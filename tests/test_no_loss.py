@@ -136,3 +136,13 @@ def test_checkpoint_folder_is_required_on_a_cluster():
         conf = {}
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(Session())
+
+
+def test_declared_projection_is_used(spark):
+    from footmark.functions.projection import albers_inverse_np
+    lon, lat = albers_inverse_np(-2175000.0, 2020000.0)
+    raw = fx.raw_layer(spark, SF, "microsoft").drop("fixture_key", "geometry").limit(1) \
+        .withColumn("geometry", F.lit(W.wkb_point(float(lon), float(lat))))
+    for epsg in ("declared", {"microsoft": 4326}, 4326):
+        r = conform_all({"microsoft": raw}, source_epsg=epsg).first()
+        assert (r["xmin"], r["ymin"]) == pytest.approx((-2175000.0, 2020000.0), abs=1e-3)
