@@ -151,6 +151,11 @@ def county_of(features: DataFrame, counties, *, geometry: str = "geometry",
     return features.join(hit, key, "left")
 
 
+def county_code(state: Column, county: Column) -> Column:
+    """Five-character county code of a state number and a county number (zero-padded)."""
+    return F.concat(F.lpad(state.cast("string"), 2, "0"), F.lpad(county.cast("string"), 3, "0"))
+
+
 def lookup_county(df: DataFrame, counties: DataFrame, code_col: str = "fips") -> DataFrame:
     """Attach county and state names by code; 2-character codes give the state.
 

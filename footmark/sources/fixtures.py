@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import st_box, st_point
+from ..operators.counties import county_code
 
 X0 = -2174000
 Y0 = 2020000
@@ -208,10 +209,8 @@ def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
     ymin = F.when(far, F.lit(1520000.0)).otherwise(F.lit(2018000.0) + F.floor(k / 4) * high)
     size = F.when(far, F.lit(20000.0)).otherwise(F.lit(2000.0))
     high = F.when(far, F.lit(20000.0)).otherwise(F.lit(high))
-    state = F.lpad((F.col("n_regionkey") + 1).cast("string"), 2, "0")
-    county = F.lpad((k * 4 + 1).cast("string"), 3, "0")
     return (n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(F.concat(state, county).alias("fips"),
+            .select(county_code(F.col("n_regionkey") + 1, k * 4 + 1).alias("fips"),
                     F.col("n_name").alias("county_name"),
                     F.col("r_name").alias("state_name"),
                     F.upper(F.substring(F.col("r_name"), 1, 2)).alias("state_abbr"),
