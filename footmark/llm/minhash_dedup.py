@@ -7,7 +7,8 @@ confirmed on the full shingle sets.
 
 Plan:
   1. one pass over the texts: set size, a 128-bit hash of the set and the band keys;
-  2. equal sets collapse to one representative (partial aggregation absorbs hot copy groups);
+  2. equal sets collapse to one representative row, the node of the links (partial aggregation
+     absorbs hot copy groups; ids play no part, so an id may have several texts);
   3. in each bucket the member whose buckets are the largest in sum is the leader (of a group of
      near copies the one most like the others); every member is checked against the leader (linear
      in the bucket, never all pairs), and the links give components;
@@ -16,7 +17,7 @@ Plan:
      it. A pair either shares a rare shingle (at most RARE members each, so few such pairs), or its
      intersection has at most the smaller number of common shingles, which leaves few pairs. Both
      kinds are checked; the rest is proven not to link, and there is no cap;
-  5. components go back to all documents by the set hash.
+  5. components go back to all documents by the set hash, with their smallest id.
 """
 
 from __future__ import annotations
@@ -93,7 +94,7 @@ def _signatures(sets: list[np.ndarray], rows: int, permutations: int) -> tuple[n
 
 def _sign_batches(batches, k: int, rows: int, permutations: int):
     for batch in batches:
-        texts, ids = texts_of(batch.column(1)), batch.column(0)
+        numbers, ids, texts = batch.column(0), batch.column(1), texts_of(batch.column(2))
         for lo, hi in chunks(texts):
             sets = shingle_sets(texts[lo:hi], k)
             n = np.array([len(s) for s in sets], dtype=np.int64)
@@ -104,9 +105,9 @@ def _sign_batches(batches, k: int, rows: int, permutations: int):
                 key, h1[full], h2[full] = _signatures([sets[i] for i in full], rows, permutations)
                 for i, row in zip(full, key.view(np.int64)):
                     keys[i] = row
-            yield pa.record_batch([ids.slice(lo, hi - lo), pa.array(n), pa.array(h1.view(np.int64)),
+            yield pa.record_batch([numbers.slice(lo, hi - lo), ids.slice(lo, hi - lo), pa.array(n), pa.array(h1.view(np.int64)),
                                    pa.array(h2.view(np.int64)), pa.array(keys, pa.list_(pa.int64()))],
-                                  names=["doc_id", "n", "h1", "h2", "bands"])
+                                  names=["row", "doc_id", "n", "h1", "h2", "bands"])
 
 
 def _set_batches(batches, k: int):
@@ -144,34 +145,27 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(partial(_verify_batches, percent=percent), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5,
-                    percent: int = 80, permutations: int = PERMUTATIONS) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+def _sign(src: DataFrame, shingle: int, percent: int, permutations: int) -> DataFrame:
+    """src(row, doc_id, text): row, doc_id, n, h1, h2, bands of each row."""
+    rows = band_rows(percent / 100, permutations)
+    return cut(src.mapInArrow(partial(_sign_batches, k=shingle, rows=rows, permutations=permutations),
+                              "row long, doc_id long, n long, h1 long, h2 long, bands array<long>"), "signatures")
 
-    Two documents link when 100 * |intersection| >= percent * |union| of their sets of
-    ``shingle``-word shingles; component_id is the smallest id reachable by links.
 
-    Defined results: null and empty texts have no shingles and link with nothing; texts with fewer
-    words than a shingle have their whole sequence as one; a row with a null id links with nothing
-    and has a null component_id and kept = true; repeated rows are equal sets under one id, and rows
-    that share an id but not a text count with the links of their own set (where the id represents
-    both sets, with the links of either); an empty table gives no rows; only the two named columns
-    are read."""
-    spark = docs.sparkSession
-    prepare(spark)
-    rows = band_rows(percent / 100, permutations)
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sig = cut(src.mapInArrow(partial(_sign_batches, k=shingle, rows=rows, permutations=permutations),
-                             "doc_id long, n long, h1 long, h2 long, bands array<long>"), "signatures")
-    reps = cut(sig.filter("n > 0 and doc_id is not null").groupBy("h1", "h2")
-               .agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("bands").alias("bands")), "sets")
+def _groups(src: DataFrame, sig: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """For each set of ``sig`` (rows with a set): h1, h2, and of its component the smallest id
+    (null if no row has one) and a row with this id. Row numbers of ``src`` must be written: the
+    texts are read again by them."""
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    reps = cut(sig.groupBy("h1", "h2").agg(best.alias("best"), F.max("n").alias("n"), F.first("bands").alias("bands"))
+               .select("h1", "h2", F.col("best.row").alias("rep"), F.col("best.doc_id").alias("rep_id"), "n", "bands"), "sets")
     keyed = reps.select("rep", "n", F.explode("bands").alias("key"))
     shared = cut(keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "shared")
     members = cut(keyed.join(shared, "key").select("key", "rep", "n", "size"), "members")
     weight = cut(members.groupBy("rep").agg(F.sum("size").alias("weight")), "weights")
     # the hint: which plan moves the texts shall not depend on the size of the input
-    needed = weight.select(F.col("rep").alias("doc_id")).hint("shuffle_hash")
-    sets = cut(src.join(needed, "doc_id", "left_semi")
+    needed = weight.select(F.col("rep").alias("row")).hint("shuffle_hash")
+    sets = cut(src.select("row", "text").join(needed, "row", "left_semi")
                .mapInArrow(partial(_set_batches, k=shingle), "id long, shingles array<long>"), "shingles")
     members = cut(members.join(weight, "rep"), "members")
     leaders = cut(members.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "rep"))["rep"].alias("leader")), "leaders")
@@ -215,11 +209,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         comp = cut(components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)),
                    "components")
-    by_set = cut(reps.select("h1", "h2", "rep").join(comp, F.col("rep") == F.col("node"), "left")
-                 .select("h1", "h2", F.coalesce("component", "rep").alias("set_component")), "by_set")
+    first = F.min(F.struct(F.col("rep_id").isNull().alias("none"), "rep_id", "rep"))
+    labels = cut(comp.join(reps.select("rep", "rep_id"), F.col("rep") == F.col("node")).groupBy("component").agg(first.alias("first"))
+                 .select("component", F.col("first.rep_id").alias("first_id"), F.col("first.rep").alias("first_row")), "labels")
+    named = comp.join(labels, "component").select("node", "first_id", "first_row")
+    return cut(reps.select("h1", "h2", "rep", "rep_id").join(named, F.col("rep") == F.col("node"), "left")
+               .select("h1", "h2", F.when(F.col("node").isNull(), F.col("rep_id")).otherwise(F.col("first_id")).alias("first_id"),
+                       F.coalesce("first_row", "rep").alias("first_row")), "by_set")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5,
+                    percent: int = 80, permutations: int = PERMUTATIONS) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept.
+
+    Two documents link when 100 * |intersection| >= percent * |union| of their sets of
+    ``shingle``-word shingles; component_id is the smallest id reachable by links.
+
+    Defined results: null and empty texts have no shingles and link with nothing; texts with fewer
+    words than a shingle have their whole sequence as one; a row with a null id links with nothing
+    and has a null component_id and kept = true; repeated rows are equal sets under one id; rows
+    that share an id but not a text count each with the links of their own set, and don't join
+    these; an empty table gives no rows; only the two named columns are read."""
+    prepare(docs.sparkSession)
+    src = cut(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                          F.col(text_col).cast("string").alias("text")), "rows")
+    sig = _sign(src, shingle, percent, permutations)
+    by_set = _groups(src, sig.filter("n > 0 and doc_id is not null"), shingle, percent)
     out = sig.select("doc_id", "n", F.when(F.expr("n > 0 and doc_id is not null"), F.col("h1")).alias("h1"), "h2") \
         .join(by_set, ["h1", "h2"], "left")
-    # A row without a set takes the component of its id, should another row of that id have one.
-    comp_id = F.coalesce("set_component", "doc_id")
+    comp_id = F.coalesce("first_id", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp_id.alias("component_id"),
                       F.coalesce(F.col("doc_id") == comp_id, F.lit(True)).alias("kept"))

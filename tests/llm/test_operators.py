@@ -103,6 +103,34 @@ def test_minhash_chain_of_near_copies(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == want
 
 
+def test_minhash_repeated_rows_of_near_copies(spark):
+    """Repeated rows are no further members: they must not change which pairs are proven not to link."""
+    rng = random.Random(7)
+    texts = []
+    for i in range(90):  # the own words of two texts are alike enough only where some of them are close together
+        w = [f"w{j}" for j in range(200)]
+        for j in rng.sample(range(200), 3):
+            w[j] = f"own{i}_{j}"
+        texts.append(" ".join(w))
+    sets = [shingles(t, 3) for t in texts]
+    links = [(a, b) for a, b in itertools.combinations(range(90), 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    want = reach(range(90), links)
+    rows = [(i, t) for i, t in enumerate(texts) for _ in range(2)]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc_id"], r["component_id"]) for r in got} == set(want.items())
+
+
+def test_minhash_id_with_several_texts(spark):
+    """A text counts with its own links, not with those of the other texts of its id."""
+    rng = random.Random(9)
+    a, b, c = (words(rng, [f"{x}{i}" for i in range(50)], 60) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (5, c), (7, b), (9, c), (3, c), (None, a)]
+    got = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in got)) == \
+        sorted([(1, 1, True), (5, 1, False), (5, 5, True), (5, 3, False), (7, 5, False), (9, 3, False), (3, 3, True), (0, 0, True)])
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)]
