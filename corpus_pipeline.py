@@ -27,10 +27,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group (five-word shingles, similarity 0.8)."""
-    found = minhash_dedup.near_duplicates(docs)
-    gone = cut(found.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "duplicates")
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """Keeps one row of each group (five-word shingles, similarity 0.8), the one with the smallest id.
+
+    Groups are of rows: of an id with several texts only those rows go that are like one that stays,
+    directly or by others, and copies without an id go too. The row numbers are written with the rows."""
+    key = "__row"
+    rows = cut(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    gone = cut(minhash_dedup.repeated_rows(rows, key), "duplicates")
+    return rows.join(gone, key, "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

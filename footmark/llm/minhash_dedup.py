@@ -240,3 +240,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comp_id = F.coalesce("first_id", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), comp_id.alias("component_id"),
                       F.coalesce(F.col("doc_id") == comp_id, F.lit(True)).alias("kept"))
+
+
+def repeated_rows(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5,
+                  percent: int = 80, permutations: int = PERMUTATIONS) -> DataFrame:
+    """The ``row_col`` of all rows but one of each component: the row with the smallest id stays
+    (a null id counts as larger than any; of several, the smallest row number). Links are those of
+    ``near_duplicates``, but between rows: neither a shared id nor a null one plays a part, and rows
+    without a shingle all stay. ``row_col`` must be unique and written, not computed."""
+    prepare(docs.sparkSession)
+    src = docs.select(F.col(row_col).cast("long").alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                      F.col(text_col).cast("string").alias("text"))
+    sig = _sign(src, shingle, percent, permutations).filter("n > 0")
+    by_set = _groups(src, sig, shingle, percent)
+    return sig.select("row", "h1", "h2").join(by_set, ["h1", "h2"]).filter("row <> first_row").select(F.col("row").alias(row_col))

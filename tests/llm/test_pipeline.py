@@ -44,3 +44,16 @@ def test_stages(spark):
     assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in mixed}
     assert [list(t[0].asDict()) for t in tables[:5]] == [docs.columns] * 5
     assert P.run(spark, sf).count() > 0
+
+
+def test_near_duplicates_by_row(spark):
+    """Ids with several texts, repeated rows and rows without an id: one row of each group stays, and nothing else goes."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    like_a = a.replace("a59", "other")
+    rows = [(1, a), (5, like_a), (5, b), (5, c), (5, c), (7, b), (3, c), (None, d), (None, d), (None, a), (8, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = P.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(1, a), (5, b), (3, c), (None, d), (8, ""), (8, None)]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in got.collect()))) == sorted(map(str, want))
