@@ -138,7 +138,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out, categories: dic
 
     ``categories``: name -> boolean column over ``labels``, in the order of the chain; rows of which
     a category is null teach nothing, and so do ``held_out`` rows and null ids; a label that repeats
-    teaches once for each of its rows. Null and empty texts have no words and get the base rates;
+    teaches once for each of its rows, a text that repeats under one id once for all. Null and empty texts have no words and get the base rates;
     with nothing to learn from all probabilities are 0.5. Repeated rows and null ids keep their
     rows; whole texts of any length are read; an empty table gives no rows; other columns aren't read."""
     spark = docs.sparkSession
@@ -146,10 +146,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out, categories: dic
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("text"))
     y = F.array(*[c.cast("int") for c in categories.values()])
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), y.alias("y")).filter(~F.exists("y", lambda v: v.isNull()))
-    ids = src.filter(~F.col("held_out")).select("doc_id").distinct().join(known, "doc_id")
-    ids = cut(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "sample")  # bounded: ``sample`` rows
+    text_hash = F.xxhash64("text").alias("h")
+    learnt = src.filter(F.expr("not held_out and doc_id is not null")).select("doc_id", text_hash, "text")
+    ids = learnt.select("doc_id", "h").distinct().join(known, "doc_id")
+    # bounded: ``sample`` rows, here and in what the driver collects, however often an id or a text repeats
+    ids = cut(ids.orderBy(F.xxhash64("doc_id", "h"), "doc_id", "h").limit(sample), "sample")
+    texts = learnt.join(F.broadcast(ids.select("doc_id", "h").distinct()), ["doc_id", "h"], "left_semi") \
+        .groupBy("doc_id", "h").agg(F.first("text").alias("text"))
     fold = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(FOLDS)).cast("int")
-    rows = src.filter(~F.col("held_out")).join(F.broadcast(ids), "doc_id").select("text", "y", fold.alias("fold")) \
+    rows = texts.join(F.broadcast(ids), ["doc_id", "h"]).select("text", "y", fold.alias("fold")) \
         .mapInArrow(_word_batches, "words array<long>, y array<int>, fold int").toArrow()
     if rows.num_rows:
         words = rows.column("words").combine_chunks()

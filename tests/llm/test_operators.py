@@ -131,6 +131,17 @@ def test_minhash_id_with_several_texts(spark):
         sorted([(1, 1, True), (5, 1, False), (5, 5, True), (5, 3, False), (7, 5, False), (9, 3, False), (3, 3, True), (0, 0, True)])
 
 
+def test_toxicity_sample_bounds_the_collected_rows(spark, monkeypatch):
+    """A hot id must not bring all its rows to the driver, nor outweigh the others."""
+    seen, fit = [], toxicity_chain.fit_chain
+    monkeypatch.setattr(toxicity_chain, "fit_chain", lambda sets, y, fold: seen.append(len(sets)) or fit(sets, y, fold))
+    rows = [(i, f"word{i % 7} other{i % 3}") for i in range(60)] + [(60, "hot text")] * 500
+    labels = spark.createDataFrame([(i, i % 2) for i in range(61)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = toxicity_chain.score_toxicity(docs, labels, F.lit(False), {"toxic": F.col("toxic") == 1}, sample=100)
+    assert got.count() == 560 and seen == [61]
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)]
