@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footmark.llm import (embedding_dedup, language_id, minhash_dedup, mixing, packing, quality_rff, secret_scan, topk_bitsliced,
-                          toxicity_chain, wavelet_shards)
+                          toxicity_chain, url_cascade, wavelet_shards)
 from footmark.llm.common import held_out_col
 
 
@@ -61,9 +61,14 @@ def op10_secret_scan(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan(_read(spark, sf_dir, "documents")))
 
 
+def op11_url_cascade(spark, sf_dir):
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_cascade.judge(pages, url_cascade.rule_table(spark)).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_curve_packing, op4_language_id, op5_toxicity, op6_embedding_near_dedup,
-                            op7_wavelet_tokens, op8_source_mixing, op9_quality, op10_secret_scan)
+                            op7_wavelet_tokens, op8_source_mixing, op9_quality, op10_secret_scan, op11_url_cascade)
 }
 
 # DuckDB: whole-table brute force. Operators that need a tokenizer, a trained model or a seeded draw
@@ -93,6 +98,16 @@ scores AS (SELECT a.vec_id AS query_id, b.vec_id, sum(a.x * b.x)::BIGINT AS scor
            FROM parts a JOIN parts b ON a.d = b.d AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0 GROUP BY ALL)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 10
+""",
+    "op11_url_cascade": r"""
+WITH rests AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+urls AS (SELECT row_number() OVER () AS n, page_id, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+  translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM rests),
+rules(action, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                               ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+fits AS (SELECT n, arg_max(h || p, len(h || p)) AS rule, arg_max(action, len(h || p)) AS verdict FROM urls JOIN rules
+         ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN fits USING (n)
 """,
     "op6_embedding_near_dedup": """
 WITH RECURSIVE v AS MATERIALIZED (

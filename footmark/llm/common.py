@@ -40,6 +40,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark's expressions take it whole (dots and backticks included)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(name: str, taken) -> str:
+    """``name``, with underscores in front until no column (in any case) is called so."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name = "_" + name
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
