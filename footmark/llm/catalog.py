@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footmark.llm import (embedding_dedup, language_id, minhash_dedup, mixing, packing, quality_rff, secret_scan, topk_bitsliced,
+from footmark.llm import (embedding_dedup, importance_radix, language_id, minhash_dedup, mixing, packing, quality_rff, secret_scan, topk_bitsliced,
                           toxicity_chain, url_cascade, wavelet_shards)
 from footmark.llm.common import held_out_col
 
@@ -66,9 +66,14 @@ def op11_url_cascade(spark, sf_dir):
     return url_cascade.judge(pages, url_cascade.rule_table(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_importance_radix(spark, sf_dir):
+    return importance_radix.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_curve_packing, op4_language_id, op5_toxicity, op6_embedding_near_dedup,
-                            op7_wavelet_tokens, op8_source_mixing, op9_quality, op10_secret_scan, op11_url_cascade)
+                            op7_wavelet_tokens, op8_source_mixing, op9_quality, op10_secret_scan, op11_url_cascade,
+                            op12_importance_radix)
 }
 
 # DuckDB: whole-table brute force. Operators that need a tokenizer, a trained model or a seeded draw
@@ -108,6 +113,37 @@ rules(action, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '
 fits AS (SELECT n, arg_max(h || p, len(h || p)) AS rule, arg_max(action, len(h || p)) AS verdict FROM urls JOIN rules
          ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY n)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM urls LEFT JOIN fits USING (n)
+""",
+    "op12_importance_radix": r"""
+WITH crc_table AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384)
+                                                                                    ELSE c >> 1 END, b)) AS t),
+docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, doc_id, unnest(words) AS w FROM (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents)),
+goal AS MATERIALIZED (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+crcs AS MATERIALIZED (
+  SELECT w, xor(list_reduce(list_transform(range(1, octet_length(encode(w)) + 1), lambda i: ('0x' || substr(hex(encode(w)), 2 * i - 1, 2))::BIGINT),
+                            lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT w FROM docs UNION SELECT w FROM goal) JOIN crc_table ON true),
+s AS (SELECT bucket, count(*) AS s FROM docs JOIN crcs USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM goal JOIN crcs USING (w) GROUP BY bucket),
+gains AS MATERIALIZED (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(s), 0) FROM s)::DOUBLE + 10000)
+                                 / ((s + 1.0::DOUBLE) * ((SELECT coalesce(sum(t), 0) FROM t)::DOUBLE + 10000))))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+weights AS (SELECT doc_id, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+            FROM docs JOIN crcs USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+scores AS (SELECT d.doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+             (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                          / 4294967296.0::DOUBLE))))::BIGINT AS score
+           FROM documents d LEFT JOIN weights w ON w.doc_id = d.doc_id),
+ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS able FROM scores WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN r <= 10 * able // 100 THEN r END AS rank
+FROM scores s LEFT JOIN ranks USING (doc_id)
 """,
     "op6_embedding_near_dedup": """
 WITH RECURSIVE v AS MATERIALIZED (
