@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footmark.llm import (embedding_dedup, importance_radix, language_id, minhash_dedup, mixing, packing, quality_rff, secret_scan, topk_bitsliced,
+from footmark.llm import (centroid_drift, embedding_dedup, importance_radix, language_id, minhash_dedup, mixing, packing, quality_rff, secret_scan, topk_bitsliced,
                           toxicity_chain, url_cascade, wavelet_shards)
 from footmark.llm.common import held_out_col
 
@@ -70,10 +70,14 @@ def op12_importance_radix(spark, sf_dir):
     return importance_radix.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op13_centroid_drift(spark, sf_dir):
+    return centroid_drift.centroid_clusters(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_minhash_near_dedup, op2_exact_topk, op3_curve_packing, op4_language_id, op5_toxicity, op6_embedding_near_dedup,
                             op7_wavelet_tokens, op8_source_mixing, op9_quality, op10_secret_scan, op11_url_cascade,
-                            op12_importance_radix)
+                            op12_importance_radix, op13_centroid_drift)
 }
 
 # DuckDB: whole-table brute force. Operators that need a tokenizer, a trained model or a seeded draw
@@ -144,6 +148,47 @@ scores AS (SELECT d.doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coale
 ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS able FROM scores WHERE n_features >= 20)
 SELECT s.doc_id, n_features, weight, score, CASE WHEN r <= 10 * able // 100 THEN r END AS rank
 FROM scores s LEFT JOIN ranks USING (doc_id)
+""",
+    "op13_centroid_drift": """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY h))::INTEGER - 1 AS c, v AS m
+                    FROM (SELECT v, sha256('1:' || vec_id) AS h FROM kept ORDER BY h LIMIT 16)),
+a0 AS MATERIALIZED (
+  SELECT n, vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT n, vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM kept JOIN c0 ON true)
+  GROUP BY n, vec_id, v),
+c1 AS MATERIALIZED (
+  SELECT c, coalesce(x.m, c0.m) AS m FROM c0 LEFT JOIN (
+    SELECT c, list(f ORDER BY j) AS m FROM (
+      SELECT c, j, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS f
+      FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS j FROM a0) GROUP BY c, j) GROUP BY c) x USING (c)),
+a1 AS MATERIALIZED (
+  SELECT n, vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT n, vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM kept JOIN c1 ON true)
+  GROUP BY n, vec_id, v),
+c2 AS MATERIALIZED (
+  SELECT c, coalesce(x.m, c1.m) AS m FROM c1 LEFT JOIN (
+    SELECT c, list(f ORDER BY j) AS m FROM (
+      SELECT c, j, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS f
+      FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS j FROM a1) GROUP BY c, j) GROUP BY c) x USING (c)),
+a2 AS MATERIALIZED (
+  SELECT n, vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT n, vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM kept JOIN c2 ON true)
+  GROUP BY n, vec_id, v),
+c3 AS MATERIALIZED (
+  SELECT c, coalesce(x.m, c2.m) AS m FROM c2 LEFT JOIN (
+    SELECT c, list(f ORDER BY j) AS m FROM (
+      SELECT c, j, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS f
+      FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS j FROM a2) GROUP BY c, j) GROUP BY c) x USING (c)),
+a3 AS MATERIALIZED (
+  SELECT n, vec_id, v, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT n, vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM kept JOIN c3 ON true)
+  GROUP BY n, vec_id, v)
+SELECT vec_id, a3.c AS cluster, d AS distance, (sum(d) OVER (PARTITION BY a3.c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON c3.c = a3.c
 """,
     "op6_embedding_near_dedup": """
 WITH RECURSIVE v AS MATERIALIZED (

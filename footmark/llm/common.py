@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,13 +32,28 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
+#: Folders of the tables that were cut, for as long as their DataFrame lives.
+_CUTS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back."""
     spark = df.sparkSession
     path = new_path(spark, name)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    _CUTS[out] = path
+    return out
+
+
+def remove(df: DataFrame) -> None:
+    """Delete the table that ``cut`` wrote for ``df``, after its last reader."""
+    path = _CUTS.pop(df, None)
+    if path:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
 
 
 def quoted(name: str) -> str:
