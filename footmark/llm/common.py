@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(schema).parquet(path)
     _CUTS[out] = path
+    for scope in _SCOPES:
+        scope.paths[path] = spark
     return out
 
 
@@ -51,9 +54,75 @@ def remove(df: DataFrame) -> None:
     """Delete the table that ``cut`` wrote for ``df``, after its last reader."""
     path = _CUTS.pop(df, None)
     if path:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
+        _delete(df.sparkSession, path)
+        for scope in _SCOPES:
+            scope.paths.pop(path, None)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is None:  # the session has ended
+        return
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scope:
+    """The tables that are cut while it is entered (``with scope:``) and not removed by then.
+
+    ``clear`` removes them, but for those that ``keep`` reads."""
+
+    def __init__(self):
+        self.paths: dict[str, SparkSession] = {}
+
+    def __enter__(self):
+        _SCOPES.append(self)
+        return self
+
+    def __exit__(self, *error):
+        _SCOPES.remove(self)
+
+    def clear(self, keep: DataFrame | None = None) -> None:
+        read = "\n".join(keep.inputFiles()) if self.paths and keep is not None else ""
+        for path, spark in list(self.paths.items()):
+            if path.rsplit("/", 1)[1] not in read:
+                _delete(spark, path)
+                del self.paths[path]
+
+
+_SCOPES: list[Scope] = []
+
+
+#: Files of a table whose rows are numbered by file (their paths go to the driver).
+FILES = 100_000
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a unique row number in one more column, and that column's name.
+
+    Rows of a Parquet table are numbered by their place in their file, which is the same in every
+    scan however files are split, and costs no copy of the rows. Other rows (a plan that isn't a plain
+    scan, or over FILES files) get a number that is written with them."""
+    spark, key = docs.sparkSession, unused("row", docs.columns)
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            meta = docs.metadataColumn("_metadata")
+            placed = docs.select("*", meta["file_path"].alias(unused("file", [*docs.columns, key])), meta["row_index"].alias(key))
+        except AnalysisException:  # a file format without row places
+            placed = None
+        if placed is not None:
+            file = placed.columns[-2]
+            paths = sorted(r[0] for r in placed.select(quoted(file)).distinct().limit(FILES + 1).collect())
+            if paths and len(paths) <= FILES:
+                numbers = F.broadcast(spark.createDataFrame(list(zip(paths, range(len(paths)))), f"{quoted(file)} string, number long"))
+                names = [F.col(f"d.{quoted(c)}") for c in docs.columns]
+                placed = placed.alias("d").join(numbers.alias("n"), F.col(f"d.{quoted(file)}") == F.col(f"n.{quoted(file)}"))
+                return placed.select(*names, (F.col("n.number") * (1 << 40) + F.col(f"d.{quoted(key)}")).alias(key)), key
+    return cut(docs.withColumn(key, F.monotonically_increasing_id()), "rows"), key
+
+
+def columns_of(docs: DataFrame) -> list:
+    """The columns of ``docs`` under their whole names."""
+    return [F.col(quoted(c)) for c in docs.columns]
 
 
 def quoted(name: str) -> str:

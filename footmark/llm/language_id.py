@@ -14,7 +14,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -22,6 +22,8 @@ from footmark.llm.common import chunks, codepoints, prepare, texts_of
 
 #: N-grams of a profile, and of a document's list.
 PROFILE = 400
+#: Share of the labelled texts whose out-of-fold distance the bound of ``farthest`` starts from.
+SURE = 0.999
 UNKNOWN = "und"
 
 
@@ -94,60 +96,109 @@ def learn_profiles(labelled: DataFrame, lang_col: str = "lang", text_col: str =
         .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")) \
         .mapInArrow(_count_batches, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    rows = counts.select("lang", "gram", rank.alias("rank")).filter(F.col("rank") <= size).collect()
+    found = counts.select("lang", "gram", rank.alias("rank")).filter(F.col("rank") <= size).toArrow() \
+        .sort_by([("lang", "ascending"), ("rank", "ascending")])
+    lang, gram = found.column("lang").to_pylist(), found.column("gram").to_pylist()
     profiles: dict[str, list[int]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
-        profiles.setdefault(r["lang"], []).append(r["gram"])
+    for x, g in zip(lang, gram):
+        profiles.setdefault(x, []).append(g)
     return profiles
 
 
-def rank_table(profiles: dict[str, list[int]], size: int = PROFILE) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, all profile n-grams sorted, and each one's rank by language (``size`` if missing)."""
-    langs = sorted(profiles)
-    grams = np.unique(np.concatenate([np.array(profiles[x], dtype=np.int64) for x in langs])) if langs else np.zeros(0, np.int64)
-    ranks = np.full((len(langs), len(grams)), size, dtype=np.int64)
-    for i, x in enumerate(langs):
-        ranks[i, np.searchsorted(grams, profiles[x])] = np.arange(len(profiles[x]))
-    return langs, grams, ranks
-
-
-def _predict(run: np.ndarray, grams: np.ndarray, ranks: np.ndarray, size: int) -> tuple[int, float]:
-    """(index of the nearest language, score). The score compares the two nearest distances."""
-    keys = np.sort(_grams(run))
-    start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    n = np.diff(np.append(start, len(keys)))
-    keys = keys[start]
-    if len(n) > size:  # the most frequent; ties: smaller key
-        kth = np.partition(n, len(n) - size)[len(n) - size]
-        sure, tied = np.flatnonzero(n > kth), np.flatnonzero(n == kth)
-        pick = np.sort(np.concatenate([sure, tied[:size - len(sure)]]))
-        keys, n = keys[pick], n[pick]
-    keys = keys[np.argsort(-n, kind="stable")]
-    at = np.minimum(np.searchsorted(grams, keys), len(grams) - 1)
-    known = grams[at] == keys
-    place = np.arange(len(keys))
-    far = np.where(known & (ranks[:, at] < size), np.abs(ranks[:, at] - place), size).sum(axis=1)
-    best = int(np.argmin(far))
-    if len(far) == 1:
-        return best, 1.0 - far[best] / (size * len(keys))
-    second = np.partition(far, 1)[1]
-    return best, float(second / (far[best] + second)) if second else 0.5
-
-
-def _predict_batches(batches, langs, grams, ranks, size):
+class Ranks:
+    """The profiles by n-gram: ``grams`` sorted, and for each the languages that have it and its rank
+    there, one after the other (``size`` numbers a language, however many languages there are)."""
+
+    def __init__(self, profiles: dict[str, list[int]], size: int = PROFILE):
+        self.langs, self.size = sorted(profiles), size
+        gram = np.concatenate([np.array(profiles[x], dtype=np.int64) for x in self.langs] or [np.zeros(0, np.int64)])
+        lang = np.repeat(np.arange(len(self.langs)), [len(profiles[x]) for x in self.langs])
+        rank = np.concatenate([np.arange(len(profiles[x])) for x in self.langs] or [np.zeros(0, np.int64)])
+        order = np.argsort(gram, kind="stable")
+        self.grams, first = np.unique(gram[order], return_index=True)
+        self.first = np.append(first, len(gram))
+        self.lang, self.rank = lang[order].astype(np.int32), rank[order].astype(np.int32)
+
+    def distances(self, run: np.ndarray) -> tuple[np.ndarray, int]:
+        """(out-of-place distance to each language, n-grams compared) of one text's letters."""
+        size, keys = self.size, np.sort(_grams(run))
+        start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        n = np.diff(np.append(start, len(keys)))
+        keys = keys[start]
+        if len(n) > size:  # the most frequent; ties: smaller key
+            kth = np.partition(n, len(n) - size)[len(n) - size]
+            sure, tied = np.flatnonzero(n > kth), np.flatnonzero(n == kth)
+            pick = np.sort(np.concatenate([sure, tied[:size - len(sure)]]))
+            keys, n = keys[pick], n[pick]
+        keys = keys[np.argsort(-n, kind="stable")]
+        at = np.minimum(np.searchsorted(self.grams, keys), len(self.grams) - 1)
+        place = np.flatnonzero(self.grams[at] == keys)
+        lo, count = self.first[at[place]], np.diff(self.first)[at[place]]
+        ends = np.cumsum(count)
+        entry = np.repeat(lo - (ends - count), count) + np.arange(int(ends[-1]) if len(ends) else 0)
+        place = np.repeat(place, count)
+        near = np.abs(self.rank[entry] - place) - size      # what a shared n-gram takes off the full penalty
+        return size * len(keys) + np.bincount(self.lang[entry], near, len(self.langs)).astype(np.int64), len(keys)
+
+    def predict(self, run: np.ndarray) -> tuple[str, float, float]:
+        """(nearest language, score, distance to it from 0 to 1). The score compares the two nearest distances."""
+        far, n = self.distances(run)
+        best = int(np.argmin(far))
+        part = float(far[best] / (self.size * n))
+        if len(far) == 1:
+            return self.langs[best], 1.0 - part, part
+        second = np.partition(far, 1)[1]
+        return self.langs[best], float(second / (far[best] + second)) if second else 0.5, part
+
+
+def _predict_texts(texts: list[str], ranks: Ranks) -> tuple[list, list, list]:
+    pred, score, part = [UNKNOWN] * len(texts), [0.0] * len(texts), [1.0] * len(texts)
+    for lo, hi in chunks(texts) if ranks.langs else ():
+        runs, off = _letter_runs(texts[lo:hi])
+        for i in range(hi - lo):
+            if off[i + 1] > off[i]:
+                pred[lo + i], score[lo + i], part[lo + i] = ranks.predict(runs[off[i]:off[i + 1]])
+    return pred, score, part
+
+
+def _predict_batches(batches, ranks):
     for batch in batches:
-        texts = texts_of(batch.column(1))
-        pred, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        for lo, hi in chunks(texts) if langs else ():
-            runs, off = _letter_runs(texts[lo:hi])
-            for i in range(hi - lo):
-                if off[i + 1] > off[i]:
-                    best, score[lo + i] = _predict(runs[off[i]:off[i + 1]], grams, ranks, size)
-                    pred[lo + i] = langs[best]
+        pred, score, _ = _predict_texts(texts_of(batch.column(1)), ranks)
         yield pa.record_batch([batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                               names=["key", "lang_pred", "score"])
 
 
+def nearest(text: Column, profiles: dict[str, list[int]], size: int = PROFILE) -> Column:
+    """struct(lang_pred, score, distance) of a text column, as ``predict`` has them; the distance is the
+    share of the largest possible one, 1 where nothing was compared."""
+    ranks = Ranks(profiles, size)
+
+    def of(column: pa.Array) -> pa.Array:
+        pred, score, part = _predict_texts(texts_of(column), ranks)
+        return pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(part, pa.float64())],
+                                          names=["lang_pred", "score", "distance"])
+    of.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    return F.arrow_udf(of, "lang_pred string, score double, distance double").asNondeterministic()(text)
+
+
+def farthest(labelled: DataFrame, key: str = "doc_id", lang_col: str = "lang", text_col: str = "text", size: int = PROFILE,
+             sure: float = SURE) -> float:
+    """The distance beyond which a text is in none of the learned languages.
+
+    Both halves of the labelled texts (by a hash of the id) are measured with the profiles of the
+    other half; the bound lies halfway between the distance that a share ``sure`` of them keeps below
+    and the largest possible one, 1. Without labelled texts it is 1."""
+    half = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(2))
+    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    parts = []
+    for side in (0, 1):
+        profiles = learn_profiles(rows.filter(half != side), lang_col, text_col, size)
+        parts.append(rows.filter(half == side).select(nearest(F.col(text_col).cast("string"), profiles, size).alias("seen"))
+                     .filter(F.col("seen.lang_pred") != UNKNOWN).select("seen.distance"))
+    most = parts[0].union(parts[1]).agg(F.percentile_approx("distance", sure, 100_000)).first()[0]
+    return 1.0 if most is None else (1.0 + most) / 2
+
+
 def predict(docs: DataFrame, profiles: dict[str, list[int]], key: str = "doc_id", text_col: str = "text",
             size: int = PROFILE) -> DataFrame:
     """One row per input row: key, lang_pred, score (0 to 1; 0.5: two languages equally near).
@@ -156,8 +207,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], key: str = "doc_id"
     0. Ties in distance take the first language by code point. Whole texts of any length are read;
     repeated rows and null keys keep their rows; only the two columns are read."""
     prepare(docs.sparkSession)
-    langs, grams, ranks = rank_table(profiles, size)
     src = docs.select(F.col(key), F.col(text_col).cast("string"))
     kind = src.schema[0].dataType.simpleString()
-    return src.mapInArrow(partial(_predict_batches, langs=langs, grams=grams, ranks=ranks, size=size),
+    return src.mapInArrow(partial(_predict_batches, ranks=Ranks(profiles, size)),
                           f"key {kind}, lang_pred string, score double")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footmark.llm.common import cut, new_path, prepare, texts_of
+from footmark.llm.common import cut, new_path, prepare, quoted, texts_of, unused
 
 #: The base rules, in the order of the kinds (pattern, group whose length counts, least length).
 BASE_RULES = (
@@ -101,32 +101,36 @@ def digest(found: DataFrame) -> DataFrame:
                         F.sha2(line(base).cast("binary"), 256).alias("base_sha256"), line("spans").alias("spans"))
 
 
-def _mask_batches(batches):
-    for batch in batches:
-        out = []
-        for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            parts, at = [], 0
-            for s in spans:
-                if s["end"] <= at:
-                    continue
-                if s["start"] >= at:
-                    parts += [text[at:s["start"]], "[SECRET]"]
-                at = s["end"]
-            out.append("".join([*parts, text[at:]]))
-        yield pa.record_batch([batch.column(0), pa.array(out, pa.string())], names=["blob", "masked"])
+def masked(text: str, spans) -> str:
+    parts, at = [], 0
+    for s in spans:
+        if s["end"] <= at:
+            continue
+        if s["start"] >= at:
+            parts += [text[at:s["start"]], "[SECRET]"]
+        at = s["end"]
+    return "".join([*parts, text[at:]])
+
+
+def _mask_column(text: pa.Array, spans: pa.Array) -> pa.Array:
+    return pa.array([None if s is None else masked(t, s) for t, s in zip(text.to_pylist(), spans.to_pylist())], pa.string())
 
 
 def mask(docs: DataFrame, text_col: str = "text", ledger: str | None = None) -> DataFrame:
     """``docs`` with every found span replaced by ``[SECRET]``; other rows and columns unchanged.
 
-    The masked text is made once a blob and joined back by blob."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    blob = F.sha2(text.cast("binary"), 256)
+    Findings of the ledger are joined to the rows by blob, once; only texts with findings go to the
+    masking function. Null and empty texts stay as they are; repeated rows and texts that several rows
+    share (ties) are masked in each row; long texts are masked whole; columns of any name are kept;
+    an empty table gives no rows."""
+    taken = docs.columns
+    text = F.col(quoted(text_col)).cast("string")
+    blob = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
     found = scan(docs.select(F.lit(None).cast("long").alias("doc_id"), text.alias("text")), ledger=ledger)
     dirty = cut(found.filter(F.size("spans") > 0).select("blob", "spans").dropDuplicates(["blob"]), "dirty")
-    masked = docs.select(blob.alias("blob"), text.alias("text")).join(dirty, "blob").dropDuplicates(["blob"]) \
-        .select("blob", "text", "spans").mapInArrow(_mask_batches, "blob string, masked string")
-    masked = cut(masked, "masked")
-    key, new = "__mask_blob", "__mask_text"
-    out = docs.withColumn(key, blob).join(masked.select(F.col("blob").alias(key), F.col("masked").alias(new)), key, "left")
-    return out.withColumn(text_col, F.coalesce(F.col(new), F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key, spans = unused("blob", taken), unused("spans", taken)
+    dirty = dirty.select(F.col("blob").alias(key), F.col("spans").alias(spans))
+    out = docs.withColumn(key, blob).join(dirty, key, "left")
+    clean = F.arrow_udf(_mask_column, "string")
+    new = F.coalesce(clean(F.when(F.col(spans).isNotNull(), text), F.col(spans)), F.col(quoted(text_col)))
+    return out.select(*[new.alias(c) if c == text_col else F.col(quoted(c)) for c in taken])

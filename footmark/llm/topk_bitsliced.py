@@ -8,14 +8,21 @@ approximate score is found from the most significant slice downward; every row t
 bits could still lift to it is a boundary row, and the boundary rows are resolved exactly from the
 integers. So the result is exact; quantisation only sets how many rows are resolved.
 
+Vectors with components too large for 64-bit sums lie in blocks of their own, without slices. Pairs
+of blocks with such a side are scored exactly from all rows: with 64-bit integers where the query's
+sum of magnitudes times the block's largest one allows it, else with Python's.
+
 Plan: index blocks and query blocks are made by a map over the rows (no shuffle); each pair of an
 index and a query block is one row of work (query blocks travel, they are the small side), its
-result at most k rows a query; a window over (blocks x k) rows a query ends it.
+result at most k rows a query; a window over (blocks x k) rows a query ends it. Index blocks are dealt
+by number over a fixed count of tasks, since work, not bytes, is what a block costs.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
 from functools import partial
+from math import floor, isfinite, isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -23,26 +30,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from footmark.llm.common import cut, prepare
+from footmark.llm.common import cut, partitions, prepare
 from footmark.llm.vectors import matrices
 
 SCALE = 1024
 #: Rows of an index block, queries of a query block, bits that quantisation keeps of an attribute.
 ROWS, QUERIES, KEEP_BITS = 16384, 256, 8
-#: Components beyond this are outside what a long score can hold; such vectors take no part.
-LARGEST = 1 << 26
+#: Integers below it go into sliced blocks (and below what keeps a sum of products under 2^62).
+SLICED = 1 << 26
+#: Rows of a block of larger integers.
+LARGE_ROWS = 1024
 
 
 def _block_batches(batches, scale, rows, every):
-    """Blocks of (ids, integers); ``every``: only ids divisible by it."""
-    held: dict[int, list] = {}
+    """Blocks of (ids, components); ``every``: only ids divisible by it. Sliced blocks hold 32-bit
+    integers, others the components as doubles."""
+    held: dict[tuple[int, bool], list] = {}
 
-    def block(d):
-        ids, values = (np.concatenate(x) for x in zip(*held.pop(d)))
-        for a in range(0, len(ids), rows):
-            yield pa.record_batch([pa.array([d], pa.int32()), pa.array([ids[a:a + rows].tobytes()], pa.binary()),
-                                   pa.array([np.ascontiguousarray(values[a:a + rows]).tobytes()], pa.binary())],
-                                  names=["dim", "ids", "vals"])
+    def block(kind):
+        d, sliced = kind
+        ids, values = (np.concatenate(x) for x in zip(*held.pop(kind)))
+        most = rows if sliced else min(rows, LARGE_ROWS)
+        for a in range(0, len(ids), most):
+            yield pa.record_batch([pa.array([d], pa.int32()), pa.array([sliced]), pa.array([ids[a:a + most].tobytes()], pa.binary()),
+                                   pa.array([np.ascontiguousarray(values[a:a + most]).tobytes()], pa.binary())],
+                                  names=["dim", "sliced", "ids", "vals"])
 
     for batch in batches:
         ids = batch.column(0)
@@ -51,15 +63,41 @@ def _block_batches(batches, scale, rows, every):
         if every:
             has &= ids % every == 0
         for at, m in matrices(batch.column(1)):
-            v = np.floor(scale * m)
-            fine = has[at] & (np.abs(v).max(axis=1) < LARGEST)
-            if fine.any():
-                d = m.shape[1]
-                held.setdefault(d, []).append((ids[at[fine]], v[fine].astype(np.int32)))
-                if sum(len(x[0]) for x in held[d]) >= rows:
-                    yield from block(d)
-    for d in list(held):
-        yield from block(d)
+            d = m.shape[1]
+            with np.errstate(over="ignore"):
+                v = np.floor(scale * m)
+            small = np.abs(v).max(axis=1) < min(SLICED, isqrt((1 << 62) // d))
+            for sliced, some in ((True, has[at] & small), (False, has[at] & ~small)):
+                if some.any():
+                    kind = (d, sliced)
+                    held.setdefault(kind, []).append((ids[at[some]], v[some].astype(np.int32) if sliced else m[some]))
+                    if sum(len(x[0]) for x in held[kind]) >= (rows if sliced else LARGE_ROWS):
+                        yield from block(kind)
+    for kind in list(held):
+        yield from block(kind)
+
+
+def integers(vals: bytes, d: int, sliced: bool, scale: int) -> np.ndarray:
+    """The integers of a block: 64-bit if sliced, else Python's, exact for any double."""
+    if sliced:
+        return np.frombuffer(vals, dtype=np.int32).reshape(-1, d).astype(np.int64)
+    flat = [floor(scale * x) if isfinite(scale * x) else floor(scale * Fraction(x)) for x in np.frombuffer(vals, dtype=np.float64).tolist()]
+    out = np.empty(len(flat), dtype=object)
+    out[:] = flat
+    return out.reshape(-1, d)
+
+
+def scan(ids: np.ndarray, values: np.ndarray, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, list[int]]:
+    """The k best (ids, scores) of a block by scoring every row; as ``BitSlices.search`` otherwise."""
+    wide = sum(map(abs, q.tolist())) * int(np.abs(values).max()) >= 1 << 63
+    kind = object if wide else np.int64
+    score = (values.astype(kind) * q.astype(kind)).sum(axis=1).tolist()
+    best: dict[int, int] = {}
+    for i, s in zip(ids.tolist(), score):
+        if i != own and s > best.get(i, s - 1):
+            best[i] = s
+    top = sorted(best, key=lambda i: (-best[i], i))[:k]
+    return np.array(top, dtype=np.int64), [best[i] for i in top]
 
 
 class BitSlices:
@@ -165,19 +203,35 @@ class BitSlices:
         return above | equal
 
 
-def _search_batches(batches, k):
+def _search_batches(batches, k, scale):
     at, index = None, None
     for batch in batches:
-        for i, dim, ids, vals, q_ids, q_vals in zip(*(c.to_pylist() for c in batch.columns)):
-            if i != at:
-                at, index = i, BitSlices(np.frombuffer(ids, dtype=np.int64), np.frombuffer(vals, dtype=np.int32).reshape(-1, dim))
+        for i, dim, sliced, ids, vals, q_sliced, q_ids, q_vals in zip(*(c.to_pylist() for c in batch.columns)):
+            if (i, q_sliced) != at:
+                at, numbers = (i, q_sliced), np.frombuffer(ids, dtype=np.int64)
+                index = BitSlices(numbers, np.frombuffer(vals, dtype=np.int32).reshape(-1, dim)) if sliced and q_sliced \
+                    else integers(vals, dim, sliced, scale)
             out = [[], [], []]
-            for own, q in zip(np.frombuffer(q_ids, dtype=np.int64), np.frombuffer(q_vals, dtype=np.int32).reshape(-1, dim)):
-                found, score = index.search(q, own, k)
-                out[0].append(np.full(len(found), own))
-                out[1].append(found)
-                out[2].append(score)
-            yield pa.record_batch([pa.array(np.concatenate(x)) for x in out], names=["query_id", "vec_id", "score"])
+            for own, q in zip(np.frombuffer(q_ids, dtype=np.int64), integers(q_vals, dim, q_sliced, scale)):
+                found, score = index.search(q, own, k) if sliced and q_sliced else scan(numbers, index, q, own, k)
+                out[0] += [own] * len(found)
+                out[1] += found.tolist()
+                out[2] += list(score)
+            # a score that no long holds is an error here
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
+
+
+def _numbered(blocks: DataFrame) -> tuple[DataFrame, int]:
+    """Written blocks with numbers from 0 in place of their ids; the driver sees a row a partition."""
+    spark = blocks.sparkSession
+    counts = blocks.groupBy(F.shiftright("id", 33).alias("p")).agg(F.count("*").alias("c")).orderBy("p").collect()
+    ahead, total = [], 0
+    for r in counts:
+        ahead.append((r["p"], total))
+        total += r["c"]
+    ahead = F.broadcast(spark.createDataFrame(ahead, "p long, ahead long"))
+    return blocks.join(ahead, F.shiftright("id", 33) == F.col("p")) \
+        .withColumn("q", F.col("ahead") + F.col("id").bitwiseAND(F.lit((1 << 33) - 1))).drop("p", "ahead", "id"), total
 
 
 def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", *, every: int = 100, k: int = 10,
@@ -185,27 +239,28 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
     """For each row whose id is divisible by ``every``: its k best other rows by the inner product of
     floor(scale * component): query_id, rank (from 1), vec_id, score.
 
-    Vectors that are null, empty or hold null or non-finite components, rows with a null id, and
-    vectors with a component beyond LARGEST / scale take no part; vectors of different lengths aren't
-    compared. Ties go to the smaller id. Rows that share an id count once in a query's list, with
-    their best score, and aren't candidates of that id's queries; a query id that repeats has one
-    list. An empty table gives no rows."""
+    Vectors that are null, empty or hold null or non-finite components, and rows with a null id, take
+    no part; vectors of different lengths aren't compared. Finite components of any size count
+    exactly; if one of a query's k best scores doesn't fit a long, the query fails. Ties go to the
+    smaller id. Rows that share an id count once in a query's list, with their best score, and aren't
+    candidates of that id's queries; a query id that repeats has one list. An empty table gives no
+    rows."""
     spark = rows.sparkSession
     prepare(spark)
     src = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    kind = "dim int, ids binary, vals binary"
+    kind = "dim int, sliced boolean, ids binary, vals binary"
     index = cut(src.mapInArrow(partial(_block_batches, scale=scale, rows=ROWS, every=0), kind)
                 .withColumn("i", F.monotonically_increasing_id()), "index")
-    asked = cut(src.mapInArrow(partial(_block_batches, scale=scale, rows=QUERIES, every=every), kind)
-                .withColumn("id", F.monotonically_increasing_id()), "queries")
-    numbers = [(r["id"], n) for n, r in enumerate(asked.select("id").collect())]  # one number a block of queries
-    numbers = spark.createDataFrame(numbers, "id long, q long")
-    n = numbers.count()
-    asked = asked.join(numbers, "id").select("q", F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals"))
-    work = index.select("i", "dim", F.explode(F.sequence(F.lit(0), F.lit(max(n - 1, 0))).cast("array<long>")).alias("q"))
-    work = work.join(asked, "q").filter("dim = q_dim").select("i", "q_ids", "q_vals").join(index, "i") \
-        .select("i", "dim", "ids", "vals", "q_ids", "q_vals")
-    found = work.mapInArrow(partial(_search_batches, k=k), "query_id long, vec_id long, score long")
+    asked, n = _numbered(cut(src.mapInArrow(partial(_block_batches, scale=scale, rows=QUERIES, every=every), kind)
+                             .withColumn("id", F.monotonically_increasing_id()), "queries"))
+    asked = asked.select("q", F.col("dim").alias("q_dim"), F.col("sliced").alias("q_sliced"), F.col("ids").alias("q_ids"), F.col("vals").alias("q_vals"))
+    if not n:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    work = index.select("i", "dim", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>")).alias("q"))
+    work = work.join(asked, "q").filter("dim = q_dim").select("i", "q_sliced", "q_ids", "q_vals")
+    work = work.join(index.repartition(partitions(spark), "i").hint("merge"), "i") \
+        .select("i", "dim", "sliced", "ids", "vals", "q_sliced", "q_ids", "q_vals")
+    found = work.mapInArrow(partial(_search_batches, k=k, scale=scale), "query_id long, vec_id long, score long")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

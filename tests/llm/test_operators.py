@@ -2,9 +2,11 @@
 nulls, empty and long texts, ties, repeated rows, empty tables, extra columns with clashing names."""
 
 import itertools
+import math
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -464,3 +466,64 @@ def test_empty_tables(spark, none):
                secret_scan.mask(none), quality_rff.score_quality(none, labels, F.lit(False)), topk_bitsliced.top_k(vec),
                embedding_dedup.near_vectors(vec)):
         assert df.count() == 0
+
+
+def brute_top(rows, k=10, every=100, scale=1024):
+    fine = [(i, [math.floor(Fraction(x) * scale) for x in e]) for i, e in rows
+            if i is not None and e and all(x is not None and math.isfinite(x) for x in e)]
+    out = []
+    for q in sorted({i for i, _ in fine if i % every == 0}):
+        best = {}
+        for own, v in fine:
+            if own == q:
+                for i, w in fine:
+                    if i != q and len(w) == len(v):
+                        s = sum(a * b for a, b in zip(v, w))
+                        best[i] = max(best.get(i, s), s)
+        out += [(q, r + 1, i, best[i]) for r, i in enumerate(sorted(best, key=lambda i: (-best[i], i))[:k])]
+    return out
+
+
+def test_topk_large_components(spark):
+    """Components of any finite size count: the outliers rank first."""
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(400)]
+    rows += [(1000 + i, [7e4 * (i + 1), 1.0, 0.0, -7e4, 0.5, 0.0]) for i in range(5)] + [(2001 + i, [1e7, -1e7 + i, 0, 0, 0, 1e-9]) for i in range(5)]
+    rows += [(3001, [0, 0, 0, 1e11, 0, 0]), (3100, [0.5, 0.5, 0, 0, 0, 0]), (4001, [1.0, float("inf")] * 3), (101, [0.0, 0, 0, 5e5, 0, 0])]
+    frame = spark.createDataFrame([(i, [float(x) for x in e]) for i, e in rows], "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(tuple(r) for r in topk_bitsliced.top_k(frame).collect())
+    assert got == brute_top(rows)
+    far = spark.createDataFrame([(100, [1e-3, 0.0]), (1, [1e18, 3.0]), (2, [1e307, 1.0]), (0, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in topk_bitsliced.top_k(far.filter("vec_id <> 100")).collect()) == \
+        brute_top([(1, [1e18, 3.0]), (2, [1e307, 1.0]), (0, [0.0, 1.0])])
+    with pytest.raises(Exception, match="too large|out of bounds|int64|overflow"):
+        topk_bitsliced.top_k(far).collect()
+
+
+def test_many_languages(spark):
+    """The table of profiles is sparse: thousands of labels, each with its own letters."""
+    rng = random.Random(9)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    rows = [(i, "".join(rng.sample(letters, 12)), f"l{i % 1500}") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = language_id.learn_profiles(frame)
+    assert len(profiles) == 1500
+    ranks = language_id.Ranks(profiles)
+    assert len(ranks.lang) == sum(map(len, profiles.values()))
+    got = {r["key"]: r["lang_pred"] for r in language_id.predict(frame, profiles).collect()}
+    assert np.mean([got[i] == x for i, _, x in rows]) > 0.99
+
+
+def test_mixing_many_sources_and_wide_blocks(spark, monkeypatch):
+    """5,000 sources; then few blocks a source, so that blocks are wide: the shares hold in both."""
+    rows = spark.range(20000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), (F.col("id") % 5000).cast("string")).alias("source"),
+                                     F.repeat(F.lit("word "), (F.col("id") % 40 + 20).cast("int")).alias("text"))
+    got = mixing.mix_sources(rows)
+    one = got.groupBy("source_size", "target").agg(F.sum("taken").alias("taken"), F.count("*").alias("n"), F.max(F.col("taken") - 3 * F.col("size")).alias("over"))
+    assert got.count() == 20000 and one.filter("over > 0").count() == 0
+    total = got.agg(F.sum("taken"), F.sum("size")).first()
+    assert 0.95 < total[0] / total[1] < 1.05
+    monkeypatch.setattr(mixing, "BLOCKS", 64)
+    few = rows.withColumn("source", F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string")))
+    shares = mixing.mix_sources(few).groupBy("target").agg(F.sum("taken").alias("taken")).collect()
+    assert all(abs(r["taken"] - r["target"]) < 0.1 * r["target"] for r in shares)
