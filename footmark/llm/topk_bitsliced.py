@@ -216,8 +216,8 @@ def _search_batches(batches, k, scale):
                 found, score = index.search(q, own, k) if sliced and q_sliced else scan(numbers, index, q, own, k)
                 out[0] += [own] * len(found)
                 out[1] += found.tolist()
-                out[2] += list(score)
-            # a score that no long holds is an error here
+                out[2] += [s if s >= -1 << 63 else None for s in score]  # null: below every long
+            # a score above every long is an error here: it is among the k best, or k such scores are
             yield pa.record_batch([pa.array(x, pa.int64()) for x in out], names=["query_id", "vec_id", "score"])
 
 
@@ -262,5 +262,6 @@ def top_k(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
         .select("i", "dim", "sliced", "ids", "vals", "q_sliced", "q_ids", "q_vals")
     found = work.mapInArrow(partial(_search_batches, k=k, scale=scale), "query_id long, vec_id long, score long")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc_nulls_last("score"), "vec_id"))
+    score = F.coalesce("score", F.raise_error(F.lit("a score among the best doesn't fit a long")))
+    return best.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))

@@ -496,7 +496,7 @@ def test_topk_large_components(spark):
     far = spark.createDataFrame([(100, [1e-3, 0.0]), (1, [1e18, 3.0]), (2, [1e307, 1.0]), (0, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert sorted(tuple(r) for r in topk_bitsliced.top_k(far.filter("vec_id <> 100")).collect()) == \
         brute_top([(1, [1e18, 3.0]), (2, [1e307, 1.0]), (0, [0.0, 1.0])])
-    with pytest.raises(Exception, match="too large|out of bounds|int64|overflow"):
+    with pytest.raises(Exception, match="too large|fit a long"):
         topk_bitsliced.top_k(far).collect()
 
 
