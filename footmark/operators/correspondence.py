@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geometry import st_centroid_xy, st_overlap, st_point, with_bbox
+from ..functions.geometry import st_centroid_xy, st_distance_once, st_overlap, st_point, with_bbox
 from ..functions.plus_codes import plus_code
 from ..functions.projection import albers_inverse
 from ..functions.text import normalize_address
@@ -124,8 +124,24 @@ def overlap_metric(pairs: DataFrame, threshold: float = 0.3, column: str = "corr
     return p.withColumn(column, F.col("metric") > F.lit(float(threshold)))
 
 
-def distance_metric(pairs: DataFrame, threshold: float = 10.0, column: str = "corresponds") -> DataFrame:
-    """Distance test; ``metric`` (the distance) must already be on the pairs."""
+def distance_metric(pairs: DataFrame, threshold: float = 10.0, column: str = "corresponds", left: str = "geometry_left",
+                    right: str = "geometry_right") -> DataFrame:
+    """``metric`` (distance of the two geometry columns) and whether it is below ``threshold`` (strict).
+
+    With box columns (``xmin_left`` ...) on the pairs, pairs of points are measured in the JVM, since a
+    point is its own box; only the others go to the distance kernel. A null geometry gives null for both.
+    A ``metric`` that is there already is taken as it is.
+    """
+    if "metric" not in pairs.columns:
+        if all(f"{c}{s}" in pairs.columns for c in BBOX for s in ("_left", "_right")):
+            x, y = F.col("xmin_left") - F.col("xmin_right"), F.col("ymin_left") - F.col("ymin_right")
+            points = F.lit(True)
+            for s in ("_left", "_right"):
+                points = points & (F.col(f"xmin{s}") == F.col(f"xmax{s}")) & (F.col(f"ymin{s}") == F.col(f"ymax{s}"))
+            rest = st_distance_once(F.when(~points, F.col(left)), F.when(~points, F.col(right)))
+            pairs = pairs.withColumn("metric", F.when(points, F.sqrt(x * x + y * y)).otherwise(rest))
+        else:
+            pairs = pairs.withColumn("metric", st_distance_once(F.col(left), F.col(right)))
     return pairs.withColumn(column, F.col("metric") < F.lit(float(threshold)))
 
 
@@ -138,7 +154,7 @@ def correspondence_pairs(left: DataFrame, right: DataFrame, *, use_distance: boo
     R = _base(right, keys)
     if use_distance:
         t = 10.0 if threshold is None else threshold
-        pairs = dwithin_join(L, R, distance=t, keys=tuple(keys), cell=cell, levels=levels)
+        pairs = candidate_pairs(suffixed(L, "_left"), suffixed(R, "_right"), keys=tuple(keys), grow=t, cell=cell, levels=levels)
         return distance_metric(pairs, t).filter("corresponds")
     t = 0.3 if threshold is None else threshold
     Lb = suffixed(L, "_left")
@@ -255,28 +271,19 @@ def merge_footprints_and_addresses(footprints: DataFrame, addresses: DataFrame,
     6. one row per (provider, id) (D2); a self reference is appended to
        ``foreign``; id := 13-digit plus code of the point (G9); provider dropped.
 
-    Steps 1 and 5-6 are aggregations (partial, map-side), not windows, so a
+    Step 1 works on keys, places and distances alone (:func:`nearest_places`); payloads join the
+    nearest pairs only. Steps 1 and 5-6 are aggregations (partial, map-side), not windows, so a
     footprint or address shared by a large share of rows is reduced before
     the shuffle.
     """
     keys = _keys(footprints, addresses)
     Fp = _base(footprints, keys)
     Ad = _base(addresses, keys)
-    # address is the probe (grown by the threshold); columns: *_right = address, *_left = footprint
-    pairs = dwithin_join(Ad, Fp, distance=threshold, keys=tuple(keys), cell=cell,
-                         lsfx="_right", rsfx="_left", levels=levels)
-    # the pairs feed both the per-footprint minimum and the join back: materialise
-    # them once so the spatial join and the distance UDF run a single time
-    pairs = materialize(pairs.drop(*[f"{c}{s}" for c in BBOX for s in ("_left", "_right")]))
-    fp_key = [f"{k}_left" for k in keys] + ["provider_left", "id_left"]
-    nearest = pairs.groupBy(*fp_key).agg(F.min("metric").alias("__min"))
-    nearest = nearest.select(*[F.col(c).alias(f"__n_{c}") for c in fp_key], "__min")
-    cond = None
-    for c in fp_key:
-        e = F.col(c).eqNullSafe(F.col(f"__n_{c}"))
-        cond = e if cond is None else cond & e
-    pairs = pairs.join(nearest, cond, "inner").filter(F.col("metric") == F.col("__min")) \
-        .drop(*[f"__n_{c}" for c in fp_key])
+    near = materialize(nearest_places(Fp, Ad, keys, threshold, cell, levels, materialize))
+    pairs = near.join(suffixed(Ad.drop(*BBOX), "_right"), _same({f"{k}_left": f"{k}_right" for k in keys} | {"place": "geometry_right"})) \
+        .join(suffixed(Fp.drop(*BBOX).withColumn("shape", F.xxhash64("geometry")), "_fp"),
+              _same({f"{c}_left": f"{c}_fp" for c in [*keys, "provider", "id", "shape"]})) \
+        .select("metric", *[f"{c}_right" for c in (*BASE_COLS, *keys)], *[F.col(f"{c}_fp").alias(f"{c}_left") for c in (*BASE_COLS, *keys)])
     matched = pairs.select(
         F.col("id_right").alias("id"),
         F.col("provider_right").alias("provider"),
@@ -301,6 +308,35 @@ def merge_footprints_and_addresses(footprints: DataFrame, addresses: DataFrame,
     return finish_entities(allrows, keys, collapse_null_address)
 
 
+def _same(names: dict[str, str]) -> Column:
+    """All named columns equal, null to null."""
+    out = F.lit(True)
+    for a, b in names.items():
+        out = out & F.col(a).eqNullSafe(F.col(b))
+    return out
+
+
+def nearest_places(footprints: DataFrame, addresses: DataFrame, keys: list[str], threshold: float, cell: float = 50.0,
+                   levels=None, materialize: Materialize = checkpoint) -> DataFrame:
+    """For each footprint the nearest address place(s) below ``threshold``, ties kept.
+
+    Rows are ``provider_left, id_left, shape_left`` (a hash of the footprint's geometry, for ids that
+    repeat), the ``keys``, ``place`` (the address geometry) and ``metric``: no payload. Addresses at
+    one place are one node and repeated footprints one row, so many rows at a place don't make all
+    pairs; the minimum is a partial aggregation over these narrow rows.
+    """
+    places = addresses.filter(F.col("geometry").isNotNull()).select(*keys, "geometry", *BBOX).dropDuplicates([*keys, "geometry"])
+    shapes = footprints.filter(F.col("geometry").isNotNull()).select(*keys, "provider", "id", "geometry", *BBOX) \
+        .dropDuplicates([*keys, "provider", "id", "geometry"]).withColumn("shape", F.xxhash64("geometry"))
+    # the place is the probe (grown by the threshold)
+    pairs = dwithin_join(places, shapes, distance=threshold, keys=tuple(keys), cell=cell, lsfx="_right", rsfx="_left", levels=levels)
+    own = [f"{k}_left" for k in keys] + ["provider_left", "id_left"]
+    pairs = materialize(pairs.select(*own, "shape_left", F.col("geometry_right").alias("place"), "metric"))
+    least = pairs.groupBy(*own).agg(F.min("metric").alias("least")).select(*[F.col(c).alias(f"{c}_least") for c in own], "least")
+    return pairs.join(least, _same({c: f"{c}_least" for c in own})).filter(F.col("metric") == F.col("least")) \
+        .select(*own, "shape_left", "place", "metric")
+
+
 def finish_entities(allrows: DataFrame, keys: list[str], collapse_null_address: bool = False) -> DataFrame:
     """Steps 5-6 of :func:`merge_footprints_and_addresses` (dedupe, self reference, plus code).
 

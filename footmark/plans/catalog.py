@@ -17,14 +17,14 @@ from pyspark.sql import types as T
 
 from ..functions.geometry import (st_area, st_bbox, st_centroid, st_centroid_x, st_centroid_xy,
                                   st_centroid_y, st_collect, st_distance, st_intersection,
-                                  st_intersects, st_point, st_points, st_polygons, st_transform_to_5070)
+                                  st_intersects, st_point, st_points, st_polygons, st_transform_to_5070, with_bbox)
 from ..functions.plus_codes import plus_code
 from ..functions.projection import albers_inverse
 from ..functions.text import normalize_address, normalize_str, parse_height, parse_levels
-from ..operators.correspondence import (checkpoint, correspondence_pairs, anti_join,
+from ..operators.correspondence import (checkpoint, correspondence_pairs, anti_join, distance_metric,
                                         merge_footprints_and_addresses, spatial_correspondence)
 from ..operators.counties import county_index, county_of, lookup_county, mask_by_county, states
-from ..operators.spatial_join import dwithin_join, intersects_join
+from ..operators.spatial_join import candidate_pairs, dwithin_join, intersects_join, suffixed
 from ..providers import get_provider
 from ..providers.conform import to_conform
 from ..session import configure, ensure_checkpoint_dir
@@ -88,10 +88,15 @@ def j4_overlap_correspondence(spark, sf):
 
 
 def j5_distance_correspondence(spark, sf):
-    _start(spark)
-    p = dwithin_join(_keyed(fx.raw_nad(spark, sf)), _keyed(fx.raw_openaddresses(spark, sf)), 10.0)
-    return p.select(F.col("k_left").alias("left_key"), F.col("k_right").alias("right_key"),
-                    F.round("metric", 6).alias("metric"))
+    """Address points against the other address layer and the footprints: pairs up to 40 m, match below 10 m."""
+    _start(spark)
+    left = suffixed(with_bbox(_keyed(fx.raw_nad(spark, sf))), "_left")
+    rights = [with_bbox(_keyed(fx.raw_openaddresses(spark, sf))).withColumn("p", F.lit("openaddresses")),
+              with_bbox(_keyed(fx.raw_openstreetmap(spark, sf))).withColumn("p", F.lit("openstreetmap"))]
+    p = candidate_pairs(left, suffixed(rights[0].unionByName(rights[1]), "_right"), grow=40.0)
+    p = distance_metric(p).filter(F.col("metric") < 40.0)
+    return p.select(F.col("k_left").alias("left_key"), F.col("p_right").alias("right_provider"), F.col("k_right").alias("right_key"),
+                    F.round("metric", 6).alias("metric"), "corresponds")
 
 
 # --------------------------------------------------------------------------- geometry functions

@@ -387,8 +387,9 @@ def oracle_sql() -> dict[str, str]:
         f"greatest({iw}, 0.0) * greatest({ih}, 0.0) AS area_intersection, {ar} AS area_relative, "
         f"CASE WHEN {ar} = 0 THEN 'NaN'::DOUBLE ELSE greatest({iw}, 0.0) * greatest({ih}, 0.0) / {ar} END AS metric "
         f"FROM osm_raw a JOIN ms_raw b ON {inter})")
-    s["j5_distance_correspondence"] = with_(B) + (f"SELECT a.k AS left_key, b.k AS right_key, round({pd}, 6) AS metric "
-                                                  f"FROM nad_raw a JOIN oa_raw b ON {pd} < 10.0")
+    s["j5_distance_correspondence"] = with_(B) + " UNION ALL ".join(
+        f"SELECT a.k AS left_key, '{p}' AS right_provider, b.k AS right_key, round({pd}, 6) AS metric, {pd} < 10.0 AS corresponds "
+        f"FROM nad_raw a JOIN {t} b ON {pd} < 40.0" for p, t in (("openaddresses", "oa_raw"), ("openstreetmap", "osm_raw")))
     s["g3_area"] = with_(B) + f"SELECT provider, \"key\", (bx1 - bx0) * (by1 - by0) AS area FROM {boxes()}"
     s["g12_bbox"] = with_(B) + f"SELECT provider, \"key\", bx0 AS xmin, by0 AS ymin, bx1 AS xmax, by1 AS ymax FROM {boxes()}"
     s["g5_g6_centroid_xy"] = with_(B) + f"SELECT provider, \"key\", (bx0 + bx1) / 2 AS x, (by0 + by1) / 2 AS y FROM {boxes()}"
