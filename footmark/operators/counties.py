@@ -3,13 +3,15 @@ state geometry and bounds (A3, A4).
 
 The county layer is a fixed reference table (about 3,200 US counties, ~11 MB
 of GeoJSON), not something that grows with the data. It is cut into cells of
-a coarse grid; features look up the cells their box covers. The county side
+several grid levels; a feature looks up one cell a level. The county side
 is broadcast only after its size is checked against a bound; above it
 the join is a normal shuffle join.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,60 +19,62 @@ from pyspark.sql import functions as F
 
 from pyspark.sql import Column
 
-from ..functions.geometry import st_box_relation, st_centroid, st_intersects, with_bbox
+from ..functions.geometry import st_centroid, st_intersects, with_bbox
 from ..functions import kernels as K
 from ..functions import wkb as W
+from .county_cells import CELL, FACTOR, SHIFT, cell_batches, local_hit
 
-COUNTY_GRID = 10_000.0
+COUNTY_GRID = 2_500.0
 MAX_BROADCAST_COUNTY_CELL_BYTES = 256 * 1024 * 1024
-#: Bytes of a cell row in a hash relation: seven 8-byte values, the code, row and hash overhead.
-CELL_ROW_BYTES = 128
+#: Bytes of a cell row in a hash relation besides its edges: the values, the code, row and hash overhead.
+CELL_ROW_BYTES = 160
 MAX_BROADCAST_GEOMETRY_BYTES = 256 * 1024 * 1024
 
 
 class CountyIndex:
     """Counties prepared for lookups, materialised once per job.
 
-    ``cells``: one row per (county, grid cell) with the county box and the
-    cell's relation to the county (0 outside, 1 inside, 2 boundary) - no
-    geometry, so its size is rows x a few dozen bytes. ``shapes``: one row per
-    county with its polygon. A feature whose box lies in one interior (or
-    exterior) cell is decided by JVM comparisons; only the remaining pairs
-    get the county polygon attached (a broadcast left join on fips with the
-    "undecided" flag in the condition) and go to the exact test.
-
-    The grid defaults to a quarter of the median county extent (clamped to
-    500 m .. 20 km). Both sides are broadcast only after their size is
-    checked once (cell rows, polygon bytes); above the bounds the joins
-    shuffle.
+    ``cells``: the cover of each county on several grid levels (see
+    :mod:`~footmark.operators.county_cells`): inside cells as coarse as they can be, crossed cells down
+    to the finest level, where they hold the few boundary edges that cross them. ``shapes``: one
+    row per county with its polygon, for features that are larger than the finest cell and lie
+    on a county line.
+
+    The finest cell defaults to a sixteenth of the median county extent (clamped to 125 m .. 4 km).
+    Both sides are broadcast only after their size is checked once (cell rows and edges, polygon
+    bytes); above the bounds the joins shuffle.
     """
 
     def __init__(self, counties: DataFrame, grid: float | None = None):
+        from .correspondence import checkpoint
         c = with_bbox(counties.select("fips", F.col("geometry").alias("county_geometry")),
                       "county_geometry", prefix="c_")
-        if grid is None:
-            ext = F.greatest(F.col("c_xmax") - F.col("c_xmin"), F.col("c_ymax") - F.col("c_ymin"))
-            med = c.agg(F.percentile_approx(ext, 0.5)).first()[0]
-            grid = float(min(max((med or COUNTY_GRID * 4) / 4.0, 500.0), 20_000.0))
-        self.grid = grid
-        g = F.lit(grid)
-        from .correspondence import checkpoint
-        shapes = checkpoint(c.select(F.col("fips").alias("__sfips"), "county_geometry"))
-        cells = c.withColumn("__cx", F.explode(F.sequence(F.floor(F.col("c_xmin") / g),
-                                                          F.floor(F.col("c_xmax") / g)))) \
-            .withColumn("__cy", F.explode(F.sequence(F.floor(F.col("c_ymin") / g),
-                                                     F.floor(F.col("c_ymax") / g))))
-        rel = st_box_relation(F.col("county_geometry"), F.col("__cx") * g, F.col("__cy") * g,
-                              (F.col("__cx") + 1) * g, (F.col("__cy") + 1) * g)
-        self.cells = checkpoint(cells.withColumn("c_rel", rel).drop("county_geometry"))
-        self.shapes = shapes
-        self.n_cells = self.cells.count()
-        self.geometry_bytes = shapes.agg(F.sum(F.length("county_geometry"))).first()[0] or 0
-        self.broadcastable = self.n_cells * CELL_ROW_BYTES <= MAX_BROADCAST_COUNTY_CELL_BYTES
+        c = checkpoint(c.filter(F.col("c_xmin").isNotNull()))
+        ext = F.greatest(F.col("c_xmax") - F.col("c_xmin"), F.col("c_ymax") - F.col("c_ymin"))
+        r = c.agg(F.percentile_approx(ext, 0.5).alias("median"), F.min("c_xmin").alias("x0"), F.min("c_ymin").alias("y0"),
+                  F.max("c_xmax").alias("x1"), F.max("c_ymax").alias("y1"), F.sum(F.length("county_geometry")).alias("bytes")).first()
+        self.bounds = (r["x0"] or 0.0, r["y0"] or 0.0, r["x1"] or 0.0, r["y1"] or 0.0)
+        self.grid = grid or float(min(max((r["median"] or COUNTY_GRID * 16) / 16.0, 125.0), 4_000.0))
+        whole = max(self.bounds[2] - self.bounds[0], self.bounds[3] - self.bounds[1])
+        self.top = 0
+        while self.grid * FACTOR ** self.top < whole:
+            self.top += 1
+        spread = int(c.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cells = c.select("fips", "county_geometry").repartition(spread, "fips") \
+            .mapInArrow(partial(cell_batches, base=self.grid, top=self.top), CELL)
+        boxes = c.select(F.col("fips").alias("__bfips"), "c_xmin", "c_ymin", "c_xmax", "c_ymax")
+        self.cells = checkpoint(cells.join(F.broadcast(boxes), F.col("fips") == F.col("__bfips")).drop("__bfips"))
+        self.shapes = c.select(F.col("fips").alias("__sfips"), "county_geometry")
+        n = self.cells.agg(F.count("*").alias("n"), F.sum(F.length("edges")).alias("edges"),
+                           F.collect_set(F.when(F.col("inside"), F.col("lvl"))).alias("inside")).first()
+        self.n_cells, self.edge_bytes, self.inside_levels = n["n"], n["edges"] or 0, sorted(n["inside"])
+        self.geometry_bytes = r["bytes"] or 0
+        self.broadcastable = self.n_cells * CELL_ROW_BYTES + self.edge_bytes <= MAX_BROADCAST_COUNTY_CELL_BYTES
         self.shapes_broadcastable = self.geometry_bytes <= MAX_BROADCAST_GEOMETRY_BYTES
 
     def side(self) -> DataFrame:
-        return F.broadcast(self.cells) if self.broadcastable else self.cells
+        cells = self.cells.withColumnsRenamed({c: f"__{c}" for c in ("lvl", "cx", "cy", "inside", "edges", "corner")})
+        return F.broadcast(cells) if self.broadcastable else cells
 
     def shape_side(self) -> DataFrame:
         return F.broadcast(self.shapes) if self.shapes_broadcastable else self.shapes
@@ -82,44 +86,57 @@ def county_index(counties, grid: float | None = None) -> CountyIndex:
 
 def county_pairs(features: DataFrame, counties, *, geometry: str = "geometry",
                  grid: float | None = None, keep_bbox: bool = False) -> DataFrame:
-    """(feature, county) candidate pairs whose boxes overlap; one row per pair.
-
-    ``counties`` is a county DataFrame or a prepared :class:`CountyIndex`.
-    Adds ``fips``, ``__decided`` (true / false when the cell relation settles
-    the pair, null when the exact test is needed) and ``county_geometry``
-    (set only on undecided rows). Pairs spanning several grid cells are
-    reported once (reference-point rule).
+    """(feature, county) candidate pairs; one row per pair.
+
+    ``counties`` is a county DataFrame or a prepared :class:`CountyIndex`. A feature looks up one cell
+    on its home level (the finest whose cells are as large as its box) and one on each coarser level
+    that has inside cells, so a bad coordinate costs no more rows than a good one; its box counts
+    where the counties are. Adds ``fips``, ``__decided`` (true where an inside cell settles the pair,
+    else null), the crossed cell's ``__edges`` and, for features above the finest level only,
+    ``county_geometry``.
     """
     idx = county_index(counties, grid)
-    g = F.lit(idx.grid)
     f = with_bbox(features, geometry, prefix="f_")
-    f = f.withColumn("__fx", F.explode(F.sequence(F.floor(F.col("f_xmin") / g), F.floor(F.col("f_xmax") / g)))) \
-        .withColumn("__fy", F.explode(F.sequence(F.floor(F.col("f_ymin") / g), F.floor(F.col("f_ymax") / g))))
-    j = f.join(idx.side(), (F.col("__fx") == F.col("__cx")) & (F.col("__fy") == F.col("__cy")))
-    refx = F.greatest(F.col("f_xmin"), F.col("c_xmin"))
-    refy = F.greatest(F.col("f_ymin"), F.col("c_ymin"))
-    j = j.filter((F.col("f_xmin") <= F.col("c_xmax")) & (F.col("c_xmin") <= F.col("f_xmax")) &
-                 (F.col("f_ymin") <= F.col("c_ymax")) & (F.col("c_ymin") <= F.col("f_ymax")) &
-                 (F.floor(refx / g) == F.col("__cx")) & (F.floor(refy / g) == F.col("__cy")))
-    # a feature box within this one cell: an interior cell decides true, an outside cell false
-    one_cell = (F.floor(F.col("f_xmin") / g) == F.floor(F.col("f_xmax") / g)) & \
-        (F.floor(F.col("f_ymin") / g) == F.floor(F.col("f_ymax") / g))
-    decided = F.when(one_cell & (F.col("c_rel") == 1), F.lit(True)) \
-        .when(one_cell & (F.col("c_rel") == 0), F.lit(False))
-    j = j.withColumn("__decided", decided)
-    # the polygon only for undecided pairs (map-side join, condition includes the flag)
-    j = j.join(idx.shape_side(), (F.col("fips") == F.col("__sfips")) & F.col("__decided").isNull(), "left")
+    x0, y0, x1, y1 = (F.lit(v) for v in idx.bounds)
+    f = f.filter((F.col("f_xmin") <= x1) & (F.col("f_xmax") >= x0) & (F.col("f_ymin") <= y1) & (F.col("f_ymax") >= y0))
+    left, low = F.greatest(F.col("f_xmin"), x0), F.greatest(F.col("f_ymin"), y0)
+    ext = F.greatest(F.least(F.col("f_xmax"), x1) - left, F.least(F.col("f_ymax"), y1) - low)
+    home = F.lit(idx.top)
+    for lvl in range(idx.top - 1, -1, -1):
+        home = F.when(ext <= idx.grid * FACTOR ** lvl, F.lit(lvl)).otherwise(home)
+    f = f.withColumn("__home", home)
+    shift = SHIFT * idx.grid
+    probes = F.array(*[F.struct(F.lit(lvl).alias("l"), F.floor((left - shift) / (idx.grid * FACTOR ** lvl)).alias("x"),
+                                F.floor((low - shift) / (idx.grid * FACTOR ** lvl)).alias("y")) for lvl in range(idx.top + 1)])
+    coarser = F.array(*[F.lit(lvl) for lvl in idx.inside_levels]).cast("array<int>")
+    probes = F.filter(probes, lambda p: (p["l"] == F.col("__home")) | ((p["l"] > F.col("__home")) & F.array_contains(coarser, p["l"])))
+    f = f.withColumn("__at", F.explode(probes))
+    j = f.join(idx.side(), (F.col("__at.l") == F.col("__lvl")) & (F.col("__at.x") == F.col("__cx")) & (F.col("__at.y") == F.col("__cy"))) \
+        .filter((F.col("__inside") | (F.col("__lvl") == F.col("__home"))) &
+                (F.col("f_xmin") <= F.col("c_xmax")) & (F.col("c_xmin") <= F.col("f_xmax")) &
+                (F.col("f_ymin") <= F.col("c_ymax")) & (F.col("c_ymin") <= F.col("f_ymax")))
+    # what reaches beyond the counties is only known by its shape
+    whole = (F.col("f_xmin") >= x0) & (F.col("f_ymin") >= y0) & (F.col("f_xmax") <= x1) & (F.col("f_ymax") <= y1)
+    j = j.withColumn("__decided", F.when(F.col("__inside") & whole, F.lit(True))) \
+        .withColumn("__edges", F.when(whole & ~F.col("__inside"), F.col("__edges"))).withColumn("__base", F.lit(idx.grid))
+    # the polygon only for the pairs that neither settles
+    j = j.join(idx.shape_side(), (F.col("fips") == F.col("__sfips")) & F.col("__decided").isNull() & F.col("__edges").isNull(), "left")
     if keep_bbox:
         j = j.withColumnsRenamed({f"f_{c}": c for c in ("xmin", "ymin", "xmax", "ymax")})
-    return j.drop("__fx", "__fy", "__cx", "__cy", "f_xmin", "f_ymin", "f_xmax", "f_ymax",
-                  "c_xmin", "c_ymin", "c_xmax", "c_ymax", "c_rel", "__sfips")
+    return j.drop("__at", "__home", "__lvl", "__inside", "f_xmin", "f_ymin", "f_xmax", "f_ymax",
+                  "c_xmin", "c_ymin", "c_xmax", "c_ymax", "__sfips")
+
+
+#: Columns of :func:`county_pairs` that only the exact test needs.
+TEST_COLUMNS = ("county_geometry", "__decided", "__edges", "__cx", "__cy", "__corner", "__base")
 
 
 def _exact(p: DataFrame, geometry: str) -> Column:
-    """Decided pairs by flag; the rest by the exact test (county geometry attached only to them)."""
-    need = F.col("__decided").isNull()
-    test = st_intersects(F.when(need, F.col(geometry)), F.col("county_geometry"))
-    return F.coalesce(F.col("__decided"), test)
+    """Decided pairs by flag, pairs at a crossed cell by its edges, the rest by the county's polygon."""
+    near = local_hit(F.when(F.col("__edges").isNotNull(), F.col(geometry)), F.col("__edges"), F.col("__cx"), F.col("__cy"),
+                     F.col("__corner"), F.col("__base"))
+    far = st_intersects(F.when(F.col("county_geometry").isNotNull(), F.col(geometry)), F.col("county_geometry"))
+    return F.coalesce(F.col("__decided"), near, far)
 
 
 def mask_by_county(features: DataFrame, counties, *, geometry: str = "geometry",
@@ -132,8 +149,7 @@ def mask_by_county(features: DataFrame, counties, *, geometry: str = "geometry",
     """
     keep_bbox = keep_bbox and not any(c in features.columns for c in ("xmin", "ymin", "xmax", "ymax"))
     p = county_pairs(features, counties, geometry=geometry, grid=grid, keep_bbox=keep_bbox)
-    return p.withColumn("__hit", _exact(p, geometry)).filter("__hit") \
-        .drop("county_geometry", "__decided", "__hit")
+    return p.withColumn("__hit", _exact(p, geometry)).filter("__hit").drop(*TEST_COLUMNS, "__hit")
 
 
 def county_of(features: DataFrame, counties, *, geometry: str = "geometry",
