@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,6 +125,16 @@ def st_box(xmin: pa.Array, ymin: pa.Array, xmax: pa.Array, ymax: pa.Array) -> pa
     return W.encode_boxes(*vals)
 
 
+@arrow_udf(BINARY)
+def st_polygon(ring: pa.Array) -> pa.Array:
+    """WKB polygon of one ring from its coordinates x, y, x, y, ... (not closed; null where null or shorter
+    than three points)."""
+    n = np.where(ring.is_valid(), pa.compute.fill_null(pa.compute.list_value_length(ring), 0), 0) // 2
+    ok = n >= 3
+    n = np.where(ok, n, 0)
+    return W.encode_rings(np.asarray(ring.filter(pa.array(ok)).flatten().to_numpy(zero_copy_only=False), np.float64).reshape(-1, 2), n)
+
+
 @arrow_udf(BOOLEAN)
 def st_is_valid_wkb(g: pa.Array) -> pa.Array:
     """True when the value decodes to a non-empty geometry."""
@@ -286,22 +297,6 @@ def st_from_geojson(text: pa.Array) -> pa.Array:
     return pa.array(out, type=pa.binary())
 
 
-def _box_relation(g: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.Array) -> pa.Array:
-    d = W.decode(g)
-    vals = [np.asarray(v.to_numpy(zero_copy_only=False), np.float64) for v in (x0, y0, x1, y1)]
-    b = W.decode(W.encode_boxes(*vals))
-    _, hit = K.distance_and_intersects(d, b)
-    inter = K.intersection_area(d, b)
-    cell = (vals[2] - vals[0]) * (vals[3] - vals[1])
-    rel = np.where(~hit, 0, np.where(inter >= cell, 1, 2)).astype(np.int32)
-    return pa.array(rel, mask=~d.valid)
-
-
-# Relation of a geometry to an axis-aligned box: 0 = disjoint, 1 = the box lies
-# inside the geometry, 2 = the boundary crosses the box. Used to index counties.
-st_box_relation = arrow_udf(_box_relation, T.IntegerType())
-
-
 # --------------------------------------------------------------------------- helpers
 
 

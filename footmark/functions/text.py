@@ -24,20 +24,21 @@ LEVELS_NOISE = r"`|''|\+|(PK)|>|±"
 # Trailing street-type abbreviations expanded before address normalisation.
 TRAILING_SUFFIXES = [("dr", "drive"), ("st", "street"), ("ct", "court"), ("ln", "lane"),
                      ("ave", "avenue"), ("rd", "road")]
-# Address token dictionary (our own; long-hand forms in lower case).
-ADDRESS_TOKENS = {
-    # street types
+# Address dictionaries (our own; long-hand forms in lower case): street types, directions, unit
+# designators, and words that open a street name.
+STREET_TYPES = {
     "aly": "alley", "ave": "avenue", "av": "avenue", "blvd": "boulevard", "cir": "circle",
     "ct": "court", "cv": "cove", "dr": "drive", "expy": "expressway", "fwy": "freeway",
     "hwy": "highway", "ln": "lane", "lp": "loop", "pkwy": "parkway", "pl": "place",
     "plz": "plaza", "rd": "road", "sq": "square", "st": "street", "ter": "terrace",
     "trl": "trail", "way": "way",
-    # directionals
+}
+DIRECTIONS = {
     "n": "north", "s": "south", "e": "east", "w": "west",
     "ne": "northeast", "nw": "northwest", "se": "southeast", "sw": "southwest",
-    # unit designators
-    "apt": "apartment", "bldg": "building", "fl": "floor", "rm": "room", "ste": "suite",
 }
+UNITS = {"apt": "apartment", "bldg": "building", "fl": "floor", "rm": "room", "ste": "suite", "unit": "unit", "#": "unit"}
+NAME_OPENERS = {"st": "saint", "ft": "fort", "mt": "mount"}
 # ---------------------------------------------------------------------------
 
 NUMERIC_RE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -133,19 +134,108 @@ def expand_trailing_suffix(addr) -> Column:
     return a
 
 
+def _let(value, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _words(mapping: dict[str, str]) -> Column:
+    """Dictionary as a map column; long-hand forms stand for themselves."""
+    both = {v: v for v in mapping.values()} | mapping
+    return F.create_map(*[F.lit(x) for kv in sorted(both.items()) for x in kv])
+
+
+def _part(condition, words: Column) -> Column:
+    return F.when(condition, words).otherwise(F.array().cast("array<string>"))
+
+
+def _street(tokens: Column, then) -> Column:
+    """Read a street line from both ends: ``then(words, name)`` gets its long-hand words and its name.
+
+    street = [pre-direction] name [type] [post-direction]. A direction or a type is only one if a name
+    is left beside it, so 'E St' is the lettered street 'e street' and 'Ave B' is 'avenue b'; 'St', 'Mt'
+    or 'Ft' before another word of the name is part of it ('St Marys Ave': 'saint marys avenue').
+    """
+    types, dirs, openers = _words(STREET_TYPES), _words(DIRECTIONS), _words(NAME_OPENERS)
+
+    def known(mapping, word):
+        return F.try_element_at(mapping, word)
+
+    def head(x):
+        return F.try_element_at(x, F.lit(1))
+
+    def last(x):
+        return F.try_element_at(x, F.lit(-1))
+
+    def rest(x):
+        return F.slice(x, 2, F.size(x))
+
+    def but_last(x):
+        return F.slice(x, F.lit(1), F.greatest(F.size(x) - 1, F.lit(0)))
+
+    def ends(x):
+        post = (F.size(x) >= 2) & known(dirs, last(x)).isNotNull() & ~((F.size(x) == 2) & known(types, head(x)).isNotNull())
+        after = _part(post, F.array(known(dirs, last(x))))
+        return _let(F.struct(F.when(post, but_last(x)).otherwise(x).alias("x"), after.alias("after")), typed)
+
+    def typed(v):
+        x = v["x"]
+        has = (F.size(x) >= 2) & known(types, last(x)).isNotNull()
+        kind = _part(has, F.array(known(types, last(x))))
+        return _let(F.struct(F.when(has, but_last(x)).otherwise(x).alias("x"), F.concat(kind, v["after"]).alias("after")), led)
+
+    def led(v):
+        x = v["x"]
+        has = (F.size(x) >= 2) & known(dirs, head(x)).isNotNull()
+        before = _part(has, F.array(known(dirs, head(x))))
+        return _let(F.struct(F.when(has, rest(x)).otherwise(x).alias("x"), before.alias("before"), v["after"].alias("after")), named)
+
+    def named(v):
+        x = v["x"]
+        second = F.try_element_at(x, F.lit(2))
+        numbered = known(types, head(x)).isNotNull() & second.rlike(r"^([a-z]|[0-9]+[a-z]?)\z")
+        first = F.when(numbered, known(types, head(x))).otherwise(F.coalesce(known(openers, head(x)), head(x)))
+        name = F.when(F.size(x) >= 2, F.concat(F.array(first), rest(x))).otherwise(x)
+        return then(F.concat(v["before"], name, v["after"]), x)
+
+    return _let(tokens, ends)
+
+
 def normalize_address(addr) -> Column:
     """Normalise a postal address to lower-case long-hand form.
 
-    lowercase -> punctuation to spaces -> trailing street type expanded ->
-    every token looked up in :data:`ADDRESS_TOKENS` -> single spaces, trimmed.
-    An address without any letter (no street name) is unusable: null, as is
-    an empty result (Q15: lowercase first, trim at the end).
+    lowercase -> punctuation to spaces -> trailing street type expanded -> tokens read as
+
+        [building name] [number] street [unit designator, unit]
+
+    with the street as in :func:`_street`. Line 2 starts at the first unit designator that follows a
+    word and has a word after it. Words in other places stay as they are. An address that starts
+    with a unit designator, or whose street name has no letter, is unusable: null, as is an empty
+    result (Q15: lowercase first, trim at the end).
     """
-    a = F.lower(_c(addr))
-    a = F.regexp_replace(a, r"[.,;]", " ")
-    a = strip_ws(F.regexp_replace(a, rf"{WS}+", " "))
-    a = expand_trailing_suffix(a)
-    m = F.create_map(*[x for kv in ADDRESS_TOKENS.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    toks = F.transform(F.split(a, " "), lambda t: F.coalesce(F.try_element_at(m, t), t))
-    out = F.array_join(toks, " ")
-    return F.when(out.rlike("[a-z]"), out)
+    a = F.regexp_replace(F.regexp_replace(F.lower(_c(addr)), r"[.,;]", " "), "#", " # ")
+    a = expand_trailing_suffix(strip_ws(F.regexp_replace(a, rf"{WS}+", " ")))
+    units, types = _words(UNITS), _words(STREET_TYPES)
+    number = r"^[0-9]+([a-z]|[-/][0-9]+)?\z"
+
+    def lines(t):
+        at = F.filter(F.sequence(F.lit(1), F.size(t)), lambda i: (i >= 2) & (i < F.size(t)) & F.try_element_at(units, F.element_at(t, i)).isNotNull())
+        cut = F.coalesce(F.try_element_at(at, F.lit(1)), F.size(t) + 1)
+        second = F.slice(t, cut, F.size(t))
+        unit = _part(F.size(second) > 0, F.concat(F.array(F.try_element_at(units, F.try_element_at(second, F.lit(1)))), F.slice(second, 2, F.size(t))))
+        return _let(F.struct(F.slice(t, F.lit(1), cut - 1).alias("one"), unit.alias("two")), numbers)
+
+    def numbers(v):
+        one = v["one"]
+        at = F.filter(F.sequence(F.lit(1), F.size(one)), lambda i: (i < F.size(one)) & F.element_at(one, i).rlike(number) & (
+            (i == 1) | F.try_element_at(types, F.try_element_at(one, F.greatest(i - 1, F.lit(1)))).isNull()))
+        at = F.coalesce(F.try_element_at(at, F.lit(1)), F.lit(0))
+        return _let(F.struct(F.slice(one, F.lit(1), at).alias("head"), F.slice(one, at + 1, F.size(one)).alias("street"), v["two"].alias("two")), whole)
+
+    def whole(v):
+        def joined(words, name):
+            usable = F.array_join(name, " ").rlike("[a-z]") & F.try_element_at(units, F.try_element_at(F.concat(v["head"], name), F.lit(1))).isNull()
+            return F.when(usable, F.array_join(F.concat(v["head"], words, v["two"]), " "))
+        return _street(v["street"], joined)
+
+    return _let(F.split(a, " "), lines)

@@ -411,6 +411,28 @@ def encode_boxes(xmin, ymin, xmax, ymax, valid=None) -> pa.Array:
     return _binary_from(rec.ravel(), offsets, ok)
 
 
+def encode_rings(xy: np.ndarray, n: np.ndarray) -> pa.Array:
+    """Polygons of one ring each: ``n`` points (not closed) of ``xy`` for each value, none gives null.
+    One output buffer for all values."""
+    ok = n > 0
+    size = np.where(ok, 13 + 16 * (n + 1), 0)
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    head = np.zeros((int(ok.sum()), 13), np.uint8)
+    head[:, 0], head[:, 1], head[:, 5] = 1, POLYGON, 1
+    head[:, 9:13] = np.ascontiguousarray((n[ok] + 1).astype("<u4")).view(np.uint8).reshape(-1, 4)
+    first = np.cumsum(n[ok]) - n[ok]
+    at = np.arange(len(xy)) + np.repeat(np.arange(len(first)), n[ok])   # a closing point after each ring
+    points = np.empty((len(xy) + len(first), 2))
+    points[at] = xy
+    points[first + n[ok] + np.arange(len(first))] = xy[first]
+    data = np.empty(int(offsets[-1]), np.uint8)
+    heads = (offsets[:-1][ok][:, None] + np.arange(13)).ravel()
+    rest = np.ones(len(data), bool)
+    rest[heads] = False
+    data[heads], data[rest] = head.ravel(), points.view(np.uint8).ravel()
+    return _binary_from(data, offsets.astype(np.int32), ok)
+
+
 def _binary_from(data: np.ndarray, offsets: np.ndarray, ok: np.ndarray) -> pa.Array:
     n = len(offsets) - 1
     validity = pa.array(ok).buffers()[1] if not ok.all() else None

@@ -22,7 +22,7 @@ from pyspark.sql import Column
 from ..functions.geometry import st_centroid, st_intersects, with_bbox
 from ..functions import kernels as K
 from ..functions import wkb as W
-from .county_cells import CELL, FACTOR, SHIFT, cell_batches, local_hit
+from .county_cells import CELL, FACTOR, SHIFT_X, SHIFT_Y, cell_batches, local_hit
 
 COUNTY_GRID = 2_500.0
 MAX_BROADCAST_COUNTY_CELL_BYTES = 256 * 1024 * 1024
@@ -105,9 +105,9 @@ def county_pairs(features: DataFrame, counties, *, geometry: str = "geometry",
     for lvl in range(idx.top - 1, -1, -1):
         home = F.when(ext <= idx.grid * FACTOR ** lvl, F.lit(lvl)).otherwise(home)
     f = f.withColumn("__home", home)
-    shift = SHIFT * idx.grid
-    probes = F.array(*[F.struct(F.lit(lvl).alias("l"), F.floor((left - shift) / (idx.grid * FACTOR ** lvl)).alias("x"),
-                                F.floor((low - shift) / (idx.grid * FACTOR ** lvl)).alias("y")) for lvl in range(idx.top + 1)])
+    x, y = left - SHIFT_X * idx.grid, low - SHIFT_Y * idx.grid
+    probes = F.array(*[F.struct(F.lit(lvl).alias("l"), F.floor(x / (idx.grid * FACTOR ** lvl)).alias("x"),
+                                F.floor(y / (idx.grid * FACTOR ** lvl)).alias("y")) for lvl in range(idx.top + 1)])
     coarser = F.array(*[F.lit(lvl) for lvl in idx.inside_levels]).cast("array<int>")
     probes = F.filter(probes, lambda p: (p["l"] == F.col("__home")) | ((p["l"] > F.col("__home")) & F.array_contains(coarser, p["l"])))
     f = f.withColumn("__at", F.explode(probes))

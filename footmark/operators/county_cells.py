@@ -20,8 +20,8 @@ from ..functions import kernels as K
 from ..functions import wkb as W
 
 FACTOR = 4
-#: Grid shift as a part of the base cell, and slack around a square as a part of its cell.
-SHIFT, SLACK = 0.3819660112501051, 1e-6
+#: Grid shifts in x and y as parts of the base cell, and slack around a square as a part of its cell.
+SHIFT_X, SHIFT_Y, SLACK = 0.3819660112501051, 0.2360679774997897, 1e-6
 CELL = "fips string, lvl int, cx long, cy long, inside boolean, edges binary, corner boolean"
 
 
@@ -30,6 +30,14 @@ def _orient(e: np.ndarray, px, py) -> np.ndarray:
     return (e[..., 2] - e[..., 0]) * (py - e[..., 1]) - (e[..., 3] - e[..., 1]) * (px - e[..., 0])
 
 
+def _side(e: np.ndarray, px, py) -> np.ndarray:
+    """``_orient`` that is never 0: on the edge's line the point counts as moved a little to the right,
+    and less upward. So a point has one side of every edge, in whichever test."""
+    o = _orient(e, px, py)
+    dx, dy = e[..., 2] - e[..., 0], e[..., 3] - e[..., 1]
+    return np.where(o != 0, o, np.where(dy != 0, -dy, dx))
+
+
 def inside_ring(edges: np.ndarray, px: np.ndarray, py: np.ndarray, block: int = 1 << 20) -> np.ndarray:
     """Even-odd rule for points against all edges."""
     out = np.zeros(len(px), dtype=bool)
@@ -37,7 +45,7 @@ def inside_ring(edges: np.ndarray, px: np.ndarray, py: np.ndarray, block: int =
     for a in range(0, len(px), step):
         x, y = px[a:a + step, None], py[a:a + step, None]
         spans = (edges[:, 1] > y) != (edges[:, 3] > y)
-        side = _orient(edges, x, y)
+        side = _side(edges, x, y)
         right = np.where(edges[:, 3] > edges[:, 1], side > 0, side < 0)   # the edge is crossed to the right of the point
         out[a:a + step] = (spans & right).sum(axis=1) % 2 == 1
     return out
@@ -53,9 +61,10 @@ def _meets(e: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> np.ndar
 
 def county_cells(edges: np.ndarray, base: float, top: int) -> list[tuple]:
     """(lvl, cx, cy, inside, edges or None, corner or None) of one county with these edges (n x 4)."""
-    shift = SHIFT * base
+    shift_x, shift_y = SHIFT_X * base, SHIFT_Y * base
     size = base * FACTOR ** top
     low, high = edges.reshape(-1, 2).min(axis=0), edges.reshape(-1, 2).max(axis=0)
+    shift = np.array([shift_x, shift_y])
     first = np.floor((low - shift) / size).astype(int) - 2
     last = np.floor((high - shift) / size).astype(int)
     every = np.arange(len(edges))
@@ -64,8 +73,8 @@ def county_cells(edges: np.ndarray, base: float, top: int) -> list[tuple]:
     for lvl in range(top, -1, -1):
         size = base * FACTOR ** lvl
         slack = SLACK * size
-        corner_x = np.array([shift + n[0] * size - slack for n in nodes])
-        corner_y = np.array([shift + n[1] * size - slack for n in nodes])
+        corner_x = np.array([shift_x + n[0] * size - slack for n in nodes])
+        corner_y = np.array([shift_y + n[1] * size - slack for n in nodes])
         corner = inside_ring(edges, corner_x, corner_y)
         below = []
         for (cx, cy, some), x0, y0, within in zip(nodes, corner_x, corner_y, corner.tolist()):
@@ -98,8 +107,8 @@ def _local_hit(geometry: pa.Array, edges: pa.Array, cx: pa.Array, cy: pa.Array,
     g = W.decode(geometry)
     held = edges.to_pylist()
     size = base.to_numpy(zero_copy_only=False)
-    x0 = SHIFT * size + cx.fill_null(0).to_numpy(zero_copy_only=False) * size - SLACK * size
-    y0 = SHIFT * size + cy.fill_null(0).to_numpy(zero_copy_only=False) * size - SLACK * size
+    x0 = SHIFT_X * size + cx.fill_null(0).to_numpy(zero_copy_only=False) * size - SLACK * size
+    y0 = SHIFT_Y * size + cy.fill_null(0).to_numpy(zero_copy_only=False) * size - SLACK * size
     flag = corner.fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
     count = np.array([len(b) // 32 if b else 0 for b in held], dtype=np.int64)
     e = np.frombuffer(b"".join(b for b in held if b), dtype=np.float64).reshape(-1, 4)
@@ -113,7 +122,7 @@ def _local_hit(geometry: pa.Array, edges: pa.Array, cx: pa.Array, cy: pa.Array,
     for row, i, j in K._pair_product(n_pts, count):
         x, y, s = px[poff[row] + i], py[poff[row] + i], e[off[row] + j]
         a, b = x0[row], y0[row]
-        at_point, at_turn, at_corner = _orient(s, x, y), _orient(s, a, y), _orient(s, a, b)
+        at_point, at_turn, at_corner = _orient(s, x, y), _side(s, a, y), _side(s, a, b)
         up, right = s[:, 3] > s[:, 1], s[:, 2] > s[:, 0]
         on = (at_point == 0) & (np.minimum(s[:, 0], s[:, 2]) <= x) & (x <= np.maximum(s[:, 0], s[:, 2])) & \
             (np.minimum(s[:, 1], s[:, 3]) <= y) & (y <= np.maximum(s[:, 1], s[:, 3]))

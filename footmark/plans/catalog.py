@@ -23,12 +23,13 @@ from ..functions.projection import albers_inverse
 from ..functions.text import normalize_address, normalize_str, parse_height, parse_levels
 from ..operators.correspondence import (checkpoint, correspondence_pairs, anti_join, distance_metric,
                                         merge_footprints_and_addresses, spatial_correspondence)
-from ..operators.counties import county_index, county_of, lookup_county, mask_by_county, states
+from ..operators.counties import check_codes, county_index, county_of, lookup_county, mask_by_county, states
 from ..operators.spatial_join import candidate_pairs, dwithin_join, intersects_join, suffixed
 from ..providers import get_provider
-from ..providers.conform import to_conform
+from ..providers.conform import address_units, to_conform
 from ..session import configure, ensure_checkpoint_dir
 from ..sources import fixtures as fx
+from ..sources.counties import read_counties
 from ..sources.io import existing_partitions, provider_rank, read_conformed, read_raw
 from .conflate import (conflate, conflate_addresses, conflate_footprints, conflate_job, grid_levels,
                        provider_counts)
@@ -255,6 +256,21 @@ def t6_normalize_address(spark, sf):
                     normalize_address(raw).alias("address"))
 
 
+def t6_address_grammar(spark, sf):
+    """Addresses whose words mean something else in another place: lettered streets, saints, units, directions."""
+    _start(spark)
+    n = fx.raw_nad(spark, sf).select(F.col("fixture_key").alias("key"))
+    raw = F.concat_ws(" ", (F.col("key") % 97 + 1).cast("string"), fx.pick(fx.ADDRESS_FORMS, F.col("key")))
+    return n.select("key", raw.alias("raw_address"), normalize_address(raw).alias("address"))
+
+
+def w7_w8_address_units(spark, sf):
+    _start(spark)
+    o = fx.raw_openaddresses(spark, sf)
+    c = st_centroid_xy("geometry")
+    return address_units(o.select("*", c["x"].alias("x"), c["y"].alias("y")), ["x", "y"], "fixture_key", ["number", "street", "unit"])
+
+
 # --------------------------------------------------------------------------- counties
 
 
@@ -299,6 +315,63 @@ def j10_county_names(spark, sf):
     return named.select("key", "fips", "county_name", "state_name", "state_abbr")
 
 
+def _with_outliers(spark, sf) -> dict[str, DataFrame]:
+    layers = {p: df.select(F.col("fixture_key").alias("key"), "geometry") for p, df in _raw_all(spark, sf).items()}
+    return layers | {"outlier": fx.outliers(spark, sf).select(F.col("fixture_key").alias("key"), "geometry")}
+
+
+def _stack(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def s2_slanted_counties(spark, sf):
+    """The mask with triangular counties, and with features of 1,000 km among the others."""
+    _start(spark)
+    idx = county_index(fx.slanted_counties(spark, sf))
+    return _stack([mask_by_county(df, idx).select(F.lit(p).alias("provider"), "key", "fips") for p, df in _with_outliers(spark, sf).items()])
+
+
+def j9_slanted_counties(spark, sf):
+    _start(spark)
+    idx = county_index(fx.slanted_counties(spark, sf))
+    return _stack([county_of(df, idx, key="key").select(F.lit(p).alias("provider"), "key", "fips")
+                   for p, df in _with_outliers(spark, sf).items()])
+
+
+def s10_read_counties(spark, sf):
+    """The county layer written as gzip GeoJSON lines in degrees and read back to metres."""
+    _start(spark)
+    path = _scratch(spark, "counties")
+    c = fx.counties(spark, sf).select("*", F.posexplode(st_points("geometry")).alias("at", "p"))
+    xy = st_centroid_xy("p")
+    lon, lat = albers_inverse(F.col("x"), F.col("y"))
+    c = c.select("fips", "county_name", "state_name", "state_abbr", "at", xy["x"].alias("x"), xy["y"].alias("y")) \
+        .withColumn("c", F.format_string("[%.12f,%.12f]", lon, lat)) \
+        .groupBy("fips", "county_name", "state_name", "state_abbr").agg(F.array_sort(F.collect_list(F.struct("at", "c"))).alias("ring"))
+    props = F.to_json(F.struct("fips", F.col("county_name").alias("name"), F.col("state_name").alias("state"), F.col("state_abbr").alias("abbr")))
+    line = F.concat(F.lit('{"type":"Feature","properties":'), props, F.lit(',"geometry":{"type":"Polygon","coordinates":[['),
+                    F.array_join(F.transform("ring", lambda r: r["c"]), ","), F.lit("]]}}"))
+    c.select(line.alias("value")).write.option("compression", "gzip").text(path)
+    read = read_counties(spark, path)
+    check_codes(read.select(F.substring("fips", 1, 2).alias("fips")).union(read.select("fips")), read)  # the strict form passes
+    b = st_bbox("geometry")
+    return read.select("fips", "county_name", "state_name", "state_abbr", *[F.round(b[k], 2).alias(k) for k in ("xmin", "ymin", "xmax", "ymax")],
+                       F.lit("ok").alias("code"))
+
+
+def j10_codes(spark, sf):
+    """State codes of two characters, county codes of five, and unknown ones, counted and named."""
+    _start(spark)
+    n = fx.read_table(spark, sf, "customer").select(F.col("c_nationkey").alias("k"))
+    state = F.lpad((F.col("k") % 7 + 1).cast("string"), 2, "0")
+    codes = n.select(F.explode(F.array(state, F.concat(state, F.lpad((F.col("k") * 4 + 1).cast("string"), 3, "0")))).alias("code")) \
+        .groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    return lookup_county(codes, fx.counties(spark, sf), "code").select("code", "n", "county_name", "state_name")
+
+
 def a4_state_bounds(spark, sf):
     _start(spark)
     c = fx.counties(spark, sf)
@@ -511,6 +584,19 @@ def s4_write_conformed(spark, sf):
     return _rows_out(read_conformed(spark, f"{_written_conform(spark, sf)}/conform"))
 
 
+def s3_empty_input(spark, sf):
+    """A conform job with an empty layer beside a full one: the partitions on disk have rows, and only the full one's."""
+    _start(spark)
+    raw = _raw_clean(spark, sf)
+    layers = {"openstreetmap": raw["openstreetmap"], "nad": raw["nad"].limit(0), "microsoft": raw["microsoft"].filter(F.lit(False))}
+    out = _scratch(spark, "conform")
+    conform_job(spark, layers.__getitem__, list(layers), fx.counties(spark, sf), out)
+    found = existing_partitions(spark, f"{out}/conform").withColumnsRenamed({"fips": "f", "provider": "p"})
+    rows = provider_counts(read_conformed(spark, f"{out}/conform"))
+    return found.join(rows, (F.col("f") == F.col("fips")) & (F.col("p") == F.col("provider")), "left") \
+        .select(F.col("f").alias("fips"), F.col("p").alias("provider"), F.col("n").cast("bigint").alias("n"))
+
+
 def s5_skip_existing(spark, sf):
     """Rows per partition after the second run: a partition written twice would count double."""
     _start(spark)
@@ -555,15 +641,21 @@ QUERIES = {
     "c1_conform_microsoft": c1_conform_microsoft,
     "c2_conform_nad": c2_conform_nad,
     "c3_conform_openaddresses": c3_conform_openaddresses,
+    "w7_w8_address_units": w7_w8_address_units,
     "c4_conform_openstreetmap": c4_conform_openstreetmap,
     "c5_conform_usa_structures": c5_conform_usa_structures,
     "c4h_height_parser": c4h_height_parser,
     "c4l_levels_parser": c4l_levels_parser,
     "t1_normalize_str": t1_normalize_str,
     "t6_normalize_address": t6_normalize_address,
+    "t6_address_grammar": t6_address_grammar,
     "s2_county_mask": s2_county_mask,
+    "s2_slanted_counties": s2_slanted_counties,
     "j9_county_lookup": j9_county_lookup,
+    "j9_slanted_counties": j9_slanted_counties,
     "j10_county_names": j10_county_names,
+    "j10_codes": j10_codes,
+    "s10_read_counties": s10_read_counties,
     "a4_state_bounds": a4_state_bounds,
     "c7_conform_pipeline": c7_conform_pipeline,
     "a1_provider_counts": a1_provider_counts,
@@ -578,6 +670,7 @@ QUERIES = {
     "s1_read_geojson": s1_read_geojson,
     "p3_forward": p3_forward,
     "s4_write_conformed": s4_write_conformed,
+    "s3_empty_input": s3_empty_input,
     "s5_skip_existing": s5_skip_existing,
     "s7_write_entities": s7_write_entities,
     "o1_crossref_order": o1_crossref_order,

@@ -148,6 +148,18 @@ def conform_openaddresses(df: DataFrame, mode: str = "per_address") -> DataFrame
     )
 
 
+def address_units(df: DataFrame, point: list[str], order: str, fill: list[str]) -> DataFrame:
+    """One row per ``point`` with ``unit_count`` rows, the first hash, and each ``fill`` column's
+    first value in ``order`` that isn't null.
+
+    That is what the first row of a group holds once its columns are filled backward. It is a partial
+    aggregation, not a window, so a point that holds a large share of all rows is no task of its own.
+    """
+    def filled(c):
+        return F.min(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("o"), F.col(c).alias("v"))))["v"].alias(c)
+    return df.groupBy(*point).agg(F.count(F.lit(1)).alias("unit_count"), F.min("hash").alias("hash"), *[filled(c) for c in fill])
+
+
 @register_provider("openstreetmap")
 def conform_openstreetmap(df: DataFrame) -> DataFrame:
     """C4 OpenStreetMap buildings.

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import st_box, st_point
+from ..functions.geometry import st_bbox, st_box, st_point, st_polygon
 from ..operators.counties import county_code
 
 X0 = -2174000
@@ -43,6 +43,9 @@ STREETS = ["Main St", "Oak Dr", "Pine Ct", "Elm Ln", "Maple Ave", "Cedar Rd", "N
 UNITS = [None, None, "Apt 2", "Unit B"]
 NAD_TYPES = ["Residential", "Unknown", "Commercial", "Other", None]
 NAD_SUB = [None, "Apt 1", None, "Unit 3"]
+ADDRESS_FORMS = ["St Marys Ave", "E St", "Avenue E", "Ave B Apt 3", "N 1st St", "Main St N", "Hwy 101", "Mt Hope Rd SW, Ste 5",
+                 "e main st.", "Broadway", "Old St Rd", "W St Unit W", "St", "Ft Worth Blvd # 12", "", "5", "Sw", "Apt 4", "N Way",
+                 "S North St", "1/2 Oak Ct", "Plaza Way Bldg C Fl 2", None]
 OCC_CLS = ["Residential", " Commercial ", "", None, "Agriculture"]
 DATASETS = [None, "UniversityPly", "Other"]
 NULL_UUID = "00000000-0000-0000-0000-000000000000"
@@ -215,3 +218,23 @@ def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("state_name"),
                     F.upper(F.substring(F.col("r_name"), 1, 2)).alias("state_abbr"),
                     st_box(xmin, ymin, xmin + size, ymin + high).alias("geometry")))
+
+
+def slanted_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counties cut in two along the diagonal from their lower left corner: the lower right triangle
+    keeps the code, the upper left one has the next number."""
+    c = counties(spark, sf_dir).select("*", st_bbox("geometry").alias("b"))
+    x0, y0, x1, y1 = (F.col(f"b.{k}") for k in ("xmin", "ymin", "xmax", "ymax"))
+    halves = F.array(F.struct(F.lit(0).alias("n"), F.array(x0, y0, x1, y0, x1, y1).alias("ring")),
+                     F.struct(F.lit(1).alias("n"), F.array(x0, y0, x1, y1, x0, y1).alias("ring")))
+    c = c.select("*", F.explode(halves).alias("half"))
+    number = F.substring("fips", 3, 3).cast("int") + F.col("half.n")
+    return c.select(county_code(F.substring("fips", 1, 2), number).alias("fips"), "county_name", "state_name", "state_abbr",
+                    st_polygon("half.ring").alias("geometry"))
+
+
+def outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strips of 1,000 km by 50 m through the counties, one per nation: features with bad coordinates."""
+    n = read_table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("k"))
+    y = (F.lit(2018000.0) + F.col("k") * 100).cast("double")
+    return n.select(F.col("k").alias("fixture_key"), st_box(F.lit(-2676000.0), y, F.lit(-1676000.0), y + 50).alias("geometry"))

@@ -68,15 +68,48 @@ def levels_sql(lv_raw: str, cls: str) -> str:
     return f"(CASE WHEN {v} > 110 THEN NULL ELSE {v} END)::INTEGER"
 
 
+# The oracle's own dictionaries (fixed values): street types, directions, units, name openers.
+TYPES = ("aly alley ave avenue av avenue blvd boulevard cir circle ct court cv cove dr drive expy expressway fwy freeway hwy highway "
+         "ln lane lp loop pkwy parkway pl place plz plaza rd road sq square st street ter terrace trl trail way way")
+DIRS = "n north s south e east w west ne northeast nw northwest se southeast sw southwest"
+UNIT = "apt apartment bldg building fl floor rm room ste suite unit unit # unit"
+OPEN = "st saint ft fort mt mount"
+
+
+def sql_map(words: str) -> str:
+    w = words.split()
+    return "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in ({x: x for x in w[1::2]} | dict(zip(w[::2], w[1::2]))).items()) + "}"
+
+
 def address_sql(a: str) -> str:
-    s = f"lower({a})"
-    s = f"regexp_replace({s}, '[.,;]', ' ', 'g')"
+    """The address grammar, each step a one-element list that the next lambda names."""
+    s = f"replace(regexp_replace(lower({a}), '[.,;]', ' ', 'g'), '#', ' # ')"
     s = strip_ws(f"regexp_replace({s}, '{WS}+', ' ', 'g')")
-    for short, long_ in TX.TRAILING_SUFFIXES:
+    for short, long_ in (("dr", "drive"), ("st", "street"), ("ct", "court"), ("ln", "lane"), ("ave", "avenue"), ("rd", "road")):
         s = f"regexp_replace({s}, '{WS}+{short}\\z', ' {long_}')"
-    m = "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in TX.ADDRESS_TOKENS.items()) + "}"
-    out = f"array_to_string(list_transform(string_split({s}, ' '), lambda t: coalesce({m}[t], t)), ' ')"
-    return f"(CASE WHEN regexp_matches({out}, '[a-z]') THEN {out} END)"
+    ty, di, un, op = map(sql_map, (TYPES, DIRS, UNIT, OPEN))
+
+    def let(name: str, value: str, use: str) -> str:
+        return f"list_transform([{value}], lambda {name}: {use})[1]"
+
+    none = "[]::VARCHAR[]"
+    name = (f"CASE WHEN len(x) < 2 THEN x WHEN {ty}[x[1]] IS NOT NULL AND regexp_full_match(x[2], '[a-z]|[0-9]+[a-z]?') "
+            f"THEN [{ty}[x[1]]] || x[2:] ELSE [coalesce({op}[x[1]], x[1])] || x[2:] END")
+    done = (f"CASE WHEN regexp_matches(array_to_string(x, ' '), '[a-z]') AND {un}[(hd || x)[1]] IS NULL "
+            f"THEN array_to_string(hd || pre || {name} || suf || post || two, ' ') END")
+    led = let("pre", f"CASE WHEN len(z) >= 2 AND {di}[z[1]] IS NOT NULL THEN [{di}[z[1]]] ELSE {none} END",
+              let("x", "CASE WHEN len(pre) > 0 THEN z[2:] ELSE z END", done))
+    typed = let("suf", f"CASE WHEN len(y) >= 2 AND {ty}[y[len(y)]] IS NOT NULL THEN [{ty}[y[len(y)]]] ELSE {none} END",
+                let("z", "CASE WHEN len(suf) > 0 THEN y[:len(y) - 1] ELSE y END", led))
+    street = let("post", f"CASE WHEN len(w) >= 2 AND {di}[w[len(w)]] IS NOT NULL AND NOT (len(w) = 2 AND {ty}[w[1]] IS NOT NULL) "
+                         f"THEN [{di}[w[len(w)]]] ELSE {none} END",
+                 let("y", "CASE WHEN len(post) > 0 THEN w[:len(w) - 1] ELSE w END", typed))
+    at = ("coalesce(list_filter(range(1, len(one)), lambda i: regexp_full_match(one[i], '[0-9]+([a-z]|[-/][0-9]+)?') "
+          f"AND (i = 1 OR {ty}[one[greatest(i - 1, 1)]] IS NULL))[1], 0)")
+    numbers = let("nr", at, let("hd", "one[1:nr]", let("w", "one[nr + 1:]", street)))
+    cut = f"coalesce(list_filter(range(2, len(t)), lambda i: {un}[t[i]] IS NOT NULL)[1], len(t) + 1)"
+    lines = let("ct", cut, let("one", "t[1:ct - 1]", let("two", f"CASE WHEN ct <= len(t) THEN [{un}[t[ct]]] || t[ct + 1:] ELSE {none} END", numbers)))
+    return f"(CASE WHEN {a} IS NOT NULL THEN {let('t', f'string_split({s}, ' + q(' ') + ')', lines)} END)"
 
 
 def f64le(v: str) -> str:
@@ -425,11 +458,40 @@ def oracle_sql() -> dict[str, str]:
     raw_addr = "concat_ws(' ', AddNo_Full, StNam_Full, SubAddress)"
     s["t6_normalize_address"] = with_(B) + (f"SELECT k AS \"key\", {raw_addr} AS raw_address, "
                                             f"{address_sql(raw_addr)} AS address FROM nad_raw")
+    forms = "concat_ws(' ', (k % 97 + 1)::VARCHAR, " + vlist(FX.ADDRESS_FORMS) + f"[k % {len(FX.ADDRESS_FORMS)} + 1])"
+    s["t6_address_grammar"] = with_(B) + f"SELECT k AS \"key\", {forms} AS raw_address, {address_sql(forms)} AS address FROM nad_raw"
     layers = [("openstreetmap", "osm_raw"), ("microsoft", "ms_raw"), ("usa_structures", "usa_raw"),
               ("nad", "nad_raw"), ("openaddresses", "oa_raw")]
     s["s2_county_mask"] = with_(B) + " UNION ALL ".join(
         f"SELECT '{p}' AS provider, r.k AS \"key\", c.fips FROM {t} r JOIN cty c ON r.bx0 <= c.cx1 "
         f"AND c.cx0 <= r.bx1 AND r.by0 <= c.cy1 AND c.cy0 <= r.by1" for p, t in layers)
+    strips = ("(SELECT n_nationkey AS k, -2676000.0 AS bx0, 2018000.0 + n_nationkey * 100 AS by0, -1676000.0 AS bx1, "
+              "2018050.0 + n_nationkey * 100 AS by1 FROM nation)")
+    # the corner of the box (cut to the county's rectangle) that lies deepest in the triangle
+    halves = (("1", "(greatest(r.by0, c.cy0) - c.cy0) * (c.cx1 - c.cx0) <= (least(r.bx1, c.cx1) - c.cx0) * (c.cy1 - c.cy0)"),
+              ("2", "(least(r.by1, c.cy1) - c.cy0) * (c.cx1 - c.cx0) >= (greatest(r.bx0, c.cx0) - c.cx0) * (c.cy1 - c.cy0)"))
+    code = "substr(c.fips, 1, 2) || lpad((substr(c.fips, 3)::INTEGER + {n} - 1)::VARCHAR, 3, '0')"
+    s["s2_slanted_counties"] = with_(B) + " UNION ALL ".join(
+        f"SELECT '{p}' AS provider, r.k AS \"key\", {code.format(n=n)} AS fips FROM {t} r JOIN cty c ON r.bx0 <= c.cx1 "
+        f"AND c.cx0 <= r.bx1 AND r.by0 <= c.cy1 AND c.cy0 <= r.by1 AND {half}" for p, t in [*layers, ("outlier", strips)] for n, half in halves)
+    mid = [(n, h.replace("greatest(r.by0, c.cy0)", "r.y").replace("least(r.by1, c.cy1)", "r.y").replace("least(r.bx1, c.cx1)", "r.x")
+            .replace("greatest(r.bx0, c.cx0)", "r.x")) for n, h in halves]
+    hits = " UNION ALL ".join(f"SELECT r.p, r.k, {code.format(n=n)} AS fips FROM mids r JOIN cty c ON r.x BETWEEN c.cx0 AND c.cx1 "
+                              f"AND r.y BETWEEN c.cy0 AND c.cy1 AND {h}" for n, h in mid)
+    s["j9_slanted_counties"] = with_(B, " mids AS (" + " UNION ALL ".join(
+        f"SELECT '{p}' AS p, k, (bx0 + bx1) / 2 AS x, (by0 + by1) / 2 AS y FROM {t}" for p, t in [*layers, ("outlier", strips)]) + ")") + (
+        f"SELECT m.p AS provider, m.k AS \"key\", h.fips FROM mids m LEFT JOIN (SELECT p, k, min(fips) AS fips FROM ({hits}) GROUP BY p, k) h "
+        "ON h.p = m.p AND h.k = m.k")
+    s["s10_read_counties"] = with_(B) + ("SELECT fips, county_name, state_name, state_abbr, round(cx0, 2)::DOUBLE AS xmin, round(cy0, 2)::DOUBLE AS ymin, "
+                                         "round(cx1, 2)::DOUBLE AS xmax, round(cy1, 2)::DOUBLE AS ymax, 'ok' AS code FROM cty")
+    s["j10_codes"] = with_(B) + (
+        "SELECT a.code, a.n, c.county_name, coalesce(c.state_name, s.state_name) AS state_name FROM ("
+        "SELECT code, count(*)::BIGINT AS n FROM (SELECT unnest([lpad((c_nationkey % 7 + 1)::VARCHAR, 2, '0'), "
+        "lpad((c_nationkey % 7 + 1)::VARCHAR, 2, '0') || lpad((c_nationkey * 4 + 1)::VARCHAR, 3, '0')]) AS code FROM customer) GROUP BY code) a "
+        "LEFT JOIN cty c ON c.fips = a.code LEFT JOIN (SELECT DISTINCT substr(fips, 1, 2) AS st, state_name FROM cty) s ON s.st = a.code")
+    s["w7_w8_address_units"] = with_(B) + (
+        "SELECT x, y, count(*)::BIGINT AS unit_count, min(hash) AS hash, "
+        + ", ".join(f"arg_min({c}, k) FILTER ({c} IS NOT NULL) AS {c}" for c in ("number", "street", "unit")) + " FROM oa_raw GROUP BY x, y")
     s["j9_county_lookup"] = with_(B) + " UNION ALL ".join(
         f"SELECT '{p}' AS provider, r.k AS \"key\", (SELECT min(c.fips) FROM cty c WHERE "
         f"(r.bx0 + r.bx1) / 2 BETWEEN c.cx0 AND c.cx1 AND (r.by0 + r.by1) / 2 BETWEEN c.cy0 AND c.cy1) AS fips "
@@ -469,6 +531,7 @@ def oracle_sql() -> dict[str, str]:
                                        "(bx0 + bx1) / 2 AS x, (by0 + by1) / 2 AS y FROM osm_raw")
     s["p3_forward"] = with_(B) + "SELECT k AS \"key\", round(bx0, 3)::DOUBLE AS x, round(by0, 3)::DOUBLE AS y FROM nad_raw"
     s["s4_write_conformed"] = s["c7_conform_pipeline"]
+    s["s3_empty_input"] = with_(B, C1) + "SELECT fips, provider, count(*)::BIGINT AS n FROM osm_conf GROUP BY ALL"
     s["s5_skip_existing"] = s["a1_provider_counts"]
     s["s7_write_entities"] = s["c8_conflate_entities"]
     s["o1_crossref_order"] = M + ("SELECT fips, count(*)::BIGINT AS n_rows, 0::BIGINT AS n_unsorted "
