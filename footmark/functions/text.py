@@ -222,7 +222,7 @@ def normalize_address(addr) -> Column:
         at = F.filter(F.sequence(F.lit(1), F.size(t)), lambda i: (i >= 2) & (i < F.size(t)) & F.try_element_at(units, F.element_at(t, i)).isNotNull())
         cut = F.coalesce(F.try_element_at(at, F.lit(1)), F.size(t) + 1)
         second = F.slice(t, cut, F.size(t))
-        unit = _part(F.size(second) > 0, F.concat(F.array(F.try_element_at(units, F.try_element_at(second, F.lit(1)))), F.slice(second, 2, F.size(t))))
+        unit = F.transform(second, lambda w: F.coalesce(F.try_element_at(units, w), w))
         return _let(F.struct(F.slice(t, F.lit(1), cut - 1).alias("one"), unit.alias("two")), numbers)
 
     def numbers(v):

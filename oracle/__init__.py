@@ -108,7 +108,7 @@ def address_sql(a: str) -> str:
           f"AND (i = 1 OR {ty}[one[greatest(i - 1, 1)]] IS NULL))[1], 0)")
     numbers = let("nr", at, let("hd", "one[1:nr]", let("w", "one[nr + 1:]", street)))
     cut = f"coalesce(list_filter(range(2, len(t)), lambda i: {un}[t[i]] IS NOT NULL)[1], len(t) + 1)"
-    lines = let("ct", cut, let("one", "t[1:ct - 1]", let("two", f"CASE WHEN ct <= len(t) THEN [{un}[t[ct]]] || t[ct + 1:] ELSE {none} END", numbers)))
+    lines = let("ct", cut, let("one", "t[1:ct - 1]", let("two", f"list_transform(t[ct:], lambda u: coalesce({un}[u], u))", numbers)))
     return f"(CASE WHEN {a} IS NOT NULL THEN {let('t', f'string_split({s}, ' + q(' ') + ')', lines)} END)"
 
 

@@ -102,3 +102,45 @@ def test_merge_collapse_null_address(spark):
              "nad")
     out = merge_footprints_and_addresses(fps, ads, materialize=no_materialize, collapse_null_address=True)
     assert out.count() == 1
+
+
+def test_nearest_places_with_many_rows_at_one_place(spark, tmp_path):
+    """10,000 addresses at one place are one node: the narrow pairs are one a footprint, and hold no payload."""
+    from footmark.operators import correspondence as C
+    from footmark.functions.geometry import st_point, with_bbox
+    addr = spark.range(10_000).select(F.concat(F.lit("a"), "id").alias("id"), F.lit("nad").alias("provider"), F.lit(None).cast("string").alias("classification"),
+                                      F.concat(F.col("id").cast("string"), F.lit(" main st")).alias("address"), F.lit(None).cast("double").alias("height"),
+                                      F.lit(None).cast("int").alias("levels"), st_point(F.lit(5.0), F.lit(5.0)).alias("geometry"))
+    far = spark.range(2).select(F.concat(F.lit("far"), "id").alias("id"), F.lit("nad").alias("provider"), F.lit(None).cast("string").alias("classification"),
+                                F.lit("9 oak st").alias("address"), F.lit(None).cast("double").alias("height"), F.lit(None).cast("int").alias("levels"),
+                                st_point(F.lit(13.0) + F.col("id"), F.lit(5.0)).alias("geometry"))
+    fp = spark.createDataFrame([(f"f{i}", "openstreetmap", "house", None, 3.0, 1, box(x, 0, x + 4, 10)) for i, x in enumerate((6, 20, 100))],
+                               "id string, provider string, classification string, address string, height double, levels int, geometry binary")
+    cut = []
+
+    def keep(df):
+        cut.append(C.checkpoint(df))
+        return cut[-1]
+    rows = C.nearest_places(with_bbox(fp), with_bbox(addr.union(far)), [], 10.0, materialize=keep)
+    assert "address_right" not in cut[0].columns and cut[0].count() == 5
+    got = {(r["id_left"], round(r["metric"], 6)) for r in rows.collect()}
+    assert got == {("f0", 1.0), ("f1", 6.0)}
+    ent = C.merge_footprints_and_addresses(fp, addr.union(far))
+    by_class = {r["classification"]: r["n"] for r in ent.groupBy("classification").agg(F.count("*").alias("n")).collect()}
+    # f0 with 10,000 addresses and f2 alone; f1's match shares its address with far0, which is near no footprint's minimum and comes first
+    assert by_class == {"house": 10_001, None: 1}
+
+
+def test_distance_metric_of_two_geometries(spark):
+    from footmark.functions import wkb as W
+    from footmark.functions.geometry import with_bbox
+    from footmark.operators.correspondence import distance_metric
+    rows = [(1, W.wkb_point(0, 0), W.wkb_point(3, 4)), (2, W.wkb_point(0, 0), W.wkb_point(6, 8)), (3, W.wkb_point(0, 0), box(9.5, -1, 12, 1)),
+            (4, box(0, 0, 1, 1), box(1, 1, 2, 2)), (5, W.wkb_point(0, 0), W.wkb_polygon([[(0, 12), (12, 0), (12, 12)]])), (6, None, W.wkb_point(0, 0))]
+    df = spark.createDataFrame(rows, "k int, geometry_left binary, geometry_right binary")
+    want = {1: (5.0, True), 2: (10.0, False), 3: (9.5, True), 4: (0.0, True), 5: (round(72 ** 0.5, 9), True), 6: (None, None)}
+    boxed = with_bbox(with_bbox(df, "geometry_left").withColumnsRenamed({c: f"{c}_left" for c in ("xmin", "ymin", "xmax", "ymax")}), "geometry_right") \
+        .withColumnsRenamed({c: f"{c}_right" for c in ("xmin", "ymin", "xmax", "ymax")})
+    for pairs in (df, boxed):
+        got = {r["k"]: (None if r["metric"] is None else round(r["metric"], 9), r["corresponds"]) for r in distance_metric(pairs).collect()}
+        assert got == want

@@ -41,3 +41,14 @@ def test_normalize_address(spark):
     got = [r[0] for r in df.select(normalize_address(F.col("a"))).collect()]
     assert got == ["123 main street", "12 north oak drive apartment 4", None, "5 elm lane", None, None,
                    "7 pine court suite 2"]
+
+
+def test_address_grammar(spark):
+    cases = {"12 St Marys Ave": "12 saint marys avenue", "5 E St": "5 e street", "5 E Main St.": "5 east main street", "7 Avenue E": "7 avenue e",
+             "7 Main St N": "7 main street north", "3 Ave B, Apt 3": "3 avenue b apartment 3", "8 W St Unit W": "8 w street unit w",
+             "Town Hall 5 Oak Dr Unit B": "town hall 5 oak drive unit b", "9 Hwy 101": "9 highway 101", "1 Ft Worth Blvd #12": "1 fort worth boulevard unit 12",
+             "22 N 1st St": "22 north 1st street", "4 Mt Hope Rd SW Ste 5": "4 mount hope road southwest suite 5", "12": None, "0": None, "": None,
+             "Apt 4": None, "12 5": None, " \t": None, None: None, "6 N Way": "6 n way", "Broadway": "broadway", "2 S North St": "2 south north street",
+             "3 Plaza Way Bldg C Fl 2": "3 plaza way building c floor 2", "12-14 Elm ln": "12-14 elm lane"}
+    df = spark.createDataFrame([(k,) for k in cases], "a string")
+    assert {r["a"]: r["n"] for r in df.select("a", normalize_address("a").alias("n")).collect()} == cases
