@@ -346,7 +346,7 @@ def merge_ctes() -> str:
     dx = "greatest(a.bx0 - f.bx1, f.bx0 - a.bx1, 0.0)"
     dy = "greatest(a.by0 - f.by1, f.by0 - a.by1, 0.0)"
     d = f"sqrt({dx} * {dx} + {dy} * {dy})"
-    addr = address_sql("address")
+    addr = address_sql("raw")
     lon, lat = albers_inverse_sql("cx", "cy")
     return f"""
 mg_p AS (SELECT a.fips, a.provider AS aprov, a.id AS aid, f.provider AS fprov, f.id AS fid,
@@ -357,7 +357,7 @@ mg_p AS (SELECT a.fips, a.provider AS aprov, a.id AS aid, f.provider AS fprov, f
   (f.bx0 + f.bx1) / 2 AS fcx, (f.by0 + f.by1) / 2 AS fcy
   FROM ad1 a JOIN fp2 f ON a.fips = f.fips AND {d} < 10.0),
 mg_n AS (SELECT * FROM mg_p QUALIFY metric = min(metric) OVER (PARTITION BY fips, fprov, fid)),
-mg_all AS (
+mg_all AS MATERIALIZED (
   SELECT fips, aprov AS provider, aid AS id, classification, address, height, levels, "foreign",
     CASE WHEN metric = 0 THEN acx ELSE fcx END AS cx, CASE WHEN metric = 0 THEN acy ELSE fcy END AS cy
   FROM mg_n
@@ -367,8 +367,9 @@ mg_all AS (
   UNION ALL SELECT fips, provider, id, classification, address, height, levels, "foreign",
     (bx0 + bx1) / 2, (by0 + by1) / 2 FROM ad1 o
     WHERE NOT EXISTS (SELECT 1 FROM mg_n m WHERE m.fips = o.fips AND m.aprov = o.provider AND m.aid = o.id)),
-mg_norm AS (SELECT fips, provider, id, classification, {addr} AS address, height, levels, "foreign", cx, cy
-  FROM mg_all),
+mg_words AS MATERIALIZED (SELECT raw, {addr} AS long_hand FROM (SELECT DISTINCT address AS raw FROM mg_all WHERE address IS NOT NULL)),
+mg_norm AS MATERIALIZED (SELECT fips, provider, id, classification, long_hand AS address, height, levels, "foreign", cx, cy
+  FROM mg_all LEFT JOIN mg_words ON raw = address),
 mg_addr AS (SELECT * FROM mg_norm WHERE address IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY fips, address ORDER BY provider NULLS FIRST, id NULLS FIRST,
     classification NULLS FIRST, height NULLS FIRST, levels NULLS FIRST, "foreign", cx, cy) = 1),
