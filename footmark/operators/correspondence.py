@@ -305,7 +305,9 @@ def merge_footprints_and_addresses(footprints: DataFrame, addresses: DataFrame,
         .withColumn("__xy", st_centroid_xy(F.col("geometry"))) \
         .withColumn("x", F.col("__xy.x")).withColumn("y", F.col("__xy.y")) \
         .withColumn("geometry", st_point(F.col("x"), F.col("y"))).drop("__xy")
-    return finish_entities(allrows, keys, collapse_null_address)
+    # read twice (rows with and without an address): written once, so the address grammar is
+    # planned and the anti joins run a single time
+    return finish_entities(materialize(allrows), keys, collapse_null_address)
 
 
 def _same(names: dict[str, str]) -> Column:
