@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from footmark.llm.common import cut, mix, partitions, prepare
 from footmark.llm.components import components
-from footmark.llm.vectors import matrices
+from footmark.llm.vectors import matrices, unit_rows
 
 COSINE = 0.98
 WIDTH = 1.6
@@ -58,7 +58,7 @@ def _key_batches(batches, k, tables):
                 g = np.random.default_rng([SEED, d])
                 rng[d] = g.standard_normal((d, k * tables)), g.uniform(0, WIDTH, k * tables)
             direction, offset = rng[d]
-            unit = m / np.linalg.norm(m, axis=1)[:, None]
+            unit = unit_rows(m)
             cell = np.floor((unit @ direction + offset) / WIDTH).astype(np.int64).view(np.uint64).reshape(len(m), tables, k)
             label = batch.column(2).take(pa.array(at)).to_numpy().astype(np.int64).view(np.uint64)
             key = mix(label[:, None] + np.arange(tables, dtype=np.uint64)[None, :] * np.uint64(0x9FB21C651E98DF25) + np.uint64(d))
@@ -122,8 +122,7 @@ def _link_batches(batches, cosine):
             keys = t.column("keys").combine_chunks().flatten().to_numpy().reshape(len(key), -1)
             unit: list = [None] * len(key)
             for at, m in matrices(t.column("vec").combine_chunks()):
-                m = m / np.linalg.norm(m, axis=1)[:, None]
-                for i, v in zip(at, m):
+                for i, v in zip(at, unit_rows(m)):
                     unit[i] = v
             for s, e in zip(cuts[:-1], cuts[1:]):
                 if e - s < 2:
@@ -154,8 +153,8 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     Rows link when their labels are equal and the cosine of their vectors is ``cosine`` or more.
     n_links counts the other rows linked directly; component_id is the smallest id reachable.
     Rows with a null id or label and vectors that are null, empty, zero or hold null or non-finite
-    components link with nothing (component_id is the id, kept is true); vectors of different
-    lengths never link; repeated rows are rows of their own that link with each other, under one
+    components link with nothing (component_id is the id, kept is true); finite vectors of any scale
+    link by direction alone; vectors of different lengths never link; repeated rows are rows of their own that link with each other, under one
     id in components; an empty table gives no rows."""
     spark = rows.sparkSession
     prepare(spark)

@@ -3,11 +3,13 @@
 The categories are predicted in a fixed order. Each link is a logistic model on the presence of
 words, and the probabilities of the earlier links are further inputs of the later ones. In training
 these inputs are out-of-fold predictions, so that a later link learns to trust an earlier one as far
-as it deserves on unseen texts.
+as it deserves on unseen texts: the rows of a fold take no part in the choice of its words either,
+and copies of a text share a fold.
 
 The models are fitted on a bounded sample of the labelled rows (SAMPLE, the smallest hashes of their
-ids); only the sample is tokenised for that and only its hashed words reach the driver. Scoring is
-one map over all texts with at most WORDS weights a link.
+ids). The words are counted and ranked by Spark; of the sample's texts only the presence of chosen
+words reaches the driver (at most WORDS a link and fold). Scoring is one map over all texts with at
+most WORDS weights a link.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from footmark.llm.common import chunks, codepoints, cut, hash_runs, mix, prepare, texts_of
@@ -103,17 +105,43 @@ def choose_words(sets: list[np.ndarray], y: np.ndarray, size: int = WORDS) -> np
     return np.sort(keys[best[chi[best] > 10]]).view(np.int64)
 
 
+def candidate_words(rows: DataFrame, categories: int, size: int = WORDS) -> list[int]:
+    """All words that :func:`choose_words` takes for some category from the rows outside some fold,
+    or from all rows; counted and ranked by Spark. ``rows``: words, y (0 or 1 a category), fold."""
+    def counted(n):
+        """``n`` summed over the rows outside each fold, then over all."""
+        return [F.sum(F.when(F.col("fold") != f, n).otherwise(0)) for f in range(FOLDS)] + [F.sum(n)]
+
+    counts = [F.lit(1), *[F.col("y")[c] for c in range(categories)]]
+    whole = [v or 0 for v in rows.agg(*[v for n in counts for v in counted(n)]).first()]
+    found = rows.select(F.explode("words").alias("word"), "y", "fold").groupBy("word") \
+        .agg(*[F.array(*counted(n)).cast("array<double>").alias(f"n{i}") for i, n in enumerate(counts)])
+    ranked = []
+    for f in range(FOLDS + 1):
+        total = max(whole[f], 1)
+        for c in range(categories):
+            rate = whole[(c + 1) * (FOLDS + 1) + f] / total
+            n, off = F.col("n0")[f], F.col(f"n{c + 1}")[f] - F.col("n0")[f] * F.lit(rate)
+            spread = n * F.lit(rate) * F.lit(1 - rate) * F.greatest(1 - n / F.lit(float(total)), F.lit(1e-9))
+            chi = F.when(n >= LEAST, off * off / F.greatest(spread, F.lit(1e-12)))
+            ranked.append(F.struct(F.lit(f * categories + c).alias("group"), chi.alias("chi")))
+    order = Window.partitionBy("group").orderBy(F.desc("chi"), F.col("word").bitwiseXOR(F.lit(-1 << 63)))  # unsigned
+    best = found.select("word", F.inline(F.array(*ranked))).filter("chi > 10") \
+        .withColumn("at", F.row_number().over(order)).filter(F.col("at") <= size)
+    return sorted(r[0] for r in best.select("word").distinct().collect())  # at most ``size`` a fold and category
+
+
 def fit_chain(sets: list[np.ndarray], y: np.ndarray, fold: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """(words, weights) of each link; ``y`` has a column a category."""
     links, earlier = [], np.zeros((len(sets), 0))
     for c in range(y.shape[1]):
         target = y[:, c].astype(float)
         words = choose_words(sets, target)
-        x = _design(sets, words, earlier)
-        links.append((words, fit_logistic(x, target)))
+        links.append((words, fit_logistic(_design(sets, words, earlier), target)))
         unseen = np.zeros(len(sets))
         for f in range(FOLDS):
             out = fold == f
+            x = _design(sets, choose_words([s for s, o in zip(sets, out) if not o], target[~out]), earlier)
             unseen[out] = _sigmoid(x[out] @ fit_logistic(x[~out], target[~out]))
         earlier = np.concatenate([earlier, unseen[:, None]], axis=1)
     return links
@@ -149,13 +177,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held_out, categories: dic
     text_hash = F.xxhash64("text").alias("h")
     learnt = src.filter(F.expr("not held_out and doc_id is not null")).select("doc_id", text_hash, "text")
     ids = learnt.select("doc_id", "h").distinct().join(known, "doc_id")
-    # bounded: ``sample`` rows, here and in what the driver collects, however often an id or a text repeats
+    # bounded: ``sample`` rows, however often an id or a text repeats
     ids = cut(ids.orderBy(F.xxhash64("doc_id", "h"), "doc_id", "h").limit(sample), "sample")
     texts = learnt.join(F.broadcast(ids.select("doc_id", "h").distinct()), ["doc_id", "h"], "left_semi") \
         .groupBy("doc_id", "h").agg(F.first("text").alias("text"))
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(FOLDS)).cast("int")
-    rows = texts.join(F.broadcast(ids), ["doc_id", "h"]).select("text", "y", fold.alias("fold")) \
-        .mapInArrow(_word_batches, "words array<long>, y array<int>, fold int").toArrow()
+    fold = F.pmod(F.xxhash64("h", F.lit(7)), F.lit(FOLDS)).cast("int")
+    rows = cut(texts.join(F.broadcast(ids), ["doc_id", "h"]).select("text", "y", fold.alias("fold"))
+               .mapInArrow(_word_batches, "words array<long>, y array<int>, fold int"), "words")
+    listed = ", ".join(f"bigint('{w}')" for w in candidate_words(rows, len(categories)))
+    held = F.array_intersect("words", F.expr(f"cast(array({listed}) as array<bigint>)"))
+    rows = rows.select(held.alias("words"), "y", "fold").toArrow()
     if rows.num_rows:
         words = rows.column("words").combine_chunks()
         ends = np.cumsum(words.value_lengths().to_numpy())

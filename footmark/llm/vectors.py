@@ -20,3 +20,13 @@ def matrices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for d in np.unique(lens[fine]):
         rows = np.flatnonzero(fine & (lens == d))
         yield rows, values[(ends - lens)[rows][:, None] + np.arange(d)]
+
+
+def unit_rows(m: np.ndarray) -> np.ndarray:
+    """Rows of finite non-zero vectors divided by their lengths.
+
+    A row is first brought to a largest component of 0.5 to 1 by a power of two, which changes no
+    digit, so that squares of very large or very small components neither overflow nor vanish."""
+    _, exponent = np.frexp(np.abs(m).max(axis=1))
+    near = np.ldexp(m, -exponent[:, None])
+    return near / np.linalg.norm(near, axis=1)[:, None]

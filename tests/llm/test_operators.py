@@ -220,6 +220,15 @@ def test_embedding_dedup(vectors):
             assert (r["n_links"], r["component_id"], r["kept"]) == (count.get(r["vec_id"], 0), comp[r["vec_id"]], r["vec_id"] == comp[r["vec_id"]])
 
 
+def test_embedding_dedup_at_extreme_scales(spark):
+    """Directions decide: squares that overflow or vanish must neither link nor part vectors."""
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1e-200, 1e-200]), (4, [1e-200, 1.01e-200]), (5, [5e-324, 5e-324]),
+            (6, [1e300, -1e300]), (7, [1.0, -1.0]), (8, [1.7e308, 1.7e308]), (9, [1e-200, 0.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_vectors(df).collect()}
+    assert got == {**{i: (5, 1) for i in (1, 2, 3, 4, 5, 8)}, 6: (1, 6), 7: (1, 6), 9: (0, 9)}
+
+
 def test_embedding_dedup_splits_hot_buckets(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
     rng = np.random.default_rng(8)
@@ -404,6 +413,62 @@ def test_toxicity(spark):
     assert toxicity_chain.score_toxicity(table.limit(0), labels, held_out_col(), chain).count() == 0
 
 
+def test_candidate_words_lose_no_chosen_word(spark):
+    """The words that Spark keeps give the choice of every link and fold that all words give."""
+    rng = np.random.default_rng(4)
+    y = (rng.random((240, 2)) < (0.3, 0.5)).astype(int)
+    fold = rng.integers(0, toxicity_chain.FOLDS, 240)
+    vocabulary = rng.integers(-1 << 63, 1 << 63, 90, dtype=np.int64)
+    chance = np.where(y[:, :1] == 1, np.linspace(0, 0.9, 90), np.linspace(0.9, 0, 90)) * np.where(y[:, 1:] == 1, 1, np.linspace(0.3, 1, 90))
+    sets = [np.sort(vocabulary[rng.random(90) < p].view(np.uint64)).view(np.int64) for p in chance]
+    sets[7] = sets[7][:0]
+    rows = spark.createDataFrame([(s.tolist(), t.tolist(), int(f)) for s, t, f in zip(sets, y, fold)], "words array<long>, y array<int>, fold int")
+    kept = toxicity_chain.candidate_words(rows, 2, 12)
+    want = set()
+    for f in range(toxicity_chain.FOLDS + 1):
+        some = [i for i in range(240) if fold[i] != f]
+        for c in range(2):
+            want |= set(toxicity_chain.choose_words([sets[i] for i in some], y[some, c], 12).tolist())
+    assert want == set(kept) and 12 < len(want) < 90
+    kept = toxicity_chain.candidate_words(rows, 2)
+    few = [s[np.isin(s, kept)] for s in sets]
+    assert sum(map(len, few)) < sum(map(len, sets))
+    for (wa, ca), (wb, cb) in zip(toxicity_chain.fit_chain(sets, y, fold), toxicity_chain.fit_chain(few, y, fold)):
+        assert wa.tolist() == wb.tolist() and np.allclose(ca, cb)
+    assert toxicity_chain.candidate_words(rows.limit(0), 2) == []
+
+
+def test_chain_against_plain_newton():
+    """Links and out-of-fold inputs by definition: a row's fold has no part in its words or weights."""
+    rng = np.random.default_rng(2)
+    y = (rng.random((300, 2)) < 0.4).astype(int)
+    y[:, 1] |= y[:, 0]
+    fold = np.arange(300) % toxicity_chain.FOLDS
+    sets = [np.unique(np.concatenate([rng.integers(50, 70, 6), [1] if a and rng.random() < 0.8 else [2], [3] if b else []])).astype(np.int64) for a, b in y]
+
+    def newton(x, t):
+        w = np.zeros(x.shape[1])
+        ridge = np.array([toxicity_chain.RIDGE] * (x.shape[1] - 1) + [1e-3])
+        for _ in range(40):
+            p = 1 / (1 + np.exp(-x @ w))
+            w = w + np.linalg.inv(sum(q * (1 - q) * np.outer(r, r) for q, r in zip(p, x)) + np.diag(ridge)) @ (x.T @ (t - p) - ridge * w)
+        return w
+
+    def design(rows, words, odds):
+        return np.array([[float(w in set(sets[i].tolist())) for w in words] + [odds[i][k] for k in range(len(odds[i]))] + [1.0] for i in rows])
+
+    odds = [[] for _ in sets]
+    every = range(300)
+    for c, (words_, weights) in enumerate(toxicity_chain.fit_chain(sets, y, fold)):
+        assert np.allclose(weights, newton(design(every, words_, odds), y[:, c]), atol=1e-5)
+        unseen = np.zeros(300)
+        for f in range(toxicity_chain.FOLDS):
+            rest, own = [i for i in every if fold[i] != f], [i for i in every if fold[i] == f]
+            w = toxicity_chain.choose_words([sets[i] for i in rest], y[rest, c])
+            unseen[own] = 1 / (1 + np.exp(-design(own, w, odds) @ newton(design(rest, w, odds), y[rest, c])))
+        odds = [o + [float(np.log((p + 1e-3) / (1 - p + 1e-3)))] for o, p in zip(odds, unseen)]
+
+
 def test_chain_uses_earlier_links():
     rng = np.random.default_rng(0)
     first = rng.random(600) < 0.4
