@@ -11,9 +11,10 @@ within a provider.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import st_centroid_xy, st_distance_once, st_overlap, st_point, with_bbox
@@ -45,10 +46,55 @@ def checkpoint(df: DataFrame) -> DataFrame:
     from ..session import ensure_checkpoint_dir
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/footmark-tables/{uuid.uuid4().hex}"
+    if _owners():
+        _owners()[-1].tables.append((spark, path))  # first: what a failed write leaves goes too
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_LOCAL = threading.local()
+
+
+def _owners() -> list[TableScope]:
+    """The scopes entered in this thread, the innermost last."""
+    if not hasattr(_LOCAL, "owners"):
+        _LOCAL.owners = []
+    return _LOCAL.owners
+
+
+class TableScope:
+    """Owns the tables that :func:`checkpoint` writes while it is the innermost scope of the thread, and
+    deletes them when it is left, by an error too. What reads them must be written before."""
+
+    def __init__(self):
+        self.tables: list[tuple[SparkSession, str]] = []
+
+    def __enter__(self) -> TableScope:
+        _owners().append(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        _owners().remove(self)
+        for spark, path in self.tables:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def settled(build: Callable[[], DataFrame], materialize: Materialize = checkpoint) -> DataFrame:
+    """The materialised result of ``build()``, without the tables that were written on the way to it.
+
+    The result itself belongs to the scope around, if there is one."""
+    if materialize is not checkpoint:
+        return materialize(build())
+    with TableScope() as inner:
+        df = build()
+        _owners().remove(inner)
+        try:
+            return checkpoint(df)
+        finally:
+            _owners().append(inner)
+
+
 def no_materialize(df: DataFrame) -> DataFrame:
     return df
 

@@ -14,6 +14,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ MAX_BROADCAST_COUNTY_CELL_BYTES = 256 * 1024 * 1024
 #: Bytes of a cell row in a hash relation besides its edges: the values, the code, row and hash overhead.
 CELL_ROW_BYTES = 160
 MAX_BROADCAST_GEOMETRY_BYTES = 256 * 1024 * 1024
+#: Boxes in one pushed filter; of more counties the box around all is pushed.
+MAX_PUSHED_BOXES = 64
 
 
 class CountyIndex:
@@ -53,7 +56,10 @@ class CountyIndex:
         ext = F.greatest(F.col("c_xmax") - F.col("c_xmin"), F.col("c_ymax") - F.col("c_ymin"))
         r = c.agg(F.percentile_approx(ext, 0.5).alias("median"), F.min("c_xmin").alias("x0"), F.min("c_ymin").alias("y0"),
                   F.max("c_xmax").alias("x1"), F.max("c_ymax").alias("y1"), F.sum(F.length("county_geometry")).alias("bytes")).first()
+        few = c.select("c_xmin", "c_ymin", "c_xmax", "c_ymax").limit(MAX_PUSHED_BOXES + 1).collect()
         self.bounds = (r["x0"] or 0.0, r["y0"] or 0.0, r["x1"] or 0.0, r["y1"] or 0.0)
+        #: boxes around the counties for a scan to take over: one each, or one around all if they are many
+        self.boxes = [tuple(b) for b in few] if len(few) <= MAX_PUSHED_BOXES else [self.bounds]
         self.grid = grid or float(min(max((r["median"] or COUNTY_GRID * 16) / 16.0, 125.0), 4_000.0))
         whole = max(self.bounds[2] - self.bounds[0], self.bounds[3] - self.bounds[1])
         self.top = 0
@@ -200,10 +206,10 @@ def check_codes(codes: DataFrame, counties: DataFrame, code_col: str = "fips") -
 def states(counties: DataFrame) -> DataFrame:
     """A3 + A4: one row per state: fips, name, abbreviation, bounds, union geometry and area.
 
-    Bounds are plain min/max aggregates. The union is a grouped
-    ``applyInPandas`` per state: counties tile the state, so the shared edges
-    cancel and the remaining ring edges give the outline, gaps between
-    counties as holes. Its area is the sum of county areas (a coverage).
+    Bounds are plain min/max aggregates. Counties tile the state: edges that two members share
+    cancel in an aggregation on their undirected ends, with partial sums before the shuffle, and only
+    the remaining outline of a state meets in one task, which chains it into rings (gaps between
+    counties are holes). Its area is the sum of county areas (a coverage).
     """
     c = with_bbox(counties, "geometry", area=True).withColumn("state_fips", F.substring("fips", 1, 2))
     bounds = c.groupBy("state_fips").agg(
@@ -211,63 +217,72 @@ def states(counties: DataFrame) -> DataFrame:
         F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"),
         F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"),
         F.sum("area").alias("area"), F.count("*").alias("n_counties"))
-    geoms = c.select("state_fips", "geometry").groupBy("state_fips").applyInPandas(
-        _union_coverage, schema="state_fips string, geometry binary")
-    return bounds.join(geoms, "state_fips")
-
-
-def _union_coverage(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Union of polygons forming a coverage: shared edges cancel.
-
-    Shells are oriented counter-clockwise and holes clockwise, so an edge
-    shared by two members appears once in each direction and both copies
-    drop out. The remaining directed edges are chained into rings; the area
-    of the result is exact even where members touch only at a corner.
-    """
-    g = W.decode(list(pdf["geometry"]))
-    polys = K.polygons_of(g)
-    count: dict = {}
-    for parts in polys:
-        for rings in parts or []:
-            for ri, ring in enumerate(rings):
-                pts = [tuple(p) for p in ring]
-                a = sum(x0 * y1 - x1 * y0 for (x0, y0), (x1, y1) in zip(pts[:-1], pts[1:]))
-                if (a < 0) == (ri == 0):
-                    pts = pts[::-1]
-                for e in zip(pts[:-1], pts[1:]):
-                    if e[0] == e[1]:
-                        continue
-                    rev = (e[1], e[0])
-                    if count.get(rev, 0) > 0:
-                        count[rev] -= 1
-                    else:
-                        count[e] = count.get(e, 0) + 1
-    nxt: dict = {}
-    for (a, b), c in count.items():
-        for _ in range(c):
-            nxt.setdefault(a, []).append(b)
+    geoms = outline(c, "state_fips").groupBy("state_fips").applyInPandas(
+        _chain, schema="state_fips string, geometry binary")
+    return bounds.join(geoms, "state_fips", "left")
+
+
+def outline(df: DataFrame, key: str, geometry: str = "geometry") -> DataFrame:
+    """Edges (``key``, ax, ay, bx, by) on the outline of the coverage that the polygons of each key form.
+
+    Shells run counter-clockwise and holes clockwise, so an edge that two members share occurs once
+    in each direction and the two cancel; one that remains runs with the inside on its left. An edge
+    that several polygons leave over is repeated."""
+    e = df.select(F.col(key).cast("string").alias(key), geometry) \
+        .mapInArrow(_edge_batches, f"`{key}` string, x0 double, y0 double, x1 double, y1 double")
+    forward = (F.col("x0") < F.col("x1")) | ((F.col("x0") == F.col("x1")) & (F.col("y0") < F.col("y1")))
+    ends = [F.when(forward, F.col(a)).otherwise(F.col(b)).alias(n) for a, b, n in
+            (("x0", "x1", "lx"), ("y0", "y1", "ly"), ("x1", "x0", "hx"), ("y1", "y0", "hy"))]
+    e = e.filter((F.col("x0") != F.col("x1")) | (F.col("y0") != F.col("y1"))) \
+        .select(key, *ends, F.when(forward, 1).otherwise(-1).alias("way"))
+    left = e.groupBy(key, "lx", "ly", "hx", "hy").agg(F.sum("way").alias("way")).filter("way <> 0")
+    ahead = F.col("way") > 0
+    left = left.select(key, *[F.when(ahead, F.col(a)).otherwise(F.col(b)).alias(n) for a, b, n in
+                              (("lx", "hx", "ax"), ("ly", "hy", "ay"), ("hx", "lx", "bx"), ("hy", "ly", "by"))],
+                       F.explode(F.array_repeat(F.lit(0), F.abs("way").cast("int"))).alias("copy"))
+    return left.drop("copy")
+
+
+def _edge_batches(batches):
+    """The directed edges of the polygons of each Arrow batch of (key, WKB)."""
+    for batch in batches:
+        at, edges = [np.zeros(0, np.int64)], [np.zeros((0, 4))]
+        for i, parts in enumerate(K.polygons_of(W.decode(batch.column(1).to_pylist()))):
+            for rings in parts or []:
+                for number, ring in enumerate(rings):
+                    r = np.asarray(ring, np.float64)[:, :2]
+                    d = r - r[0]
+                    area = float(np.sum(d[:-1, 0] * d[1:, 1] - d[1:, 0] * d[:-1, 1]))
+                    if (area < 0) == (number == 0):
+                        r = r[::-1]
+                    edges.append(np.hstack([r[:-1], r[1:]]))
+                    at.append(np.full(len(r) - 1, i))
+        xy = np.concatenate(edges)
+        yield pa.record_batch([batch.column(0).take(pa.array(np.concatenate(at))), *[pa.array(xy[:, k]) for k in range(4)]],
+                              names=[batch.schema.names[0], "x0", "y0", "x1", "y1"])
+
+
+def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Polygon or multipolygon of the outline edges of one key; the order of the edges doesn't matter."""
+    ends = pdf[["ax", "ay", "bx", "by"]].sort_values(["ax", "ay", "bx", "by"]).to_numpy()
+    follow: dict = {}
+    for ax, ay, bx, by in ends[::-1].tolist():
+        follow.setdefault((ax, ay), []).append((bx, by))
     rings = []
-    while nxt:
-        start = next(iter(nxt))
+    while follow:
+        start = next(iter(follow))
         ring = [start]
-        cur = start
-        while True:
-            outs = nxt.get(cur)
-            if not outs:
-                break
-            b = outs.pop()
-            if not outs:
-                del nxt[cur]
-            ring.append(b)
-            cur = b
-            if cur == start:
+        while ring[-1] in follow:
+            at = ring[-1]
+            ring.append(follow[at].pop())
+            if not follow[at]:
+                del follow[at]
+            if ring[-1] == start:
                 break
         if len(ring) >= 4 and ring[0] == ring[-1]:
             rings.append(ring)
-    geom = W.wkb_multipolygon(_with_holes(rings)) if rings else None
-    if len(rings) == 1:
-        geom = W.wkb_polygon(rings)
-    return pd.DataFrame({"state_fips": [pdf["state_fips"].iloc[0]], "geometry": [geom]})
+    geom = W.wkb_multipolygon(_with_holes(rings)) if len(rings) > 1 else W.wkb_polygon(rings) if rings else None
+    return pd.DataFrame({"state_fips": [pdf.iloc[0, 0]], "geometry": [geom]})
 
 
 def _with_holes(rings: list) -> list:

@@ -30,7 +30,8 @@ from ..providers.conform import address_units, to_conform
 from ..session import configure, ensure_checkpoint_dir
 from ..sources import fixtures as fx
 from ..sources.counties import read_counties
-from ..sources.io import existing_partitions, provider_rank, read_conformed, read_raw
+from ..sources.io import existing_partitions, provider_rank, read_conformed, read_raw, write_raw_layer
+from ..sources.manifest import read_manifest, verify_partitions
 from .conflate import (conflate, conflate_addresses, conflate_footprints, conflate_job, grid_levels,
                        provider_counts)
 from .conform import conform_all, conform_job
@@ -604,6 +605,34 @@ def s5_skip_existing(spark, sf):
         "fips", "provider", F.col("n").cast("bigint").alias("n"))
 
 
+def s5_partition_manifest(spark, sf):
+    """The manifest after two conform jobs, and whether the rows on disk still agree with it."""
+    _start(spark)
+    path = f"{_written_conform(spark, sf)}/conform"
+    return read_manifest(spark, path).join(verify_partitions(spark, path), ["fips", "provider"], "full").select(
+        "fips", "provider", F.col("n").cast("bigint").alias("n"), "xmin", "ymin", "xmax", "ymax", "state")
+
+
+def s6_window_scan(spark, sf):
+    """The written layers read by a window: the lower left quarter of their box."""
+    _start(spark)
+    path = f"{_written_conform(spark, sf)}/conform"
+    x0, y0, x1, y1 = read_manifest(spark, path).agg(F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax")).first()
+    window = [] if x0 is None else [(x0, y0, x0 + (x1 - x0) / 4, y0 + (y1 - y0) / 4)]
+    return _rows_out(read_conformed(spark, path, within=window))
+
+
+def s2_pruned_read(spark, sf):
+    """Raw layers written along the curve; the conform job of one state reads the part around its counties."""
+    _start(spark)
+    raw, out = _raw_clean(spark, sf), _scratch(spark, "pruned")
+    for p, df in raw.items():
+        write_raw_layer(df, f"{out}/raw/{p}")
+    cs = fx.counties(spark, sf)
+    some = [r[0] for r in cs.filter(F.substring("fips", 1, 2) == "01").select("fips").collect()]
+    return _rows_out(conform_job(spark, lambda p: read_raw(spark, f"{out}/raw/{p}"), list(raw), cs, out, fips=some, covering="bbox"))
+
+
 def s7_write_entities(spark, sf):
     _start(spark)
     ent = spark.read.parquet(f"{_written_conflate(spark, sf)}/conflate/entities")
@@ -672,6 +701,9 @@ QUERIES = {
     "s4_write_conformed": s4_write_conformed,
     "s3_empty_input": s3_empty_input,
     "s5_skip_existing": s5_skip_existing,
+    "s5_partition_manifest": s5_partition_manifest,
+    "s6_window_scan": s6_window_scan,
+    "s2_pruned_read": s2_pruned_read,
     "s7_write_entities": s7_write_entities,
     "o1_crossref_order": o1_crossref_order,
 }

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.correspondence import (Materialize, checkpoint, fold_correspondence,
-                                        merge_footprints_and_addresses, spatial_correspondence)
+from ..operators.correspondence import (Materialize, TableScope, checkpoint, merge_footprints_and_addresses, settled,
+                                        spatial_correspondence)
 from ..operators.spatial_join import DEFAULT_CELL, occupied_levels
 from ..sources.io import crossref_table, entities_table, footprints_table
 
@@ -88,19 +88,23 @@ def conflate(conformed: DataFrame, footprint_order=FOOTPRINT_ORDER, address_orde
     plus the box columns when present). The grid levels that occur per provider are
     read once (one small aggregate) and serve every join.
     Footprints are materialised once: they feed both the merge and the
-    footprints table.
+    footprints table. The tables of the steps are removed after their last reader; two remain
+    (footprints and merged rows), which the results read.
     """
     same = {} if multi is None else {"multi": multi}
     occupied = grid_levels(conformed, (0.0, float(address_distance), float(merge_distance)), cell)
-    footprints = materialize(conflate_footprints(conformed, footprint_order, materialize, occupied, cell, **same,
-                                                 **({} if overlap is None else {"threshold": overlap})))
-    # the merge reads the addresses twice (pairs and anti join)
-    addresses = materialize(conflate_addresses(conformed, address_order, materialize, occupied, cell,
-                                               threshold=address_distance, **same))
+    footprints = settled(lambda: conflate_footprints(conformed, footprint_order, materialize, occupied, cell, **same,
+                                                     **({} if overlap is None else {"threshold": overlap})), materialize)
     lv = _levels(occupied, address_order, footprint_order, merge_distance)
-    merged = materialize(merge_footprints_and_addresses(
-        footprints, addresses, collapse_null_address=collapse_null_address, materialize=materialize,
-        cell=cell, levels=lv, threshold=merge_distance))
+
+    def merge():
+        # the merge reads the addresses twice (pairs and anti join); their table goes after it
+        addresses = settled(lambda: conflate_addresses(conformed, address_order, materialize, occupied, cell,
+                                                       threshold=address_distance, **same), materialize)
+        return merge_footprints_and_addresses(footprints, addresses, collapse_null_address=collapse_null_address,
+                                              materialize=materialize, cell=cell, levels=lv, threshold=merge_distance)
+
+    merged = settled(merge, materialize)
     return entities_table(merged), crossref_table(merged), footprints_table(footprints)
 
 
@@ -108,15 +112,19 @@ def conflate_job(spark, input_dir: str, output: str, fips=None, **kw):
     """C8 end to end: scan ``input_dir/conform`` (S6), conflate, write the three tables.
 
     ``fips`` optionally restricts the run to some counties (partition pruning
-    on the scan). Returns (entities, crossref, footprints).
+    on the scan). Every table written on the way is removed; returns (entities, crossref,
+    footprints) as read from ``output``.
     """
-    from ..functions.geometry import with_bbox
-    from ..sources.io import read_conformed, write_outputs
-    conf = read_conformed(spark, f"{input_dir}/conform")
+    from ..sources.io import read_conformed, read_outputs, write_outputs
+    from ..sources.io import path_exists
+    from ..sources.manifest import manifest_path
+    path = f"{input_dir}/conform"
+    conf = read_conformed(spark, path, keep_bbox=True)
     fips = None if fips is None else list(fips)
     if fips is not None:
         conf = conf.filter(F.col("fips").isin(fips))
-    conf = checkpoint(with_bbox(conf))
-    ent, xref, fp = conflate(conf, **kw)
-    write_outputs(ent, xref, fp, output, fips)
-    return ent, xref, fp
+    with TableScope():
+        if not path_exists(spark, manifest_path(path)):
+            conf = checkpoint(conf)  # the boxes aren't stored: computed once
+        write_outputs(*conflate(conf, **kw), output, fips)
+    return read_outputs(spark, output, fips)

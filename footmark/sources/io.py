@@ -1,23 +1,38 @@
-"""Readers and writers."""
+"""Readers and writers (S1, S4-S9); layers clustered by place and read by window."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import CONFORM, PROVIDERS
+from ..functions.curve import box_key
+from ..functions.geometry import with_bbox
+from ..schema import CONFORM, CROSSREF, ENTITIES, FOOTPRINTS, PROVIDERS
+from .manifest import BOX, begin, manifest_path, read_manifest, record
+
+#: Bytes of a row group: the unit that a window leaves out, besides the pages within it.
+BLOCK_BYTES = 32 << 20
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet",
-             schema: T.StructType | None = None, geometry: str = "geometry") -> DataFrame:
+             schema: T.StructType | None = None, geometry: str = "geometry",
+             within=None, covering: str = "bbox") -> DataFrame:
     """Read a raw provider layer with geometry as WKB binary.
 
     parquet: the geometry column must already be WKB. csv / json: the geometry
     column holds hex WKB and is decoded with ``unhex``. geojson: one GeoJSON
     feature per line (gzip is read natively); properties become columns and
     the geometry is encoded to WKB. An explicit ``schema`` skips inference.
+
+    ``within``: boxes (xmin, ymin, xmax, ymax) of which a feature's box must touch one. It needs a
+    parquet layer with the struct column ``covering`` (see :func:`write_raw_layer`) and is pushed
+    into the scan. Rows with a null covering are kept.
     """
+    if within is not None:
+        if fmt != "parquet":
+            raise ValueError("a window needs a parquet layer with a covering column")
+        return covered(read_raw(spark, path, fmt, schema, geometry), within, covering)
     r = spark.read
     if fmt == "geojson":
         return read_geojson(spark, path, schema, geometry)
@@ -56,20 +71,72 @@ def read_geojson(spark: SparkSession, path: str, schema: T.StructType | None = N
     return rows.select(*[F.col("p").getField(f.name).alias(f.name) for f in fields], st_from_geojson("g").alias(geometry))
 
 
-def write_conformed(df: DataFrame, path: str) -> None:
-    """Zstd parquet partitioned by fips and provider (appends new partitions).
+def touches(boxes, prefix: str = "") -> Column:
+    """Whether the box of the columns ``xmin``, ``ymin``, ``xmax``, ``ymax`` touches one of ``boxes``.
+
+    Plain comparisons of columns and literals, which the parquet scan takes over."""
+    x0, y0, x1, y1 = (F.col(f"{prefix}{c}") for c in BOX)
+    hit = F.lit(False)
+    for a, b, c, d in boxes:
+        hit = hit | ((x0 <= F.lit(float(c))) & (x1 >= F.lit(float(a))) & (y0 <= F.lit(float(d))) & (y1 >= F.lit(float(b))))
+    return hit
+
+
+def covered(df: DataFrame, boxes, covering: str = "bbox") -> DataFrame:
+    """Rows whose covering touches one of ``boxes`` or is null."""
+    return df.filter(F.col(f"{covering}.xmin").isNull() | touches(boxes, f"{covering}."))
+
+
+def write_raw_layer(df: DataFrame, path: str, geometry: str = "geometry", covering: str = "bbox",
+                    block_bytes: int = BLOCK_BYTES) -> None:
+    """Write a raw layer once for many reads by window: along a Hilbert curve, with each geometry's
+    box in the struct column ``covering``. Rows with a null geometry are kept, with a null box."""
+    if covering in df.columns:
+        raise ValueError(f"the layer has a column {covering!r} already")
+    names = [F.col(f"`{c}`") for c in df.columns]
+    boxed = with_bbox(df.select(*names), geometry, prefix="__c_")
+    out = boxed.withColumn("__curve", box_key("__c_")).repartitionByRange("__curve").sortWithinPartitions("__curve") \
+        .select(*names, F.struct(*[F.col(f"__c_{c}").alias(c) for c in BOX]).alias(covering))
+    out.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", block_bytes).parquet(path)
+
+
+def write_conformed(df: DataFrame, path: str, only: Column | None = None, block_bytes: int = BLOCK_BYTES) -> None:
+    """Zstd parquet partitioned by fips and provider, and their manifest.
+
+    Partitions of ``df`` replace those on disk, so that a rerun of a job that was lost half way leaves
+    no row twice; all others stay. Rows keep their box (computed where ``df`` lacks it) and lie along a
+    Hilbert curve, so a window reads few row groups. ``only``: condition on fips and provider that
+    holds for the partitions of ``df``; the manifest is brought up to date for these (default: all).
 
     ``rebalance`` keeps files per partition few but splits skewed ones.
     """
-    (df.hint("rebalance", "fips", "provider")
-       .write.mode("append").option("compression", "zstd")
+    spark = df.sparkSession
+    if not path_exists(spark, manifest_path(path)):
+        if path_exists(spark, path):
+            raise ValueError(f"{path} has layers without a manifest and without boxes; write to a new folder")
+        begin(spark, path)
+    if not all(c in df.columns for c in BOX):
+        df = with_bbox(df)
+    cols = [f.name for f in CONFORM.fields]
+    (df.select(*cols, *BOX, "fips", "provider").withColumn("__curve", box_key())
+       .hint("rebalance", "fips", "provider")
+       # by fips and provider first: else the writer sorts by them once more, and this order is lost
+       .sortWithinPartitions("fips", "provider", "__curve").drop("__curve")
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .option("compression", "zstd").option("parquet.block.size", block_bytes)
        .partitionBy("fips", "provider").parquet(path))
+    back = read_conformed(spark, path, keep_bbox=True)
+    record(back if only is None else back.filter(only), path)
 
 
 def existing_partitions(spark: SparkSession, path: str) -> DataFrame | None:
-    """The (fips, provider) partitions already written under ``path``."""
+    """The (fips, provider) partitions already written under ``path``.
+
+    From the manifest, without a scan; a folder without one is listed."""
     if not path_exists(spark, path):
         return None
+    if path_exists(spark, manifest_path(path)):
+        return read_manifest(spark, path).select("fips", "provider")
     return read_conformed(spark, path).select("fips", "provider").distinct()
 
 
@@ -83,11 +150,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def read_conformed(spark: SparkSession, path: str) -> DataFrame:
-    """Scan conformed layers; fips/provider stay strings (Q25)."""
-    schema = T.StructType(CONFORM.fields + [T.StructField("fips", T.StringType()),
-                                            T.StructField("provider", T.StringType())])
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+def read_conformed(spark: SparkSession, path: str, within=None, keep_bbox: bool = False,
+                   skip_corrupt: bool = False) -> DataFrame:
+    """Scan conformed layers; fips/provider stay strings (Q25).
+
+    ``within``: boxes (xmin, ymin, xmax, ymax); only rows whose box touches one. The manifest gives the
+    counties to open, the scan leaves out row groups by their statistics. ``keep_bbox`` keeps the
+    box columns. Both compute the boxes where the folder has no manifest (and so no boxes).
+    """
+    boxed = (keep_bbox or within is not None) and path_exists(spark, manifest_path(path))
+    keys = [T.StructField("fips", T.StringType()), T.StructField("provider", T.StringType())]
+    schema = T.StructType(CONFORM.fields + ([T.StructField(c, T.DoubleType()) for c in BOX] if boxed else []) + keys)
+    df = spark.read.schema(schema).option("basePath", path).option("ignoreCorruptFiles", str(skip_corrupt).lower()).parquet(path)
+    if within is not None:
+        if boxed:
+            met = read_manifest(spark, path).filter(touches(within)).select("fips").distinct()
+            df = df.filter(F.col("fips").isin([r[0] for r in met.collect()]))  # county codes
+        df = (df if boxed else with_bbox(df)).filter(touches(within))
+    elif keep_bbox and not boxed:
+        df = with_bbox(df)
+    names = [f.name for f in CONFORM.fields] + ["fips", "provider"]
+    return df.select(*names, *(BOX if keep_bbox else ()))
 
 
 def provider_rank(col: str = "provider"):
@@ -158,3 +241,12 @@ def write_outputs(entities: DataFrame, crossref: DataFrame, footprints: DataFram
     write_partitioned(crossref.withColumn("__r", provider_rank()), f"{output}/conflate/crossref",
                       [F.asc_nulls_last("entity_id"), F.asc_nulls_last("__r")], fips=fips)
     write_partitioned(footprints, f"{output}/conflate/footprints", fips=fips)
+
+
+def read_outputs(spark: SparkSession, output: str, fips=None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Entities, crossref and footprints as written under ``output`` (of these counties only)."""
+    def table(name: str, schema: T.StructType) -> DataFrame:
+        df = spark.read.schema(T.StructType(schema.fields + [T.StructField("fips", T.StringType())])).parquet(f"{output}/conflate/{name}")
+        return df if fips is None else df.filter(F.col("fips").isin(list(fips)))
+
+    return table("entities", ENTITIES), table("crossref", CROSSREF), table("footprints", FOOTPRINTS)

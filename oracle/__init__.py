@@ -534,6 +534,13 @@ def oracle_sql() -> dict[str, str]:
     s["s4_write_conformed"] = s["c7_conform_pipeline"]
     s["s3_empty_input"] = with_(B, C1) + "SELECT fips, provider, count(*)::BIGINT AS n FROM osm_conf GROUP BY ALL"
     s["s5_skip_existing"] = s["a1_provider_counts"]
+    s["s5_partition_manifest"] = with_(B, C1) + (
+        "SELECT fips, provider, count(*)::BIGINT AS n, min(bx0)::DOUBLE AS xmin, min(by0)::DOUBLE AS ymin, "
+        "max(bx1)::DOUBLE AS xmax, max(by1)::DOUBLE AS ymax, 'ok' AS state FROM all_conf GROUP BY fips, provider")
+    s["s6_window_scan"] = s["c7_conform_pipeline"] + (
+        ", (SELECT min(bx0)::DOUBLE AS x0, min(by0)::DOUBLE AS y0, max(bx1)::DOUBLE AS x1, max(by1)::DOUBLE AS y1 FROM all_conf) w "
+        "WHERE bx0 <= x0 + (x1 - x0) / 4 AND by0 <= y0 + (y1 - y0) / 4")
+    s["s2_pruned_read"] = s["c7_conform_pipeline"] + " WHERE substr(fips, 1, 2) = '01'"
     s["s7_write_entities"] = s["c8_conflate_entities"]
     s["o1_crossref_order"] = M + ("SELECT fips, count(*)::BIGINT AS n_rows, 0::BIGINT AS n_unsorted "
                                   "FROM entities, unnest(\"foreign\") AS t(f) GROUP BY fips")

@@ -104,3 +104,23 @@ def test_county_sides_above_the_broadcast_bound(spark, counties, monkeypatch):
     assert small.broadcastable and not large.broadcastable and not large.shapes_broadcastable
     got = [sorted((r["id"], r["fips"]) for r in mask_by_county(feats, i).collect()) for i in (small, large)]
     assert got[0] == got[1] == [("a", "06061"), ("a", "06067")]
+
+
+def test_state_union_of_slanted_counties(spark):
+    from footmark.functions.geometry import st_bbox
+    from footmark.operators.counties import outline
+    # a square in four triangles, one of them clockwise; a triangle with a hole in another state
+    mid, corners = (5, 4), [(0, 0), (10, 0), (10, 10), (0, 10)]
+    rings = [[corners[i], corners[(i + 1) % 4], mid, corners[i]] for i in range(4)]
+    rings[2] = rings[2][::-1]
+    rows = [(f"01{i:03d}", "c", "s", "ST", W.wkb_polygon([r])) for i, r in enumerate(rings)]
+    rows.append(("02001", "c", "t", "TT", W.wkb_polygon([[(0, 0), (20, 0), (0, 20), (0, 0)], [(2, 2), (4, 2), (2, 4), (2, 2)]])))
+    rows.append(("03001", "c", "u", "UU", None))
+    cs = spark.createDataFrame(rows, "fips string, county_name string, state_name string, state_abbr string, geometry binary")
+    got = {r["state_fips"]: r for r in states(cs).select("state_fips", "area", st_area("geometry").alias("u"), st_bbox("geometry").alias("b")).collect()}
+    assert (got["01"]["area"], got["01"]["u"], tuple(got["01"]["b"])[:4]) == (100.0, 100.0, (0.0, 0.0, 10.0, 10.0))
+    assert (got["02"]["area"], got["02"]["u"]) == (198.0, 198.0) and got["03"]["u"] is None
+    # only the outline is left for the task that chains it, and inner edges have partial sums before the shuffle
+    left = outline(cs.filter("fips < '02'").withColumn("s", F.substring("fips", 1, 2)), "s")
+    assert sorted(tuple(r)[1:] for r in left.collect()) == sorted((*map(float, a), *map(float, b)) for a, b in zip(corners, corners[1:] + corners[:1]))
+    assert "partial_sum" in left._jdf.queryExecution().executedPlan().toString()
