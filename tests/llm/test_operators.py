@@ -592,3 +592,51 @@ def test_mixing_many_sources_and_wide_blocks(spark, monkeypatch):
     few = rows.withColumn("source", F.concat(F.lit("s"), (F.col("doc_id") % 3).cast("string")))
     shares = mixing.mix_sources(few).groupBy("target").agg(F.sum("taken").alias("taken")).collect()
     assert all(abs(r["taken"] - r["target"]) < 0.1 * r["target"] for r in shares)
+
+
+def test_isotonic_by_definition():
+    """Pools are runs of equal max-min rates; a pool's smoothed rate holds for its bins, and none falls."""
+    rng = random.Random(3)
+    for size in (1, 2, 5, 12):
+        for _ in range(40):
+            n = [rng.choice([0, 1, 2, 9]) for _ in range(size)]
+            hit = [rng.randint(0, k) for k in n]
+            full = [i for i in range(size) if n[i]]
+            rate = [max(min(Fraction(sum(hit[k] for k in full[a:b + 1]), sum(n[k] for k in full[a:b + 1])) for b in range(i, len(full)))
+                        for a in range(i + 1)) for i in range(len(full))]
+            pooled, high = [], 0.0
+            for v in rate:
+                pool = [full[i] for i in range(len(full)) if rate[i] == v]
+                high = max(high, (sum(hit[k] for k in pool) + 0.5) / (sum(n[k] for k in pool) + 1))
+                pooled.append(high)
+            want = [0.5 if not full else pooled[max(sum(k <= i for k in full) - 1, 0)] for i in range(size)]
+            assert np.allclose(quality_rff.isotonic(np.array(n), np.array(hit)), want)
+
+
+def test_quality_equations_are_the_plain_sums():
+    """Partition sums, added by key, are the products over all rows; features near a Gaussian kernel."""
+    import pyarrow as pa
+    rng = np.random.default_rng(9)
+    stats = rng.standard_normal((240, len(quality_rff.STATS)))
+    y, fold = rng.integers(0, 2, 240), rng.integers(0, quality_rff.FOLDS, 240)
+    features = quality_rff.Features(stats.mean(axis=0), stats.std(axis=0))
+
+    def batch(lo, hi, pid):
+        return pa.record_batch([pa.array(list(stats[lo:hi]), pa.list_(pa.float64())), pa.array(y[lo:hi], pa.int32()), pa.array(fold[lo:hi], pa.int32()),
+                                pa.array([pid] * (hi - lo), pa.int32())], names=["stats", "y", "fold", "pid"])
+    parts = [b for pid, (lo, mid, hi) in enumerate([(0, 50, 90), (90, 91, 200), (200, 220, 240)])
+             for b in quality_rff._equation_batches([batch(lo, mid, pid), batch(mid, hi, pid)], features, 2)]
+    got = {}
+    for b in quality_rff._sum_matrices(parts):
+        f, _, m = (c[0].as_py() for c in b.columns)
+        got[f] = got.get(f, 0) + np.frombuffer(m)
+    z = features(stats)
+    for f in range(quality_rff.FOLDS):
+        own = z[fold == f]
+        assert np.allclose(got[f].reshape(z.shape[1], -1), own.T @ np.column_stack([own, y[fold == f]]))
+    wide = quality_rff.Features(stats.mean(axis=0), stats.std(axis=0), features=20000)
+    x = (stats[:20] - wide.mean) / wide.dev
+    x = np.clip(x, -6, 6)
+    kernel = np.exp(-quality_rff.GAMMA * ((x[:, None] - x[None]) ** 2).sum(axis=2))
+    zw = wide(stats[:20])[:, :20000]
+    assert np.abs(zw @ zw.T - kernel).max() < 0.05
