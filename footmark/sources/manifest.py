@@ -1,9 +1,9 @@
 """Manifest of the conformed layers: one row per written (fips, provider) partition.
 
 It stands beside the layers (``<path>_manifest``) and is appended after the rows are on disk, from
-the rows on disk: a partition without an entry was not finished and is written anew. Skipping (S5),
-counts (A1) and the choice of the counties that a window touches read the manifest and start no scan
-of the layers.
+the rows on disk: a partition without an entry was not finished and is written anew. Skipping (S5)
+and the choice of the counties that a window touches read the manifest and start no scan of the
+layers; its column ``n`` has the counts of A1 (``provider_counts`` counts any rows, written or not).
 """
 
 from __future__ import annotations
