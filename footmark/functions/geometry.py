@@ -164,8 +164,12 @@ def st_polygons(g: pa.Array) -> pa.Array:
     A polygon gives itself; null gives null; any other type raises.
     """
     d = W.decode(g)
-    parts = K.polygons_of(d)
-    return _binary_list([None if p is None else [W.wkb_polygon(rings) for rings in p] for p in parts])
+    K.check_polygons(d)
+    lead = np.r_[True, d.ring_poly[1:] != d.ring_poly[:-1]][:len(d.ring_poly)]
+    part = np.cumsum(lead) - 1
+    off = np.searchsorted(d.ring_geom[lead], np.arange(d.n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(off), W.encode_polygons(int(lead.sum()), d.xy, d.ring_off, part, part),
+                                    mask=pa.array(~(d.valid | d.empty)))
 
 
 # --------------------------------------------------------------------------- binary
@@ -224,22 +228,11 @@ st_overlap = arrow_udf(_overlap, OVERLAP_TYPE).asNondeterministic()
 def st_intersection(a: pa.Array, b: pa.Array) -> pa.Array:
     """Pairwise intersection as WKB.
 
-    Rectangles give a rectangle; other polygons a MultiPolygon of the slab
-    trapezoids (exact area and centroid, internal edges not dissolved).
-    No overlap gives an empty GeometryCollection (area 0); null if either is null.
+    Valid simple rings (internal edges dissolved, holes kept): a Polygon, or a MultiPolygon of several
+    parts. No overlap gives an empty GeometryCollection (area 0); null if either is null.
     """
-    res = K.intersection_parts(W.decode(a), W.decode(b))
-    out = []
-    for p in res:
-        if p is None:
-            out.append(None)
-        elif len(p) == 0:
-            out.append(W.EMPTY_COLLECTION)
-        elif len(p) == 1:
-            out.append(W.wkb_polygon(p[0]))
-        else:
-            out.append(W.wkb_multipolygon(p))
-    return pa.array(out, type=pa.binary())
+    da, db = W.decode(a), W.decode(b)
+    return W.encode_polygons(da.n, *K.intersection_rings(da, db), ok=(da.empty | da.valid) & (db.empty | db.valid))
 
 
 @arrow_udf(BINARY)
@@ -248,22 +241,22 @@ def st_collect(parts: pa.Array) -> pa.Array:
 
     Null elements are skipped; a null or empty array gives null.
     """
-    out = []
-    for items in parts.to_pylist():
-        items = [b for b in (items or []) if b is not None]
-        if not items:
-            out.append(None)
-            continue
-        g = W.decode(pa.array(items, pa.binary()))
-        if g.valid.all() and (g.gtype == W.POINT).all():
-            out.append(W.wkb_multipoint([tuple(p) for p in g.xy]))
-            continue
-        polys = []
-        for p in K.polygons_of(g):
-            if p:
-                polys.extend(p)
-        out.append(W.wkb_multipolygon(polys) if polys else None)
-    return pa.array(out, type=pa.binary())
+    flat = parts.flatten()
+    n = len(parts)
+    owner = np.repeat(np.arange(n), np.asarray(pa.compute.fill_null(pa.compute.list_value_length(parts), 0)))
+    there = np.asarray(flat.is_valid())
+    g, owner = W.decode(flat.filter(pa.array(there))), owner[there]
+    is_point = g.valid & (g.gtype == W.POINT)
+    points = np.bincount(owner[is_point], minlength=n) == np.bincount(owner, minlength=n)  # nothing but points
+    K.check_polygons(g, ~points[owner])
+    which = points[owner[g.ring_geom]]
+    keep = np.repeat(which, g.ring_len)
+    rings = np.flatnonzero(~which)
+    ok = np.bincount(owner[g.ring_geom[rings]], minlength=n) > 0
+    return pa.compute.coalesce(
+        W.encode_multipoints(n, g.xy[keep], owner[g.ring_geom[which]]),
+        W.encode_polygons(n, g.xy[~keep], np.r_[0, np.cumsum(g.ring_len[rings])], owner[g.ring_geom[rings]],
+                          np.cumsum(np.r_[0, np.diff(g.ring_poly[rings]) != 0])[:len(rings)], ok, multi=True))
 
 
 @arrow_udf(BINARY)
@@ -272,7 +265,7 @@ def st_transform_to_5070(g: pa.Array) -> pa.Array:
     from .projection import albers_forward_np
     d = W.decode(g)
     x, y = albers_forward_np(d.xy[:, 0], d.xy[:, 1]) if len(d.xy) else (d.xy[:, 0], d.xy[:, 1])
-    return pa.array(W.encode_geoms(d, np.c_[x, y]), type=pa.binary())
+    return W.encode(d, np.c_[x, y])
 
 
 @arrow_udf(BINARY)
@@ -281,7 +274,7 @@ def st_transform_to_4326(g: pa.Array) -> pa.Array:
     from .projection import albers_inverse_np
     d = W.decode(g)
     x, y = albers_inverse_np(d.xy[:, 0], d.xy[:, 1]) if len(d.xy) else (d.xy[:, 0], d.xy[:, 1])
-    return pa.array(W.encode_geoms(d, np.c_[x, y]), type=pa.binary())
+    return W.encode(d, np.c_[x, y])
 
 
 @arrow_udf(BINARY)

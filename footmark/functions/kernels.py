@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 
+from .dissolve import SNAP, dissolve
 from .wkb import K_HOLE, K_LINE, K_POINT, K_SHELL, MULTIPOLYGON, POLYGON, Geoms
 
 # --------------------------------------------------------------------------- helpers
@@ -370,10 +371,10 @@ MAX_SPANS = 500_000
 
 
 def _no_pieces():
-    return np.zeros(0, np.int64), np.zeros((0, 5, 2))
+    return np.zeros(0, np.int64), np.zeros((0, 6)), np.zeros((0, 2), np.int64), np.zeros((0, 2))
 
 
-def _slab_overlap(A, B, pairs: np.ndarray, want_pieces: bool = False):
+def _slab_overlap(A, B, pairs: np.ndarray, want_pieces: bool = False, own: bool = False):
     """Slab overlap: (intersection area, pieces) for every pair index in ``pairs``.
 
     ``A`` / ``B`` are (x1, y1, x2, y2, geom_off) polygon-edge tables; pair i
@@ -382,8 +383,11 @@ def _slab_overlap(A, B, pairs: np.ndarray, want_pieces: bool = False):
     edges cross, so the even-odd spans are trapezoids whose area is height x
     width at mid-height. All pairs are evaluated at once with sort-based
     grouping (no per-pair Python loop); a slab only sees the edges that span it.
+    A polygon whose own edges cross (seen by edges that swap places in a slab) is computed again with
+    those crossings as cuts (``own``).
 
-    pieces: (position in ``pairs``, closed trapezoid rings) when wanted, else empty.
+    pieces, when wanted: (position in ``pairs``, trapezoids and their edges as :func:`dissolve` takes
+    them, origin of their coordinates), else empty.
     """
     out = np.zeros(len(pairs), np.float64)
     ax1, ay1, ax2, ay2, aoff = A
@@ -393,8 +397,8 @@ def _slab_overlap(A, B, pairs: np.ndarray, want_pieces: bool = False):
     if not has.all():
         pieces = _no_pieces()
         if has.any():
-            out[has], (owner, rings) = _slab_overlap(A, B, pairs[has], want_pieces)
-            pieces = np.nonzero(has)[0][owner], rings
+            out[has], (owner, *rest) = _slab_overlap(A, B, pairs[has], want_pieces, own)
+            pieces = np.nonzero(has)[0][owner], *rest
         return out, pieces
     if len(pairs) == 0:
         return out, _no_pieces()
@@ -432,23 +436,10 @@ def _slab_overlap(A, B, pairs: np.ndarray, want_pieces: bool = False):
     # (only edges that reach the common y-range can cross there)
     reach = (ymax_e > lo[EP]) & (ymin_e < hi[EP])
     ra, rb = np.nonzero(reach & isA)[0], np.nonzero(reach & ~isA)[0]
-    ka, kb = np.bincount(EP[ra], minlength=P), np.bincount(EP[rb], minlength=P)
-    oa, ob = np.cumsum(ka) - ka, np.cumsum(kb) - kb
-    for g, i, j in _pair_product(ka, kb):
-        pa_, pb_ = ra[oa[g] + i], rb[ob[g] + j]
-        near = (np.minimum(EX1[pa_], EX2[pa_]) <= np.maximum(EX1[pb_], EX2[pb_])) & \
-            (np.minimum(EX1[pb_], EX2[pb_]) <= np.maximum(EX1[pa_], EX2[pa_])) & \
-            (ymin_e[pa_] <= ymax_e[pb_]) & (ymin_e[pb_] <= ymax_e[pa_])
-        g, pa_, pb_ = g[near], pa_[near], pb_[near]
-        X1, Y1, X2, Y2 = EX1[pa_], EY1[pa_], EX2[pa_], EY2[pa_]
-        U1, V1, U2, V2 = EX1[pb_], EY1[pb_], EX2[pb_], EY2[pb_]
-        den = (X2 - X1) * (V2 - V1) - (Y2 - Y1) * (U2 - U1)
-        with np.errstate(invalid="ignore", divide="ignore"):
-            t = ((U1 - X1) * (V2 - V1) - (V1 - Y1) * (U2 - U1)) / den
-            u = ((U1 - X1) * (Y2 - Y1) - (V1 - Y1) * (X2 - X1)) / den
-        c = (den != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
-        ys_p.append(g[c])
-        ys_v.append(Y1[c] + t[c] * (Y2[c] - Y1[c]))
+    for one, two in ((ra, rb), (ra, ra), (rb, rb)) if own else ((ra, rb),):
+        for g, y in _crossings(EX1, EY1, EX2, EY2, EP, one, two, P):
+            ys_p.append(g)
+            ys_v.append(y)
     yp = np.concatenate(ys_p)
     yv = np.concatenate(ys_v)
     keep = (yv >= lo[yp]) & (yv <= hi[yp])
@@ -481,7 +472,9 @@ def _slab_overlap(A, B, pairs: np.ndarray, want_pieces: bool = False):
     depth = np.cumsum(np.bincount(from_slab, minlength=len(sp) + 1) - np.bincount(to_slab, minlength=len(sp) + 1))
     block = np.cumsum(depth[:-1]) // MAX_SPANS
     cuts = np.r_[0, np.flatnonzero(np.diff(block)) + 1, len(sp)]
-    owner, rings = [], []
+    owner, quads, sides = [], [], []
+    swapped = np.zeros(P, bool)
+    slack = SNAP * np.maximum.reduceat(np.maximum(np.abs(EX1), np.abs(EY1)), eoff[:-1])
     for u, v in zip(cuts[:-1], cuts[1:]):
         here = np.nonzero((from_slab < v) & (to_slab > u))[0]
         f, n_sp = np.maximum(from_slab[here], u), np.minimum(to_slab[here], v) - np.maximum(from_slab[here], u)
@@ -503,6 +496,11 @@ def _slab_overlap(A, B, pairs: np.ndarray, want_pieces: bool = False):
         cb = np.cumsum(lab == 1)
         ina = (ca - (ca - (lab == 0))[grp_start]) % 2 == 1
         inb = (cb - (cb - (lab == 1))[grp_start]) % 2 == 1
+        if not own:
+            for at in (yb[s_id], yt[s_id]):
+                end = EX1[e_id] + (at - EY1[e_id]) * (EX2[e_id] - EX1[e_id]) / (EY2[e_id] - EY1[e_id])
+                back = ~start[1:] & (end[:-1] - end[1:] > slack[sp[s_id[1:]]])
+                swapped[sp[s_id[1:][back]]] = True
         k = np.nonzero(~start[1:] & ina[:-1] & inb[:-1])[0]
         out += np.bincount(sp[s_id[k]], weights=(x[k + 1] - x[k]) * h[s_id[k]], minlength=P)
         if want_pieces:
@@ -510,13 +508,41 @@ def _slab_overlap(A, B, pairs: np.ndarray, want_pieces: bool = False):
 
             def corner(e, at):
                 px = EX1[e] + (at - EY1[e]) * (EX2[e] - EX1[e]) / (EY2[e] - EY1[e])
-                return np.stack([px + rx[e], at + ry[e]], axis=1)
+                return np.where(at == EY2[e], EX2[e], px)
 
             e0, e1 = e_id[k], e_id[k + 1]
-            first = corner(e0, bot)
             owner.append(sp[s_id[k]])
-            rings.append(np.stack([first, corner(e1, bot), corner(e1, top), corner(e0, top), first], axis=1))
-    return out, ((np.concatenate(owner), np.concatenate(rings)) if rings else _no_pieces())
+            quads.append(np.stack([corner(e0, bot), corner(e1, bot), corner(e0, top), corner(e1, top), bot, top], axis=1))
+            sides.append(np.stack([e0, e1], axis=1))
+    pieces = _no_pieces()
+    if owner:
+        owner = np.concatenate(owner)
+        pieces = owner, np.concatenate(quads), np.concatenate(sides), np.stack([rx, ry], axis=1)[eoff[:-1][owner]]
+    if swapped.any():
+        again = np.nonzero(swapped)[0]
+        out[again], (owner, *rest) = _slab_overlap(A, B, pairs[again], want_pieces, True)
+        keep = ~swapped[pieces[0]]
+        pieces = tuple(np.concatenate([v[keep], w]) for v, w in zip(pieces, (again[owner], *rest)))
+    return out, pieces
+
+
+def _crossings(x1, y1, x2, y2, group, one, two, groups):
+    """(group, y) where edges ``one`` cross edges ``two`` of their group (both sorted by group), in blocks."""
+    ka, kb = np.bincount(group[one], minlength=groups), np.bincount(group[two], minlength=groups)
+    oa, ob = np.cumsum(ka) - ka, np.cumsum(kb) - kb
+    for g, i, j in _pair_product(ka, kb):
+        a, b = one[oa[g] + i], two[ob[g] + j]
+        near = (np.minimum(x1[a], x2[a]) <= np.maximum(x1[b], x2[b])) & (np.minimum(x1[b], x2[b]) <= np.maximum(x1[a], x2[a])) & \
+            (np.minimum(y1[a], y2[a]) <= np.maximum(y1[b], y2[b])) & (np.minimum(y1[b], y2[b]) <= np.maximum(y1[a], y2[a]))
+        g, a, b = g[near], a[near], b[near]
+        X1, Y1, X2, Y2 = x1[a], y1[a], x2[a], y2[a]
+        U1, V1, U2, V2 = x1[b], y1[b], x2[b], y2[b]
+        den = (X2 - X1) * (V2 - V1) - (Y2 - Y1) * (U2 - U1)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            t = ((U1 - X1) * (V2 - V1) - (V1 - Y1) * (U2 - U1)) / den
+            u = ((U1 - X1) * (Y2 - Y1) - (V1 - Y1) * (X2 - X1)) / den
+        c = (den != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
+        yield g[c], Y1[c] + t[c] * (Y2[c] - Y1[c])
 
 
 def _group_reduce(v, grp, mask, n, ufunc, fill):
@@ -567,29 +593,45 @@ def _overlaps(a: Geoms, b: Geoms, rest: np.ndarray, want_pieces: bool = False):
         yield idx, *_slab_overlap(A, B, idx, want_pieces)
 
 
-def intersection_parts(a: Geoms, b: Geoms):
-    """Pairwise intersection as a list of polygons (each a list of rings) or None.
+def intersection_rings(a: Geoms, b: Geoms):
+    """Pairwise intersection as rings: (xy, ring offsets, pair of each ring, polygon of each ring).
 
-    Rectangles give one rectangle; other polygons give the slab trapezoids
-    (area and centroid exact, internal edges not dissolved). Points and lines
-    contribute no area, so their intersection is returned as empty.
+    Rectangles give one rectangle, other polygons valid simple rings (shells counter-clockwise, each
+    before its holes). Points and lines contribute no area, so their intersection has no ring.
     """
-    n = a.n
-    res: list = [None] * n
     ok = a.valid & b.valid
-    ra, rb = is_rectangle(a), is_rectangle(b)
+    boxes = ok & is_rectangle(a) & is_rectangle(b)
     axmin, aymin, axmax, aymax = bbox(a)
     bxmin, bymin, bxmax, bymax = bbox(b)
-    for i in np.nonzero((a.empty | a.valid) & (b.empty | b.valid))[0]:
-        res[i] = []
-    both = ok & ra & rb
     x0, x1 = np.maximum(axmin, bxmin), np.minimum(axmax, bxmax)
     y0, y1 = np.maximum(aymin, bymin), np.minimum(aymax, bymax)
-    for i in np.nonzero(both & (x1 > x0) & (y1 > y0))[0]:
-        res[i] = [[[(x0[i], y0[i]), (x1[i], y0[i]), (x1[i], y1[i]), (x0[i], y1[i]), (x0[i], y0[i])]]]
-    for idx, _, (owner, rings) in _overlaps(a, b, np.nonzero(ok & ~both)[0], want_pieces=True):
-        for i, ring in zip(idx[owner], rings):
-            res[i].append([ring])
+    i = np.nonzero(boxes & (x1 > x0) & (y1 > y0))[0]
+    found = [(np.c_[x0[i], y0[i], x1[i], y0[i], x1[i], y1[i], x0[i], y1[i], x0[i], y0[i]].reshape(-1, 2), np.full(len(i), 5), i, np.arange(len(i)))]
+    for idx, _, (owner, quads, sides, origin) in _overlaps(a, b, np.nonzero(ok & ~boxes)[0], want_pieces=True):
+        xy, off, pair, poly = dissolve(owner, quads, sides)
+        at = np.zeros((len(idx), 2))
+        at[owner] = origin
+        found.append((xy + np.repeat(at[pair], np.diff(off), axis=0), np.diff(off), idx[pair], poly + found[-1][3].max(initial=-1) + 1))
+    xy, size, pair, poly = (np.concatenate(c) for c in zip(*found))
+    return _ring_order(xy, size, pair, poly)
+
+
+def _ring_order(xy, size, pair, poly):
+    """Rings sorted by pair (each pair's rings keep their order)."""
+    o = np.argsort(pair, kind="stable")
+    start, off = np.cumsum(size) - size, np.r_[0, np.cumsum(size[o])]
+    at = np.repeat(start[o] - off[:-1], size[o]) + np.arange(off[-1])
+    return xy[at], off, pair[o], poly[o]
+
+
+def intersection_parts(a: Geoms, b: Geoms):
+    """:func:`intersection_rings` as a list of polygons (each a list of rings) per pair; None where a side is null."""
+    res: list = [[] if ok else None for ok in (a.empty | a.valid) & (b.empty | b.valid)]
+    xy, off, pair, poly = intersection_rings(a, b)
+    for r, (i, p) in enumerate(zip(pair, poly)):
+        if r == 0 or p != poly[r - 1]:
+            res[i].append([])
+        res[i][-1].append(xy[off[r]:off[r + 1]])
     return res
 
 
@@ -601,6 +643,13 @@ def points_of(g: Geoms):
     return g.xy[:, 0], g.xy[:, 1], g.geom_coord_off()
 
 
+def check_polygons(g: Geoms, which: np.ndarray | None = None) -> None:
+    """Raises ValueError for a geometry (of ``which``) that is neither Polygon nor MultiPolygon; null and empty of either pass."""
+    bad = (g.gtype != POLYGON) & (g.gtype != MULTIPOLYGON) & (g.valid | (g.empty & (g.gtype != 0)))
+    if (bad if which is None else bad & which).any():
+        raise ValueError("geometry is not a (multi)polygon")
+
+
 def polygons_of(g: Geoms):
     """Per geometry, its polygons as lists of rings; None for null.
 

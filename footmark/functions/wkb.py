@@ -24,6 +24,7 @@ import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 POINT, LINESTRING, POLYGON, MULTIPOINT, MULTILINESTRING, MULTIPOLYGON, COLLECTION = range(1, 8)
 
@@ -433,6 +434,60 @@ def encode_rings(xy: np.ndarray, n: np.ndarray) -> pa.Array:
     return _binary_from(data, offsets.astype(np.int32), ok)
 
 
+def encode_polygons(n: int, xy: np.ndarray, ring_off: np.ndarray, ring_geom: np.ndarray, ring_poly: np.ndarray,
+                    ok: np.ndarray | None = None, multi=False) -> pa.Array:
+    """Polygons and MultiPolygons from closed rings that are sorted by geometry and polygon.
+
+    A geometry of one polygon is a Polygon unless ``multi`` (a flag, or one a geometry) is set, one of
+    several a MultiPolygon, one of none an empty collection; null where ``ok`` is False. One output
+    buffer for all values."""
+    ok = np.ones(n, bool) if ok is None else ok
+    lead = np.r_[True, ring_poly[1:] != ring_poly[:-1]][:len(ring_poly)]  # the ring starts a polygon
+    polys = np.bincount(ring_geom[lead], minlength=n)
+    wrap = ok & ((polys != 1) | multi)
+    points = np.diff(ring_off)
+    size = 4 + 16 * points + 9 * lead
+    total = 9 * wrap
+    np.add.at(total, ring_geom, size)
+    offsets = np.r_[0, np.cumsum(total)]
+    first = np.searchsorted(ring_geom, np.arange(n))  # first ring of each geometry
+    before = np.r_[0, np.cumsum(size)]
+    at = offsets[:-1][ring_geom] + 9 * wrap[ring_geom] + before[:-1] - before[first[ring_geom]]
+    rings = np.diff(np.r_[np.flatnonzero(lead), len(lead)])
+    data, rest = np.empty(int(offsets[-1]), np.uint8), np.ones(int(offsets[-1]), bool)
+
+    def put(where, *fields):
+        block = np.concatenate([np.ascontiguousarray(f).view(np.uint8).reshape(len(where), f.dtype.itemsize) for f in fields], axis=1)
+        cells = where[:, None] + np.arange(block.shape[1])
+        data[cells], rest[cells] = block, False
+
+    little = np.ones(max(n, len(lead)), np.uint8)
+    tops = offsets[:-1][wrap]
+    put(tops, little[:len(tops)], np.where(polys[wrap] > 0, MULTIPOLYGON, COLLECTION).astype("<u4"), polys[wrap].astype("<u4"))
+    put(at[lead], little[:len(rings)], np.full(len(rings), POLYGON, "<u4"), rings.astype("<u4"))
+    put(at + 9 * lead, points.astype("<u4"))
+    data[rest] = np.ascontiguousarray(xy, "<f8").view(np.uint8).ravel()
+    return _binary_from(data, offsets, ok)
+
+
+def encode_multipoints(n: int, xy: np.ndarray, owner: np.ndarray) -> pa.Array:
+    """MultiPoints from points sorted by owner; null where an owner has none. One output buffer."""
+    count = np.bincount(owner, minlength=n)
+    ok = count > 0
+    offsets = np.r_[0, np.cumsum(np.where(ok, 9 + 21 * count, 0))]
+    head = np.zeros((int(ok.sum()), 9), np.uint8)
+    head[:, 0], head[:, 1] = 1, MULTIPOINT
+    head[:, 5:9] = np.ascontiguousarray(count[ok].astype("<u4")).view(np.uint8).reshape(-1, 4)
+    rec = np.zeros((len(xy), 21), np.uint8)
+    rec[:, 0], rec[:, 1] = 1, POINT
+    rec[:, 5:] = np.ascontiguousarray(xy, "<f8").view(np.uint8).reshape(-1, 16)
+    data, rest = np.empty(int(offsets[-1]), np.uint8), np.ones(int(offsets[-1]), bool)
+    cells = offsets[:-1][ok][:, None] + np.arange(9)
+    data[cells], rest[cells] = head, False
+    data[rest] = rec.ravel()
+    return _binary_from(data, offsets, ok)
+
+
 def _binary_from(data: np.ndarray, offsets: np.ndarray, ok: np.ndarray) -> pa.Array:
     n = len(offsets) - 1
     validity = pa.array(ok).buffers()[1] if not ok.all() else None
@@ -472,8 +527,28 @@ def wkb_linestring(coords) -> bytes:
 EMPTY_COLLECTION = struct.pack("<BII", 1, COLLECTION, 0)
 
 
-def encode_geoms(g: Geoms, xy: np.ndarray | None = None) -> list:
-    """Re-encode every geometry of ``g`` (optionally with new coordinates ``xy``).
+def encode(g: Geoms, xy: np.ndarray) -> pa.Array:
+    """Every geometry of ``g`` with new coordinates: points and (multi)polygons by offsets, other types
+    one by one (:func:`encode_geoms`)."""
+    point = g.valid & (g.gtype == POINT)
+    area = g.valid & ((g.gtype == POLYGON) | (g.gtype == MULTIPOLYGON))
+    ring_off = g.ring_off
+    first = np.zeros((g.n, 2))
+    p = point[g.ring_geom]
+    first[g.ring_geom[p]] = xy[ring_off[:-1][p]]
+    points = encode_points(first[:, 0], first[:, 1], point)
+    r = np.flatnonzero(area[g.ring_geom])
+    keep = np.repeat(area[g.ring_geom], g.ring_len)
+    polygons = encode_polygons(g.n, xy[keep], np.r_[0, np.cumsum(g.ring_len[r])], g.ring_geom[r], g.ring_poly[r], area, g.gtype == MULTIPOLYGON)
+    out = pc.coalesce(points, polygons)
+    if (point | area).all():
+        return out
+    other = ~(point | area)
+    return pc.coalesce(out, pa.array([v if o else None for v, o in zip(encode_geoms(g, xy, other), other)], pa.binary()))
+
+
+def encode_geoms(g: Geoms, xy: np.ndarray | None = None, only: np.ndarray | None = None) -> list:
+    """Re-encode every geometry of ``g`` (optionally with new coordinates ``xy``, or only some: others None).
 
     Keeps the top-level type: Point, LineString, Polygon, Multi* and
     GeometryCollection (members flattened to points, lines and polygons).
@@ -482,6 +557,9 @@ def encode_geoms(g: Geoms, xy: np.ndarray | None = None) -> list:
     gro = g.geom_ring_off()
     out: list = []
     for i in range(g.n):
+        if only is not None and not only[i]:
+            out.append(None)
+            continue
         if not g.valid[i]:
             out.append(EMPTY_COLLECTION if g.empty[i] else None)
             continue
