@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.geometry import (st_area, st_bbox, st_centroid, st_centroid_x, st_centroid_xy,
                                   st_centroid_y, st_collect, st_distance, st_intersection,
-                                  st_intersects, st_point, st_points, st_polygons, st_transform_to_5070, with_bbox)
+                                  st_intersects, st_is_valid_wkb, st_point, st_points, st_polygons, st_transform_to_5070, with_bbox)
 from ..functions.plus_codes import plus_code
 from ..functions.projection import albers_inverse
 from ..functions.text import normalize_address, normalize_str, parse_height, parse_levels
@@ -153,6 +153,59 @@ def g13_intersects(spark, sf):
     return j.select(F.col("l.k").alias("key"), st_intersects("l.geometry", "r.geometry").alias("intersects"))
 
 
+# --------------------------------------------------------------------------- slanted shapes
+
+
+def _triangles(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Both footprint layers as triangles, whose slanted sides cross in many pairs."""
+    k = F.col("fixture_key")
+    return _keyed(fx.halved(fx.raw_openstreetmap(spark, sf), k % 2 == 1)), _keyed(fx.halved(fx.raw_microsoft(spark, sf), k % 3 == 1))
+
+
+def g3_slanted_area(spark, sf):
+    _start(spark)
+    parts = [t.select(F.lit(p).alias("provider"), "k", "geometry", st_centroid_xy("geometry").alias("c"))
+             for p, t in zip(("openstreetmap", "microsoft"), _triangles(spark, sf))]
+    return parts[0].unionByName(parts[1]).select("provider", F.col("k").alias("key"), st_area("geometry").alias("area"),
+                                                 F.round("c.x", 6).alias("x"), F.round("c.y", 6).alias("y"))
+
+
+def g4_slanted_intersection(spark, sf):
+    """Area and number of polygons of each common part (shapes that only touch have none)."""
+    _start(spark)
+    p = intersects_join(*_triangles(spark, sf)).withColumn("i", st_intersection("geometry_left", "geometry_right"))
+    p = p.select(F.col("k_left").alias("left_key"), F.col("k_right").alias("right_key"), st_area("i").alias("a"),
+                 F.when(st_is_valid_wkb("i"), F.col("i")).alias("i"))
+    return p.select("left_key", "right_key", F.round("a", 6).alias("area"),
+                    F.coalesce(F.size(st_polygons("i")), F.lit(0)).cast("bigint").alias("n_polygons"))
+
+
+def g7_slanted_distance(spark, sf):
+    _start(spark)
+    j = _keyed(fx.raw_nad(spark, sf)).alias("l").join(_triangles(spark, sf)[0].alias("r"), F.col("l.k") == F.col("r.k"))
+    return j.select(F.col("l.k").alias("key"), F.round(st_distance("l.geometry", "r.geometry"), 6).alias("distance"))
+
+
+def g13_slanted_intersects(spark, sf):
+    _start(spark)
+    left, right = _triangles(spark, sf)
+    j = left.alias("l").join(right.alias("r"), F.col("l.k") == F.col("r.k"))
+    return j.select(F.col("l.k").alias("key"), st_intersects("l.geometry", "r.geometry").alias("intersects"))
+
+
+def j4_slanted_overlap(spark, sf):
+    """J1 and J4 on triangles: every pair that meets, with its share of the smaller area."""
+    _start(spark)
+    from ..operators.correspondence import overlap_metric
+    p = overlap_metric(intersects_join(*_triangles(spark, sf)))
+    return p.select(F.col("k_left").alias("left_key"), F.col("k_right").alias("right_key"),
+                    F.round("area_intersection", 6).alias("area_intersection"), F.col("area_relative").cast("double").alias("area_relative"),
+                    F.round("metric", 9).alias("metric"), F.col("corresponds"))
+
+
+# --------------------------------------------------------------------------- generators and codes
+
+
 def g10_explode_multipoint(spark, sf):
     _start(spark)
     o = _keyed(fx.raw_openstreetmap(spark, sf))
@@ -666,6 +719,11 @@ QUERIES = {
     "g10_explode_multipoint": g10_explode_multipoint,
     "g11_explode_multipolygon": g11_explode_multipolygon,
     "g9_pluscode": g9_pluscode,
+    "g3_slanted_area": g3_slanted_area,
+    "g4_slanted_intersection": g4_slanted_intersection,
+    "g7_slanted_distance": g7_slanted_distance,
+    "g13_slanted_intersects": g13_slanted_intersects,
+    "j4_slanted_overlap": j4_slanted_overlap,
     "p3_reproject": p3_reproject,
     "c1_conform_microsoft": c1_conform_microsoft,
     "c2_conform_nad": c2_conform_nad,

@@ -171,6 +171,15 @@ def raw_openaddresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def halved(layer: DataFrame, upper: Column) -> DataFrame:
+    """A footprint layer as (fixture_key, geometry) with each box cut along the diagonal from its lower
+    left corner: the upper left triangle where ``upper``, else the lower right one."""
+    b = layer.select("fixture_key", st_bbox("geometry").alias("b"))
+    x0, y0, x1, y1 = (F.col(f"b.{k}") for k in ("xmin", "ymin", "xmax", "ymax"))
+    ring = F.when(upper, F.array(x0, y0, x1, y1, x0, y1)).otherwise(F.array(x0, y0, x1, y0, x1, y1))
+    return b.select("fixture_key", st_polygon(ring).alias("geometry"))
+
+
 RAW_LAYERS = {
     "openstreetmap": raw_openstreetmap,
     "microsoft": raw_microsoft,

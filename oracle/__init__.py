@@ -397,6 +397,31 @@ def boxes() -> str:
             "UNION ALL SELECT 'usa_structures', k, bx0, by0, bx1, by1 FROM usa_raw)")
 
 
+def triangle_ctes() -> str:
+    """Both footprint layers as halves of their boxes: between a bottom line and a top line, each c + m * x
+    with x and y from a corner of the slot. ``met`` has for pairs of boxes that meet the height of the common part
+    at the places where any of the four lines cross (a concave polygon line): its area and largest height."""
+    def half(table: str, upper: str) -> str:
+        slope, at = "((by1 - by0) / (bx1 - bx0))", "(by0 - oy) - (bx0 - ox) * (by1 - by0) / (bx1 - bx0)"
+        return (f"SELECT k, ox, oy, bx0, by0, bx1, by1, ({upper}) AS upper, (bx1 - bx0) * (by1 - by0) / 2 AS size, "
+                f"CASE WHEN {upper} THEN {at} ELSE by0 - oy END AS bc, CASE WHEN {upper} THEN {slope} ELSE 0.0 END AS bm, "
+                f"CASE WHEN {upper} THEN by1 - oy ELSE {at} END AS tc, CASE WHEN {upper} THEN 0.0 ELSE {slope} END AS tm "
+                f"FROM (SELECT *, -2174000.0 AS ox, 2020000.0 AS oy FROM {table})")
+    lines = ["bc, bm", "tc, tm", "dc, dm", "uc, um"]
+    cross = [(p.split(", "), q_.split(", ")) for i, p in enumerate(lines) for q_ in lines[:i]]
+    stops = ", ".join(f"CASE WHEN {m1} <> {m2} THEN least(greatest(({c2} - {c1}) / ({m1} - {m2}), x0), x1) ELSE x0 END"
+                      for (c1, m1), (c2, m2) in cross)
+    high = "least(tc + tm * x, uc + um * x) - greatest(bc + bm * x, dc + dm * x)"
+    return (f"osm_half AS ({half('osm_raw', 'k % 2 = 1')}), ms_half AS ({half('ms_raw', 'k % 3 = 1')}), "
+            "boxed AS (SELECT a.k AS lk, b.k AS rk, a.size AS ls, b.size AS rs, a.bc, a.bm, a.tc, a.tm, b.bc AS dc, b.bm AS dm, b.tc AS uc, "
+            "b.tm AS um, greatest(a.bx0, b.bx0) - a.ox AS x0, least(a.bx1, b.bx1) - a.ox AS x1 FROM osm_half a JOIN ms_half b "
+            "ON a.bx0 <= b.bx1 AND b.bx0 <= a.bx1 AND a.by0 <= b.by1 AND b.by0 <= a.by1), "
+            f"stops AS (SELECT *, list_sort([x0, x1, {stops}]) AS xs FROM boxed), "
+            f"heights AS (SELECT *, list_transform(xs, lambda x: {high}) AS hs FROM stops), "
+            "met AS (SELECT lk, rk, ls, rs, list_max(hs) AS top, list_sum(list_transform(range(1, len(xs)), lambda i: "
+            "(xs[i + 1] - xs[i]) * (greatest(hs[i], 0.0) + greatest(hs[i + 1], 0.0)) / 2)) AS area FROM heights)")
+
+
 def oracle_sql() -> dict[str, str]:
     B = base_ctes()
     C0 = conform_ctes(False)
@@ -436,6 +461,30 @@ def oracle_sql() -> dict[str, str]:
         f"FROM osm_raw a JOIN ms_raw b ON {inter}")
     s["g7_distance"] = with_(B) + f"SELECT a.k AS \"key\", round({pd}, 6) AS distance FROM nad_raw a JOIN osm_raw b ON a.k = b.k"
     s["g13_intersects"] = with_(B) + f"SELECT a.k AS \"key\", ({inter}) AS intersects FROM osm_raw a JOIN ms_raw b ON a.k = b.k"
+    tri = triangle_ctes()
+    third = {"x": "CASE WHEN upper THEN bx0 + bx0 + bx1 ELSE bx0 + bx1 + bx1 END", "y": "CASE WHEN upper THEN by0 + by1 + by1 ELSE by0 + by0 + by1 END"}
+    s["g3_slanted_area"] = with_(B, tri) + " UNION ALL ".join(
+        f"SELECT '{p}' AS provider, k AS \"key\", size AS area, " + ", ".join(f"round(({v}) / 3, 6) AS {c}" for c, v in third.items()) +
+        f" FROM {t}" for p, t in (("openstreetmap", "osm_half"), ("microsoft", "ms_half")))
+    s["g4_slanted_intersection"] = with_(B, tri) + ("SELECT lk AS left_key, rk AS right_key, round(area, 6) AS area, (area > 1e-9)::BIGINT AS n_polygons "
+                                                    "FROM met WHERE top >= -1e-9")
+    s["g13_slanted_intersects"] = with_(B, tri) + ("SELECT a.k AS \"key\", coalesce(m.top >= -1e-9, FALSE) AS intersects FROM osm_half a JOIN ms_half b "
+                                                   "ON a.k = b.k LEFT JOIN met m ON m.lk = a.k AND m.rk = b.k")
+    s["j4_slanted_overlap"] = with_(B, tri) + (
+        "SELECT lk AS left_key, rk AS right_key, round(area, 6) AS area_intersection, least(ls, rs) AS area_relative, "
+        "round(area / least(ls, rs), 9) AS metric, area / least(ls, rs) > 0.3 AS corresponds FROM met WHERE top >= -1e-9")
+    corners = [("bx0", "by0"), ("bx1", "by1"), ("(CASE WHEN upper THEN bx0 ELSE bx1 END)", "(CASE WHEN upper THEN by1 ELSE by0 END)")]
+
+    def to_side(i: int) -> str:
+        (x1, y1), (x2, y2) = corners[i], corners[(i + 1) % 3]
+        dx, dy = f"({x2} - {x1})", f"({y2} - {y1})"
+        t = f"least(greatest(((x - {x1}) * {dx} + (y - {y1}) * {dy}) / ({dx} * {dx} + {dy} * {dy}), 0.0), 1.0)"
+        return f"sqrt(pow(x - {x1} - {t} * {dx}, 2) + pow(y - {y1} - {t} * {dy}, 2))"
+
+    beside = "(y - by0) * (bx1 - bx0) - (x - bx0) * (by1 - by0)"
+    s["g7_slanted_distance"] = with_(B, tri) + (
+        f"SELECT a.k AS \"key\", round(CASE WHEN x BETWEEN bx0 AND bx1 AND y BETWEEN by0 AND by1 AND CASE WHEN upper THEN {beside} >= 0 ELSE {beside} <= 0 END "
+        f"THEN 0.0 ELSE least({', '.join(map(to_side, range(3)))}) END, 6) AS distance FROM (SELECT k, x, y FROM nad_raw) a JOIN osm_half b ON a.k = b.k")
     s["g10_explode_multipoint"] = with_(B) + (
         "SELECT k AS \"key\", p.x AS x, p.y AS y FROM osm_raw, "
         "unnest([{'x': bx0, 'y': by0}, {'x': bx1, 'y': by0}, {'x': bx1, 'y': by1}, {'x': bx0, 'y': by1}, "
