@@ -5,9 +5,10 @@ place on a Hilbert curve. Documents are range-sorted by that key and laid end to
 neighbours on the curve share sequences; each range partition cuts its row of ids into full
 sequences and its rest into sequences whose lengths are powers of two, so nothing is padded.
 
-Plan: one pass tokenises and writes (key, ids); one range shuffle by (key, id, row) moves the ids;
-packing is a single streaming pass over each partition. Equal keys are split by id and row, so a
-large group of copies spreads over as many partitions as its size needs.
+Plan: one pass tokenises and writes (key, ids) in rows of at most ROW_IDS ids; one range shuffle by
+(key, id, row) moves the ids; packing is a single streaming pass over each partition. The ranges are
+cut by rows, so a long document weighs as much as its ids and may lie across ranges. Equal keys are
+split by id and row, so a large group of copies spreads over as many partitions as its size needs.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from footmark.llm.common import cut, mix, partitions, prepare, texts_of
 
 LENGTH = 2048
 END_ID = 1
+#: Ids of one row of the range shuffle, at most.
+ROW_IDS = 256
 #: Buckets of the hashed vectors, dimensions of the projection, bits of a coordinate.
 BUCKETS, DIMS, BITS = 4096, 4, 10
 
@@ -75,10 +78,15 @@ def _encode_batches(batches, tokenizer, end_id):
         texts = texts_of(batch.column(1))
         for lo, hi, ids, starts in enc.batches(texts):
             end = np.array([end_id], dtype=ids.dtype)
-            rows = [np.concatenate([ids[a:b], end]).tobytes() for a, b in zip(starts[:-1], starts[1:])]
-            yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(curve_keys(ids, starts, projection)),
-                                   pa.array([enc.dtype().itemsize] * (hi - lo), pa.int32()), pa.array(rows, pa.binary())],
-                                  names=["doc_id", "key", "width", "ids"])
+            docs = [np.concatenate([ids[a:b], end]) for a, b in zip(starts[:-1], starts[1:])]
+            total = np.array([len(d) for d in docs], dtype=np.int64)
+            count = -(-total // ROW_IDS)
+            of = np.repeat(np.arange(hi - lo), count)
+            first = (np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)) * ROW_IDS
+            rows = [docs[d][f:f + ROW_IDS].tobytes() for d, f in zip(of, first)]
+            yield pa.record_batch([batch.column(0).slice(lo, hi - lo).take(pa.array(of)), pa.array(curve_keys(ids, starts, projection)[of]),
+                                   pa.array([enc.dtype().itemsize] * len(of), pa.int32()), pa.array(rows, pa.binary()),
+                                   pa.array(first), pa.array(total[of])], names=["doc_id", "key", "width", "ids", "first", "total"])
 
 
 def _pack_batches(batches, length):
@@ -112,12 +120,17 @@ def _pack_batches(batches, length):
 
     opened, fill = [], 0
     for batch in batches:
-        for doc, width, raw, part in zip(*(c.to_pylist() for c in batch.columns)):
+        for doc, width, raw, first, total, part in zip(*(c.to_pylist() for c in batch.columns)):
             ids = np.frombuffer(raw, dtype=np.uint16 if width == 2 else np.uint32)
             at = 0
             while at < len(ids):
                 take = min(length - fill, len(ids) - at)
-                opened.append((doc, at, ids[at:at + take], len(ids), part))
+                got = ids[at:at + take]
+                if first and not at and opened:  # the document's row before this one ends the open sequence
+                    _, start, held, _, _ = opened[-1]
+                    opened[-1] = (doc, start, np.concatenate([held, got]), total, part)
+                else:
+                    opened.append((doc, first + at, got, total, part))
                 at, fill = at + take, fill + take
                 if fill == length:
                     close(opened, fill)
@@ -144,11 +157,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, len
     prepare(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     tokens = src.mapInArrow(partial(_encode_batches, tokenizer=tokenizer, end_id=end_id),
-                            "doc_id long, key long, width int, ids binary")
+                            "doc_id long, key long, width int, ids binary, first long, total long")
     tokens = cut(tokens.withColumn("uid", F.monotonically_increasing_id()), "tokens")
     return tokens.repartitionByRange(partitions(spark), "key", "doc_id", "uid") \
         .sortWithinPartitions("key", "doc_id", "uid") \
-        .select("doc_id", "width", "ids", F.spark_partition_id().cast("long").alias("part")) \
+        .select("doc_id", "width", "ids", "first", "total", F.spark_partition_id().cast("long").alias("part")) \
         .mapInArrow(partial(_pack_batches, length=length),
                     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 

@@ -283,6 +283,66 @@ def test_packing(docs, rows, encode):
         assert at <= 2048 and at & (at - 1) == 0  # 2048 too is a power of two: no padding
 
 
+def test_packing_ranges_weigh_ids(spark, encode):
+    """Few long documents among many short ones, all alike, so that they lie together on the curve."""
+    rng = np.random.default_rng(8)
+    words = ["alpha", "beta", "gamma", "delta", "river", "stone"]
+    rows = [(i, " ".join(rng.choice(words, 8000 if i % 40 == 0 else 100))) for i in range(800)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    size = {}
+    pieces = {}
+    for r in got:
+        size[r["sequence_id"] >> 33] = size.get(r["sequence_id"] >> 33, 0) + r["length"]
+        pieces.setdefault(r["doc_id"], []).append((r["start"], np.frombuffer(r["ids"], dtype="<u4").tolist(), r["doc_tokens"]))
+    assert len(size) > 2 and max(size.values()) < 2 * sum(size.values()) / len(size)
+    for i, text in rows:
+        at, ids = 0, encode(text) + [1]
+        for start, p, n in sorted(pieces[i]):
+            assert start == at and n == len(ids) and p == ids[at:at + len(p)]
+            at += len(p)
+        assert at == len(ids)
+        assert len(pieces[i]) <= len(ids) // 1024 + 12  # rows of one document are joined within a sequence
+
+
+def test_packing_neighbours_are_alike(spark):
+    """Documents that share a sequence share their language more often than by chance."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lang = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    rows = packing.pack(docs).select("doc_id", "sequence_id", "offset").collect()
+    rows.sort(key=lambda r: (r["sequence_id"], r["offset"]))
+    pairs = [(lang[a["doc_id"]], lang[b["doc_id"]]) for a, b in zip(rows, rows[1:]) if a["doc_id"] != b["doc_id"]]
+    pairs = [p for p in pairs if None not in p]
+    counts = [sum(x == v for x in lang.values()) / len(lang) for v in set(lang.values()) - {None}]
+    assert sum(a == b for a, b in pairs) / len(pairs) > 1.4 * sum(c * c for c in counts)
+
+
+def test_quality_statistics_by_definition():
+    texts = ["Plain words, and a line.\nAnother LINE here?", "", " \t\n", "a", "x x x |#| !!", "ÿĀ漢字 " * 3 + "\n\n", "w" * 30 + " (b) 12 12"]
+    got = quality_rff.statistics(texts)
+    for text, row in zip(texts, got):
+        words = [w for w in re.split("[ \t-\r]+", text) if w]
+        if not words:
+            assert not row.any()
+            continue
+        n, c, lines = len(words), len(text), text.split("\n")
+        share = lambda f: sum(map(f, text)) / c
+        seen = [text.count(ch) / c for ch in {min(ch, "\u00ff") for ch in text}]
+        over = sum(ch > "\u00ff" for ch in text) / c
+        if over:
+            seen = [text.count(ch) / c for ch in {ch for ch in text if ch < "\u00ff"}] + [over + text.count("\u00ff") / c]
+        length = np.array([len(w) for w in words])
+        marked = lambda w: any(ch in "#$%&*@^~=+_\\/<>{}[]`|!" for ch in w)
+        want = {"log_chars": np.log1p(c), "log_words": np.log1p(n), "log_lines": np.log1p(len(lines) - 1), "word_len": length.mean(),
+                "word_len_dev": length.std(), "long_words": (length > 20).mean(), "letters": share(str.isalpha), "digits": share(str.isdigit),
+                "spaces": share(str.isspace), "marks": share(lambda x: x in ".,;:?'\"-()"), "bars": share(lambda x: x == "|"),
+                "exclaims": share(lambda x: x == "!"), "ends": np.mean([w[-1] in ".?" for w in words]), "short_words": (length <= 3).mean(),
+                "symbol_words": np.mean([marked(w) for w in words]), "distinct_words": np.log(len(set(words))) / np.log(n + 1) if n > 1 else 1,
+                "distinct_lines": len(set(lines)) / len(lines), "line_len": np.log1p(c / len(lines)), "entropy": -sum(p * np.log(p) for p in seen),
+                "brackets": share(lambda x: x in "()<>[]{}"), "adjacent": sum(a == b for a, b in zip(words, words[1:])) / n}
+        for name, value in want.items():
+            assert row[quality_rff.STATS.index(name)] == pytest.approx(value, abs=1e-12), (text, name)
+
+
 def test_hilbert_neighbours_touch():
     points = np.array(list(itertools.product(range(8), repeat=3)))
     key = packing.hilbert_key(points, 3)
