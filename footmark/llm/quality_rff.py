@@ -51,39 +51,48 @@ def statistics(texts: list[str]) -> np.ndarray:
     if not len(pos):
         return out
     kinds = _tables()
-    small = np.minimum(cp, 255)
-    flag = np.where((cp < 256)[:, None], kinds[small], np.array([True] + [False] * 7)[None, :])
-    sums = np.zeros((len(cp) + 1, 8), dtype=np.int64)
-    np.cumsum(flag, axis=0, out=sums[1:])
-    chars = np.diff(off)
-    share = (sums[off[1:]] - sums[off[:-1]]) / np.maximum(chars, 1)[:, None]
+    small = np.minimum(cp, 255)  # (the table's last row is a plain letter, as all code points beyond it count)
+    chars, words = np.diff(off), np.diff(woff)
+    freq = np.bincount(np.repeat(np.arange(len(texts)), chars) * 256 + small, minlength=256 * len(texts)).reshape(-1, 256)
+
+    def per_word(flag):
+        total = np.zeros(len(cp) + 1, dtype=np.int64)
+        np.cumsum(flag[small], out=total[1:])
+        return total[ends] - total[pos]
+
     widx = np.cumsum(mask)[pos] - 1
     wlen = np.diff(np.append(widx, int(mask.sum())))
     ends = pos + wlen
     hashes = hash_runs(cp[mask], widx)
-    wflag = sums[ends] - sums[pos]
-    last = cp[ends - 1]
-    per_word = np.stack([wlen, wlen ** 2, wlen > 20, (last == 46) | (last == 63), wlen <= 3, (wflag[:, 1] >= 2) & (wflag[:, 1] >= wflag[:, 0]),
-                         (wflag[:, 5] + wflag[:, 6] + wflag[:, 7]) > 0], axis=1).astype(float)
-    same = np.zeros(len(pos))
+    upper, last = per_word(kinds[:, 1]), cp[ends - 1]
+    same = np.zeros(len(pos), dtype=bool)
     same[1:] = hashes[1:] == hashes[:-1]
-    line = np.flatnonzero(cp == 10)
-    loff = np.searchsorted(line, off)
-    for i in range(len(texts)):
-        a, b = woff[i], woff[i + 1]
-        n = b - a
-        if not n:
-            continue
-        w = per_word[a:b].mean(axis=0)
-        lines = texts[i].split("\n")
-        freq = np.bincount(small[off[i]:off[i + 1]], minlength=256)
-        p = freq[freq > 0] / chars[i]
-        distinct = len(np.unique(hashes[a:b]))
-        out[i] = (math.log1p(chars[i]), math.log1p(n), math.log1p(loff[i + 1] - loff[i]), w[0], math.sqrt(max(w[1] - w[0] ** 2, 0)), w[2],
-                  share[i, 0], share[i, 1], share[i, 2], share[i, 3], share[i, 4], share[i, 5], share[i, 6], share[i, 7],
-                  w[3], w[4], w[5], w[6], math.log(distinct) / math.log(n + 1) if n > 1 else 1.0, len(set(lines)) / len(lines),
-                  math.log1p(chars[i] / len(lines)), float(-(p * np.log(p)).sum()),
-                  float(freq[[40, 41, 60, 62, 91, 93, 123, 125]].sum()) / chars[i], same[a + 1:b].sum() / n)
+    same[woff[:-1][words > 0]] = False
+    owner = np.repeat(np.arange(len(texts)), words)
+    order = np.lexsort((hashes, owner))
+    fresh = np.ones(len(pos), dtype=bool)
+    fresh[1:] = (hashes[order][1:] != hashes[order][:-1]) | (owner[1:] != owner[:-1])
+    of_word = np.stack([wlen, wlen ** 2, wlen > 20, (last == 46) | (last == 63), wlen <= 3, (upper >= 2) & (upper >= per_word(kinds[:, 0])),
+                        per_word(kinds[:, 5:].any(axis=1)) > 0, same, fresh], axis=1).astype(float)
+
+    have = np.flatnonzero(words)
+    n, c, freq = words[have], chars[have], freq[have]
+    sums = np.add.reduceat(of_word, woff[:-1][have], axis=0)
+    w = sums / n[:, None]
+    share = freq @ kinds.astype(np.int64) / c[:, None]
+    lines = freq[:, 10] + 1
+    unlike = np.array([len(set(texts[i].split("\n"))) for i in have])
+    p = freq / c[:, None]
+    entropy = -(p * np.log(np.where(p > 0, p, 1.0))).sum(axis=1)
+    distinct = np.where(n > 1, np.log(sums[:, 8]) / np.log(n + 1), 1.0)
+    columns = {"log_chars": np.log1p(c), "log_words": np.log1p(n), "log_lines": np.log1p(lines - 1), "word_len": w[:, 0],
+               "word_len_dev": np.sqrt(np.maximum(w[:, 1] - w[:, 0] ** 2, 0)), "long_words": w[:, 2],
+               "letters": share[:, 0], "upper": share[:, 1], "digits": share[:, 2], "spaces": share[:, 3], "marks": share[:, 4],
+               "symbols": share[:, 5], "bars": share[:, 6], "exclaims": share[:, 7], "ends": w[:, 3], "short_words": w[:, 4],
+               "upper_words": w[:, 5], "symbol_words": w[:, 6], "distinct_words": distinct, "distinct_lines": unlike / lines,
+               "line_len": np.log1p(c / lines), "entropy": entropy,
+               "brackets": freq[:, [ord(b) for b in "()<>[]{}"]].sum(axis=1) / c, "adjacent": w[:, 7]}
+    out[have] = np.stack([columns[name] for name in STATS], axis=1)
     return out
 
 
@@ -214,7 +223,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "d
     slots = max(1, math.isqrt(teach.rdd.getNumPartitions()))
     kind = "fold int, slot int, m binary"
     parts = teach.withColumn("pid", F.spark_partition_id()).mapInArrow(partial(_equation_batches, features=features, slots=slots), kind)
-    sums = parts.repartition(slots, "slot").mapInArrow(_sum_matrices, kind).collect()  # at most slots x folds matrices
+    sums = parts.repartition(slots, "slot").mapInArrow(_sum_matrices, kind).withColumn("slot", F.lit(0))
+    sums = sums.repartition(FOLDS, "fold").mapInArrow(_sum_matrices, kind).collect()  # one matrix a fold
     by_fold = np.zeros((FOLDS, size, size + 1))
     for r in sums:
         by_fold[r["fold"]] += np.frombuffer(r["m"], dtype=np.float64).reshape(size, size + 1)
