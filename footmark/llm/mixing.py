@@ -1,8 +1,8 @@
 """Mixing sources to target weights by blocks.
 
-The words of a source, its documents laid end to end in id order, are cut into blocks: of BLOCK
-words at least, and of more for a large source, so that a source has at most BLOCKS of them and a block
-join has a row a document and block, not one every few words. The mix is a row of slots in output shards. Each shard draws how many of its slots go to each
+The words of a source, its documents laid end to end in id order, are cut into blocks of BLOCK words,
+however large the source is: what a document may lose or repeat doesn't depend on the input's size.
+The mix is a row of slots in output shards. Each shard draws how many of its slots go to each
 source: the whole parts of the expected counts are fixed and the rest is a multinomial draw, so the
 draw is multinomial per shard with little variance. A source's j-th slot takes the block at index
 perm(j mod n) of pass j div n, a keyed pseudorandom permutation of its n blocks; then blocks are
@@ -10,7 +10,7 @@ joined by index. Every pass takes each block once, so nothing is taken more than
 
 The driver sees one row a source and one row a range partition; documents, blocks and slots stay
 distributed. A hot source is split by ranges of (source, id), and its blocks are separate join keys.
-Shards are as many as the slots need, so a source has at most CAP * BLOCKS slots in all of them.
+Blocks, slots and shards grow in proportion to the words; a shard has SLOTS slots.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from footmark.llm.common import (chunks, codepoints, columns_of, cut, mix, numbered, partitions, prepare, quoted, texts_of,
                                  word_starts)
 
-#: Words of a block at least, blocks of a source at most, slots of an output shard, times a word may be taken.
+#: Words of a block, block numbers in one Arrow batch at most, slots of an output shard, times a word may be taken.
 BLOCK = 32
 BLOCKS = 1 << 16
 SLOTS = 16384
@@ -118,17 +118,18 @@ def _draw_batches(batches, p, slots, total):
             yield pa.record_batch([pa.array(np.full(len(some), shard)), pa.array(some), pa.array(k[some])], names=["shard", "sid", "k"])
 
 
-def _slot_batches(batches, blocks, seed, cap):
+def _slot_batches(batches, blocks, seed, cap, step):
     for batch in batches:
         for sid, first, k in zip(*(c.to_pylist() for c in batch.columns)):
             n = int(blocks[sid])
-            j = np.arange(first, min(first + k, cap * n))
-            at = np.empty(len(j), dtype=np.int64)
-            for turn in range(cap):
-                m = j // max(n, 1) == turn
-                if m.any():
-                    at[m] = permuted(j[m] % n, n, (seed * 1000003 + sid) * cap + turn)
-            if len(at):
+            end = min(first + k, cap * n)
+            for lo in range(first, end, step):
+                j = np.arange(lo, min(lo + step, end))
+                at = np.empty(len(j), dtype=np.int64)
+                for turn in range(cap):
+                    m = j // n == turn
+                    if m.any():
+                        at[m] = permuted(j[m] % n, n, (seed * 1000003 + sid) * cap + turn)
                 yield pa.record_batch([pa.array(np.full(len(at), sid)), pa.array(at)], names=["sid", "block"])
 
 
@@ -142,12 +143,11 @@ def lay_out(rows: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK
     sizes = {r["source"]: r["size"] for r in sized.groupBy("source").agg(F.sum("size").alias("size")).collect()}
     goal = targets(sizes, weights, cap)
     order = list(goal)
-    width = [max(block, -(-sizes[s] // BLOCKS)) for s in order]
-    table = spark.createDataFrame([(i, s, sizes[s], goal[s], w) for i, (s, w) in enumerate(zip(order, width))],
-                                  "sid long, s string, source_size long, target double, width long")
+    table = spark.createDataFrame([(i, s, sizes[s], goal[s]) for i, s in enumerate(order)],
+                                  "sid long, s string, source_size long, target double")
     docs = cut(sized.join(table, F.col("source").eqNullSafe(F.col("s")), "left")
-               .select("uid", "doc_id", "size", "sid", "source_size", "target", "width"), "by_source")
-    blocks = np.array([-(-sizes[s] // w) for s, w in zip(order, width)], dtype=np.int64)
+               .select("uid", "doc_id", "size", "sid", "source_size", "target"), "by_source")
+    blocks = np.array([-(-sizes[s] // block) for s in order], dtype=np.int64)
     want = np.array([goal[s] * b / sizes[s] if sizes[s] else 0.0 for s, b in zip(order, blocks)])
     total = int(round(want.sum()))
     p = want / want.sum() if total else want
@@ -155,8 +155,8 @@ def lay_out(rows: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK
     # lay the documents of each source end to end
     laid = cut(docs.filter("size > 0").repartitionByRange(partitions(spark), "sid", "doc_id", "size", "uid")
                .sortWithinPartitions("sid", "doc_id", "size", "uid")
-               .select("uid", "sid", "size", F.spark_partition_id().cast("long").alias("part"), "width")
-               .mapInArrow(_lay_batches, "uid long, sid long, size long, part long, width long, begin long"), "laid")
+               .select("uid", "sid", "size", F.spark_partition_id().cast("long").alias("part"))
+               .mapInArrow(_lay_batches, "uid long, sid long, size long, part long, begin long"), "laid")
     sums = laid.groupBy("part", "sid").agg(F.sum("size").alias("n")).collect()  # at most partitions + sources rows
     done: dict[int, int] = {}
     ahead = []
@@ -165,17 +165,17 @@ def lay_out(rows: DataFrame, weights=WEIGHTS, cap: int = CAP, block: int = BLOCK
         done[r["sid"]] = done.get(r["sid"], 0) + r["n"]
     ahead = spark.createDataFrame(ahead, "part long, sid long, ahead long")
     placed = laid.join(ahead, ["part", "sid"]).withColumn("begin", F.col("begin") + F.col("ahead"))
-    begin, width, size = F.col("begin"), F.col("width"), F.col("size")
-    at = F.explode(F.sequence(F.floor(begin / width), F.floor((begin + size - 1) / width)))
-    pieces = placed.select("uid", "sid", "begin", "size", "width", at.alias("block")) \
-        .select("uid", "sid", "block", F.greatest(F.lit(0), F.col("block") * width - begin).alias("first"),
-                (F.least(begin + size, (F.col("block") + 1) * width) - F.greatest(begin, F.col("block") * width)).alias("words"))
+    begin, size = F.col("begin"), F.col("size")
+    at = F.explode(F.sequence(F.floor(begin / block), F.floor((begin + size - 1) / block)))
+    pieces = placed.select("uid", "sid", "begin", "size", at.alias("block")) \
+        .select("uid", "sid", "block", F.greatest(F.lit(0), F.col("block") * block - begin).alias("first"),
+                (F.least(begin + size, (F.col("block") + 1) * block) - F.greatest(begin, F.col("block") * block)).alias("words"))
     # the slots of all shards
     drawn = spark.range(shards).mapInArrow(partial(_draw_batches, p=p, slots=SLOTS, total=total), "shard long, sid long, k long")
     before = F.sum("k").over(W.partitionBy("sid").orderBy("shard").rowsBetween(W.unboundedPreceding, -1))
     taken = drawn.select("sid", "k", F.coalesce(before, F.lit(0)).alias("first")).filter("k > 0") \
         .select("sid", "first", "k").repartition(partitions(spark)) \
-        .mapInArrow(partial(_slot_batches, blocks=blocks, seed=seed, cap=cap), "sid long, block long") \
+        .mapInArrow(partial(_slot_batches, blocks=blocks, seed=seed, cap=cap, step=BLOCKS), "sid long, block long") \
         .groupBy("sid", "block").agg(F.count("*").alias("times"))
     # without the hint the planner takes the slots, whose number it can't know, for a small table
     return docs, pieces.join(taken.hint("merge"), ["sid", "block"])

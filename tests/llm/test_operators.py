@@ -700,3 +700,18 @@ def test_quality_equations_are_the_plain_sums():
     kernel = np.exp(-quality_rff.GAMMA * ((x[:, None] - x[None]) ** 2).sum(axis=2))
     zw = wide(stats[:20])[:, :20000]
     assert np.abs(zw @ zw.T - kernel).max() < 0.05
+
+
+def test_mixing_blocks_do_not_follow_the_size(spark, monkeypatch):
+    """Every cut of the mix lies at a multiple of BLOCK words, also in a source of more than BLOCKS blocks,
+    and batches of block numbers are cut anywhere."""
+    rows = spark.range(40).select(F.col("id"), F.lit("one").alias("source"), F.repeat(F.lit("word "), 200).alias("text"))
+    frame = rows.select(F.col("id").alias("uid"), F.col("id").alias("doc_id"), "source", "text")
+
+    def pieces():
+        return sorted(map(tuple, mixing.lay_out(frame)[1].select("uid", "block", "first", "words", "times").collect()))
+    want = pieces()
+    assert len({p[1] for p in want}) == 40 * 200 // mixing.BLOCK
+    assert all(words <= mixing.BLOCK and (uid * 200 + first) // mixing.BLOCK == block for uid, block, first, words, _ in want)
+    monkeypatch.setattr(mixing, "BLOCKS", 64)
+    assert pieces() == want
