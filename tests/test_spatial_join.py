@@ -113,3 +113,26 @@ def test_outlier_costs_one_salted_row_each(spark):
     assert sum(per_key) == 2 * 4000
     # the outlier's corner cells hold all points; no slot holds more than about its share
     assert max(per_key) <= 2 * 4000 / salts(max(rlv), 0)
+
+
+def test_layers_are_not_broadcast(spark):
+    """Small files of keys become layers of any size: no side of the join, of the anti join or of the county
+    lookup passes through the driver on the planner's guess."""
+    from footmark.operators.correspondence import anti_join
+    from footmark.operators.counties import county_of
+    rng = np.random.default_rng(3)
+    a = spark.createDataFrame([r[:2] for r in layer(spark, rng, 20)], "k string, geometry binary")
+    b = spark.createDataFrame([r[:2] for r in layer(spark, rng, 20, prefix="b")], "k string, geometry binary")
+    origin = a.select(F.col("k").alias("id"), F.lit("p").alias("provider"), *[F.lit(None).cast("string").alias(c) for c in (
+        "classification", "address")], F.lit(None).cast("double").alias("height"), F.lit(None).cast("int").alias("levels"), "geometry")
+    square = spark.createDataFrame([("01001", W.wkb_polygon([[(-1, -1), (900, -1), (900, 900), (-1, 900)]]))], "fips string, geometry binary")
+
+    def joins(df):
+        df.collect()
+        return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    found = joins(dwithin_join(a, b, 10.0))
+    assert found and all("SortMergeJoin" in j for j in found)
+    found = joins(anti_join(origin, origin.limit(5), ["provider", "id"], ["provider", "id"], []))
+    assert found and all("SortMergeJoin" in j for j in found)
+    last = joins(county_of(a, square, key="k"))
+    assert any("SortMergeJoin" in j and "LeftOuter" in j for j in last) and not any("BroadcastHashJoin [k#" in j for j in last)
